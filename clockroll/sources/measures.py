@@ -19,6 +19,7 @@ MEASURE_COLUMNS = ["object_id", "unit", "ts_ms", "value", "arr_major", "arr_mino
 # objectId and timestamp are read as strings and converted with try_* so that a quoted
 # number is accepted and a bad value becomes a reject reason instead of a failed job.
 JSON_SCHEMA = "objectId string, value string, timestamp string, unitSymbol string, type string"
+_PARSE_SCHEMA = JSON_SCHEMA + ", _corrupt string"
 
 # Accepted timestamp layouts (ISO date, date+minutes, date+seconds,
 # optional millis, zone designator required) and the English default date layout.
@@ -52,7 +53,8 @@ def parse_measures(raw: DataFrame, json_col: str = "value",
     """Parse JSON measure strings.  Returns canonical columns plus ``type`` and ``reason``
     (NULL for a valid measure).  Reasons are checked in the original order: whole-record
     decoding first, then unit, then value, then NaN."""
-    j = F.from_json(F.col(json_col), JSON_SCHEMA)
+    j = F.from_json(F.col(json_col), _PARSE_SCHEMA,
+                    {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
     cols = [j.alias("_j")]
     if arrival:
         cols += [F.col(arrival[0]).cast("long").alias("arr_major"),
@@ -64,7 +66,7 @@ def parse_measures(raw: DataFrame, json_col: str = "value",
     obj_s, ts_s = F.col("_j.objectId"), F.col("_j.timestamp")
     unit, val_s = F.col("_j.unitSymbol"), F.col("_j.value")
     df = df.select(
-        F.col("_j").isNull().alias("_bad_json"),
+        (F.col("_j").isNull() | F.col("_j._corrupt").isNotNull()).alias("_bad_json"),
         obj_s.try_cast("int").alias("object_id"),
         obj_s.isNotNull().alias("_has_obj"),
         unit.alias("unit"),

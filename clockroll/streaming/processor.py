@@ -103,6 +103,53 @@ class _Acc:
                 self.last, self.last_ts, self.k, self.k_sum, self.k_sum_2, std, arr[0], arr[1])
 
 
+def run_object(obj: int, ts_a, v_a, adv_a, maj_a, min_a, wins: dict, ta, lc, granularity: int,
+               lateness_ms: int, flush_every_ms: int, align: str = "hour"):
+    """Replay one object's records (already in arrival order) against its open windows.
+
+    ``wins`` (window start -> accumulator) is updated in place; returns
+    (emission tuples, clock, last cleanup).  Emission phases number the late runs (even)
+    and closed emissions (odd) of each window inside this call, for the ordered upsert.
+    """
+    size = granularity * 60_000
+    timeout = size + lateness_ms
+    out = []
+    closed_now: dict[int, int] = {}
+    for i in range(len(ts_a)):
+        ts, v = int(ts_a[i]), float(v_a[i])
+        ws = window_start(ts, granularity, align)
+        if ta is None:
+            ta = lc = ts
+        elif ts < ta - lateness_ms:
+            if ws not in wins:
+                one = _Acc(bool(adv_a[i]))
+                one.fold(v, ts)
+                out.append(one.emit(obj, ws, "late", 2 * closed_now.get(ws, 0),
+                                    (int(maj_a[i]), int(min_a[i]))))
+                continue
+        elif ts > ta:
+            ta = ts
+        acc = wins.get(ws)
+        if acc is None:
+            acc = wins[ws] = _Acc(bool(adv_a[i]))
+        acc.fold(v, ts)
+        if ta - lc >= flush_every_ms:
+            for w in sorted(wins):
+                if w <= ta - timeout:
+                    c = closed_now.get(w, 0)
+                    out.append(wins.pop(w).emit(obj, w, "closed", 2 * c + 1))
+                    closed_now[w] = c + 1
+            lc = ta
+    return out, ta, lc
+
+
+def flush_all(obj: int, wins: dict, phase0: int = 1) -> list:
+    """Close every open window, ascending start (idle timeout / end of input)."""
+    out = [acc.emit(obj, w, "closed", phase0 + 2 * i) for i, (w, acc) in enumerate(sorted(wins.items()))]
+    wins.clear()
+    return out
+
+
 class WindowProcessor(StatefulProcessor):
     """Per-object windows with lateness, cleanup cadence and (optionally) idle timeout."""
 
@@ -137,39 +184,11 @@ class WindowProcessor(StatefulProcessor):
         pdf = pdf.sort_values(["arr_major", "arr_minor"], kind="stable")
         wins, ta, lc = self._load()
         before = set(wins)
-        out = []
-        closed_now: dict[int, int] = {}
-        ts_a = pdf["ts_ms"].to_numpy(dtype=np.int64)
-        v_a = pdf["value"].to_numpy(dtype=np.float64)
-        adv_a = pdf["unit"].isin(self.advanced).to_numpy()
-        maj_a = pdf["arr_major"].to_numpy()
-        min_a = pdf["arr_minor"].to_numpy()
-        timeout = self.size + self.lat
-        for i in range(len(pdf)):
-            ts, v = int(ts_a[i]), float(v_a[i])
-            ws = window_start(ts, self.g, self.align)
-            if ta is None:
-                ta = lc = ts
-            elif ts < ta - self.lat:
-                if ws not in wins:
-                    one = _Acc(bool(adv_a[i]))
-                    one.fold(v, ts)
-                    out.append(one.emit(obj, ws, "late", 2 * closed_now.get(ws, 0),
-                                        (int(maj_a[i]), int(min_a[i]))))
-                    continue
-            elif ts > ta:
-                ta = ts
-            acc = wins.get(ws)
-            if acc is None:
-                acc = wins[ws] = _Acc(bool(adv_a[i]))
-            acc.fold(v, ts)
-            if ta - lc >= self.flush_every:
-                for w in sorted(wins):
-                    if w <= ta - timeout:
-                        c = closed_now.get(w, 0)
-                        out.append(wins.pop(w).emit(obj, w, "closed", 2 * c + 1))
-                        closed_now[w] = c + 1
-                lc = ta
+        out, ta, lc = run_object(
+            obj, pdf["ts_ms"].to_numpy(dtype=np.int64), pdf["value"].to_numpy(dtype=np.float64),
+            pdf["unit"].isin(self.advanced).to_numpy(), pdf["arr_major"].to_numpy(),
+            pdf["arr_minor"].to_numpy(), wins, ta, lc, self.g, self.lat, self.flush_every,
+            self.align)
         self.clock.update((int(ta), int(lc)))
         for w in before - set(wins):
             self.windows.removeKey((w,))
@@ -186,8 +205,7 @@ class WindowProcessor(StatefulProcessor):
         """Idle timeout: no record for this object for ``timeout``: flush all its windows."""
         obj = int(key[0])
         wins, _, _ = self._load()
-        out = [acc.emit(obj, w, "closed", _TIMER_PHASE + 2 * i + 1)
-               for i, (w, acc) in enumerate(sorted(wins.items()))]
+        out = flush_all(obj, wins, _TIMER_PHASE + 1)
         self.windows.clear()
         if out:
             yield pd.DataFrame(out, columns=[f.name for f in EMIT_SCHEMA.fields])
