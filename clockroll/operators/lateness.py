@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from clockroll.config import RollupConfig
 from clockroll.functions.timefn import window_start_ms
 from clockroll.functions.units import ADVANCED_UNITS, with_stdev
+from clockroll.session import materialize
 from clockroll.operators.aggregate import (OUTPUT_COLUMNS, arrival, finalize_stats, stats_aggs,
                                            with_keys)
 
@@ -113,7 +114,8 @@ def emissions(measures: DataFrame, cfg: RollupConfig, flush_at_end: bool = False
     """What the stream would emit (flush_every = 0): closed windows (``kind='closed'``,
     phase 1) and single late records (``kind='late'``; phase 0 = before the window was
     opened, 2 = after it was closed).  ``flush_at_end`` also emits windows still open."""
-    classified = classify_arrivals(measures, cfg, chunk)
+    # read by three branches (windows, clocks, late rows): computed once
+    classified = materialize(classify_arrivals(measures, cfg, chunk))
     windows = _window_rows(classified, cfg, advanced)
     if not flush_at_end:
         windows = windows.filter("closed")
@@ -127,5 +129,5 @@ def emissions(measures: DataFrame, cfg: RollupConfig, flush_at_end: bool = False
 def open_windows_at_end(measures: DataFrame, cfg: RollupConfig,
                         chunk: int = DEFAULT_ARRIVAL_CHUNK, advanced=ADVANCED_UNITS) -> DataFrame:
     """Windows still held in state after the last record (what the idle timeout flushes)."""
-    classified = classify_arrivals(measures, cfg, chunk)
+    classified = materialize(classify_arrivals(measures, cfg, chunk))
     return _window_rows(classified, cfg, advanced).filter(~F.col("closed")).select(*OUTPUT_COLUMNS)

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: str = "clockroll",
@@ -64,3 +64,12 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
     if "://" not in path or path.startswith("file:"):
         os.makedirs(path.replace("file:", ""), exist_ok=True)
     return path
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Cut the lineage of a frame that several branches read: a reliable checkpoint in the
+    shared ``spark.checkpoint.dir`` (survives lost executors; computed once)."""
+    spark = df.sparkSession
+    if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
+        spark.sparkContext.setCheckpointDir(_checkpoint_root(spark))
+    return df.checkpoint(eager=True)

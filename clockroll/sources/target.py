@@ -108,34 +108,42 @@ class RollupTable:
         """Upsert one batch of emissions; returns the action counters of that batch."""
         if self.applied(batch_id):
             return self.batch_actions(batch_id)
-        stage = f"{self.path}/_staging/batch={int(batch_id)}"
-        actions_path = f"{self.path}/_staging/actions-{int(batch_id)}"
+        b = int(batch_id)
+        stage = f"{self.path}/_staging/batch={b}"
         if not _exists(self.spark, stage + "/_SUCCESS"):
-            # the set of touched partitions is small (granularities x months), not the rows
+            # 1. the batch's emissions, computed once (a stream batch is not recomputed)
+            em_path = f"{self.path}/_staging/emissions-{b}"
+            if not _exists(self.spark, em_path + "/_SUCCESS"):
+                emitted.write.mode("overwrite").parquet(em_path)
+            em = self.spark.read.parquet(em_path)
+            # 2. touched partitions: a small set (granularities x months), not rows
             touched = [(r["minutes"], r["date"])
-                       for r in emitted.select("minutes", "date").distinct().collect()]
+                       for r in em.select("minutes", "date").distinct().collect()]
             if not touched:
                 totals = {c: 0 for c in ACTION_COLUMNS}
-                _write_text(self.spark, f"{self.path}/_batches/batch={int(batch_id)}",
-                            json.dumps(totals))
+                _write_text(self.spark, f"{self.path}/_batches/batch={b}", json.dumps(totals))
                 return totals
             cond = None
             for mins, date in touched:
                 c = (F.col("minutes") == F.lit(mins)) & (F.col("date") == F.lit(date))
                 cond = c if cond is None else (cond | c)
             existing = self.read().filter(cond)
-            fold = upsert if self.merge == "parity" else upsert_combine
-            rows, actions = fold(existing, emitted)
+            # 3. fold once; rows and per-key actions stay together
+            fold_path = f"{self.path}/_staging/fold-{b}"
+            if not _exists(self.spark, fold_path + "/_SUCCESS"):
+                fold = upsert if self.merge == "parity" else upsert_combine
+                rows, actions = fold(existing, em)
+                rows.join(actions, KEY).write.mode("overwrite").parquet(fold_path)
+            folded = self.spark.read.parquet(fold_path)
+            rows = folded.select(*OUTPUT_COLUMNS)
             kept = existing.join(rows.select(*KEY), KEY, "left_anti")
             content = kept.unionByName(rows).repartition("minutes", "date", "object_id")
-            (content.write.mode("overwrite").partitionBy("minutes", "date").parquet(stage))
-            totals_row = action_totals(actions).collect()[0].asDict()
-            totals = {c: int(totals_row[c] or 0) for c in ACTION_COLUMNS}
-            _write_text(self.spark, actions_path, json.dumps(totals))
-        else:
-            totals = json.loads(_read_text(self.spark, actions_path))
+            content.write.mode("overwrite").partitionBy("minutes", "date").parquet(stage)
+        folded = self.spark.read.parquet(f"{self.path}/_staging/fold-{b}")
+        totals_row = action_totals(folded).collect()[0].asDict()
+        totals = {c: int(totals_row[c] or 0) for c in ACTION_COLUMNS}
         staged = self.spark.read.schema(TARGET_SCHEMA).parquet(stage)
         (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("minutes", "date").parquet(self.path))
-        _write_text(self.spark, f"{self.path}/_batches/batch={int(batch_id)}", json.dumps(totals))
+        _write_text(self.spark, f"{self.path}/_batches/batch={b}", json.dumps(totals))
         return totals

@@ -48,63 +48,45 @@ def start_rollup_query(spark: SparkSession, measures_stream: DataFrame, cfg: Rol
     return w.start()
 
 
-def _stage_arrivals(spark: SparkSession, measures: DataFrame, slices: int) -> tuple[str, list]:
-    """Write a bounded replay of ``measures`` as ``slices`` files, one per arrival range,
-    written in arrival order so the file source reads them as consecutive micro-batches."""
-    path = scratch_dir(spark, "replay-src")
+def _stage_arrivals(spark: SparkSession, measures: DataFrame, inbox: str, slices: int) -> None:
+    """Write a recorded history into the stream's input folder as ``slices`` arrival
+    ranges, one write job per range in arrival order: the file source takes files by
+    modification time, so every micro-batch holds whole files of earlier or equal ranges
+    and the operator's per-key sort by arrival restores the exact order."""
     m = measures.select(*MEASURE_COLUMNS)
     if slices <= 1:
-        m.write.mode("overwrite").parquet(f"{path}/s=0000")
-        return path, [f"{path}/s=0000"]
-    qs = m.approxQuantile("arr_major", [i / slices for i in range(1, slices)], 0.0)
-    bounds = [None] + qs + [None]
-    dirs = []
-    for i in range(slices):
+        m.write.mode("append").parquet(inbox)
+        return
+    qs = m.approxQuantile("arr_major", [i / slices for i in range(1, slices)], 0.001)
+    bounds = [None] + sorted(set(qs)) + [None]
+    for i in range(len(bounds) - 1):
         lo, hi = bounds[i], bounds[i + 1]
         part = m
         if lo is not None:
             part = part.filter(F.col("arr_major") > F.lit(lo))
         if hi is not None:
             part = part.filter(F.col("arr_major") <= F.lit(hi))
-        d = f"{path}/s={i:04d}"
-        part.write.mode("overwrite").parquet(d)
-        dirs.append(d)
-    return path, dirs
+        part.write.mode("append").parquet(inbox)
 
 
 def _replay(spark: SparkSession, measures: DataFrame, cfg: RollupConfig, sink, slices: int):
-    """Drive the streaming operator over a recorded history, one micro-batch per slice."""
-    _, dirs = _stage_arrivals(spark, measures, slices)
-    schema = spark.read.parquet(dirs[0]).schema
+    """Drive the streaming operator over a recorded history (bounded micro-batches)."""
     inbox = scratch_dir(spark, "replay-inbox")
     ckpt = scratch_dir(spark, "replay-ckpt")
-    # feed the slices one at a time so each becomes its own micro-batch, in order
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(inbox)
+    _stage_arrivals(spark, measures, inbox, slices)
+    schema = spark.read.parquet(inbox).schema
+    per_batch = max(1, spark.sparkContext.defaultParallelism)
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", per_batch).parquet(inbox)
     em = emissions_stream(stream, cfg)
-    q = None
+    q = (em.writeStream.foreachBatch(sink).option("checkpointLocation", ckpt)
+         .trigger(availableNow=True).start())
     try:
-        for i, d in enumerate(dirs):
-            spark.read.parquet(d).coalesce(1).write.mode("overwrite").parquet(f"{inbox}/tmp-{i:04d}")
-            _move_files(spark, f"{inbox}/tmp-{i:04d}", inbox, f"{i:04d}")
-        q = (em.writeStream.foreachBatch(sink).option("checkpointLocation", ckpt)
-             .trigger(availableNow=True).start())
         q.awaitTermination()
     finally:
-        if q is not None and q.isActive:
+        if q.isActive:
             q.stop()
 
 
-def _move_files(spark: SparkSession, src: str, dst: str, prefix: str) -> None:
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    sp = jvm.org.apache.hadoop.fs.Path(src)
-    fs = sp.getFileSystem(conf)
-    for st in fs.listStatus(sp):
-        name = st.getPath().getName()
-        if name.endswith(".parquet"):
-            fs.rename(st.getPath(), jvm.org.apache.hadoop.fs.Path(f"{dst}/{prefix}-{name}"))
-
-
 def replay_to_table(spark: SparkSession, measures: DataFrame, cfg: RollupConfig,
                     slices: int = 3, table_path: str | None = None) -> RollupTable:
     """Replay a recorded history through the stream into a rollup table."""
@@ -123,7 +105,9 @@ def replay_emissions(spark: SparkSession, measures: DataFrame, cfg: RollupConfig
     out = scratch_dir(spark, "replay-emissions")
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        batch.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(out)
+        # one folder per batch id: a retried batch overwrites its own output only
+        batch.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").parquet(
+            f"{out}/batch={batch_id}")
 
     _replay(spark, measures, cfg, sink, slices)
-    return spark.read.parquet(out)
+    return spark.read.parquet(out).drop("batch")
