@@ -73,3 +73,31 @@ def materialize(df: DataFrame) -> DataFrame:
     if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
         spark.sparkContext.setCheckpointDir(_checkpoint_root(spark))
     return df.checkpoint(eager=True)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``clockroll`` importable by the Python workers of the stateful stream operator
+    whatever the driver's working directory.  Python functions carry
+    ``sc.environment`` (the ``spark.executorEnv.*`` settings) as worker environment: in
+    local mode the package's parent folder is added to its PYTHONPATH; on a cluster the
+    package is shipped with ``addPyFile`` (like ``--py-files``)."""
+    sc = spark.sparkContext
+    if getattr(sc, "_clockroll_shipped", False):
+        return
+    parent = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    if sc.master.startswith("local"):
+        paths = [p for p in sc.environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+        if parent not in paths:
+            sc.environment["PYTHONPATH"] = os.pathsep.join([parent] + paths)
+    else:
+        import zipfile
+
+        zpath = os.path.join(tempfile.mkdtemp(prefix="clockroll-pyfiles-"), "clockroll.zip")
+        with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as z:
+            for root, _, files in os.walk(os.path.join(parent, "clockroll")):
+                for f in files:
+                    if f.endswith(".py"):
+                        full = os.path.join(root, f)
+                        z.write(full, os.path.relpath(full, parent))
+        sc.addPyFile(zpath)
+    sc._clockroll_shipped = True

@@ -15,15 +15,23 @@ from clockroll.config import RollupConfig
 from clockroll.functions.units import is_target_unit
 from clockroll.operators.aggregate import with_keys
 from clockroll.operators.lateness import EMISSION_COLUMNS
-from clockroll.session import scratch_dir
+from clockroll.session import scratch_dir, ship_package
 from clockroll.sources.measures import MEASURE_COLUMNS
 from clockroll.sources.target import RollupTable
 from clockroll.streaming.processor import EMIT_SCHEMA, WindowProcessor
 
 
+ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
 def emissions_stream(measures: DataFrame, cfg: RollupConfig, idle_timeout: bool = False) -> DataFrame:
     """Streaming (or batch) measures -> emission rows (target columns + kind, phase).
     With ``idle_timeout`` the query needs a processing-time trigger (timers)."""
+    spark = measures.sparkSession
+    ship_package(spark)
+    # keyed state with a value and a map per object needs a column-family state store
+    if "RocksDB" not in (spark.conf.get("spark.sql.streaming.stateStore.providerClass", "") or ""):
+        spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
     m = measures.filter(is_target_unit(F.col("unit"))).select(*MEASURE_COLUMNS)
     proc = WindowProcessor(cfg.granularity, cfg.allowed_lateness, cfg.flush_every, cfg.align,
                            timeout_ms=cfg.timeout_ms if idle_timeout else None)
@@ -78,12 +86,19 @@ def _replay(spark: SparkSession, measures: DataFrame, cfg: RollupConfig, sink, s
     per_batch = max(1, spark.sparkContext.defaultParallelism)
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", per_batch).parquet(inbox)
     em = emissions_stream(stream, cfg)
-    q = (em.writeStream.foreachBatch(sink).option("checkpointLocation", ckpt)
-         .trigger(availableNow=True).start())
+    # a replay's state partitions follow the cluster's parallelism (fixed at first start
+    # of the query, recorded in its checkpoint); the session setting is restored after
+    key = "spark.sql.shuffle.partitions"
+    old = spark.conf.get(key)
+    spark.conf.set(key, str(per_batch))
+    q = None
     try:
+        q = (em.writeStream.foreachBatch(sink).option("checkpointLocation", ckpt)
+             .trigger(availableNow=True).start())
         q.awaitTermination()
     finally:
-        if q.isActive:
+        spark.conf.set(key, old)
+        if q is not None and q.isActive:
             q.stop()
 
 
