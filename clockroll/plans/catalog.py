@@ -50,11 +50,13 @@ def _target(m: DataFrame) -> DataFrame:
 
 
 def sparse(spark, sf_dir):
-    return _target(measures_from_events(table(spark, sf_dir, "events"), "sparse"))
+    return _target(measures_from_events(table(spark, sf_dir, "events"), "sparse",
+                                        targets_only=True))
 
 
 def dense(spark, sf_dir):
-    return _target(measures_from_events(table(spark, sf_dir, "events"), "dense"))
+    return _target(measures_from_events(table(spark, sf_dir, "events"), "dense",
+                                        targets_only=True))
 
 
 def lineitem(spark, sf_dir):

@@ -142,10 +142,22 @@ def _event_arrival(events: DataFrame) -> tuple[Column, Column]:
     return major.alias("arr_major"), F.col("event_id").alias("arr_minor")
 
 
-def measures_from_events(events: DataFrame, mapping: str = "sparse") -> DataFrame:
+def measures_from_events(events: DataFrame, mapping: str = "sparse",
+                         targets_only: bool = False) -> DataFrame:
     """``events`` -> measures.  sparse: object=user_id, unit by event_type.
     dense: object=1+user_id%8, unit by object (error events keep the non-target unit).
-    Arrival order = (ts + props.k minutes, event_id): k is the delivery delay."""
+    Arrival order = (ts + props.k minutes, event_id): k is the delivery delay.
+
+    ``targets_only`` states the unit filter on ``event_type`` (the unit is a function of
+    it), so it reaches the parquet scan as a pushed filter instead of running after the
+    mapping."""
+    if targets_only:
+        from clockroll.functions.units import ADVANCED_UNITS as _A, BASIC_UNITS as _B
+        keep = [k for k, v in EVENT_TYPE_UNITS.items() if v in _B + _A]
+        if mapping == "dense":
+            # every by-object unit is a target; only error events map to a foreign unit
+            keep = [k for k in EVENT_TYPE_UNITS if k != "error"]
+        events = events.filter(F.col("event_type").isin(*keep))
     if mapping == "sparse":
         obj = F.col("user_id").cast("int")
         unit = _event_unit(F.col("event_type"))
