@@ -61,30 +61,51 @@ def object_clock(measures: DataFrame) -> DataFrame:
                                               F.count(F.lit(1)).alias("records"))
 
 
+def classify_many(measures: DataFrame, cfgs: list[RollupConfig],
+                  chunk: int = DEFAULT_ARRIVAL_CHUNK) -> DataFrame:
+    """Classify every measure for several (granularity, lateness) configurations at once.
+
+    The object clock does not depend on the granularity, so it is computed once; each
+    measure is then expanded to one (minutes, window) pair per configuration and all of
+    them are classified by the same aggregate + join (one shuffle for all granularities).
+    Output: measure columns + minutes, ws_ms, ta_ms, on_time, opened, status, _sl_ms."""
+    gs = [c.granularity for c in cfgs]
+    if len(set(gs)) != len(gs):
+        raise ValueError("one configuration per granularity")
+    m = with_clock(measures, chunk)
+    per_cfg = F.array(*[F.struct(
+        F.lit(c.granularity).alias("minutes"),
+        window_start_ms(F.col("ts_ms"), c.granularity, c.align).alias("ws_ms"),
+        F.lit(c.lateness_ms).cast("long").alias("_lat_ms"),
+        F.lit(c.size_ms + c.lateness_ms).cast("long").alias("_sl_ms")) for c in cfgs])
+    m = (m.select("*", F.explode(per_cfg).alias("_c"))
+         .select(*[F.col(c) for c in m.columns], "_c.minutes", "_c.ws_ms", "_c._lat_ms", "_c._sl_ms"))
+    on_time = F.col("ta_ms").isNull() | (F.col("ts_ms") >= F.col("ta_ms") - F.col("_lat_ms"))
+    m = m.withColumn("on_time", on_time)
+    first_on = (m.filter("on_time").groupBy("minutes", "object_id", "ws_ms")
+                .agg(F.min(arrival()).alias("_first_on")))
+    m = m.join(first_on, ["minutes", "object_id", "ws_ms"], "left")
+    opened = F.coalesce(F.col("_first_on") < arrival(), F.lit(False))
+    still_open = opened & (F.col("ws_ms") > F.col("ta_ms") - F.col("_sl_ms"))
+    status = (F.when(F.col("on_time"), "on_time").when(still_open, "late_open").otherwise("late"))
+    return (m.withColumn("opened", opened).withColumn("status", status)
+            .drop("_first_on", "_lat_ms"))
+
+
 def classify_arrivals(measures: DataFrame, cfg: RollupConfig,
                       chunk: int = DEFAULT_ARRIVAL_CHUNK) -> DataFrame:
     """Every measure with its window start, the clock before it and its fate:
     ``on_time``, ``late_open`` (folded into a window still open) or ``late`` (emitted alone).
     ``opened`` tells whether its window had been opened before it arrived."""
-    m = measures.withColumn("ws_ms", window_start_ms(F.col("ts_ms"), cfg.granularity, cfg.align))
-    m = with_clock(m, chunk)
-    on_time = F.col("ta_ms").isNull() | (F.col("ts_ms") >= F.col("ta_ms") - F.lit(cfg.lateness_ms))
-    m = m.withColumn("on_time", on_time)
-    first_on = (m.filter("on_time").groupBy("object_id", "ws_ms")
-                .agg(F.min(arrival()).alias("_first_on")))
-    m = m.join(first_on, ["object_id", "ws_ms"], "left")
-    opened = F.coalesce(F.col("_first_on") < arrival(), F.lit(False))
-    still_open = opened & (F.col("ws_ms") > F.col("ta_ms") - F.lit(cfg.size_ms + cfg.lateness_ms))
-    status = (F.when(F.col("on_time"), "on_time").when(still_open, "late_open").otherwise("late"))
-    return m.withColumn("opened", opened).withColumn("status", status).drop("_first_on")
+    return classify_many(measures, [cfg], chunk).drop("minutes", "_sl_ms")
 
 
-def _late_rows(late: DataFrame, cfg: RollupConfig, advanced) -> DataFrame:
+def _late_rows(late: DataFrame, advanced) -> DataFrame:
     """A record emitted alone: count 1, k = value, k sums 0, std 0 (NULL for basic units)."""
     adv = with_stdev(F.col("unit"), advanced)
     pos = F.col("ts_ms") > 0
     out = late.select(
-        F.lit(cfg.granularity).alias("minutes"), "object_id", "ws_ms",
+        "minutes", "object_id", "ws_ms",
         F.lit(1).cast("long").alias("count"), F.col("value").alias("sum"),
         F.col("value").alias("min"), F.col("value").alias("max"), F.col("value").alias("mean"),
         F.when(pos, F.col("value")).otherwise(F.lit(0.0)).alias("last"),
@@ -97,15 +118,15 @@ def _late_rows(late: DataFrame, cfg: RollupConfig, advanced) -> DataFrame:
     return with_keys(out).select(*EMISSION_COLUMNS)
 
 
-def _window_rows(classified: DataFrame, cfg: RollupConfig, advanced) -> DataFrame:
+def _window_rows(classified: DataFrame, advanced) -> DataFrame:
     """Accepted records grouped per window, with a ``closed`` flag from the final clock."""
     acc = classified.filter(F.col("status") != "late")
-    agg = acc.groupBy("object_id", "ws_ms").agg(*stats_aggs(advanced))
+    agg = acc.groupBy("minutes", "object_id", "ws_ms").agg(F.max("_sl_ms").alias("_sl_ms"),
+                                                            *stats_aggs(advanced))
     clock = classified.groupBy("object_id").agg(F.max("ts_ms").alias("_final_ta"))
     agg = agg.join(clock, "object_id")
-    closed = F.col("ws_ms") <= F.col("_final_ta") - F.lit(cfg.size_ms + cfg.lateness_ms)
-    out = (finalize_stats(agg).withColumn("closed", closed)
-           .withColumn("minutes", F.lit(cfg.granularity)).drop("_final_ta"))
+    closed = F.col("ws_ms") <= F.col("_final_ta") - F.col("_sl_ms")
+    out = finalize_stats(agg).withColumn("closed", closed).drop("_final_ta", "_sl_ms")
     return with_keys(out)
 
 
@@ -114,20 +135,26 @@ def emissions(measures: DataFrame, cfg: RollupConfig, flush_at_end: bool = False
     """What the stream would emit (flush_every = 0): closed windows (``kind='closed'``,
     phase 1) and single late records (``kind='late'``; phase 0 = before the window was
     opened, 2 = after it was closed).  ``flush_at_end`` also emits windows still open."""
+    return emissions_many(measures, [cfg], flush_at_end, chunk, advanced)
+
+
+def emissions_many(measures: DataFrame, cfgs: list[RollupConfig], flush_at_end: bool = False,
+                   chunk: int = DEFAULT_ARRIVAL_CHUNK, advanced=ADVANCED_UNITS) -> DataFrame:
+    """Emissions for several granularities (each with its own lateness) in one pass."""
     # read by three branches (windows, clocks, late rows): computed once
-    classified = materialize(classify_arrivals(measures, cfg, chunk))
-    windows = _window_rows(classified, cfg, advanced)
+    classified = materialize(classify_many(measures, cfgs, chunk))
+    windows = _window_rows(classified, advanced)
     if not flush_at_end:
         windows = windows.filter("closed")
     closed = windows.select(*OUTPUT_COLUMNS, F.lit("closed").alias("kind"), F.lit(1).alias("phase"),
                             F.lit(None).cast("long").alias("arr_major"),
                             F.lit(None).cast("long").alias("arr_minor"))
-    late = _late_rows(classified.filter(F.col("status") == "late"), cfg, advanced)
+    late = _late_rows(classified.filter(F.col("status") == "late"), advanced)
     return closed.unionByName(late)
 
 
 def open_windows_at_end(measures: DataFrame, cfg: RollupConfig,
                         chunk: int = DEFAULT_ARRIVAL_CHUNK, advanced=ADVANCED_UNITS) -> DataFrame:
     """Windows still held in state after the last record (what the idle timeout flushes)."""
-    classified = materialize(classify_arrivals(measures, cfg, chunk))
-    return _window_rows(classified, cfg, advanced).filter(~F.col("closed")).select(*OUTPUT_COLUMNS)
+    classified = materialize(classify_many(measures, [cfg], chunk))
+    return _window_rows(classified, advanced).filter(~F.col("closed")).select(*OUTPUT_COLUMNS)

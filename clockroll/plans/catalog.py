@@ -15,8 +15,8 @@ from clockroll.functions.timefn import date_key, ntz_from_ms, window_start_ms
 from clockroll.functions.units import is_target_unit, with_stdev
 from clockroll.operators.aggregate import OUTPUT_COLUMNS, rollup, rollup_many
 from clockroll.operators.lateness import (DEFAULT_ARRIVAL_CHUNK, EMISSION_COLUMNS,
-                                          classify_arrivals, emissions, object_clock,
-                                          open_windows_at_end)
+                                          classify_arrivals, emissions, emissions_many,
+                                          object_clock, open_windows_at_end)
 from clockroll.operators.merge import ACTION_COLUMNS, action_totals, upsert, upsert_combine
 from clockroll.plans import oracle as O
 from clockroll.session import ensure_utc
@@ -180,6 +180,20 @@ def q_flush_at_end(spark, sf_dir):
                .select(*EMISSION_COLUMNS))
 
 
+MULTI_LATE = [RollupConfig(granularity=15, allowed_lateness=5, flush_every=0),
+              DENSE_LATE,
+              RollupConfig(granularity=1440, allowed_lateness=60, flush_every=0)]
+
+
+def q_emissions_multi_granularity(spark, sf_dir):
+    return _r6(emissions_many(dense(spark, sf_dir), MULTI_LATE).select(*EMISSION_COLUMNS))
+
+
+def q_upsert_multi_granularity(spark, sf_dir):
+    rows, _ = upsert(_empty_target(spark), emissions_many(dense(spark, sf_dir), MULTI_LATE))
+    return _r6(rows)
+
+
 def _empty_target(spark) -> DataFrame:
     from clockroll.sources.target import TARGET_SCHEMA
     return spark.createDataFrame([], TARGET_SCHEMA)
@@ -242,6 +256,8 @@ QUERIES = {
     "classify_sparse": q_classify_sparse,
     "emissions_flush0": q_emissions_flush0,
     "open_windows_at_end": q_open_windows_at_end,
+    "emissions_multi_granularity": q_emissions_multi_granularity,
+    "upsert_multi_granularity": q_upsert_multi_granularity,
     "flush_at_end": q_flush_at_end,
     "upsert_actions": q_upsert_actions,
     "upsert_final_parity": q_upsert_final_parity,
@@ -275,8 +291,8 @@ def _sql_rollup_cols(sql: str, cols: list[str]) -> str:
     return f"SELECT {quoted} FROM ({sql}) r"
 
 
-def _sql_emissions(flush_at_end: bool) -> str:
-    g, lat = DENSE_LATE.granularity, DENSE_LATE.allowed_lateness
+def _sql_emissions(flush_at_end: bool, g: int = DENSE_LATE.granularity,
+                   lat: int = DENSE_LATE.allowed_lateness) -> str:
     return f"""WITH {O.emissions_cte(O.events_dense(), g, lat, flush_at_end)}
 SELECT minutes, object_id, {O.date_key(g)} AS date, {O.ts_of()} AS "timestamp",
   n AS "count", {O.r6('s')} AS "sum", {O.r6('mn')} AS "min", {O.r6('mx')} AS "max",
@@ -379,6 +395,11 @@ st0 AS ({O.window_stats_sql('acc', 60)}),
 fc AS (SELECT object_id, max(ts_ms) AS fta FROM cl GROUP BY object_id),
 st AS (SELECT st0.* FROM st0 JOIN fc USING (object_id) WHERE st0.ws_ms > fc.fta - {90 * 60000})
 SELECT {O.final_cols(60)} FROM st""",
+    "emissions_multi_granularity": " UNION ALL ".join(
+        f"({_sql_emissions(False, c.granularity, c.allowed_lateness)})" for c in MULTI_LATE),
+    "upsert_multi_granularity": " UNION ALL ".join(
+        f"({O.upsert_parity_sql(O.events_dense(), c.granularity, c.allowed_lateness)})"
+        for c in MULTI_LATE),
     "upsert_actions": _sql_upsert_actions(),
     "upsert_final_parity": O.upsert_parity_sql(O.events_dense(), 60, 30),
     "upsert_final_combine": _sql_upsert_combine(),
