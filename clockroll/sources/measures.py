@@ -91,13 +91,18 @@ def valid_measures(parsed: DataFrame) -> DataFrame:
 
 
 def read_json_measures(spark: SparkSession, path: str) -> DataFrame:
-    """Batch scan of a JSON-lines history (one measure per line).  Arrival = (file, line)
-    order is not observable in a distributed scan, so the order inside an object is taken
-    from the file name and byte position via input metadata."""
-    raw = (spark.read.text(path)
-           .select("value",
-                   F.xxhash64(F.input_file_name()).alias("arr_major"),
-                   F.monotonically_increasing_id().alias("arr_minor")))
+    """Batch scan of a JSON-lines history (one measure per line).
+
+    Arrival = (file ordinal in name order, position inside the file): histories are
+    written as time-named files.  The ordinal table has one row per input file (bounded by
+    the file count, broadcast); the position is ``monotonically_increasing_id``, which
+    grows along a file because a file's splits keep their offset order."""
+    raw = spark.read.text(path).select("value", F.input_file_name().alias("_file"),
+                                       F.monotonically_increasing_id().alias("arr_minor"))
+    files = sorted(spark.read.text(path).inputFiles())
+    ordinals = spark.createDataFrame([(f, i) for i, f in enumerate(files)],
+                                     "_file string, arr_major long")
+    raw = raw.join(F.broadcast(ordinals), "_file", "left")
     return parse_measures(raw)
 
 

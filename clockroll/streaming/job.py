@@ -56,6 +56,20 @@ def start_rollup_query(spark: SparkSession, measures_stream: DataFrame, cfg: Rol
     return w.start()
 
 
+def start_rollup_queries(spark: SparkSession, measures_stream: DataFrame,
+                         cfgs: list[RollupConfig], table_path: str, checkpoint_root: str,
+                         trigger: dict | None = None, idle_timeout: bool = False) -> list:
+    """One streaming query per granularity (state and checkpoint are bound to a granularity,
+    like one deployment per granularity), all writing to the same table: the target key
+    contains ``minutes``, so the queries touch disjoint partitions."""
+    if len({c.granularity for c in cfgs}) != len(cfgs):
+        raise ValueError("one configuration per granularity")
+    return [start_rollup_query(spark, measures_stream, c, table_path,
+                               f"{checkpoint_root.rstrip('/')}/minutes={c.granularity}",
+                               trigger, idle_timeout)
+            for c in cfgs]
+
+
 def _stage_arrivals(spark: SparkSession, measures: DataFrame, inbox: str, slices: int) -> None:
     """Write a recorded history into the stream's input folder as ``slices`` arrival
     ranges, one write job per range in arrival order: the file source takes files by

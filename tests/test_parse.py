@@ -52,3 +52,15 @@ def test_unit_before_value_and_missing_fields(spark):
                                            "bad_json", None]
     assert rows[3]["object_id"] == 7
     assert rows[5]["ts_ms"] == 1577836800123
+
+
+def test_json_history_files_in_name_order(spark, tmp_path):
+    from clockroll.sources.measures import read_json_measures
+    d = tmp_path / "hist"
+    d.mkdir()
+    (d / "2020-01-01T01.json").write_text(_json("2", "2020-01-01T01:00:00Z") + "\n" +
+                                          _json("3", "2020-01-01T01:01:00Z") + "\n")
+    (d / "2020-01-01T00.json").write_text(_json("1", "2020-01-01T00:00:00Z") + "\n")
+    rows = read_json_measures(spark, str(d)).orderBy("arr_major", "arr_minor").collect()
+    assert [r["value"] for r in rows] == [1.0, 2.0, 3.0]
+    assert all(r["reason"] is None for r in rows)
