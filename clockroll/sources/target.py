@@ -1,4 +1,8 @@
-"""The rollup target: a parquet table partitioned by (minutes, date), upserted per batch.
+"""The rollup target: a parquet table partitioned by (minutes, date, day), upserted per batch.
+
+``day`` (days since the epoch of the window start) is a physical sub-partition derived from
+the key, invisible to readers: a micro-batch touches the last day or two (closed windows)
+plus a few older days (late records), so it rewrites those days only, not the month.
 
 One batch = emissions of one micro-batch or one batch run, identified by ``batch_id``.
 Apply steps (each repeatable after a lost executor or a driver restart):
@@ -44,6 +48,12 @@ TARGET_SCHEMA = T.StructType([
     T.StructField("std", T.DoubleType()),
 ])
 assert [f.name for f in TARGET_SCHEMA.fields] == OUTPUT_COLUMNS
+PARTITIONS = ["minutes", "date", "day"]
+STORED_SCHEMA = T.StructType(TARGET_SCHEMA.fields + [T.StructField("day", T.IntegerType())])
+
+
+def _with_day(df: DataFrame) -> DataFrame:
+    return df.withColumn("day", F.unix_date(F.col("timestamp").cast("date")))
 
 
 def _hadoop_fs(spark: SparkSession, path: str):
@@ -83,7 +93,7 @@ class RollupTable:
         """All rows (newest window first inside a partition, like the clustering order)."""
         if not _exists(self.spark, self.path + "/_SUCCESS") and not self._has_data():
             return self.spark.createDataFrame([], TARGET_SCHEMA)
-        df = self.spark.read.schema(TARGET_SCHEMA).parquet(self.path)
+        df = self.spark.read.schema(STORED_SCHEMA).parquet(self.path)
         return df.select(*OUTPUT_COLUMNS)
 
     def lookup(self, keys: DataFrame) -> DataFrame:
@@ -110,40 +120,51 @@ class RollupTable:
             return self.batch_actions(batch_id)
         b = int(batch_id)
         stage = f"{self.path}/_staging/batch={b}"
+        fold_path = f"{self.path}/_staging/fold-{b}"
+        had_data = self._has_data()
         if not _exists(self.spark, stage + "/_SUCCESS"):
             # 1. the batch's emissions, computed once (a stream batch is not recomputed)
             em_path = f"{self.path}/_staging/emissions-{b}"
             if not _exists(self.spark, em_path + "/_SUCCESS"):
                 emitted.write.mode("overwrite").parquet(em_path)
-            em = self.spark.read.parquet(em_path)
-            # 2. touched partitions: a small set (granularities x months), not rows
-            touched = [(r["minutes"], r["date"])
-                       for r in em.select("minutes", "date").distinct().collect()]
+            em = _with_day(self.spark.read.parquet(em_path))
+            # 2. touched partitions: a small set (granularities x days), not rows
+            touched = [(r["minutes"], r["date"], r["day"])
+                       for r in em.select(*PARTITIONS).distinct().collect()]
             if not touched:
                 totals = {c: 0 for c in ACTION_COLUMNS}
                 _write_text(self.spark, f"{self.path}/_batches/batch={b}", json.dumps(totals))
                 return totals
-            cond = None
-            for mins, date in touched:
-                c = (F.col("minutes") == F.lit(mins)) & (F.col("date") == F.lit(date))
-                cond = c if cond is None else (cond | c)
-            existing = self.read().filter(cond)
+            existing = self.spark.createDataFrame([], TARGET_SCHEMA)
+            if had_data:
+                cond = None
+                for mins, date, day in touched:
+                    c = ((F.col("minutes") == F.lit(mins)) & (F.col("date") == F.lit(date))
+                         & (F.col("day") == F.lit(day)))
+                    cond = c if cond is None else (cond | c)
+                existing = (self.spark.read.schema(STORED_SCHEMA).parquet(self.path)
+                            .filter(cond).select(*OUTPUT_COLUMNS))
             # 3. fold once; rows and per-key actions stay together
-            fold_path = f"{self.path}/_staging/fold-{b}"
             if not _exists(self.spark, fold_path + "/_SUCCESS"):
                 fold = upsert if self.merge == "parity" else upsert_combine
-                rows, actions = fold(existing, em)
+                rows, actions = fold(existing, em.drop("day"))
                 rows.join(actions, KEY).write.mode("overwrite").parquet(fold_path)
-            folded = self.spark.read.parquet(fold_path)
-            rows = folded.select(*OUTPUT_COLUMNS)
-            kept = existing.join(rows.select(*KEY), KEY, "left_anti")
-            content = kept.unionByName(rows).repartition("minutes", "date", "object_id")
-            content.write.mode("overwrite").partitionBy("minutes", "date").parquet(stage)
-        folded = self.spark.read.parquet(f"{self.path}/_staging/fold-{b}")
+            if had_data:
+                # 4. new content of the touched partitions (kept rows + folded rows)
+                rows = self.spark.read.parquet(fold_path).select(*OUTPUT_COLUMNS)
+                kept = existing.join(rows.select(*KEY), KEY, "left_anti")
+                content = _with_day(kept.unionByName(rows)).repartition(*PARTITIONS)
+                content.write.mode("overwrite").partitionBy(*PARTITIONS).parquet(stage)
+            else:
+                stage = fold_path  # nothing stored yet: the folded rows are the content
+        folded = self.spark.read.parquet(fold_path)
         totals_row = action_totals(folded).collect()[0].asDict()
         totals = {c: int(totals_row[c] or 0) for c in ACTION_COLUMNS}
-        staged = self.spark.read.schema(TARGET_SCHEMA).parquet(stage)
+        if stage == fold_path:
+            staged = _with_day(folded.select(*OUTPUT_COLUMNS)).repartition(*PARTITIONS)
+        else:
+            staged = self.spark.read.schema(STORED_SCHEMA).parquet(stage)
         (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("minutes", "date").parquet(self.path))
+         .partitionBy(*PARTITIONS).parquet(self.path))
         _write_text(self.spark, f"{self.path}/_batches/batch={b}", json.dumps(totals))
         return totals
