@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clockroll.config import RollupConfig
-from clockroll.functions.timefn import date_key, ntz_from_ms, window_start_ms
+from clockroll.functions.timefn import date_key, format_ts, ntz_from_ms, window_start_ms
 from clockroll.functions.units import is_target_unit, with_stdev
 from clockroll.operators.aggregate import OUTPUT_COLUMNS, rollup, rollup_many
 from clockroll.operators.lateness import (DEFAULT_ARRIVAL_CHUNK, EMISSION_COLUMNS,
@@ -100,6 +100,13 @@ def _window_start_query(g):
     return q
 
 
+def q_format_window_start(spark, sf_dir):
+    m = lineitem(spark, sf_dir)
+    ws = window_start_ms(F.col("ts_ms"), 15)
+    return (m.select(format_ts(ws).alias("window_start")).groupBy("window_start")
+            .agg(F.count(F.lit(1)).alias("n")))
+
+
 def _date_key_query(g):
     def q(spark, sf_dir):
         m = lineitem(spark, sf_dir)
@@ -241,6 +248,7 @@ QUERIES = {
     "window_start_15": _window_start_query(15),
     "window_start_25": _window_start_query(25),
     "window_start_1440": _window_start_query(1440),
+    "format_window_start": q_format_window_start,
     "date_key_month": _date_key_query(60),
     "date_key_halfyear": _date_key_query(1440),
     "rollup_15m": q_rollup_15m,
@@ -366,6 +374,8 @@ FROM ({O.events_sparse()}) q WHERE unit NOT IN {O.TARGET} GROUP BY 1""",
     "window_start_15": _sql_window_start(15),
     "window_start_25": _sql_window_start(25),
     "window_start_1440": _sql_window_start(1440),
+    "format_window_start": f"""SELECT strftime(make_timestamp({O.ws(15)} * 1000), '%Y-%m-%dT%H:%M:%SZ')
+  AS window_start, count(*) AS n FROM ({O.lineitem_measures()}) q GROUP BY 1""",
     "date_key_month": _sql_date_key(60),
     "date_key_halfyear": _sql_date_key(1440),
     "rollup_15m": O.rollup_sql(O.events_dense(), 15),
