@@ -174,6 +174,24 @@ def q_classify_sparse(spark, sf_dir):
     return c.groupBy("status").agg(F.count(F.lit(1)).alias("n"))
 
 
+def _lateness_summary_query(g, lat, mapping="dense"):
+    """Counts per fate plus closed / still-open windows for one configuration."""
+    cfg = RollupConfig(granularity=g, allowed_lateness=lat, flush_every=0)
+
+    def q(spark, sf_dir):
+        m = dense(spark, sf_dir) if mapping == "dense" else sparse(spark, sf_dir)
+        c = classify_arrivals(m, cfg)
+        fates = c.groupBy(F.col("status").alias("metric")).agg(F.count(F.lit(1)).alias("n"))
+        clock = c.groupBy("object_id").agg(F.max("ts_ms").alias("_fta"))
+        wins = (c.filter(F.col("status") != "late").select("object_id", "ws_ms").distinct()
+                .join(clock, "object_id")
+                .select(F.when(F.col("ws_ms") <= F.col("_fta") - F.lit(cfg.size_ms + cfg.lateness_ms),
+                               "closed_windows").otherwise("open_windows").alias("metric"))
+                .groupBy("metric").agg(F.count(F.lit(1)).alias("n")))
+        return fates.unionByName(wins)
+    return q
+
+
 def q_emissions_flush0(spark, sf_dir):
     return _r6(emissions(dense(spark, sf_dir), DENSE_LATE).select(*EMISSION_COLUMNS))
 
@@ -262,6 +280,10 @@ QUERIES = {
     "time_advance": q_time_advance,
     "classify_arrivals": q_classify_arrivals,
     "classify_sparse": q_classify_sparse,
+    "lateness_dense_15_5": _lateness_summary_query(15, 5),
+    "lateness_dense_25_5": _lateness_summary_query(25, 5),
+    "lateness_dense_60_0": _lateness_summary_query(60, 0),
+    "lateness_dense_1440_0": _lateness_summary_query(1440, 0),
     "emissions_flush0": q_emissions_flush0,
     "open_windows_at_end": q_open_windows_at_end,
     "emissions_multi_granularity": q_emissions_multi_granularity,
@@ -364,6 +386,17 @@ def _sql_lineitem_daily() -> str:
                                align=c.align)
 
 
+def _sql_lateness_summary(g, lat, measures=None) -> str:
+    measures = measures or O.events_dense()
+    return f"""WITH {O.classify_cte(measures, g, lat)},
+fc AS (SELECT object_id, max(ts_ms) AS fta FROM cl GROUP BY object_id),
+w AS (SELECT DISTINCT object_id, ws_ms FROM cl WHERE status <> 'late')
+SELECT status AS metric, count(*) AS n FROM cl GROUP BY status
+UNION ALL
+SELECT CASE WHEN w.ws_ms <= fc.fta - {(g + lat) * 60000} THEN 'closed_windows' ELSE 'open_windows' END,
+       count(*) FROM w JOIN fc USING (object_id) GROUP BY 1"""
+
+
 ORACLE_SQL = {
     "parse_valid": f"""SELECT object_id, unit, ts_ms, {O.r6('value')} AS value, arr_major, arr_minor
 FROM ({O.events_sparse(float32=True)}) q WHERE unit IN {O.TARGET}""",
@@ -397,6 +430,10 @@ FROM ({O.events_sparse()}) q WHERE unit IN {O.TARGET} GROUP BY object_id""",
 SELECT object_id, arr_major, arr_minor, ts_ms, ws_ms, ta_ms, status FROM cl""",
     "classify_sparse": f"""WITH {O.classify_cte(O.events_sparse(), 15, 5)}
 SELECT status, count(*) AS n FROM cl GROUP BY status""",
+    "lateness_dense_15_5": _sql_lateness_summary(15, 5),
+    "lateness_dense_25_5": _sql_lateness_summary(25, 5),
+    "lateness_dense_60_0": _sql_lateness_summary(60, 0),
+    "lateness_dense_1440_0": _sql_lateness_summary(1440, 0),
     "emissions_flush0": _sql_emissions(False),
     "flush_at_end": _sql_emissions(True),
     "open_windows_at_end": f"""WITH {O.classify_cte(O.events_dense(), 60, 30)},
