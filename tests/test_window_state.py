@@ -54,3 +54,39 @@ def test_late_before_open_then_window():
     out, wins, _, _ = run(recs, 15, 5)
     assert [(e[2], e[3]) for e in out] == [("late", 0)]
     assert wins[S].count == 1
+
+
+def test_recreated_window_after_flush_goes_through_sink_rules(spark):
+    """F9 then an on-time record for the same window: a second partial window is closed
+    later; the sink keeps the stored row when it has more records (skip) and replaces it
+    otherwise (override) -- both batches through the set-based upsert."""
+    from clockroll.operators.merge import upsert
+    from clockroll.sources.target import TARGET_SCHEMA
+    from pyspark.sql import functions as F
+
+    cols = ("object_id int, ws_ms long, kind string, phase int, count long, sum double, "
+            "min double, max double, mean double, last double, last_ts long, k double, "
+            "k_sum double, k_sum_2 double, std double, arr_major long, arr_minor long")
+
+    def as_df(em):
+        from clockroll.operators.aggregate import with_keys
+        df = spark.createDataFrame(em, cols).withColumn("minutes", F.lit(15))
+        return with_keys(df)
+
+    for n_second, want_count in ((1, 3), (5, 5)):
+        wins = {}
+        run_object(1, [S + i * MIN for i in range(3)], [1.0] * 3, [True] * 3, [0, 1, 2],
+                   [0] * 3, wins, None, None, 15, 5 * MIN, 0)
+        first = flush_all(1, wins)                       # idle timeout: window closed with 3
+        ts = [S + (4 + i) * MIN for i in range(n_second)] + [S + 40 * MIN]
+        second, _, _ = run_object(1, ts, [2.0] * len(ts), [True] * len(ts),
+                                  list(range(10, 10 + len(ts))), [0] * len(ts), {}, None, None,
+                                  15, 5 * MIN, 0)
+        second = [e for e in second if e[1] == S]        # the re-created window
+        assert first[0][4] == 3 and second[0][4] == n_second
+        stored, _ = upsert(spark.createDataFrame([], TARGET_SCHEMA), as_df(first))
+        stored = spark.createDataFrame(stored.collect(), TARGET_SCHEMA)
+        final, acts = upsert(stored, as_df(second))
+        assert final.first()["count"] == want_count
+        a = acts.first()
+        assert (a["rec_skip"], a["rec_override"]) == ((1, 0) if n_second < 3 else (0, 1))
