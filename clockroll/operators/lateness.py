@@ -37,22 +37,46 @@ DEFAULT_ARRIVAL_CHUNK = 3_600_000_000
 EMISSION_COLUMNS = OUTPUT_COLUMNS + ["kind", "phase", "arr_major", "arr_minor"]
 
 
-def _chunked(measures: DataFrame, chunk: int) -> DataFrame:
-    return measures.withColumn("_chunk", F.floor(F.col("arr_major") / F.lit(int(chunk))))
-
-
-def with_clock(measures: DataFrame, chunk: int = DEFAULT_ARRIVAL_CHUNK) -> DataFrame:
+# Largest number of records one arrival chunk of one object may hold before it is split
+# into equal arrival sub-ranges (one window task each).
+DEFAULT_CHUNK_ROWS = 4 << 20
+
+
+def _chunked(measures: DataFrame, chunk: int, chunk_rows: int) -> DataFrame:
+    """Add the scan segment (``_coarse``, ``_sub``) of every record.
+
+    ``_coarse`` cuts the arrival axis into fixed widths.  A (object, coarse chunk) holding
+    more than ``chunk_rows`` records -- a hot source or a burst -- is split into
+    ceil(n / chunk_rows) equal arrival sub-ranges.  The hot-chunk table has at most
+    rows / chunk_rows entries (a proven bound), so it is broadcast."""
+    m = measures.withColumn("_coarse", F.floor(F.col("arr_major") / F.lit(int(chunk))))
+    hot = (m.groupBy("object_id", "_coarse")
+           .agg(F.count(F.lit(1)).alias("_n"), F.min("arr_major").alias("_lo"),
+                F.max("arr_major").alias("_hi"))
+           .filter(F.col("_n") > F.lit(int(chunk_rows)))
+           .select("object_id", "_coarse", "_lo",
+                   F.ceil(F.col("_n") / F.lit(int(chunk_rows))).alias("_parts"),
+                   (F.col("_hi") - F.col("_lo") + 1).alias("_span")))
+    m = m.join(F.broadcast(hot), ["object_id", "_coarse"], "left")
+    sub = F.floor((F.col("arr_major") - F.col("_lo")).cast("double") * F.col("_parts")
+                  / F.col("_span")).cast("long")
+    return m.withColumn("_sub", F.coalesce(sub, F.lit(0).cast("long"))).drop("_lo", "_parts", "_span")
+
+
+def with_clock(measures: DataFrame, chunk: int = DEFAULT_ARRIVAL_CHUNK,
+               chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
     """Add ``ta_ms``: the object's clock just before each record (NULL for its first)."""
-    m = _chunked(measures, chunk)
-    per_chunk = m.groupBy("object_id", "_chunk").agg(F.max("ts_ms").alias("_cmax"))
-    before = Window.partitionBy("object_id").orderBy("_chunk").rowsBetween(
+    m = _chunked(measures, chunk, chunk_rows)
+    seg = ["object_id", "_coarse", "_sub"]
+    per_chunk = m.groupBy(*seg).agg(F.max("ts_ms").alias("_cmax"))
+    before = Window.partitionBy("object_id").orderBy("_coarse", "_sub").rowsBetween(
         Window.unboundedPreceding, -1)
-    prior = per_chunk.select("object_id", "_chunk", F.max("_cmax").over(before).alias("_prior"))
-    inside = Window.partitionBy("object_id", "_chunk").orderBy("arr_major", "arr_minor").rowsBetween(
+    prior = per_chunk.select(*seg, F.max("_cmax").over(before).alias("_prior"))
+    inside = Window.partitionBy(*seg).orderBy("arr_major", "arr_minor").rowsBetween(
         Window.unboundedPreceding, -1)
     m = m.withColumn("_local", F.max("ts_ms").over(inside))
-    m = m.join(prior, ["object_id", "_chunk"], "left")
-    return m.withColumn("ta_ms", F.greatest("_prior", "_local")).drop("_prior", "_local", "_chunk")
+    m = m.join(prior, seg, "left")
+    return m.withColumn("ta_ms", F.greatest("_prior", "_local")).drop("_prior", "_local", "_coarse", "_sub")
 
 
 def object_clock(measures: DataFrame) -> DataFrame:
@@ -62,7 +86,8 @@ def object_clock(measures: DataFrame) -> DataFrame:
 
 
 def classify_many(measures: DataFrame, cfgs: list[RollupConfig],
-                  chunk: int = DEFAULT_ARRIVAL_CHUNK) -> DataFrame:
+                  chunk: int = DEFAULT_ARRIVAL_CHUNK,
+                  chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
     """Classify every measure for several (granularity, lateness) configurations at once.
 
     The object clock does not depend on the granularity, so it is computed once; each
@@ -72,7 +97,7 @@ def classify_many(measures: DataFrame, cfgs: list[RollupConfig],
     gs = [c.granularity for c in cfgs]
     if len(set(gs)) != len(gs):
         raise ValueError("one configuration per granularity")
-    m = with_clock(measures, chunk)
+    m = with_clock(measures, chunk, chunk_rows)
     per_cfg = F.array(*[F.struct(
         F.lit(c.granularity).alias("minutes"),
         window_start_ms(F.col("ts_ms"), c.granularity, c.align).alias("ws_ms"),
@@ -131,18 +156,20 @@ def _window_rows(classified: DataFrame, advanced) -> DataFrame:
 
 
 def emissions(measures: DataFrame, cfg: RollupConfig, flush_at_end: bool = False,
-              chunk: int = DEFAULT_ARRIVAL_CHUNK, advanced=ADVANCED_UNITS) -> DataFrame:
+              chunk: int = DEFAULT_ARRIVAL_CHUNK, advanced=ADVANCED_UNITS,
+              chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
     """What the stream would emit (flush_every = 0): closed windows (``kind='closed'``,
     phase 1) and single late records (``kind='late'``; phase 0 = before the window was
     opened, 2 = after it was closed).  ``flush_at_end`` also emits windows still open."""
-    return emissions_many(measures, [cfg], flush_at_end, chunk, advanced)
+    return emissions_many(measures, [cfg], flush_at_end, chunk, advanced, chunk_rows)
 
 
 def emissions_many(measures: DataFrame, cfgs: list[RollupConfig], flush_at_end: bool = False,
-                   chunk: int = DEFAULT_ARRIVAL_CHUNK, advanced=ADVANCED_UNITS) -> DataFrame:
+                   chunk: int = DEFAULT_ARRIVAL_CHUNK, advanced=ADVANCED_UNITS,
+                   chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
     """Emissions for several granularities (each with its own lateness) in one pass."""
     # read by three branches (windows, clocks, late rows): computed once
-    classified = materialize(classify_many(measures, cfgs, chunk))
+    classified = materialize(classify_many(measures, cfgs, chunk, chunk_rows))
     windows = _window_rows(classified, advanced)
     if not flush_at_end:
         windows = windows.filter("closed")

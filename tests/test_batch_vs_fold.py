@@ -47,12 +47,16 @@ def _key(e):
     return (e[0], e[1], e[2], e[3], e[4])
 
 
-@pytest.mark.parametrize("seed,g,lat", [(1, 15, 5), (2, 60, 30), (3, 25, 0), (4, 1440, 10)])
-def test_emissions_match_fold(spark, seed, g, lat):
+@pytest.mark.parametrize("seed,g,lat,chunk,chunk_rows", [
+    (1, 15, 5, 3_600_000_000, 1 << 22), (2, 60, 30, 3_600_000_000, 1 << 22),
+    (3, 25, 0, 3_600_000_000, 1 << 22), (4, 1440, 10, 3_600_000_000, 1 << 22),
+    # small chunks and tiny hot-chunk threshold: every chunk is split into sub-ranges
+    (7, 60, 30, 600_000_000, 7), (8, 15, 5, 50_000_000_000, 3)])
+def test_emissions_match_fold(spark, seed, g, lat, chunk, chunk_rows):
     recs = random_records(seed, ties=seed % 2 == 0)
     cfg = RollupConfig(granularity=g, allowed_lateness=lat, flush_every=0)
     want = fold_emissions(recs, g, lat, 0)
-    got = (emissions(to_df(spark, recs), cfg)
+    got = (emissions(to_df(spark, recs), cfg, chunk=chunk, chunk_rows=chunk_rows)
            .withColumn("ws_ms", F.unix_millis(F.col("timestamp").cast("timestamp")))
            .select("object_id", "ws_ms", "kind", "phase", "count", "sum", "min", "max", "mean",
                    "last", "last_ts", "k", "k_sum", "k_sum_2", "std", "arr_major", "arr_minor")
