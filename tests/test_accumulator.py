@@ -103,3 +103,11 @@ def test_add_one_and_errors(spark):
                          (_row(2, minutes=15), _row(1, minutes=60))]:
         with pytest.raises(Exception):
             _add(spark, stored, late)
+
+
+def test_epoch_or_earlier_never_sets_last(spark):
+    recs = [(1, "V", 0, 5.0, 0, 0), (1, "V", -60_000, 6.0, 1, 0)]
+    df = spark.createDataFrame(recs, "object_id int, unit string, ts_ms long, value double, "
+                                     "arr_major long, arr_minor long")
+    r = rollup(df, 60).collect()
+    assert sorted((x["last"], x["last_ts"], x["count"]) for x in r) == [(0.0, 0, 1), (0.0, 0, 1)]

@@ -64,3 +64,10 @@ def test_json_history_files_in_name_order(spark, tmp_path):
     rows = read_json_measures(spark, str(d)).orderBy("arr_major", "arr_minor").collect()
     assert [r["value"] for r in rows] == [1.0, 2.0, 3.0]
     assert all(r["reason"] is None for r in rows)
+
+
+def test_english_default_date_layout(spark):
+    rows = _parse(spark, [_json("1.5", "Dec 19, 2016 12:00:00 AM"),
+                          _json("1.5", "Jan 2, 2020 1:30:15 PM")])
+    assert [r["reason"] for r in rows] == [None, None]
+    assert rows[0]["ts_ms"] == 1482105600000 and rows[1]["ts_ms"] == 1577971815000
