@@ -13,11 +13,11 @@ from pyspark.sql import functions as F
 from clockroll.config import RollupConfig
 from clockroll.functions.timefn import date_key, format_ts, ntz_from_ms, window_start_ms
 from clockroll.functions.units import is_target_unit, with_stdev
-from clockroll.operators.aggregate import OUTPUT_COLUMNS, rollup, rollup_many
+from clockroll.operators.aggregate import rollup, rollup_many
 from clockroll.operators.lateness import (DEFAULT_ARRIVAL_CHUNK, EMISSION_COLUMNS,
                                           classify_arrivals, emissions, emissions_many,
                                           object_clock, open_windows_at_end)
-from clockroll.operators.merge import ACTION_COLUMNS, action_totals, upsert, upsert_combine
+from clockroll.operators.merge import action_totals, upsert, upsert_combine
 from clockroll.plans import oracle as O
 from clockroll.session import ensure_utc
 from clockroll.sources.measures import (events_as_json, measures_from_events,
@@ -250,13 +250,15 @@ def q_lineitem_daily_by_supplier(spark, sf_dir):
 
 def q_stream_rollup(spark, sf_dir):
     from clockroll.streaming.job import replay_to_table
-    return _r6(replay_to_table(spark, dense(spark, sf_dir), DENSE_LATE).read())
+    # three arrival slices, one micro-batch each: the state crosses batch boundaries
+    return _r6(replay_to_table(spark, dense(spark, sf_dir), DENSE_LATE, slices=3,
+                               files_per_batch=1).read())
 
 
 def q_stream_emissions_cadence(spark, sf_dir):
     from clockroll.streaming.job import replay_emissions
     cfg = RollupConfig(granularity=60, allowed_lateness=30)  # flush_every default 2
-    return _r6(replay_emissions(spark, dense(spark, sf_dir), cfg))
+    return _r6(replay_emissions(spark, dense(spark, sf_dir), cfg, slices=3, files_per_batch=1))
 
 
 QUERIES = {

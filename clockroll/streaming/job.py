@@ -91,20 +91,22 @@ def _stage_arrivals(spark: SparkSession, measures: DataFrame, inbox: str, slices
         part.write.mode("append").parquet(inbox)
 
 
-def _replay(spark: SparkSession, measures: DataFrame, cfg: RollupConfig, sink, slices: int):
-    """Drive the streaming operator over a recorded history (bounded micro-batches)."""
+def _replay(spark: SparkSession, measures: DataFrame, cfg: RollupConfig, sink, slices: int,
+            files_per_batch: int | None = None):
+    """Drive the streaming operator over a recorded history (bounded micro-batches of
+    ``files_per_batch`` files, default the cluster's parallelism)."""
     inbox = scratch_dir(spark, "replay-inbox")
     ckpt = scratch_dir(spark, "replay-ckpt")
     _stage_arrivals(spark, measures, inbox, slices)
     schema = spark.read.parquet(inbox).schema
-    per_batch = max(1, spark.sparkContext.defaultParallelism)
+    per_batch = files_per_batch or max(1, spark.sparkContext.defaultParallelism)
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", per_batch).parquet(inbox)
     em = emissions_stream(stream, cfg)
     # a replay's state partitions follow the cluster's parallelism (fixed at first start
     # of the query, recorded in its checkpoint); the session setting is restored after
     key = "spark.sql.shuffle.partitions"
     old = spark.conf.get(key)
-    spark.conf.set(key, str(per_batch))
+    spark.conf.set(key, str(max(1, spark.sparkContext.defaultParallelism)))
     q = None
     try:
         q = (em.writeStream.foreachBatch(sink).option("checkpointLocation", ckpt)
@@ -117,19 +119,20 @@ def _replay(spark: SparkSession, measures: DataFrame, cfg: RollupConfig, sink, s
 
 
 def replay_to_table(spark: SparkSession, measures: DataFrame, cfg: RollupConfig,
-                    slices: int = 3, table_path: str | None = None) -> RollupTable:
+                    slices: int = 3, table_path: str | None = None,
+                    files_per_batch: int | None = None) -> RollupTable:
     """Replay a recorded history through the stream into a rollup table."""
     table = RollupTable(spark, table_path or scratch_dir(spark, "replay-table"), cfg.merge)
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         table.apply(batch, batch_id)
 
-    _replay(spark, measures, cfg, sink, slices)
+    _replay(spark, measures, cfg, sink, slices, files_per_batch)
     return table
 
 
 def replay_emissions(spark: SparkSession, measures: DataFrame, cfg: RollupConfig,
-                     slices: int = 3) -> DataFrame:
+                     slices: int = 3, files_per_batch: int | None = None) -> DataFrame:
     """Replay a recorded history through the stream; return the raw emissions."""
     out = scratch_dir(spark, "replay-emissions")
 
@@ -138,5 +141,5 @@ def replay_emissions(spark: SparkSession, measures: DataFrame, cfg: RollupConfig
         batch.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").parquet(
             f"{out}/batch={batch_id}")
 
-    _replay(spark, measures, cfg, sink, slices)
+    _replay(spark, measures, cfg, sink, slices, files_per_batch)
     return spark.read.parquet(out).drop("batch")

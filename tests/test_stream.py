@@ -24,7 +24,8 @@ def _rows(df):
 
 def test_stream_equals_batch(spark):
     m = dense(spark, SF001)
-    table = replay_to_table(spark, m, CFG, slices=3)
+    table = replay_to_table(spark, m, CFG, slices=3, files_per_batch=1)
+    assert len(table.spark.read.text(table.path + "/_batches").inputFiles()) >= 3  # 3 micro-batches
     batch_rows, _ = upsert(spark.createDataFrame([], TARGET_SCHEMA), emissions(m, CFG))
     assert _rows(table.read()) == _rows(batch_rows)
 
@@ -61,7 +62,9 @@ def test_stream_cadence_equals_fold(spark):
     recs = [tuple(r) for r in m.select("object_id", "unit", "ts_ms", "value", "arr_major",
                                        "arr_minor").collect()]
     want = fold_emissions(recs, 60, 30, 2)
-    got = replay_emissions(spark, m, cfg, slices=3).withColumn(
+    em = replay_emissions(spark, m, cfg, slices=3, files_per_batch=1)
+    assert em.select("batch_id").distinct().count() >= 3
+    got = em.withColumn(
         "ws_ms", F.unix_millis(F.col("timestamp").cast("timestamp")))
     cols = ["object_id", "ws_ms", "kind", "count", "sum", "last_ts", "k"]
 
