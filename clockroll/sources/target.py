@@ -23,7 +23,7 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -122,15 +122,22 @@ class RollupTable:
         stage = f"{self.path}/_staging/batch={b}"
         fold_path = f"{self.path}/_staging/fold-{b}"
         had_data = self._has_data()
+        totals = None
         if not _exists(self.spark, stage + "/_SUCCESS"):
-            # 1. the batch's emissions, computed once (a stream batch is not recomputed)
+            # 1. the batch's emissions, computed once (a stream batch is not recomputed);
+            #    the touched partitions (granularities x days: a small set) are observed
+            #    during that write instead of by a separate job
             em_path = f"{self.path}/_staging/emissions-{b}"
+            touched = None
             if not _exists(self.spark, em_path + "/_SUCCESS"):
-                emitted.write.mode("overwrite").parquet(em_path)
+                obs = Observation(f"touched-{b}")
+                (_with_day(emitted).observe(obs, F.collect_set(F.struct(*PARTITIONS)).alias("t"))
+                 .drop("day").write.mode("overwrite").parquet(em_path))
+                touched = [(r["minutes"], r["date"], r["day"]) for r in obs.get["t"]]
             em = _with_day(self.spark.read.parquet(em_path))
-            # 2. touched partitions: a small set (granularities x days), not rows
-            touched = [(r["minutes"], r["date"], r["day"])
-                       for r in em.select(*PARTITIONS).distinct().collect()]
+            if touched is None:  # retry: read the staged emissions
+                touched = [(r["minutes"], r["date"], r["day"])
+                           for r in em.select(*PARTITIONS).distinct().collect()]
             if not touched:
                 totals = {c: 0 for c in ACTION_COLUMNS}
                 _write_text(self.spark, f"{self.path}/_batches/batch={b}", json.dumps(totals))
@@ -144,11 +151,16 @@ class RollupTable:
                     cond = c if cond is None else (cond | c)
                 existing = (self.spark.read.schema(STORED_SCHEMA).parquet(self.path)
                             .filter(cond).select(*OUTPUT_COLUMNS))
-            # 3. fold once; rows and per-key actions stay together
+            # 3. fold once; rows and per-key actions stay together; totals observed
             if not _exists(self.spark, fold_path + "/_SUCCESS"):
                 fold = upsert if self.merge == "parity" else upsert_combine
                 rows, actions = fold(existing, em.drop("day"))
-                rows.join(actions, KEY).write.mode("overwrite").parquet(fold_path)
+                obs = Observation(f"actions-{b}")
+                (rows.join(actions, KEY)
+                 .observe(obs, *[F.sum(c).cast("long").alias(c) for c in ACTION_COLUMNS])
+                 .write.mode("overwrite").parquet(fold_path))
+                totals = {c: int(obs.get[c] or 0) for c in ACTION_COLUMNS}
+                _write_text(self.spark, f"{self.path}/_staging/actions-{b}", json.dumps(totals))
             if had_data:
                 # 4. new content of the touched partitions (kept rows + folded rows)
                 rows = self.spark.read.parquet(fold_path).select(*OUTPUT_COLUMNS)
@@ -158,8 +170,13 @@ class RollupTable:
             else:
                 stage = fold_path  # nothing stored yet: the folded rows are the content
         folded = self.spark.read.parquet(fold_path)
-        totals_row = action_totals(folded).collect()[0].asDict()
-        totals = {c: int(totals_row[c] or 0) for c in ACTION_COLUMNS}
+        if totals is None:
+            actions_path = f"{self.path}/_staging/actions-{b}"
+            if _exists(self.spark, actions_path):
+                totals = json.loads(_read_text(self.spark, actions_path))
+            else:
+                totals_row = action_totals(folded).collect()[0].asDict()
+                totals = {c: int(totals_row[c] or 0) for c in ACTION_COLUMNS}
         if stage == fold_path:
             staged = _with_day(folded.select(*OUTPUT_COLUMNS)).repartition(*PARTITIONS)
         else:
