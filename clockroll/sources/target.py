@@ -7,10 +7,10 @@ plus a few older days (late records), so it rewrites those days only, not the mo
 One batch = emissions of one micro-batch or one batch run, identified by ``batch_id``.
 Apply steps (each repeatable after a lost executor or a driver restart):
 
-1. skip if ``_batches/batch=<id>`` exists (already applied);
+1. skip if ``_batches/<writer>/batch=<id>`` exists (already applied);
 2. read only the touched partitions of the table (partition pruning), fold the
    emissions into them, and write the new content of those partitions to
-   ``_staging/batch=<id>`` (lineage cut; reading and overwriting one path in one plan
+   ``_staging/<writer>/batch=<id>`` (lineage cut; reading and overwriting one path in one plan
    is never done);
 3. dynamic-overwrite the touched partitions from the staged copy;
 4. write the batch marker (with the action counters).
@@ -81,12 +81,18 @@ def _read_text(spark: SparkSession, path: str) -> str:
 
 
 class RollupTable:
-    """Parquet rollup table; ``merge`` = "parity" (default) or "combine"."""
+    """Parquet rollup table; ``merge`` = "parity" (default) or "combine".
 
-    def __init__(self, spark: SparkSession, path: str, merge: str = "parity"):
+    ``writer`` names the producer of the batch ids (e.g. one stream query per granularity):
+    batch markers and staged files live under it, so writers sharing a table never mistake
+    each other's batch ids."""
+
+    def __init__(self, spark: SparkSession, path: str, merge: str = "parity",
+                 writer: str = "default"):
         if merge not in ("parity", "combine"):
             raise ValueError("merge must be 'parity' or 'combine'")
         self.spark, self.path, self.merge = spark, path.rstrip("/"), merge
+        self.writer = writer
 
     # -- reading ------------------------------------------------------------
     def read(self) -> DataFrame:
@@ -107,11 +113,17 @@ class RollupTable:
         return any(not s.getPath().getName().startswith(("_", "."))
                    for s in fs.listStatus(p))
 
+    def _marker(self, batch_id: int) -> str:
+        return f"{self.path}/_batches/{self.writer}/batch={int(batch_id)}"
+
+    def _staging(self) -> str:
+        return f"{self.path}/_staging/{self.writer}"
+
     def applied(self, batch_id: int) -> bool:
-        return _exists(self.spark, f"{self.path}/_batches/batch={int(batch_id)}")
+        return _exists(self.spark, self._marker(batch_id))
 
     def batch_actions(self, batch_id: int) -> dict:
-        return json.loads(_read_text(self.spark, f"{self.path}/_batches/batch={int(batch_id)}"))
+        return json.loads(_read_text(self.spark, self._marker(batch_id)))
 
     # -- writing ------------------------------------------------------------
     def apply(self, emitted: DataFrame, batch_id: int) -> dict:
@@ -119,15 +131,15 @@ class RollupTable:
         if self.applied(batch_id):
             return self.batch_actions(batch_id)
         b = int(batch_id)
-        stage = f"{self.path}/_staging/batch={b}"
-        fold_path = f"{self.path}/_staging/fold-{b}"
+        stage = f"{self._staging()}/batch={b}"
+        fold_path = f"{self._staging()}/fold-{b}"
         had_data = self._has_data()
         totals = None
         if not _exists(self.spark, stage + "/_SUCCESS"):
             # 1. the batch's emissions, computed once (a stream batch is not recomputed);
             #    the touched partitions (granularities x days: a small set) are observed
             #    during that write instead of by a separate job
-            em_path = f"{self.path}/_staging/emissions-{b}"
+            em_path = f"{self._staging()}/emissions-{b}"
             touched = None
             if not _exists(self.spark, em_path + "/_SUCCESS"):
                 obs = Observation(f"touched-{b}")
@@ -140,7 +152,7 @@ class RollupTable:
                            for r in em.select(*PARTITIONS).distinct().collect()]
             if not touched:
                 totals = {c: 0 for c in ACTION_COLUMNS}
-                _write_text(self.spark, f"{self.path}/_batches/batch={b}", json.dumps(totals))
+                _write_text(self.spark, self._marker(b), json.dumps(totals))
                 return totals
             existing = self.spark.createDataFrame([], TARGET_SCHEMA)
             if had_data:
@@ -160,7 +172,7 @@ class RollupTable:
                  .observe(obs, *[F.sum(c).cast("long").alias(c) for c in ACTION_COLUMNS])
                  .write.mode("overwrite").parquet(fold_path))
                 totals = {c: int(obs.get[c] or 0) for c in ACTION_COLUMNS}
-                _write_text(self.spark, f"{self.path}/_staging/actions-{b}", json.dumps(totals))
+                _write_text(self.spark, f"{self._staging()}/actions-{b}", json.dumps(totals))
             if had_data:
                 # 4. new content of the touched partitions (kept rows + folded rows)
                 rows = self.spark.read.parquet(fold_path).select(*OUTPUT_COLUMNS)
@@ -171,7 +183,7 @@ class RollupTable:
                 stage = fold_path  # nothing stored yet: the folded rows are the content
         folded = self.spark.read.parquet(fold_path)
         if totals is None:
-            actions_path = f"{self.path}/_staging/actions-{b}"
+            actions_path = f"{self._staging()}/actions-{b}"
             if _exists(self.spark, actions_path):
                 totals = json.loads(_read_text(self.spark, actions_path))
             else:
@@ -183,5 +195,5 @@ class RollupTable:
             staged = self.spark.read.schema(STORED_SCHEMA).parquet(stage)
         (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(*PARTITIONS).parquet(self.path))
-        _write_text(self.spark, f"{self.path}/_batches/batch={b}", json.dumps(totals))
+        _write_text(self.spark, self._marker(b), json.dumps(totals))
         return totals

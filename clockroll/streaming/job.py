@@ -44,7 +44,7 @@ def emissions_stream(measures: DataFrame, cfg: RollupConfig, idle_timeout: bool
 def start_rollup_query(spark: SparkSession, measures_stream: DataFrame, cfg: RollupConfig,
                        table_path: str, checkpoint: str, trigger: dict | None = None,
                        idle_timeout: bool = False):
-    table = RollupTable(spark, table_path, cfg.merge)
+    table = RollupTable(spark, table_path, cfg.merge, writer=f"minutes={cfg.granularity}")
     em = emissions_stream(measures_stream, cfg, idle_timeout)
 
     def apply(batch: DataFrame, batch_id: int) -> None:
