@@ -48,16 +48,22 @@ def _chunked(measures: DataFrame, chunk: int, chunk_rows: int) -> DataFrame:
     ``_coarse`` cuts the arrival axis into fixed widths.  A (object, coarse chunk) holding
     more than ``chunk_rows`` records -- a hot source or a burst -- is split into
     ceil(n / chunk_rows) equal arrival sub-ranges.  The hot-chunk table has at most
-    rows / chunk_rows entries (a proven bound), so it is broadcast."""
+    rows / chunk_rows entries (a proven bound): it is fetched once and broadcast, and
+    when it is empty (no hot chunk) the scan needs no join at all."""
     m = measures.withColumn("_coarse", F.floor(F.col("arr_major") / F.lit(int(chunk))))
     hot = (m.groupBy("object_id", "_coarse")
            .agg(F.count(F.lit(1)).alias("_n"), F.min("arr_major").alias("_lo"),
                 F.max("arr_major").alias("_hi"))
            .filter(F.col("_n") > F.lit(int(chunk_rows)))
            .select("object_id", "_coarse", "_lo",
-                   F.ceil(F.col("_n") / F.lit(int(chunk_rows))).alias("_parts"),
+                   F.ceil(F.col("_n") / F.lit(int(chunk_rows))).cast("long").alias("_parts"),
                    (F.col("_hi") - F.col("_lo") + 1).alias("_span")))
-    m = m.join(F.broadcast(hot), ["object_id", "_coarse"], "left")
+    # at most rows / chunk_rows entries: fetched once (usually empty), then broadcast
+    hot_rows = hot.collect()
+    if not hot_rows:
+        return m.withColumn("_sub", F.lit(0).cast("long"))
+    hot_df = measures.sparkSession.createDataFrame(hot_rows, hot.schema)
+    m = m.join(F.broadcast(hot_df), ["object_id", "_coarse"], "left")
     sub = F.floor((F.col("arr_major") - F.col("_lo")).cast("double") * F.col("_parts")
                   / F.col("_span")).cast("long")
     return m.withColumn("_sub", F.coalesce(sub, F.lit(0).cast("long"))).drop("_lo", "_parts", "_span")
