@@ -173,7 +173,16 @@ def emissions(measures: DataFrame, cfg: RollupConfig, flush_at_end: bool = False
 def emissions_many(measures: DataFrame, cfgs: list[RollupConfig], flush_at_end: bool = False,
                    chunk: int = DEFAULT_ARRIVAL_CHUNK, advanced=ADVANCED_UNITS,
                    chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
-    """Emissions for several granularities (each with its own lateness) in one pass."""
+    """Emissions for several granularities (each with its own lateness) in one pass.
+
+    The batch form is exact for cleanup after every record (``flush_every=0``).  A cleanup
+    cadence (``flush_every > 0``) is a sequential recurrence over the clock: run it with
+    ``clockroll.streaming.replay_emissions`` (the keyed-state operator over bounded
+    micro-batches) instead of getting silently different results here."""
+    slow = [c.granularity for c in cfgs if c.flush_every != 0]
+    if slow:
+        raise ValueError(f"flush_every > 0 for granularities {slow}: the batch form needs "
+                         "flush_every=0; use streaming.replay_emissions for a cleanup cadence")
     # read by three branches (windows, clocks, late rows): computed once
     classified = materialize(classify_many(measures, cfgs, chunk, chunk_rows))
     windows = _window_rows(classified, advanced)

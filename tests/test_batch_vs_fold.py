@@ -106,3 +106,9 @@ def test_replay_and_combine(spark):
     comb, _ = upsert_combine(empty, em)
     total = comb.agg(F.sum("count")).collect()[0][0]
     assert total == em.agg(F.sum("count")).collect()[0][0]
+
+
+def test_batch_form_refuses_a_cleanup_cadence(spark):
+    recs = random_records(11, n=20)
+    with pytest.raises(ValueError):
+        emissions(to_df(spark, recs), RollupConfig(granularity=60, allowed_lateness=30))
