@@ -121,8 +121,12 @@ def _replay(spark: SparkSession, measures: DataFrame, cfg: RollupConfig, sink, s
 def replay_to_table(spark: SparkSession, measures: DataFrame, cfg: RollupConfig,
                     slices: int = 3, table_path: str | None = None,
                     files_per_batch: int | None = None) -> RollupTable:
-    """Replay a recorded history through the stream into a rollup table."""
-    table = RollupTable(spark, table_path or scratch_dir(spark, "replay-table"), cfg.merge)
+    """Replay a recorded history through the stream into a rollup table.  Each replay is its
+    own writer (its batch ids start at 0 with a fresh checkpoint)."""
+    import uuid
+
+    table = RollupTable(spark, table_path or scratch_dir(spark, "replay-table"), cfg.merge,
+                        writer=f"replay-{uuid.uuid4().hex[:12]}")
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         table.apply(batch, batch_id)
