@@ -125,6 +125,28 @@ class RollupTable:
     def batch_actions(self, batch_id: int) -> dict:
         return json.loads(_read_text(self.spark, self._marker(batch_id)))
 
+    def _read_partitions(self, parts: list) -> DataFrame:
+        """Stored rows of the given (minutes, date, day) partitions.  Only those folders are
+        listed (``basePath`` keeps the partition columns), not the whole table, so the
+        cost of a micro-batch does not grow with the table's history."""
+        import re
+
+        plain = re.compile(r"^[0-9A-Za-z_-]+$")
+        if not all(plain.match(str(v)) for part in parts for v in part):
+            cond = None  # unusual partition values: let Spark's own escaping handle them
+            for mins, date, day in parts:
+                c = ((F.col("minutes") == F.lit(mins)) & (F.col("date") == F.lit(date))
+                     & (F.col("day") == F.lit(day)))
+                cond = c if cond is None else (cond | c)
+            return (self.spark.read.schema(STORED_SCHEMA).parquet(self.path)
+                    .filter(cond).select(*OUTPUT_COLUMNS))
+        paths = [f"{self.path}/minutes={m}/date={d}/day={day}" for m, d, day in parts]
+        paths = [p for p in paths if _exists(self.spark, p)]
+        if not paths:
+            return self.spark.createDataFrame([], TARGET_SCHEMA)
+        return (self.spark.read.option("basePath", self.path).schema(STORED_SCHEMA)
+                .parquet(*paths).select(*OUTPUT_COLUMNS))
+
     # -- writing ------------------------------------------------------------
     def apply(self, emitted: DataFrame, batch_id: int) -> dict:
         """Upsert one batch of emissions; returns the action counters of that batch."""
@@ -154,15 +176,8 @@ class RollupTable:
                 totals = {c: 0 for c in ACTION_COLUMNS}
                 _write_text(self.spark, self._marker(b), json.dumps(totals))
                 return totals
-            existing = self.spark.createDataFrame([], TARGET_SCHEMA)
-            if had_data:
-                cond = None
-                for mins, date, day in touched:
-                    c = ((F.col("minutes") == F.lit(mins)) & (F.col("date") == F.lit(date))
-                         & (F.col("day") == F.lit(day)))
-                    cond = c if cond is None else (cond | c)
-                existing = (self.spark.read.schema(STORED_SCHEMA).parquet(self.path)
-                            .filter(cond).select(*OUTPUT_COLUMNS))
+            existing = self._read_partitions(touched) if had_data else \
+                self.spark.createDataFrame([], TARGET_SCHEMA)
             # 3. fold once; rows and per-key actions stay together; totals observed
             if not _exists(self.spark, fold_path + "/_SUCCESS"):
                 fold = upsert if self.merge == "parity" else upsert_combine
