@@ -20,3 +20,15 @@ def test_unit_filter_reaches_the_scan(spark):
     assert "In(event_type, [click,purchase,signup,view])" in p
     # only the columns the projection and the unit need are read
     assert "ReadSchema: struct<user_id:bigint,event_type:string,value:double>" in p
+
+
+def test_hot_source_is_split_across_tasks(spark):
+    """With a tiny hot-chunk threshold every chunk is hot: the hot-chunk table is broadcast
+    and the clock window is partitioned by (object, chunk, sub-chunk)."""
+    from clockroll.operators.lateness import with_clock
+    df = with_clock(dense(spark, SF001), chunk=3_600_000_000, chunk_rows=2)
+    p = _plan(df)
+    assert "BroadcastExchange" in p
+    assert "hashpartitioning(object_id#" in p and "_sub#" in p
+    # and no per-object window over the data (only over the small per-chunk table)
+    assert df.filter("ta_ms IS NULL").count() == dense(spark, SF001).select("object_id").distinct().count()
