@@ -56,6 +56,18 @@ def start_rollup_query(spark: SparkSession, measures_stream: DataFrame, cfg: Rol
     return w.start()
 
 
+def start_rejects_query(parsed_stream: DataFrame, path: str, checkpoint: str,
+                        trigger: dict | None = None):
+    """Rejected measures (``reason`` not NULL) to an append-only parquet table partitioned by
+    reason -- a table instead of log lines; the file sink is exactly-once by its own log."""
+    rej = parsed_stream.filter(F.col("reason").isNotNull())
+    w = (rej.writeStream.format("parquet").option("path", path)
+         .option("checkpointLocation", checkpoint).partitionBy("reason").outputMode("append"))
+    if trigger:
+        w = w.trigger(**trigger)
+    return w.start()
+
+
 def start_rollup_queries(spark: SparkSession, measures_stream: DataFrame,
                          cfgs: list[RollupConfig], table_path: str, checkpoint_root: str,
                          trigger: dict | None = None, idle_timeout: bool = False) -> list:

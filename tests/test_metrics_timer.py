@@ -49,3 +49,23 @@ def test_idle_timeout_flushes_windows(spark):
         q.stop()
     assert sorted((r["object_id"], r["kind"], r["count"]) for r in got) == [
         (1, "closed", 5), (2, "closed", 1)]
+
+
+def test_rejects_stream_to_table(spark):
+    from clockroll.sources.measures import parse_measures
+    from clockroll.streaming.job import start_rejects_query
+    inbox = scratch_dir(spark, "rej-inbox")
+    lines = [json.dumps({"objectId": 1, "value": v, "timestamp": t, "unitSymbol": u})
+             for v, t, u in [("1", "2020-01-01Z", "V"), ("x", "2020-01-01Z", "V"),
+                             ("2", "2020", "V"), ("3", "2020-01-01Z", "kWh")]]
+    with open(f"{inbox}/part-0.json", "w") as fh:
+        fh.write("\n".join(lines) + "\n")
+    raw = (spark.readStream.text(inbox)
+           .select("value", F.lit(0).cast("long").alias("arr_major"),
+                   F.lit(0).cast("long").alias("arr_minor")))
+    out = scratch_dir(spark, "rej-out")
+    q = start_rejects_query(parse_measures(raw), out, scratch_dir(spark, "rej-ckpt"),
+                            trigger={"availableNow": True})
+    q.awaitTermination(120)
+    got = sorted(r["reason"] for r in spark.read.parquet(out).collect())
+    assert got == ["bad_timestamp", "bad_value", "unit"]
