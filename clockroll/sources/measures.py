@@ -40,6 +40,14 @@ def parse_timestamp_ms(s: Column) -> Column:
     return F.unix_millis(ts)
 
 
+def parse_object_id(s: Column) -> Column:
+    """Integer object id: a plain integer, or a number written as a double (``1.0``,
+    ``1e2``) that is exactly an int; fractions and out-of-range values give NULL."""
+    d = F.trim(s).try_cast("double")
+    integral = (d == F.floor(d)) & (F.abs(d) <= F.lit(2147483647.0))
+    return F.coalesce(F.trim(s).try_cast("int"), F.when(integral, d.cast("int")))
+
+
 def parse_float(s: Column) -> Column:
     """String -> float32 (as double), NULL when not a Java-parseable float."""
     bad_special = s.rlike(_SPECIAL_ANY_CASE) & ~s.rlike(_SPECIAL_JAVA)
@@ -67,7 +75,7 @@ def parse_measures(raw: DataFrame, json_col: str = "value",
     unit, val_s = F.col("_j.unitSymbol"), F.col("_j.value")
     df = df.select(
         (F.col("_j").isNull() | F.col("_j._corrupt").isNotNull()).alias("_bad_json"),
-        obj_s.try_cast("int").alias("object_id"),
+        parse_object_id(obj_s).alias("object_id"),
         obj_s.isNotNull().alias("_has_obj"),
         unit.alias("unit"),
         parse_timestamp_ms(ts_s).alias("ts_ms"),

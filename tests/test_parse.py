@@ -71,3 +71,13 @@ def test_english_default_date_layout(spark):
                           _json("1.5", "Jan 2, 2020 1:30:15 PM")])
     assert [r["reason"] for r in rows] == [None, None]
     assert rows[0]["ts_ms"] == 1482105600000 and rows[1]["ts_ms"] == 1577971815000
+
+
+def test_object_id_forms(spark):
+    ids = ["1", "1.0", "1e2", " 7 ", "1.5", "2147483648", "abc"]
+    lines = [json.dumps({"objectId": i, "value": "1", "timestamp": "2020-01-01Z", "unitSymbol": "V"})
+             for i in ids]
+    lines.append('{"objectId": 3.0, "value": "1", "timestamp": "2020-01-01Z", "unitSymbol": "V"}')
+    rows = _parse(spark, lines)
+    assert [r["object_id"] for r in rows] == [1, 1, 100, 7, None, None, None, 3]
+    assert [r["reason"] for r in rows][4:7] == ["bad_object_id"] * 3
