@@ -5,9 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from clockroll.llm import dac_tokens, sentencepiece_codec
+from clockroll.llm import dac_tokens, sentencepiece_codec, two_pass_shuffle, word_backoff_langid as langid
 from clockroll.session import scratch_dir
 
 
@@ -26,9 +26,24 @@ def op7_dac_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dac_tokens.digests(dac_tokens.read_documents(spark, path))
 
 
+def op8_two_pass_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, path = _table(spark, sf_dir, "documents"), scratch_dir(spark, "shards") + "/shards"
+    two_pass_shuffle.write_shards(docs, path, n_shards=24)
+    return two_pass_shuffle.digests(two_pass_shuffle.read_shards(spark, path, docs))
+
+
+def op3_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    apart = langid.held_out(F.col("doc_id"), 3, 1)
+    model = langid.fit(docs.where(~apart).select(F.col("doc_id").alias("id"), "text", "lang"))
+    return langid.predict(docs, model).withColumn("held_out", apart).select("doc_id", "held_out", "lang_pred", "score")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_langid": op3_langid,
     "op6_sentencepiece": op6_sentencepiece,
     "op7_dac_tokens": op7_dac_tokens,
+    "op8_two_pass_shuffle": op8_two_pass_shuffle,
 }
 
 ORACLE_SQL: dict[str, str] = {}
