@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from clockroll.llm import dac_tokens, sentencepiece_codec, two_pass_shuffle, word_backoff_langid as langid
+from clockroll.llm import crf_toxicity, dac_tokens, sentencepiece_codec, two_pass_shuffle, word_backoff_langid as langid
 from clockroll.session import scratch_dir
 
 
@@ -39,8 +39,22 @@ def op3_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs, model).withColumn("held_out", apart).select("doc_id", "held_out", "lang_pred", "score")
 
 
+def toxicity_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> dict:
+    """The field fitted on labelled rows that are not held out."""
+    labels = _table(spark, sf_dir, "labels").select("doc_id", "toxic")
+    fitting = docs.where(~langid.held_out(F.col("doc_id"), 4, 2)).select("doc_id", "text").join(labels, "doc_id")
+    return crf_toxicity.fit(fitting.select(F.col("doc_id").alias("id"), "text", "toxic"))
+
+
+def op4_crf_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    scored = crf_toxicity.score(docs, toxicity_model(spark, docs, sf_dir))
+    return scored.select("doc_id", langid.held_out(F.col("doc_id"), 4, 2).alias("held_out"), "score", "predicted", "spans")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_langid": op3_langid,
+    "op4_crf_toxicity": op4_crf_toxicity,
     "op6_sentencepiece": op6_sentencepiece,
     "op7_dac_tokens": op7_dac_tokens,
     "op8_two_pass_shuffle": op8_two_pass_shuffle,

@@ -34,6 +34,7 @@ from clockroll.llm.common import on_workers
 BLANK = "▁"
 #: Distinct words kept by one worker before it starts anew (memory bound, not a result bound).
 WORDS_KEPT = 400_000
+PAIRS_KEPT = 400_000
 
 
 def read_model(path: str) -> dict:
@@ -70,6 +71,7 @@ class MergeTable:
         self.number = {p: k for k, p in enumerate(self.text)}
         self.left, self.right = list(range(len(order))), list(range(len(order)))
         self.merged: dict[tuple[int, int], int] = {}
+        self.fits: dict[tuple[int, int], bool] = {}
         dead = []
         for k in range(len(chars), len(order)):
             halves = self._last_merge(k)
@@ -85,6 +87,11 @@ class MergeTable:
         for p, k in self.number.items():
             self.starts.add_word(p[::-1], k)
         self.starts.make_automaton()
+        # Characters that stand side by side in some piece; a text can be cut everywhere else.
+        self.joined = {p[i:i + 2] for p in self.number for i in range(len(p) - 1)}
+        self.size = [len(p) for p in self.text]
+        self.code = [np.int32(i).tobytes() for i in self.ids]
+        self.byte_code = [np.int32(i).tobytes() for i in self.byte_ids]
 
     def _last_merge(self, k: int) -> tuple[int, int] | None:
         """The halves whose merge makes piece ``k``: earlier pieces that may stand side by side."""
@@ -95,6 +102,15 @@ class MergeTable:
                 return a, b
         return None
 
+    def may_follow(self, a: int, b: int) -> bool:
+        """``compatible``, remembered for the pairs met so far."""
+        got = self.fits.get((a, b))
+        if got is None:
+            if len(self.fits) >= PAIRS_KEPT:
+                self.fits.clear()
+            got = self.fits[a, b] = self.compatible(a, b)
+        return got
+
     def compatible(self, a: int, b: int) -> bool:
         """May ``b`` follow ``a``, that is, does no merge across their border come before one
         of the merges that built them?"""
@@ -122,18 +138,17 @@ class MergeTable:
         if s in self.number:
             k = self.number[s]
             return [k]
-        longest = [0] * n
-        for end, k in self.starts.iter(s[::-1]):
-            at = n - 1 - end
-            if len(self.text[k]) > len(self.text[longest[at]]) or not longest[at]:
-                longest[at] = k
+        longest, top = [-1] * n, n - 1
+        for end, k in self.starts.iter(s[::-1]):  # at each place the longest match comes first
+            if longest[top - end] < 0:
+                longest[top - end] = k
         failed = bytearray((n >> 3) + 1)  # one bit for each position
-        text, shorter, compatible = self.text, self.shorter, self.compatible
+        size, shorter, may_follow = self.size, self.shorter, self.may_follow
         out: list[int] = []
         at, k = 0, longest[0]
         while True:
-            end = at + len(text[k])
-            if not failed[end >> 3] >> (end & 7) & 1 and (not out or compatible(out[-1], k)):
+            end = at + size[k]
+            if not failed[end >> 3] >> (end & 7) & 1 and (not out or may_follow(out[-1], k)):
                 out.append(k)
                 if end == n:
                     return out
@@ -143,7 +158,7 @@ class MergeTable:
             else:
                 failed[at >> 3] |= 1 << (at & 7)
                 k = out.pop()
-                at -= len(text[k])
+                at -= size[k]
 
     def blank_run(self, n: int) -> list[int]:
         """Ids of ``n`` blank marks that nothing else merges with: best score, then leftmost."""
@@ -170,31 +185,41 @@ class MergeTable:
 
 
 class WordIds(dict):
-    """Word -> the int32 ids (as bytes) of the word with one blank mark before it."""
+    """String -> its ids as int32 bytes; ``lead`` is put before each string.  Strings are cut
+    where no piece holds the two characters side by side, and the parts are looked up in turn."""
 
-    def __init__(self, table: MergeTable):
+    def __init__(self, table: MergeTable, lead: str = "", parts: WordIds | None = None):
         super().__init__()
-        self.table = table
+        self.table, self.lead, self.parts = table, lead, self if parts is None else parts
 
     def __missing__(self, word: str) -> bytes:
+        t, s = self.table, self.lead + word
+        cut = len(s) - 1
+        while cut > 0 and s[cut - 1:cut + 1] in t.joined:
+            cut -= 1
+        if cut > len(self.lead):  # the head with its lead, the rest without
+            if len(word) > 200:
+                return self._long(s)
+            got = self[s[len(self.lead):cut]] + self.parts[s[cut:]]
+        elif cut:
+            got = self.parts[self.lead] + self.parts[word]
+        elif len(s) == 1 and s not in t.number:
+            got = b"".join([t.byte_code[x] for x in s.encode()])
+        else:
+            got = b"".join([t.code[k] for k in t.encode(s)])
         if len(self) >= WORDS_KEPT:
             self.clear()
-        got = np.array(self.ids_of(BLANK + word), dtype=np.int32).tobytes()
         if len(word) <= 64:
             self[word] = got
         return got
 
-    def ids_of(self, s: str) -> list[int]:
-        t, out, start = self.table, [], 0
-        for i, c in enumerate(s):
-            if c not in t.number:
-                if start < i:
-                    out += [t.ids[k] for k in t.encode(s[start:i])]
-                out += [t.byte_ids[b] for b in c.encode()]
-                start = i + 1
-        if start < len(s):
-            out += [t.ids[k] for k in t.encode(s[start:])]
-        return out
+    def _long(self, s: str) -> bytes:
+        joined, out, start = self.table.joined, [], 0
+        for i in range(1, len(s) + 1):
+            if i == len(s) or s[i - 1:i + 1] not in joined:
+                out.append(self.parts[s[start:i]])
+                start = i
+        return b"".join(out)
 
 
 class Codec:
@@ -202,7 +227,7 @@ class Codec:
 
     def __init__(self, model: dict):
         self.table = MergeTable(model)
-        self.words = WordIds(self.table)
+        self.words = WordIds(self.table, BLANK, WordIds(self.table))
         self.runs: dict[int, bytes] = {}
         if any(s >= min(sc for p, sc in zip(model["pieces"], model["scores"], strict=True) if len(p) > 1 and p.strip(BLANK) and sc > -1e8)
                for s, _ in (x for n, x in self.table.runs.items() if n > 1)):
