@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from clockroll.llm import crf_toxicity, dac_tokens, sentencepiece_codec, two_pass_shuffle, word_backoff_langid as langid
+from clockroll.llm import crf_toxicity, dac_tokens, ngram_quality, sentencepiece_codec, two_pass_shuffle, word_backoff_langid as langid
 from clockroll.session import scratch_dir
 
 
@@ -15,6 +15,13 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op1_ngram_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text")
+    trusted = _table(spark, sf_dir, "labels").where("quality = 1").select(F.col("doc_id").alias("id"))
+    judged = ngram_quality.judge(docs, ngram_quality.log_ratios(docs, trusted))
+    return judged.select(F.col("id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "score")
+
+
 def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return sentencepiece_codec.digests(sentencepiece_codec.roundtrip(docs, public_tokenizers.path("piece_bpe_32k.model")))
@@ -53,6 +60,7 @@ def op4_crf_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_ngram_quality": op1_ngram_quality,
     "op3_langid": op3_langid,
     "op4_crf_toxicity": op4_crf_toxicity,
     "op6_sentencepiece": op6_sentencepiece,
@@ -60,4 +68,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_two_pass_shuffle": op8_two_pass_shuffle,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op1_ngram_quality": ngram_quality.SQL,
+}
