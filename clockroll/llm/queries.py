@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from clockroll.llm import crf_toxicity, dac_tokens, ngram_quality, sentencepiece_codec, two_pass_shuffle, word_backoff_langid as langid
+from clockroll.llm import budget_mixing, crf_toxicity, dac_tokens, ngram_quality, sentencepiece_codec, two_pass_shuffle, word_backoff_langid as langid
 from clockroll.session import scratch_dir
 
 
@@ -22,6 +22,12 @@ def op1_ngram_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select(F.col("id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "score")
 
 
+def op5_budget_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    out = budget_mixing.mixed(docs)
+    return out.select("doc_id", "domain", F.coalesce("lang", F.lit("und")).alias("lang"), F.coalesce("source", F.lit("unknown")).alias("source"), "n_tokens", "copies")
+
+
 def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return sentencepiece_codec.digests(sentencepiece_codec.roundtrip(docs, public_tokenizers.path("piece_bpe_32k.model")))
@@ -48,9 +54,8 @@ def op3_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def toxicity_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> dict:
     """The field fitted on labelled rows that are not held out."""
-    labels = _table(spark, sf_dir, "labels").select("doc_id", "toxic")
-    fitting = docs.where(~langid.held_out(F.col("doc_id"), 4, 2)).select("doc_id", "text").join(labels, "doc_id")
-    return crf_toxicity.fit(fitting.select(F.col("doc_id").alias("id"), "text", "toxic"))
+    labels = _table(spark, sf_dir, "labels").where(~langid.held_out(F.col("doc_id"), 4, 2))
+    return crf_toxicity.fit(docs.select(F.col("doc_id").alias("id"), "text"), labels.select(F.col("doc_id").alias("id"), "toxic"))
 
 
 def op4_crf_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -63,6 +68,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_quality": op1_ngram_quality,
     "op3_langid": op3_langid,
     "op4_crf_toxicity": op4_crf_toxicity,
+    "op5_budget_mixing": op5_budget_mixing,
     "op6_sentencepiece": op6_sentencepiece,
     "op7_dac_tokens": op7_dac_tokens,
     "op8_two_pass_shuffle": op8_two_pass_shuffle,
@@ -70,4 +76,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLE_SQL: dict[str, str] = {
     "op1_ngram_quality": ngram_quality.SQL,
+    "op5_budget_mixing": budget_mixing.sql(),
 }
