@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from clockroll.llm import budget_mixing, crf_toxicity, dac_tokens, ngram_quality, sentencepiece_codec, two_pass_shuffle, word_backoff_langid as langid
+from clockroll.llm import budget_mixing, crf_toxicity, dac_tokens, ngram_quality, pii_surrogates, sentencepiece_codec, two_pass_shuffle, word_backoff_langid as langid
 from clockroll.session import scratch_dir
 
 
@@ -22,6 +22,10 @@ def op1_ngram_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select(F.col("id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "score")
 
 
+def op2_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii_surrogates.replaced(_table(spark, sf_dir, "documents")).select("doc_id", "text", "n_entities")
+
+
 def op5_budget_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     out = budget_mixing.mixed(docs)
@@ -66,6 +70,7 @@ def op4_crf_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_quality": op1_ngram_quality,
+    "op2_pii_surrogates": op2_pii_surrogates,
     "op3_langid": op3_langid,
     "op4_crf_toxicity": op4_crf_toxicity,
     "op5_budget_mixing": op5_budget_mixing,
