@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from clockroll.llm import budget_mixing, crf_toxicity, dac_tokens, ngram_quality, pii_surrogates, sentencepiece_codec, two_pass_shuffle, word_backoff_langid as langid
+from clockroll.llm import budget_mixing, crf_toxicity, dac_tokens, jaccard_regions, ngram_quality, pii_surrogates, sentencepiece_codec, two_pass_shuffle, word_backoff_langid as langid
 from clockroll.session import scratch_dir
 
 
@@ -68,6 +68,10 @@ def op4_crf_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", langid.held_out(F.col("doc_id"), 4, 2).alias("held_out"), "score", "predicted", "spans")
 
 
+def op9_jaccard_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_regions.join_components(_table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "class_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_quality": op1_ngram_quality,
     "op2_pii_surrogates": op2_pii_surrogates,
@@ -77,6 +81,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_sentencepiece": op6_sentencepiece,
     "op7_dac_tokens": op7_dac_tokens,
     "op8_two_pass_shuffle": op8_two_pass_shuffle,
+    "op9_jaccard_regions": op9_jaccard_regions,
 }
 
 ORACLE_SQL: dict[str, str] = {
