@@ -115,12 +115,13 @@ def forward_backward(emission: np.ndarray, first: np.ndarray, trans: np.ndarray,
 
 # --- fitting -----------------------------------------------------------------------------
 
-def _sample(labelled: DataFrame, fit_docs: int) -> DataFrame:
-    pick = W.partitionBy("toxic").orderBy(F.xxhash64("id"), "id")
-    known = labelled.where("text IS NOT NULL AND toxic IN (0, 1)")
-    ids = known.select("id", "toxic").withColumn("k", F.row_number().over(pick)).where(F.col("k") <= fit_docs).select("id", "toxic")
-    docs = known.join(F.broadcast(ids), ["id", "toxic"], "left_semi")
-    return docs.select("toxic", F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}+"), 0).alias("words")).where(F.size("words") > 0).withColumn("doc", F.monotonically_increasing_id())
+def _sample(docs: DataFrame, labels: DataFrame, fit_docs: int) -> DataFrame:
+    """At most ``fit_docs`` documents of each label; only ids are ordered, and the bounded list of
+    chosen ids goes to the texts."""
+    of = [labels.where(F.col("toxic") == y).select("id", F.lit(y).alias("toxic")).orderBy(F.xxhash64("id"), "id").limit(fit_docs) for y in (0, 1)]
+    chosen = docs.where("text IS NOT NULL").join(F.broadcast(of[0].unionByName(of[1])), "id").dropDuplicates(["id", "toxic"])
+    words = F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}+"), 0)
+    return chosen.select("toxic", words.alias("words")).where(F.size("words") > 0).withColumn("doc", F.monotonically_increasing_id())
 
 
 def _cues(sample: DataFrame, features: int) -> tuple[list[str], list[str]]:
@@ -189,9 +190,9 @@ def _gradient(coded: DataFrame, weights: np.ndarray, bias: float, trans: np.ndar
     return total[:k], total[k], total[k + 1:k + 5].reshape(2, 2), int(total[k + 5])
 
 
-def fit(labelled: DataFrame, fit_docs: int = 2000, features: int = 20_000, rounds: int = 12) -> dict:
-    """The model of ``labelled`` (id, text, toxic)."""
-    sample = staged(_sample(labelled, fit_docs), "crf-sample")
+def fit(docs: DataFrame, labels: DataFrame, fit_docs: int = 2000, features: int = 20_000, rounds: int = 12) -> dict:
+    """The model of the documents ``docs`` (id, text) with ``labels`` (id, toxic)."""
+    sample = staged(_sample(docs, labels, fit_docs), "crf-sample")
     names, cues = _cues(sample, features)
     model = {"weights": {}, "bias": -5.0, "trans": np.zeros((2, 2)), "map": (0.0, 0.0, -50.0)}
     if not cues:
