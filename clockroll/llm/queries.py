@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from clockroll.llm import budget_mixing, crf_toxicity, dac_tokens, jaccard_regions, ngram_quality, pii_surrogates, sentencepiece_codec, two_pass_shuffle, word_backoff_langid as langid
+from clockroll.llm import budget_mixing, crf_toxicity, dac_tokens, jaccard_regions, ngram_quality, pii_surrogates, posting_lists, sentencepiece_codec, two_pass_shuffle, word_backoff_langid as langid
 from clockroll.session import scratch_dir
 
 
@@ -72,6 +72,10 @@ def op9_jaccard_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_regions.join_components(_table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "class_id")
 
 
+def op10_posting_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return posting_lists.search(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_quality": op1_ngram_quality,
     "op2_pii_surrogates": op2_pii_surrogates,
@@ -82,6 +86,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_dac_tokens": op7_dac_tokens,
     "op8_two_pass_shuffle": op8_two_pass_shuffle,
     "op9_jaccard_regions": op9_jaccard_regions,
+    "op10_posting_lists": op10_posting_lists,
 }
 
 ORACLE_SQL: dict[str, str] = {
