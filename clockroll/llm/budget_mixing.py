@@ -137,6 +137,13 @@ def mixed(df: DataFrame, total: int | None = None, max_epochs: int = MAX_EPOCHS,
     return out.select(*[field(c).alias(c) for c in taken], F.col("domain").alias(names["domain"]), F.col("n").alias(names["n_tokens"]), copies.cast("int").alias(names["copies"]))
 
 
+def taken(df: DataFrame, total: int | None = None, **options) -> DataFrame:
+    """The mixture itself: the rows of ``df``, columns as they are, each as often as it is taken."""
+    row = df.select(F.struct(*[df[f"`{c}`"] for c in df.columns]).alias("_row"), *[df[c] for c in ("doc_id", "text", "lang", "source")])
+    out = mixed(row, total, **options)
+    return out.where("copies > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("_row.*")
+
+
 def _case(col: str, weights: dict[str, int], default: int) -> str:
     return "CASE " + col + "".join(f" WHEN '{k}' THEN {v}" for k, v in weights.items()) + f" ELSE {default} END"
 

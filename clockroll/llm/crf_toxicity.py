@@ -31,9 +31,9 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
 
-from clockroll.llm.common import on_workers, staged
+from clockroll.llm.common import free_name, on_workers, staged
 
 CUTOFF = 0.3
 SLACK = 1.5
@@ -301,13 +301,21 @@ def _spans(text: str, low: str, q: np.ndarray) -> list[dict]:
 
 def _tagged(df: DataFrame, model: dict, keep: tuple[str, ...], text_col: str = "text") -> DataFrame:
     shared = on_workers(df).sparkSession.sparkContext.broadcast(model)
-    src = df.select(*[df[f"`{c}`"] for c in keep], df[f"`{text_col}`"].alias("text"))
-    kinds = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in keep)
-    return src.mapInArrow(_tag_batches(shared, len(keep)), f"{kinds}, n_words long, top double, expected double, spans array<struct<start: long, end: long, score: double>>")
+    src = df.select(*[df[f"`{c}`"] for c in keep], df[f"`{text_col}`"].alias(free_name(keep, "text")))
+    spans = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType()), T.StructField("score", T.DoubleType())]))
+    found = [T.StructField("n_words", T.LongType()), T.StructField("top", T.DoubleType()), T.StructField("expected", T.DoubleType()), T.StructField("spans", spans)]
+    return src.mapInArrow(_tag_batches(shared, len(keep)), T.StructType([*src.schema.fields[:len(keep)], *found]))
+
+
+def unoffending(df: DataFrame, model: dict, text_col: str = "text") -> DataFrame:
+    """The rows of ``df``, all columns as they are, whose text scores below ``CUTOFF``."""
+    rows = df.select(F.struct(*[df[f"`{c}`"] for c in df.columns]).alias("_row"), df[f"`{text_col}`"].alias("_text"))
+    return score(rows, model, keep=("_row",), text_col="_text").where("predicted = 0").select("_row.*")
 
 
 def score(df: DataFrame, model: dict, keep: tuple[str, ...] = ("doc_id",), text_col: str = "text") -> DataFrame:
-    """``keep`` columns, ``score`` (0 to 1), ``predicted`` and the offending ``spans`` of every text."""
+    """``keep`` columns, ``score`` (0 to 1), ``predicted`` and the offending ``spans`` of every text.  Put
+    whole rows in one struct column to keep columns whose names clash with these."""
     a, b, c = model["map"]
     top = F.least(F.greatest(F.col("top"), F.lit(1e-6)), F.lit(1 - 1e-6))
     z = F.lit(a) * F.log(top / (1 - top)) + F.lit(b) * F.log1p("expected") + F.lit(c)

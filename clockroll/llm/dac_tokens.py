@@ -29,8 +29,9 @@ from __future__ import annotations
 
 import os
 import struct
-import zlib
+from array import array
 from collections.abc import Iterator
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
@@ -41,7 +42,7 @@ from clockroll.llm.common import on_workers
 
 BLOCK = 512
 SEGMENT_TOKENS = 1 << 20
-WORDS_KEPT = 400_000
+WORDS_KEPT = 800_000
 SEGMENT_SCHEMA = "part int, first long, n_tokens long, doc_ids array<long>, lengths array<long>, codes binary"
 
 
@@ -119,9 +120,32 @@ class Segment:
 _built: list = []
 
 
+class _Words(dict):
+    """Word -> its ids as bytes, for a tokenizer in which white space never joins two words."""
+
+    def __init__(self, tokenizer, byte_level: dict[int, int] | None):
+        super().__init__({"": b""})
+        self.tokenizer, self.merge, self.shown = tokenizer, tokenizer.model.tokenize, byte_level
+
+    def __missing__(self, w: str) -> bytes:
+        if len(w) > 1 and w[-1] in ",." and w[-2].isalpha():  # a mark after a letter is a token of its own
+            got = self[w[:-1]] + self[w[-1]]
+        elif self.shown and w.isalpha() and w == w.lower() and (w.isascii() or is_normalized("NFC", w)):
+            # A word of letters in its final form goes straight to the merge model.
+            got = array("I", [t.id for t in self.merge(w if w.isascii() else w.encode().decode("latin-1").translate(self.shown))]).tobytes()
+        else:
+            got = array("I", self.tokenizer.encode(w, add_special_tokens=False).ids).tobytes()
+        if len(self) >= WORDS_KEPT:
+            self.clear()
+            self[""] = b""
+        if len(w) <= 64:
+            self[w] = got
+        return got
+
+
 class _Encoder:
-    """Ids of texts.  White space never joins two words in this kind of tokenizer, so words are
-    encoded once and looked up again; a tokenizer of another kind gets whole texts."""
+    """Ids of texts.  Words are encoded once and looked up again where the tokenizer's steps allow
+    it; a tokenizer of another kind gets whole texts."""
 
     def __init__(self, tokenizer_json: str, end_id: int):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -132,24 +156,36 @@ class _Encoder:
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
         self.tokenizer.encode_special_tokens = True
         self.end = np.uint32(end_id).tobytes()
-        self.words: dict[str, bytes] = {"": b""}
-        pre = (json.loads(tokenizer_json).get("pre_tokenizer") or {}).get("pretokenizers", [{}])
-        self.by_word = pre[0].get("type") == "Split" and pre[0].get("behavior") == "Removed" and pre[0].get("invert") and r"[^\s" in str(pre[0].get("pattern"))
+        spec = json.loads(tokenizer_json)
+        pre = (spec.get("pre_tokenizer") or {}).get("pretokenizers", [{}])
+        steps = [x.get("type") for x in (spec.get("normalizer") or {}).get("normalizers", [])]
+        self.lowers = steps == ["NFC", "Replace", "Lowercase"]
+        # The byte-level step shows each byte as a character: printable ones as themselves, the
+        # others as the characters from 256 on, in order.
+        kept = {*range(33, 127), *range(161, 173), *range(174, 256)}
+        moved = (b for b in range(256) if b not in kept)
+        byte_level = {b: 256 + i for i, b in enumerate(moved)} if self.lowers and [x.get("type") for x in pre] == ["Split", "ByteLevel"] else None
+        self.by_word = pre[0].get("type") == "Split" and pre[0].get("behavior") == "Removed" and pre[0].get("invert") and r"[^\s" in pre[0].get("pattern", {}).get("Regex", "")
+        self.words = _Words(self.tokenizer, byte_level)
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         if not self.by_word:
             return [np.array(e.ids, dtype="<u4").tobytes() + self.end for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
-        split = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
-        if len(self.words) > WORDS_KEPT:
-            self.words = {"": b""}
-        new = list(set().union(*split) - self.words.keys())
-        for lo in range(0, len(new), 4096):
-            part = new[lo:lo + 4096]
-            for w, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                self.words[w] = np.array(e.ids, dtype="<u4").tobytes()
         get = self.words.__getitem__
+        split = (self._plain(t).replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts)
         return [b"".join(map(get, words)) + self.end for words in split]
 
+    def _plain(self, text: str) -> str:
+        """The text in lower case, where the tokenizer's own steps (NFC, then lower case for each
+        character) give just that; else the text."""
+        if not self.lowers:
+            return text
+        low = text.lower()
+        if text.isascii():
+            return low
+        plain = "\u03a3" not in text and is_normalized("NFC", text) and is_normalized("NFC", low)
+        return low if plain else text
+
 
 def _write_batches(shared, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

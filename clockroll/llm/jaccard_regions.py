@@ -322,18 +322,39 @@ def _join_regions(regions: DataFrame, sets: DataFrame, edges: DataFrame | None,
     return edges, None if left.isEmpty() else staged(left, "jaccard-active")
 
 
-def join_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: ``doc_id``, ``n_shingles``, ``class_id`` (equal sets) and ``component_id``, the smallest
-    id reachable by links."""
+def _joined(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Per row: ``doc_id``, ``tk`` (hash of the text), ``n``, ``cls`` (null: no words), ``comp`` and ``low``, the
+    component's smallest id."""
     src = df.select(df[f"`{id_col}`"].alias("doc_id"), F.xxhash64(df[f"`{text_col}`"]).alias("tk"), df[f"`{text_col}`"].alias("text"))
     kind = src.schema["doc_id"].dataType.simpleString()
     rows = staged(on_workers(src).mapInArrow(_classes, f"doc_id {kind}, tk long, n long, cls long"), "jaccard-classes")
-    worded = src.where("text IS NOT NULL").select("tk", "text")
-    edges = links(worded, rows.where("cls IS NOT NULL").select("cls", "tk"))
-    comp = components(edges)
-    heads = rows.where("cls IS NOT NULL").groupBy("cls").agg(F.min("doc_id").alias("low")).join(comp.withColumnRenamed("node", "cls"), "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
-    lows = heads.groupBy("comp").agg(F.min("low").alias("component_id"))
-    named = staged(heads.select("cls", "comp").join(lows, "comp").select("cls", "component_id"), "jaccard-named")
-    linked = rows.where("cls IS NOT NULL").join(named, "cls").select("doc_id", F.col("n").alias("n_shingles"), F.col("cls").alias("class_id"), "component_id")
-    alone = rows.where("cls IS NULL").select("doc_id", F.col("n").alias("n_shingles"), F.col("cls").alias("class_id"), F.col("doc_id").alias("component_id"))
-    return linked.unionByName(alone)
+    worded = rows.where("cls IS NOT NULL")
+    edges = links(src.where("text IS NOT NULL").select("tk", "text"), worded.select("cls", "tk"))
+    heads = worded.groupBy("cls").agg(F.min("doc_id").alias("low")).join(components(edges).withColumnRenamed("node", "cls"), "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
+    lows = heads.groupBy("comp").agg(F.min("low").alias("low"))
+    named = staged(heads.select("cls", "comp").join(lows, "comp"), "jaccard-named")
+    alone = rows.where("cls IS NULL").select("doc_id", "tk", "n", "cls", F.lit(None).cast("long").alias("comp"), F.col("doc_id").alias("low"))
+    return worded.join(named, "cls").select("doc_id", "tk", "n", "cls", "comp", "low").unionByName(alone)
+
+
+def join_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Per row: ``doc_id``, ``n_shingles``, ``class_id`` (equal sets) and ``component_id``, the smallest
+    id reachable by links."""
+    return _joined(df, id_col, text_col).select("doc_id", F.col("n").alias("n_shingles"), F.col("cls").alias("class_id"), F.col("low").alias("component_id"))
+
+
+def one_of_each(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``df``, all columns as they are, without those that are linked, directly or not, to
+    a row that stays: of each component the row with the smallest id (null last), then the smallest
+    hash of its text; of rows equal in both one stays.  Rows without words all stay."""
+    rows = staged(_joined(df, id_col, text_col).select("doc_id", "tk", "comp"), "jaccard-rows")
+    grouped = rows.where("comp IS NOT NULL").groupBy("comp", "doc_id", "tk").agg(F.count("*").alias("k"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "tk", "k"))
+    heads = grouped.groupBy("comp").agg(first.alias("h")).select("h.doc_id", "h.tk", "h.k")
+    stay = rows.where("comp IS NULL").select("doc_id", "tk").distinct().withColumn("k", F.lit(1).cast("long")).unionByName(heads)
+    # All columns travel in one struct, so no name can clash.
+    src = df.select(F.struct(*[df[f"`{c}`"] for c in df.columns]).alias("_row"), df[f"`{id_col}`"].alias("_id"), F.xxhash64(df[f"`{text_col}`"]).alias("_tk"))
+    kept = src.join(staged(stay, "jaccard-stay"), F.col("_id").eqNullSafe(F.col("doc_id")) & (F.col("_tk") == F.col("tk")))
+    once = kept.where("k = 1").select("_row.*")
+    again = kept.where("k > 1").dropDuplicates(["_id", "_tk"]).select("_row.*")
+    return once.unionByName(again)

@@ -25,7 +25,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from clockroll.llm.common import on_workers
+from clockroll.llm.common import on_workers, staged
 
 UNKNOWN = "und"
 LENGTHS = (5, 4, 3, 2, 1)
@@ -43,10 +43,10 @@ def fit(labelled: DataFrame, fit_docs: int = 1500, list_size: int = 8000) -> dic
     known = labelled.where("text IS NOT NULL AND lang IS NOT NULL")
     pick = W.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
     ids = known.select("id", "lang").withColumn("k", F.row_number().over(pick)).where(F.col("k") <= fit_docs).select("id", "lang")
-    sample = known.join(F.broadcast(ids), ["id", "lang"], "left_semi")
+    sample = known.join(F.broadcast(ids), ["id", "lang"], "left_semi").dropDuplicates(["id", "lang"])
     words = (sample.select("lang", F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}+"), 0)).alias("g"))
              .groupBy("lang", "g").agg(F.count("*").alias("c")).select("lang", F.lit(0).alias("n"), "g", "c"))
-    words = words.checkpoint() if _has_checkpoint(words) else words
+    words = staged(words, "langid-words")
     padded = F.concat(F.lit(" "), F.col("g"), F.lit(" "))
     grams = None
     for n in LENGTHS:
@@ -67,10 +67,6 @@ def fit(labelled: DataFrame, fit_docs: int = 1500, list_size: int = 8000) -> dic
     return {"langs": langs, "costs": costs}
 
 
-def _has_checkpoint(df: DataFrame) -> bool:
-    return not df.sparkSession.sparkContext._jsc.sc().getCheckpointDir().isEmpty()
-
-
 class _Words(dict):
     """Word -> row of its costs; rows of unseen words are made by backing off."""
 
