@@ -42,7 +42,11 @@ def fit(labelled: DataFrame, fit_docs: int = 1500, list_size: int = 8000) -> dic
     """The model of ``labelled`` (id, text, lang)."""
     known = labelled.where("text IS NOT NULL AND lang IS NOT NULL")
     pick = W.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
-    ids = known.select("id", "lang").withColumn("k", F.row_number().over(pick)).where(F.col("k") <= fit_docs).select("id", "lang")
+    # First within parts of a language, so that no task sees all rows of a frequent one.
+    part = W.partitionBy("lang", F.pmod(F.xxhash64("id", F.lit(1)), F.lit(256))).orderBy(F.xxhash64("id"), "id")
+    ids = known.select("id", "lang")
+    for window in (part, pick):
+        ids = ids.withColumn("k", F.row_number().over(window)).where(F.col("k") <= fit_docs).select("id", "lang")
     sample = known.join(F.broadcast(ids), ["id", "lang"], "left_semi").dropDuplicates(["id", "lang"])
     words = (sample.select("lang", F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}+"), 0)).alias("g"))
              .groupBy("lang", "g").agg(F.count("*").alias("c")).select("lang", F.lit(0).alias("n"), "g", "c"))
