@@ -14,13 +14,10 @@ SPACE_CLASS = r"[\x20\x09-\x0D]"
 
 def words_of(text: Column) -> Column:
     """Array of the words ``[^\\x20\\x09-\\x0D]+`` of a text; null and blank texts give []."""
-    blanks = F.translate(F.coalesce(text, F.lit("")), "\t\n\x0b\x0c\r", "     ")
-    return F.filter(F.split(blanks, " "), lambda w: w != "")
-
-
-def ascii_lower(text: Column) -> Column:
-    """Lower-case A to Z only."""
-    return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    lines = F.replace(F.coalesce(text, F.lit("")), F.lit("\n"), F.lit(" "))
+    # translate() works character by character: only where a rare kind of blank stands.
+    blanks = F.when(lines.rlike(r"[\x09-\x0D]"), F.translate(lines, "\t\x0b\x0c\r", "    ")).otherwise(lines)
+    return F.array_remove(F.split(blanks, " "), "")
 
 
 def free_name(taken: Sequence[str], wish: str) -> str:

@@ -29,7 +29,6 @@ BUCKETS = 1 << 16
 TARGET_DOCS = 20_000
 THRESHOLD = -0.15
 SYMBOLS = "#*$%&|<>"
-SPACES = " \t\n\x0b\x0c\r"
 WINDOW = 5
 MIN_WORDS = 10
 MAX_REPEATED_PERCENT = 20
@@ -37,9 +36,10 @@ MAX_REPEATED_PERCENT = 20
 
 def buckets_of(words: Column) -> Column:
     """Buckets of the words and of the adjacent pairs."""
+    n = F.size(words)
     bucket = lambda s: F.pmod(F.crc32(s.cast("binary")), F.lit(BUCKETS)).cast("int")
-    pairs = F.when(F.size(words) > 1, F.transform(F.sequence(F.lit(1), F.size(words) - 1), lambda i: bucket(F.concat_ws(" ", F.get(words, i - 1), F.get(words, i)))))
-    return F.concat(F.transform(words, bucket), F.coalesce(pairs, F.array().cast("array<int>")))
+    pairs = F.zip_with(F.slice(words, F.lit(1), F.greatest(n - 1, F.lit(0))), F.slice(words, F.lit(2), F.greatest(n - 1, F.lit(0))), lambda a, b: bucket(F.concat(a, F.lit(" "), b)))
+    return F.concat(F.transform(words, bucket), pairs)
 
 
 def log_ratios(df: DataFrame, trusted: DataFrame, target_docs: int = TARGET_DOCS) -> list[int]:
@@ -59,12 +59,15 @@ def log_ratios(df: DataFrame, trusted: DataFrame, target_docs: int = TARGET_DOCS
 def base_measures(df: DataFrame) -> DataFrame:
     """Adds ``words`` and the base measures to ``df`` (with ``text``)."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    gone = lambda c, chars: F.translate(c, chars, "")
-    lines = F.filter(F.split(text, "\n"), lambda x: gone(x, SPACES) != "")
+    lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     df = df.withColumn("words", words_of(F.col("text"))).withColumn("_lines", lines)
-    at = F.sequence(F.lit(0), F.size("words") - WINDOW)
-    windows = F.when(F.size("words") >= WINDOW, F.transform(at, lambda i: F.xxhash64(*[F.get("words", i + k) for k in range(WINDOW)])))
-    df = df.withColumn("_windows", windows)
+    # Hashes of 1, 2, 4 and 5 words in a row, each from two of those before.
+    def in_a_row(first: str, then: str, shift: int, words: int) -> Column:
+        n = F.greatest(F.size("_one") - (words - 1), F.lit(0))
+        return F.zip_with(F.slice(first, F.lit(1), n), F.slice(then, F.lit(shift + 1), n), lambda a, b: F.xxhash64(a, b))
+
+    df = df.withColumn("_one", F.transform("words", lambda w: F.xxhash64(w))).withColumn("_two", in_a_row("_one", "_one", 1, 2))
+    df = df.withColumn("_four", in_a_row("_two", "_two", 2, 4)).withColumn("_windows", in_a_row("_four", "_one", 4, WINDOW))
     # Only texts with a repeated window need its places: windows side by side in hash order.
     repeats = F.size(F.array_distinct("_windows")) < F.size("_windows")
     ordered = F.when(repeats, F.sort_array(F.transform("_windows", lambda h, i: F.struct(h.alias("h"), i.alias("i")))))
@@ -77,11 +80,11 @@ def base_measures(df: DataFrame) -> DataFrame:
     n_words = F.size("words").cast("long")
     n_repeat = F.coalesce(covered, F.lit(0)).cast("long")
     return (df.withColumns({
-        "n_words": n_words, "word_chars": F.length(gone(text, SPACES)).cast("long"),
-        "n_symbols": (F.length(text) - F.length(gone(text, SYMBOLS))).cast("long"),
+        "n_words": n_words, "word_chars": F.length(F.array_join("words", "")).cast("long"),
+        "n_symbols": (F.length(text) - F.length(F.regexp_replace(text, f"[{SYMBOLS}]", ""))).cast("long"),
         "n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"), "n_repeat_words": n_repeat})
         .withColumn("base_failed", (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED_PERCENT * F.col("n_words")))
-        .drop("_lines", "_windows", "_ordered", "_places"))
+        .drop("_lines", "_one", "_two", "_four", "_windows", "_ordered", "_places"))
 
 
 def judge(df: DataFrame, ratios: list[int], threshold: float = THRESHOLD) -> DataFrame:
