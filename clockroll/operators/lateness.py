@@ -20,6 +20,8 @@ hot window is split by AQE's skew join instead of landing in one window partitio
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -164,7 +166,7 @@ def _window_rows(classified: DataFrame, advanced) -> DataFrame:
 def emissions(measures: DataFrame, cfg: RollupConfig, flush_at_end: bool = False,
               chunk: int = DEFAULT_ARRIVAL_CHUNK, advanced=ADVANCED_UNITS,
               chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
-    """What the stream would emit (flush_every = 0): closed windows (``kind='closed'``,
+    """What the stream would emit: closed windows (``kind='closed'``,
     phase 1) and single late records (``kind='late'``; phase 0 = before the window was
     opened, 2 = after it was closed).  ``flush_at_end`` also emits windows still open."""
     return emissions_many(measures, [cfg], flush_at_end, chunk, advanced, chunk_rows)
@@ -173,16 +175,15 @@ def emissions(measures: DataFrame, cfg: RollupConfig, flush_at_end: bool = False
 def emissions_many(measures: DataFrame, cfgs: list[RollupConfig], flush_at_end: bool = False,
                    chunk: int = DEFAULT_ARRIVAL_CHUNK, advanced=ADVANCED_UNITS,
                    chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
-    """Emissions for several granularities (each with its own lateness) in one pass.
-
-    The batch form is exact for cleanup after every record (``flush_every=0``).  A cleanup
-    cadence (``flush_every > 0``) is a sequential recurrence over the clock: run it with
-    ``clockroll.streaming.replay_emissions`` (the keyed-state operator over bounded
-    micro-batches) instead of getting silently different results here."""
-    slow = [c.granularity for c in cfgs if c.flush_every != 0]
-    if slow:
-        raise ValueError(f"flush_every > 0 for granularities {slow}: the batch form needs "
-                         "flush_every=0; use streaming.replay_emissions for a cleanup cadence")
+    """Emissions for several granularities (each with its own lateness).  Those with cleanup after
+    every record share one pass; a cleanup cadence (``flush_every > 0``) is a recurrence over the
+    clock and takes the sorted pass of ``cadence``."""
+    from clockroll.operators.cadence import emissions_cadence
+
+    slow = [emissions_cadence(measures, c, flush_at_end, advanced) for c in cfgs if c.flush_every]
+    cfgs = [c for c in cfgs if not c.flush_every]
+    if not cfgs:
+        return reduce(DataFrame.unionByName, slow)
     # read by three branches (windows, clocks, late rows): computed once
     classified = materialize(classify_many(measures, cfgs, chunk, chunk_rows))
     windows = _window_rows(classified, advanced)
@@ -192,7 +193,7 @@ def emissions_many(measures: DataFrame, cfgs: list[RollupConfig], flush_at_end:
                             F.lit(None).cast("long").alias("arr_major"),
                             F.lit(None).cast("long").alias("arr_minor"))
     late = _late_rows(classified.filter(F.col("status") == "late"), advanced)
-    return closed.unionByName(late)
+    return reduce(DataFrame.unionByName, slow, closed.unionByName(late))
 
 
 def open_windows_at_end(measures: DataFrame, cfg: RollupConfig,

@@ -207,37 +207,3 @@ def upsert_combine(existing: DataFrame, emitted: DataFrame) -> tuple[DataFrame,
 
 def action_totals(actions: DataFrame) -> DataFrame:
     return actions.agg(*[F.sum(c).cast("long").alias(c) for c in ACTION_COLUMNS])
-
-
-def add_one(stored: Column, late: Column) -> Column:
-    """Merge one late single-record row into a stored row (both structs with the target
-    columns), as a column expression.  Errors like the original merge: the stored row must
-    have records and the late row exactly one; object, granularity and date key must match
-    (the window start is not compared).  The std family is updated iff the stored row has
-    a k (advanced unit)."""
-    bad_count = F.coalesce(stored["count"], F.lit(0)) == 0
-    bad_late = F.coalesce(late["count"], F.lit(0)) != 1
-    mismatch = ((stored["object_id"] != late["object_id"]) | (stored["minutes"] != late["minutes"])
-                | (stored["date"] != late["date"]))
-    v, ts = late["last"], late["last_ts"]
-    cnt = stored["count"] + 1
-    total = stored["sum"] + v
-    has_k = stored["k"].isNotNull()
-    d = v - stored["k"]
-    ks = F.when(has_k, stored["k_sum"] + d)
-    ks2 = F.when(has_k, stored["k_sum_2"] + d * d)
-    newer = stored["last_ts"] < ts
-    merged = F.struct(
-        stored["minutes"].alias("minutes"), stored["object_id"].alias("object_id"),
-        stored["date"].alias("date"), stored["timestamp"].alias("timestamp"),
-        cnt.alias("count"), total.alias("sum"),
-        F.least(stored["min"], v).alias("min"), F.greatest(stored["max"], v).alias("max"),
-        (total / cnt).alias("mean"),
-        F.when(newer, v).otherwise(stored["last"]).alias("last"),
-        F.when(newer, ts).otherwise(stored["last_ts"]).alias("last_ts"),
-        stored["k"].alias("k"), ks.alias("k_sum"), ks2.alias("k_sum_2"),
-        F.when(has_k, _std(cnt, ks, ks2)).alias("std"))
-    return (F.when(bad_count | bad_late,
-                   F.raise_error(F.lit("add_one: stored row must have records and the late row exactly one")))
-            .when(mismatch, F.raise_error(F.lit("add_one: different object, granularity or date key")))
-            .otherwise(merged))

@@ -17,10 +17,10 @@ from clockroll.operators.aggregate import rollup, rollup_many
 from clockroll.operators.lateness import (DEFAULT_ARRIVAL_CHUNK, EMISSION_COLUMNS,
                                           classify_arrivals, emissions, emissions_many,
                                           object_clock, open_windows_at_end)
-from clockroll.operators.merge import action_totals, upsert, upsert_combine
+from clockroll.operators.merge import ACTION_COLUMNS, action_totals, upsert, upsert_combine
 from clockroll.plans import oracle as O
 from clockroll.session import ensure_utc
-from clockroll.sources.measures import (events_as_json, measures_from_events,
+from clockroll.sources.measures import (events_as_json, malformed_json, measures_from_events,
                                         measures_from_lineitem, parse_measures, valid_measures)
 
 # arr_major of lineitem is l_orderkey: chunk the arrival axis by blocks of order keys
@@ -248,17 +248,54 @@ def q_lineitem_daily_by_supplier(spark, sf_dir):
     return _r6(rows)
 
 
+def q_parse_bad_input(spark, sf_dir):
+    """Every record with its fate: the reason it was rejected, or its parsed fields."""
+    parsed = parse_measures(malformed_json(table(spark, sf_dir, "events")))
+    good = F.col("reason").isNull()
+    return _r6(parsed.select(F.col("arr_minor").alias("event_id"), "reason", F.when(good, F.col("object_id")).alias("object_id"),
+                             F.when(good, F.col("ts_ms")).alias("ts_ms"), F.when(good, F.col("value")).alias("value")))
+
+
+CADENCE = RollupConfig(granularity=60, allowed_lateness=30)  # flush_every default 2
+
+
+def q_emissions_cadence(spark, sf_dir):
+    return _r6(emissions(dense(spark, sf_dir), CADENCE).select(*EMISSION_COLUMNS))
+
+
+def _halves(spark, sf_dir):
+    """The dense measures in two halves by event id, each with its own emissions: the second one
+    meets stored rows of the first."""
+    m = dense(spark, sf_dir)
+    return [emissions(m.where(F.pmod("arr_minor", F.lit(2)) == i), DENSE_LATE) for i in (0, 1)]
+
+
+def _stored(spark, sf_dir):
+    from clockroll.session import scratch_dir
+    from clockroll.sources.target import RollupTable
+    t = RollupTable(spark, scratch_dir(spark, "upsert-stored"))
+    return t, [t.apply(em, i) for i, em in enumerate(_halves(spark, sf_dir))]
+
+
+def q_upsert_onto_stored(spark, sf_dir):
+    return _r6(_stored(spark, sf_dir)[0].read())
+
+
+def q_upsert_onto_stored_actions(spark, sf_dir):
+    acts = _stored(spark, sf_dir)[1]
+    rows = [(i, *[a[c] for c in ACTION_COLUMNS]) for i, a in enumerate(acts)]
+    return spark.createDataFrame(rows, "batch int, " + ", ".join(f"{c} long" for c in ACTION_COLUMNS))
+
+
 def q_stream_rollup(spark, sf_dir):
     from clockroll.streaming.job import replay_to_table
     # three arrival slices, one micro-batch each: the state crosses batch boundaries
-    return _r6(replay_to_table(spark, dense(spark, sf_dir), DENSE_LATE, slices=3,
-                               files_per_batch=1).read())
+    return _r6(replay_to_table(spark, dense(spark, sf_dir), DENSE_LATE, slices=3).read())
 
 
 def q_stream_emissions_cadence(spark, sf_dir):
     from clockroll.streaming.job import replay_emissions
-    cfg = RollupConfig(granularity=60, allowed_lateness=30)  # flush_every default 2
-    return _r6(replay_emissions(spark, dense(spark, sf_dir), cfg, slices=3, files_per_batch=1))
+    return _r6(replay_emissions(spark, dense(spark, sf_dir), CADENCE, slices=3))
 
 
 QUERIES = {
@@ -295,6 +332,10 @@ QUERIES = {
     "upsert_final_parity": q_upsert_final_parity,
     "upsert_final_combine": q_upsert_final_combine,
     "lineitem_daily_by_supplier": q_lineitem_daily_by_supplier,
+    "parse_bad_input": q_parse_bad_input,
+    "emissions_cadence": q_emissions_cadence,
+    "upsert_onto_stored": q_upsert_onto_stored,
+    "upsert_onto_stored_actions": q_upsert_onto_stored_actions,
     "stream_rollup": q_stream_rollup,
     "stream_emissions_cadence": q_stream_emissions_cadence,
 }
@@ -382,6 +423,37 @@ st AS (SELECT {g} AS minutes, object_id, ws_ms, count(*) AS n, sum(value) AS s,
 SELECT {O.final_cols(g)} FROM st"""
 
 
+def _sql_emission_rows(ctes: str, g: int) -> str:
+    return f"""WITH RECURSIVE {ctes}
+SELECT minutes, object_id, {O.date_key(g)} AS date, {O.ts_of()} AS "timestamp",
+  n AS "count", {O.r6('s')} AS "sum", {O.r6('mn')} AS "min", {O.r6('mx')} AS "max",
+  {O.r6('s / n')} AS mean, {O.r6('CASE WHEN lts > 0 THEN lst ELSE 0.0 END')} AS "last",
+  greatest(lts, 0) AS last_ts, {O.r6('CASE WHEN adv THEN k0 END')} AS k,
+  {O.r6('CASE WHEN adv THEN ks END')} AS k_sum, {O.r6('CASE WHEN adv THEN ks2 END')} AS k_sum_2,
+  {O.r6('CASE WHEN adv THEN sqrt(greatest((ks2 - ks * ks / n) / n, 0.0)) END')} AS std,
+  kind, phase, arr_major, arr_minor
+FROM em"""
+
+
+def _sql_cadence() -> str:
+    c = CADENCE
+    return _sql_emission_rows(O.cadence_cte(O.events_dense(), c.granularity, c.allowed_lateness, c.flush_every), c.granularity)
+
+
+def _sql_bad_input() -> str:
+    """The faults by ``event_id`` modulo 16 and the first reason that applies."""
+    return f"""WITH e AS (SELECT *, arr_minor % 16 AS q, unit NOT IN {O.TARGET} AS foreign_unit FROM ({O.events_sparse(float32=True)}) z),
+r AS (SELECT *, CASE WHEN q = 12 THEN 'bad_json' WHEN q IN (1, 2) THEN 'bad_timestamp' WHEN q IN (3, 4) THEN 'bad_object_id'
+    WHEN q IN (5, 15) OR foreign_unit THEN 'unit' WHEN q IN (6, 7, 8, 13) THEN 'bad_value' WHEN q = 9 THEN 'nan'
+    WHEN q = 10 THEN 'missing_object' WHEN q = 11 THEN 'missing_timestamp' END AS reason FROM e)
+SELECT arr_minor AS event_id, reason, CASE WHEN reason IS NULL THEN object_id END AS object_id,
+  CASE WHEN reason IS NULL THEN ts_ms END AS ts_ms, {O.r6('CASE WHEN reason IS NULL THEN value END')} AS value FROM r"""
+
+
+def _sql_stored(actions: bool) -> str:
+    return O.two_batches_sql(O.events_dense(), DENSE_LATE.granularity, DENSE_LATE.allowed_lateness, actions)
+
+
 def _sql_lineitem_daily() -> str:
     c = LINEITEM_LATE
     return O.upsert_parity_sql(O.lineitem_measures(), c.granularity, c.allowed_lateness,
@@ -454,4 +526,9 @@ SELECT {O.final_cols(60)} FROM st""",
     "upsert_final_combine": _sql_upsert_combine(),
     "lineitem_daily_by_supplier": _sql_lineitem_daily(),
     "stream_rollup": O.upsert_parity_sql(O.events_dense(), 60, 30),
+    "parse_bad_input": _sql_bad_input(),
+    "emissions_cadence": _sql_cadence(),
+    "stream_emissions_cadence": _sql_cadence(),
+    "upsert_onto_stored": _sql_stored(actions=False),
+    "upsert_onto_stored_actions": _sql_stored(actions=True),
 }

@@ -187,3 +187,68 @@ SELECT {g} AS minutes, object_id, {date_key(g)} AS date, {ts_of()} AS "timestamp
   {r6('ks')} AS k_sum, {r6('ks2')} AS k_sum_2,
   {r6('CASE WHEN k IS NOT NULL THEN sqrt(greatest((ks2 - ks * ks / n) / n, 0.0)) END')} AS std
 FROM fin"""
+
+
+def cadence_cte(measures: str, g: int, lateness: int, flush_every: int) -> str:
+    """CTE chain ending in ``em`` for a cleanup cadence: cleanups follow one another as a recursion
+    over the on-time records, and a window closes at the first one that finds it due."""
+    L, SL, FE = lateness * 60000, (g + lateness) * 60000, flush_every * 60000
+    return f"""m AS (SELECT *, {ws(g)} AS ws_ms, row_number() OVER (PARTITION BY object_id ORDER BY {ARR}) AS rn
+      FROM ({measures}) q WHERE unit IN {TARGET}),
+c AS (SELECT *, max(ts_ms) OVER (PARTITION BY object_id ORDER BY rn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS ta_ms,
+      max(ts_ms) OVER (PARTITION BY object_id ORDER BY rn) AS now_ms FROM m),
+o AS (SELECT *, (ta_ms IS NULL OR ts_ms >= ta_ms - {L}) AS on_time FROM c),
+clocks AS (SELECT object_id, now_ms, min(rn) AS rn FROM o WHERE on_time GROUP BY object_id, now_ms),
+nxt AS (SELECT a.object_id, a.now_ms, min(b.now_ms) AS next_ms, min(b.rn) AS next_rn FROM clocks a JOIN clocks b
+        ON a.object_id = b.object_id AND a.now_ms + {FE} <= b.now_ms GROUP BY a.object_id, a.now_ms),
+cleanups AS (
+  SELECT object_id, now_ms, rn FROM clocks WHERE rn = 1
+  UNION ALL
+  SELECT n.object_id, n.next_ms, n.next_rn FROM cleanups k JOIN nxt n ON n.object_id = k.object_id AND n.now_ms = k.now_ms),
+w AS (SELECT object_id, ws_ms, min(rn) FILTER (WHERE on_time) AS born FROM o GROUP BY object_id, ws_ms),
+shut AS (SELECT w.object_id, w.ws_ms, min(k.rn) AS shut FROM w JOIN cleanups k
+         ON k.object_id = w.object_id AND k.rn > 1 AND k.now_ms >= w.ws_ms + {SL} GROUP BY w.object_id, w.ws_ms),
+f AS (SELECT o.*, born, shut, on_time OR coalesce(born < rn AND (shut IS NULL OR rn < shut), false) AS inside
+      FROM o JOIN w USING (object_id, ws_ms) LEFT JOIN shut USING (object_id, ws_ms)),
+acc AS (SELECT * FROM f WHERE inside AND shut IS NOT NULL),
+st AS ({window_stats_sql('acc', g)}),
+em AS (
+  SELECT minutes, object_id, ws_ms, n, s, mn, mx, lts, lst, k0, adv, ks, ks2, 'closed' AS kind, 1 AS phase,
+         CAST(NULL AS BIGINT) AS arr_major, CAST(NULL AS BIGINT) AS arr_minor FROM st
+  UNION ALL
+  SELECT {g}, object_id, ws_ms, 1, value, value, value, ts_ms, value, value, unit IN {ADV}, 0.0, 0.0, 'late',
+         CASE WHEN born < rn THEN 2 ELSE 0 END, arr_major, arr_minor FROM f WHERE NOT inside)"""
+
+
+def two_batches_sql(measures: str, g: int, lateness: int, actions: bool) -> str:
+    """Two batches (even and odd ``arr_minor``) applied in turn, emission by emission, as a recursion
+    over each key's emissions: a stored row takes a late record in, and is replaced by a closed
+    window that counts more records."""
+    half = [f"SELECT * FROM ({measures}) z WHERE arr_minor % 2 = {i}" for i in (0, 1)]
+    parts = [f"SELECT {i} AS batch, * FROM (WITH {emissions_cte(half[i], g, lateness)} SELECT * FROM em)" for i in (0, 1)]
+    row = "n, s, mn, mx, lts, lst, CASE WHEN adv THEN k0 END AS k, ks, ks2"
+    head = f"""WITH RECURSIVE allem AS ({parts[0]} UNION ALL {parts[1]}),
+e AS (SELECT batch, object_id, ws_ms, kind, {row}, row_number() OVER (PARTITION BY object_id, ws_ms ORDER BY batch, phase, arr_major, arr_minor) AS i FROM allem),
+r AS (
+  SELECT e.* EXCLUDE (kind), CASE WHEN kind = 'late' THEN 'late_first' ELSE 'normal' END AS act FROM e WHERE i = 1
+  UNION ALL
+  SELECT e.batch, e.object_id, e.ws_ms,
+    CASE WHEN late THEN r.n + 1 WHEN r.n < e.n THEN e.n ELSE r.n END, CASE WHEN late THEN r.s + e.s WHEN r.n < e.n THEN e.s ELSE r.s END,
+    CASE WHEN late THEN least(r.mn, e.mn) WHEN r.n < e.n THEN e.mn ELSE r.mn END, CASE WHEN late THEN greatest(r.mx, e.mx) WHEN r.n < e.n THEN e.mx ELSE r.mx END,
+    CASE WHEN late THEN greatest(r.lts, e.lts) WHEN r.n < e.n THEN e.lts ELSE r.lts END,
+    CASE WHEN late AND r.lts < e.lts THEN e.lst WHEN late THEN r.lst WHEN r.n < e.n THEN e.lst ELSE r.lst END,
+    CASE WHEN late THEN r.k WHEN r.n < e.n THEN e.k ELSE r.k END,
+    CASE WHEN late THEN r.ks + (e.s - r.k) WHEN r.n < e.n THEN e.ks ELSE r.ks END,
+    CASE WHEN late THEN r.ks2 + (e.s - r.k) * (e.s - r.k) WHEN r.n < e.n THEN e.ks2 ELSE r.ks2 END,
+    e.i, CASE WHEN late THEN 'late_update' WHEN r.n < e.n THEN 'override' ELSE 'skip' END
+  FROM r JOIN (SELECT *, kind = 'late' AS late FROM e) e ON e.object_id = r.object_id AND e.ws_ms = r.ws_ms AND e.i = r.i + 1)
+"""
+    if actions:
+        one = lambda *a: f"count(*) FILTER (WHERE act IN ({', '.join(repr(x) for x in a)}))"
+        return head + f"""SELECT batch, {one('normal')} AS rec_normal, {one('late_first', 'late_update')} AS rec_late, {one('late_first')} AS rec_late_first,
+  {one('late_update')} AS rec_late_update, {one('override')} AS rec_override, {one('skip')} AS rec_skip FROM r GROUP BY batch"""
+    return head + f"""SELECT {g} AS minutes, object_id, {date_key(g)} AS date, {ts_of()} AS "timestamp",
+  n AS "count", {r6('s')} AS "sum", {r6('mn')} AS "min", {r6('mx')} AS "max", {r6('s / n')} AS mean, {r6('lst')} AS "last", lts AS last_ts,
+  {r6('k')} AS k, {r6('CASE WHEN k IS NOT NULL THEN ks END')} AS k_sum, {r6('CASE WHEN k IS NOT NULL THEN ks2 END')} AS k_sum_2,
+  {r6('CASE WHEN k IS NOT NULL THEN sqrt(greatest((ks2 - ks * ks / n) / n, 0.0)) END')} AS std
+FROM (SELECT * FROM r QUALIFY row_number() OVER (PARTITION BY object_id, ws_ms ORDER BY i DESC) = 1)"""

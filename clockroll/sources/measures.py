@@ -98,37 +98,46 @@ def valid_measures(parsed: DataFrame) -> DataFrame:
     return parsed.filter(F.col("reason").isNull()).select(*MEASURE_COLUMNS)
 
 
+def countable(measures: DataFrame, basic=BASIC_UNITS, advanced=ADVANCED_UNITS) -> DataFrame:
+    """The measures that can be aggregated, by the same rules as ``parse_measures``."""
+    return measures.where(is_target_unit(F.col("unit"), basic, advanced) & F.col("value").isNotNull() & ~F.isnan("value")
+                          & F.col("object_id").isNotNull() & F.col("ts_ms").isNotNull())
+
+
 def read_json_measures(spark: SparkSession, path: str) -> DataFrame:
     """Batch scan of a JSON-lines history (one measure per line).
 
-    Arrival = (file ordinal in name order, position inside the file): histories are
-    written as time-named files.  The ordinal table has one row per input file (bounded by
-    the file count, broadcast); the position is ``monotonically_increasing_id``, which
-    grows along a file because a file's splits keep their offset order."""
-    raw = spark.read.text(path).select("value", F.input_file_name().alias("_file"),
-                                       F.monotonically_increasing_id().alias("arr_minor"))
-    files = sorted(spark.read.text(path).inputFiles())
-    ordinals = spark.createDataFrame([(f, i) for i, f in enumerate(files)],
-                                     "_file string, arr_major long")
-    raw = raw.join(F.broadcast(ordinals), "_file", "left")
+    Arrival = (microseconds since the epoch at which the file was written, then its name and the
+    place in it): histories are written as successive files.  All of it is the scan's own
+    metadata, so no file list passes the driver.  ``arr_minor`` packs a 24-bit hash of the name
+    above the place (bytes before the split, then the line's number in the split)."""
+    raw = spark.read.text(path).select(
+        "value", F.unix_micros("_metadata.file_modification_time").alias("arr_major"),
+        (F.pmod(F.xxhash64("_metadata.file_path"), F.lit(1 << 23)) * F.lit(1 << 40) + F.col("_metadata.file_block_start")
+         + F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))).alias("arr_minor"))
     return parse_measures(raw)
 
 
-def read_kafka_measures(spark: SparkSession, bootstrap: str, topic: str,
-                        group_id: str | None = None) -> DataFrame:
-    """Streaming Kafka source (needs the spark-sql-kafka package on the classpath).
-    Arrival = (offset, partition): per object, records of one key live in one partition,
-    so offset order is arrival order."""
-    r = (spark.readStream.format("kafka")
-         .option("kafka.bootstrap.servers", bootstrap.replace(";", ","))
-         .option("subscribe", topic)
-         .option("startingOffsets", "earliest"))
+#: Records a Kafka micro-batch takes at most, so that the first one is not the whole topic.
+MAX_OFFSETS_PER_TRIGGER = 5_000_000
+
+
+def kafka_arrivals(records: DataFrame) -> DataFrame:
+    """``value``, ``arr_major``, ``arr_minor`` of Kafka records.  Arrival is the record timestamp, then
+    (partition, offset): producers may send without a key, so one object's records spread over
+    partitions, whose offsets cannot be compared."""
+    return records.select(F.col("value").cast("string").alias("value"), F.unix_micros("timestamp").alias("arr_major"),
+                          (F.col("partition").cast("long") * F.lit(1 << 44) + F.col("offset")).alias("arr_minor"))
+
+
+def read_kafka_measures(spark: SparkSession, bootstrap: str, topic: str, group_id: str | None = None,
+                        max_offsets: int = MAX_OFFSETS_PER_TRIGGER) -> DataFrame:
+    """Streaming Kafka source (needs the spark-sql-kafka package on the classpath)."""
+    r = (spark.readStream.format("kafka").option("kafka.bootstrap.servers", bootstrap.replace(";", ","))
+         .option("subscribe", topic).option("startingOffsets", "earliest").option("maxOffsetsPerTrigger", max_offsets))
     if group_id:
         r = r.option("kafka.group.id", group_id)
-    raw = r.load().select(F.col("value").cast("string").alias("value"),
-                          F.col("offset").alias("arr_major"),
-                          F.col("partition").cast("long").alias("arr_minor"))
-    return parse_measures(raw)
+    return parse_measures(kafka_arrivals(r.load()))
 
 
 # ---------------------------------------------------------------------------
@@ -212,3 +221,23 @@ def events_as_json(events: DataFrame) -> DataFrame:
         F.lit("any").alias("unitName"),
         F.col("user_id").alias("owner"))
     return events.select(F.to_json(body).alias("value"), major, minor)
+
+
+def malformed_json(events: DataFrame) -> DataFrame:
+    """``events_as_json`` with faults dealt out by ``event_id`` modulo 16: every reject reason occurs,
+    and so do records with several faults."""
+    major, minor = _event_arrival(events)
+    q = F.pmod("event_id", F.lit(16))
+    quote = lambda c: F.concat(F.lit('"'), c, F.lit('"'))
+    obj = F.col("user_id").cast("int").cast("string")
+    ts = quote(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"))
+    value = quote(F.col("value").cast("string"))
+    pair = lambda name, c: F.concat(F.lit(f'"{name}":'), c)
+    obj = F.when(q == 3, F.lit('"x1"')).when(q == 4, F.concat(obj, F.lit(".5"))).when(q == 14, quote(obj)).otherwise(obj)
+    ts = F.when(q == 1, F.lit('"2020"')).when(q == 2, F.lit('"yesterday"')).otherwise(ts)
+    value = (F.when(q == 6, F.lit('""')).when(q == 7, F.lit('"1.2.2"')).when(q == 8, F.lit('"true"')).when(q == 9, F.lit('"NaN"'))
+             .when(q == 13, F.lit('"nan"')).when(q == 15, F.lit('"oops"')).otherwise(value))
+    unit = quote(F.when(q.isin(5, 15), F.lit("kWh")).otherwise(_event_unit(F.col("event_type"))))
+    parts = [F.when(q != 10, pair("objectId", obj)), F.when(q != 11, pair("timestamp", ts)), pair("unitSymbol", unit), pair("value", value)]
+    body = F.concat(F.lit("{"), F.concat_ws(",", *parts), F.when(q == 12, F.lit("")).otherwise(F.lit("}")))
+    return events.select(body.alias("value"), major, minor)

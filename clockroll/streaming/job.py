@@ -8,35 +8,38 @@ checkpoint (state is bound to the granularity).
 
 from __future__ import annotations
 
+from zlib import crc32
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clockroll.config import RollupConfig
-from clockroll.functions.units import is_target_unit
 from clockroll.operators.aggregate import with_keys
+from clockroll.operators.arrivals import Rules
+from clockroll.operators.cadence import EMITTED_DDL, with_phases
 from clockroll.operators.lateness import EMISSION_COLUMNS
 from clockroll.session import scratch_dir, ship_package
-from clockroll.sources.measures import MEASURE_COLUMNS
-from clockroll.sources.target import RollupTable
-from clockroll.streaming.processor import EMIT_SCHEMA, WindowProcessor
+from clockroll.sources.measures import MEASURE_COLUMNS, countable
+from clockroll.sources.target import RollupTable, _exists
+from clockroll.streaming.processor import WindowProcessor
 
 
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def emissions_stream(measures: DataFrame, cfg: RollupConfig, idle_timeout: bool = False) -> DataFrame:
-    """Streaming (or batch) measures -> emission rows (target columns + kind, phase).
+    """Streaming measures -> emission rows (target columns + kind, phase); records that cannot
+    be aggregated (foreign unit, no value, NaN, no object, no time) are left out here too.
     With ``idle_timeout`` the query needs a processing-time trigger (timers)."""
     spark = measures.sparkSession
     ship_package(spark)
     # keyed state with a value and a map per object needs a column-family state store
     if "RocksDB" not in (spark.conf.get("spark.sql.streaming.stateStore.providerClass", "") or ""):
         spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
-    m = measures.filter(is_target_unit(F.col("unit"))).select(*MEASURE_COLUMNS)
-    proc = WindowProcessor(cfg.granularity, cfg.allowed_lateness, cfg.flush_every, cfg.align,
-                           timeout_ms=cfg.timeout_ms if idle_timeout else None)
+    m = countable(measures).select(*MEASURE_COLUMNS)
+    proc = WindowProcessor(Rules.of(cfg), timeout_ms=cfg.timeout_ms if idle_timeout else None)
     out = m.groupBy("object_id").transformWithStateInPandas(
-        statefulProcessor=proc, outputStructType=EMIT_SCHEMA, outputMode="Append",
+        statefulProcessor=proc, outputStructType=EMITTED_DDL, outputMode="Append",
         timeMode="ProcessingTime" if idle_timeout else "None")
     return with_keys(out.withColumn("minutes", F.lit(cfg.granularity))).select(*EMISSION_COLUMNS)
 
@@ -51,7 +54,7 @@ def start_rollup_query(spark: SparkSession, measures_stream: DataFrame, cfg: Rol
         table.apply(batch, batch_id)
 
     w = (em.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
-         .queryName(f"clockroll_{cfg.granularity}m_{abs(hash(table_path)) % 10**8}"))
+         .queryName(f"clockroll_{cfg.granularity}m_{crc32(table_path.encode())}"))
     w = w.trigger(**(trigger or {"processingTime": f"{cfg.checkpoint_interval_ms} milliseconds"}))
     return w.start()
 
@@ -82,57 +85,45 @@ def start_rollup_queries(spark: SparkSession, measures_stream: DataFrame,
             for c in cfgs]
 
 
-def _stage_arrivals(spark: SparkSession, measures: DataFrame, inbox: str, slices: int) -> None:
-    """Write a recorded history into the stream's input folder as ``slices`` arrival
-    ranges, one write job per range in arrival order: the file source takes files by
-    modification time, so every micro-batch holds whole files of earlier or equal ranges
-    and the operator's per-key sort by arrival restores the exact order."""
+def _slices(spark: SparkSession, measures: DataFrame, slices: int) -> list[str]:
+    """A recorded history as one folder per arrival range, earliest first (one write)."""
+    root = scratch_dir(spark, "replay-history")
     m = measures.select(*MEASURE_COLUMNS)
-    if slices <= 1:
-        m.write.mode("append").parquet(inbox)
-        return
-    qs = m.approxQuantile("arr_major", [i / slices for i in range(1, slices)], 0.001)
-    bounds = [None] + sorted(set(qs)) + [None]
-    for i in range(len(bounds) - 1):
-        lo, hi = bounds[i], bounds[i + 1]
-        part = m
-        if lo is not None:
-            part = part.filter(F.col("arr_major") > F.lit(lo))
-        if hi is not None:
-            part = part.filter(F.col("arr_major") <= F.lit(hi))
-        part.write.mode("append").parquet(inbox)
-
-
-def _replay(spark: SparkSession, measures: DataFrame, cfg: RollupConfig, sink, slices: int,
-            files_per_batch: int | None = None):
-    """Drive the streaming operator over a recorded history (bounded micro-batches of
-    ``files_per_batch`` files, default the cluster's parallelism)."""
-    inbox = scratch_dir(spark, "replay-inbox")
-    ckpt = scratch_dir(spark, "replay-ckpt")
-    _stage_arrivals(spark, measures, inbox, slices)
-    schema = spark.read.parquet(inbox).schema
-    per_batch = files_per_batch or max(1, spark.sparkContext.defaultParallelism)
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", per_batch).parquet(inbox)
-    em = emissions_stream(stream, cfg)
+    bounds = sorted(set(m.approxQuantile("arr_major", [i / slices for i in range(1, slices)], 0.01))) if slices > 1 else []
+    part = F.lit(0)
+    for b in bounds:
+        part = part + F.when(F.col("arr_major") > F.lit(int(b)), 1).otherwise(0)
+    m.withColumn("slice", part).write.partitionBy("slice").parquet(f"{root}/h")
+    return [f"{root}/h/slice={i}" for i in range(len(bounds) + 1)]
+
+
+def _replay(spark: SparkSession, measures: DataFrame, cfg: RollupConfig, sink, slices: int) -> None:
+    """Drive the streaming operator over a recorded history.  Each slice is delivered as a whole
+    and is one micro-batch: the query is started once per slice, on one checkpoint, with no
+    limit on files, so an object's records are never taken out of arrival order however many
+    files a slice has.  A check of the stream; histories are computed by ``emissions``."""
+    inbox, ckpt = scratch_dir(spark, "replay-inbox"), scratch_dir(spark, "replay-ckpt")
+    schema = measures.select(*MEASURE_COLUMNS).schema
     # a replay's state partitions follow the cluster's parallelism (fixed at first start
     # of the query, recorded in its checkpoint); the session setting is restored after
     key = "spark.sql.shuffle.partitions"
     old = spark.conf.get(key)
     spark.conf.set(key, str(max(1, spark.sparkContext.defaultParallelism)))
-    q = None
     try:
-        q = (em.writeStream.foreachBatch(sink).option("checkpointLocation", ckpt)
-             .trigger(availableNow=True).start())
-        q.awaitTermination()
+        for path in _slices(spark, measures, slices):
+            # a slice without records has no folder
+            if not _exists(spark, path):
+                continue
+            spark.read.schema(schema).parquet(path).write.mode("append").parquet(inbox)
+            em = emissions_stream(spark.readStream.schema(schema).parquet(inbox), cfg)
+            q = em.writeStream.foreachBatch(sink).option("checkpointLocation", ckpt).trigger(availableNow=True).start()
+            q.awaitTermination()
     finally:
         spark.conf.set(key, old)
-        if q is not None and q.isActive:
-            q.stop()
 
 
 def replay_to_table(spark: SparkSession, measures: DataFrame, cfg: RollupConfig,
-                    slices: int = 3, table_path: str | None = None,
-                    files_per_batch: int | None = None) -> RollupTable:
+                    slices: int = 3, table_path: str | None = None) -> RollupTable:
     """Replay a recorded history through the stream into a rollup table.  Each replay is its
     own writer (its batch ids start at 0 with a fresh checkpoint)."""
     import uuid
@@ -143,19 +134,19 @@ def replay_to_table(spark: SparkSession, measures: DataFrame, cfg: RollupConfig,
     def sink(batch: DataFrame, batch_id: int) -> None:
         table.apply(batch, batch_id)
 
-    _replay(spark, measures, cfg, sink, slices, files_per_batch)
+    _replay(spark, measures, cfg, sink, slices)
     return table
 
 
-def replay_emissions(spark: SparkSession, measures: DataFrame, cfg: RollupConfig,
-                     slices: int = 3, files_per_batch: int | None = None) -> DataFrame:
-    """Replay a recorded history through the stream; return the raw emissions."""
+def replay_emissions(spark: SparkSession, measures: DataFrame, cfg: RollupConfig, slices: int = 3) -> DataFrame:
+    """Replay a recorded history through the stream; return all emissions, with phases over the
+    whole history."""
     out = scratch_dir(spark, "replay-emissions")
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         # one folder per batch id: a retried batch overwrites its own output only
-        batch.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").parquet(
-            f"{out}/batch={batch_id}")
+        batch.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
 
-    _replay(spark, measures, cfg, sink, slices, files_per_batch)
-    return spark.read.parquet(out).drop("batch")
+    _replay(spark, measures, cfg, sink, slices)
+    raw = spark.read.parquet(out).drop("batch").withColumn("ws_ms", F.unix_millis(F.col("timestamp").cast("timestamp")))
+    return with_phases(raw).select(*EMISSION_COLUMNS)

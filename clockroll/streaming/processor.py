@@ -1,353 +1,81 @@
-"""Keyed state for the stream: one state per object (its own clock and open windows).
+"""Keyed state for the stream: one :class:`~clockroll.operators.arrivals.Book` per object.
 
 Runs inside ``groupBy("object_id").transformWithStateInPandas``: Spark hash-partitions the
 stream by object, keeps the state in the state store (RocksDB) and checkpoints it with the
-offsets.  Per key and micro-batch the open windows (a handful: about lateness/size + 1)
-are loaded once, the batch's records are applied with array operations
-(:func:`run_object_vectorized`; :func:`run_object` is the record-by-record statement of
-the same rules, kept as the reference in tests), and changed windows are written back --
-the state store is not touched per record.
+offsets.  Per key and micro-batch the open windows (a handful: about lateness/size + 1) are
+read once, the batch's records are applied with array operations, and only the windows that
+changed are written back.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
+from dataclasses import astuple
 
 import numpy as np
 import pandas as pd
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
-from pyspark.sql.types import (BooleanType, DoubleType, IntegerType, LongType, StringType,
-                               StructField, StructType)
+from pyspark.sql.types import LongType, StructField, StructType
 
 from clockroll.functions.units import ADVANCED_UNITS
+from clockroll.operators.arrivals import EMITTED, Book, Rules, Totals
 
-CLOCK_SCHEMA = StructType([StructField("time_advance", LongType()),
-                           StructField("last_cleanup", LongType())])
+CLOCK_SCHEMA = StructType([StructField("clock", LongType()), StructField("cleaned", LongType())])
 WINDOW_KEY_SCHEMA = StructType([StructField("ws_ms", LongType())])
-WINDOW_SCHEMA = StructType([
-    StructField("count", LongType()), StructField("sum", DoubleType()),
-    StructField("min", DoubleType()), StructField("max", DoubleType()),
-    StructField("last", DoubleType()), StructField("last_ts", LongType()),
-    StructField("k", DoubleType()), StructField("k_sum", DoubleType()),
-    StructField("k_sum_2", DoubleType()), StructField("adv", BooleanType()),
-    StructField("closed_before", LongType())])
-
-EMIT_SCHEMA = StructType([
-    StructField("object_id", IntegerType()), StructField("ws_ms", LongType()),
-    StructField("kind", StringType()), StructField("phase", IntegerType()),
-    StructField("count", LongType()), StructField("sum", DoubleType()),
-    StructField("min", DoubleType()), StructField("max", DoubleType()),
-    StructField("mean", DoubleType()), StructField("last", DoubleType()),
-    StructField("last_ts", LongType()), StructField("k", DoubleType()),
-    StructField("k_sum", DoubleType()), StructField("k_sum_2", DoubleType()),
-    StructField("std", DoubleType()), StructField("arr_major", LongType()),
-    StructField("arr_minor", LongType())])
-
-_TIMER_PHASE = 1 << 20  # timeout flushes come after everything of the batch
-
-
-def window_start(ts: int, minutes: int, align: str) -> int:
-    if align == "epoch":
-        w = minutes * 60_000
-        return ts - ts % w
-    in_hour = ts % 3_600_000
-    return ts - in_hour + ((in_hour // 60_000) // minutes) * minutes * 60_000
-
-
-class _Acc:
-    __slots__ = ("count", "sum", "min", "max", "last", "last_ts", "k", "k_sum", "k_sum_2",
-                 "adv", "closed_before")
-
-    def __init__(self, adv: bool, closed_before: int = 0):
-        self.count, self.sum = 0, 0.0
-        self.min = self.max = None
-        self.last, self.last_ts = 0.0, 0
-        self.k = self.k_sum = self.k_sum_2 = None
-        self.adv = adv
-        self.closed_before = closed_before
-
-    def fold(self, v: float, ts: int) -> None:
-        if self.min is None or self.min > v:
-            self.min = v
-        if self.max is None or self.max < v:
-            self.max = v
-        self.count += 1
-        self.sum += v
-        if self.last_ts < ts:
-            self.last, self.last_ts = v, ts
-        if self.adv:
-            if self.k is None:
-                self.k, self.k_sum, self.k_sum_2 = v, 0.0, 0.0
-            else:
-                d = v - self.k
-                self.k_sum += d
-                self.k_sum_2 += d * d
-
-    def as_tuple(self):
-        return (self.count, self.sum, self.min, self.max, self.last, self.last_ts, self.k,
-                self.k_sum, self.k_sum_2, self.adv, self.closed_before)
-
-    @classmethod
-    def of(cls, t) -> "_Acc":
-        a = cls(bool(t[9]), int(t[10] or 0))
-        (a.count, a.sum, a.min, a.max, a.last, a.last_ts, a.k, a.k_sum, a.k_sum_2) = (
-            int(t[0]), float(t[1]), t[2], t[3], float(t[4]), int(t[5]), t[6], t[7], t[8])
-        return a
-
-    def emit(self, obj: int, ws: int, kind: str, phase: int, arr=(None, None)) -> tuple:
-        n = self.count
-        std = None
-        if self.k is not None:
-            var = (self.k_sum_2 - self.k_sum * self.k_sum / n) / n
-            std = math.sqrt(max(var, 0.0))
-        return (obj, ws, kind, phase, n, self.sum, self.min, self.max, self.sum / n,
-                self.last, self.last_ts, self.k, self.k_sum, self.k_sum_2, std, arr[0], arr[1])
-
-
-def run_object(obj: int, ts_a, v_a, adv_a, maj_a, min_a, wins: dict, ta, lc, granularity: int,
-               lateness_ms: int, flush_every_ms: int, align: str = "hour"):
-    """Replay one object's records (already in arrival order) against its open windows.
-
-    ``wins`` (window start -> accumulator) is updated in place; returns
-    (emission tuples, clock, last cleanup).  Emission phases number the late runs (even)
-    and closed emissions (odd) of each window inside this call, for the ordered upsert.
-    """
-    size = granularity * 60_000
-    timeout = size + lateness_ms
-    out = []
-    closed_now: dict[int, int] = {}
-    for i in range(len(ts_a)):
-        ts, v = int(ts_a[i]), float(v_a[i])
-        ws = window_start(ts, granularity, align)
-        if ta is None:
-            ta = lc = ts
-        elif ts < ta - lateness_ms:
-            if ws not in wins:
-                one = _Acc(bool(adv_a[i]))
-                one.fold(v, ts)
-                out.append(one.emit(obj, ws, "late", 2 * closed_now.get(ws, 0),
-                                    (int(maj_a[i]), int(min_a[i]))))
-                continue
-        elif ts > ta:
-            ta = ts
-        acc = wins.get(ws)
-        if acc is None:
-            acc = wins[ws] = _Acc(bool(adv_a[i]))
-        acc.fold(v, ts)
-        if ta - lc >= flush_every_ms:
-            for w in sorted(wins):
-                if w <= ta - timeout:
-                    c = closed_now.get(w, 0)
-                    out.append(wins.pop(w).emit(obj, w, "closed", 2 * c + 1))
-                    closed_now[w] = c + 1
-            lc = ta
-    return out, ta, lc
-
-
-def flush_all(obj: int, wins: dict, phase0: int = 1) -> list:
-    """Close every open window, ascending start (idle timeout / end of input)."""
-    out = [acc.emit(obj, w, "closed", phase0 + 2 * i) for i, (w, acc) in enumerate(sorted(wins.items()))]
-    wins.clear()
-    return out
+WINDOW_DDL = ("n long, total double, low double, high double, last double, last_ts long, k double, "
+              "k_sum double, k_sum_2 double")
 
 
 class WindowProcessor(StatefulProcessor):
     """Per-object windows with lateness, cleanup cadence and (optionally) idle timeout."""
 
-    def __init__(self, granularity: int, lateness: int, flush_every: int, align: str = "hour",
-                 timeout_ms: int | None = None, advanced=ADVANCED_UNITS):
-        self.g = granularity
-        self.size = granularity * 60_000
-        self.lat = lateness * 60_000
-        self.flush_every = flush_every * 60_000
-        self.align = align
-        self.timeout_ms = timeout_ms
-        self.advanced = frozenset(advanced)
+    def __init__(self, rules: Rules, timeout_ms: int | None = None, advanced=ADVANCED_UNITS):
+        self.rules, self.timeout_ms, self.advanced = rules, timeout_ms, frozenset(advanced)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.clock = handle.getValueState("clock", CLOCK_SCHEMA)
-        self.windows = handle.getMapState("windows", WINDOW_KEY_SCHEMA, WINDOW_SCHEMA)
+        self.windows = handle.getMapState("windows", WINDOW_KEY_SCHEMA, WINDOW_DDL)
 
-    def _load(self):
-        wins = {}
-        if self.windows.exists():
-            for k, v in self.windows.iterator():
-                wins[int(k[0])] = _Acc.of(v)
-        ta = lc = None
+    def _book(self) -> Book:
+        book = Book()
         if self.clock.exists():
-            ta, lc = self.clock.get()
-        return wins, ta, lc
+            book.clock, book.cleaned = self.clock.get()
+            book.windows = {int(k[0]): Totals(*v) for k, v in self.windows.iterator()}
+        return book
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        obj = int(key[0])
-        pdf = pd.concat(list(rows), ignore_index=True)
-        pdf = pdf.sort_values(["arr_major", "arr_minor"], kind="stable")
-        wins, ta, lc = self._load()
-        before = set(wins)
-        out, ta, lc = run_object_vectorized(
-            obj, pdf["ts_ms"].to_numpy(dtype=np.int64), pdf["value"].to_numpy(dtype=np.float64),
-            pdf["unit"].isin(self.advanced).to_numpy(), pdf["arr_major"].to_numpy(),
-            pdf["arr_minor"].to_numpy(), wins, ta, lc, self.g, self.lat, self.flush_every,
-            self.align)
-        self.clock.update((int(ta), int(lc)))
-        for w in before - set(wins):
-            self.windows.removeKey((w,))
-        for w, acc in wins.items():
-            self.windows.updateValue((w,), acc.as_tuple())
+        obj, book = int(key[0]), self._book()
+        parts = list(rows)
+        col = lambda c, kind: np.concatenate([p[c].to_numpy(dtype=kind) for p in parts])
+        major, minor = col("arr_major", np.int64), col("arr_minor", np.int64)
+        order = np.lexsort((minor, major))
+        adv = np.array([u in self.advanced for p in parts for u in p["unit"]])
+        known = set(book.windows)
+        out = book.take(self.rules, obj, col("ts_ms", np.int64)[order], col("value", np.float64)[order], adv[order], major[order], minor[order])
+        self.clock.update((book.clock, book.cleaned))
+        for w in book.touched:
+            if w in book.windows:
+                self.windows.updateValue((w,), astuple(book.windows[w]))
+            elif w in known:
+                self.windows.removeKey((w,))
         if self.timeout_ms:
             for t in self.handle.listTimers():
                 self.handle.deleteTimer(t)
             self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.timeout_ms)
         if out:
-            yield pd.DataFrame(out, columns=[f.name for f in EMIT_SCHEMA.fields])
+            yield _frame(out)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         """Idle timeout: no record for this object for ``timeout``: flush all its windows."""
-        obj = int(key[0])
-        wins, _, _ = self._load()
-        out = flush_all(obj, wins, _TIMER_PHASE + 1)
+        out = self._book().flush(int(key[0]))
         self.windows.clear()
         if out:
-            yield pd.DataFrame(out, columns=[f.name for f in EMIT_SCHEMA.fields])
+            yield _frame(out)
 
     def close(self) -> None:
         pass
 
 
-def _window_starts(ts: np.ndarray, minutes: int, align: str) -> np.ndarray:
-    if align == "epoch":
-        w = minutes * 60_000
-        return ts - np.mod(ts, w)
-    in_hour = np.mod(ts, 3_600_000)
-    return ts - in_hour + ((in_hour // 60_000) // minutes) * minutes * 60_000
-
-
-def run_object_vectorized(obj: int, ts_a, v_a, adv_a, maj_a, min_a, wins: dict, ta, lc,
-                          granularity: int, lateness_ms: int, flush_every_ms: int,
-                          align: str = "hour"):
-    """Same contract and result as :func:`run_object`, computed with array operations.
-
-    * clock before/after each record: a running max (late records never raise it);
-    * cleanups only happen at on-time records (a late record leaves the clock, hence the
-      cleanup test, unchanged): with cadence F the cleanup points are a greedy recurrence
-      over the non-decreasing clock, found with ``searchsorted`` (one step per cleanup,
-      not per record); with F = 0 every on-time record is one;
-    * a window opens at its first on-time record (or exists in state) and closes at the
-      first cleanup whose clock reaches start + size + lateness;
-    * a late record is folded iff its window is open at that point, else emitted alone.
-    Per-window work is a group-by over the batch's accepted records."""
-    n = len(ts_a)
-    if n == 0:
-        return [], ta, lc
-    ts = np.asarray(ts_a, dtype=np.int64)
-    v = np.asarray(v_a, dtype=np.float64)
-    adv = np.asarray(adv_a, dtype=bool)
-    maj = np.asarray(maj_a, dtype=np.int64)
-    mnr = np.asarray(min_a, dtype=np.int64)
-    sl = granularity * 60_000 + lateness_ms
-    ws = _window_starts(ts, granularity, align)
-
-    # -- clock ---------------------------------------------------------------------
-    ta_after = np.maximum.accumulate(ts)
-    if ta is not None:
-        ta_after = np.maximum(ta_after, ta)
-        ta_before = np.concatenate(([ta], ta_after[:-1]))
-        on_time = ts >= ta_before - lateness_ms
-    else:
-        lc = int(ts[0])
-        ta_before = np.concatenate(([ts[0]], ta_after[:-1]))
-        on_time = ts >= ta_before - lateness_ms
-        on_time[0] = True
-
-    # -- cleanup points (indices of on-time records) ----------------------------------
-    cand = np.flatnonzero(on_time)
-    if flush_every_ms == 0:
-        points = cand
-    else:
-        ta_c = ta_after[cand]
-        picked, cur = [], lc
-        while True:
-            k = int(np.searchsorted(ta_c, cur + flush_every_ms, side="left"))
-            if k >= len(cand):
-                break
-            picked.append(cand[k])
-            cur = int(ta_c[k])
-        points = np.asarray(picked, dtype=np.int64)
-    new_lc = int(ta_after[points[-1]]) if len(points) else lc
-    ta_points = ta_after[points]
-
-    # -- windows: opening and closing points ----------------------------------------
-    ot_idx = cand
-    ot_ws = ws[ot_idx]
-    uniq, first = np.unique(ot_ws, return_index=True)
-    opened_at = {int(w): int(ot_idx[f]) for w, f in zip(uniq, first) if int(w) not in wins}
-    for w in wins:
-        opened_at[w] = -1
-    keys = np.asarray(sorted(opened_at), dtype=np.int64)
-    o_arr = np.asarray([opened_at[int(w)] for w in keys], dtype=np.int64)
-    k_close = np.searchsorted(ta_points, keys + sl, side="left")
-    never = n + 1
-    p_arr = np.where(k_close < len(points),
-                     points[np.minimum(k_close, max(len(points) - 1, 0))] if len(points) else never,
-                     never).astype(np.int64)
-
-    # -- late records: folded iff their window is open at that point --------------------
-    late_idx = np.flatnonzero(~on_time)
-    accepted = on_time.copy()
-    late_phase = np.zeros(len(late_idx), dtype=np.int64)
-    emitted_late = np.ones(len(late_idx), dtype=bool)
-    if len(late_idx) and len(keys):
-        pos = np.clip(np.searchsorted(keys, ws[late_idx]), 0, len(keys) - 1)
-        found = keys[pos] == ws[late_idx]
-        o_l, p_l = o_arr[pos], p_arr[pos]
-        is_open = found & (o_l < late_idx) & (p_l > late_idx)
-        accepted[late_idx[is_open]] = True
-        emitted_late = ~is_open
-        late_phase = np.where(found & (p_l < late_idx), 2, 0)
-
-    out = []
-    # -- fold accepted records per window ------------------------------------------------
-    a_idx = np.flatnonzero(accepted)
-    if len(a_idx):
-        frame = pd.DataFrame({"w": ws[a_idx], "v": v[a_idx], "ts": ts[a_idx],
-                              "adv": adv[a_idx], "i": a_idx})
-        g = frame.groupby("w", sort=True)
-        firsts = g.first()  # rows are in arrival order: first accepted record per window
-        agg = g.agg(n=("v", "size"), s=("v", "sum"), mn=("v", "min"), mx=("v", "max"),
-                    lts=("ts", "max"))
-        last_rows = frame.loc[frame.groupby("w")["ts"].idxmax()].set_index("w")["v"]
-        for w, row in agg.iterrows():
-            w = int(w)
-            acc = wins.get(w)
-            if acc is None:
-                acc = wins[w] = _Acc(bool(firsts.at[w, "adv"]))
-            vals = frame.v.values[g.indices[w]]
-            if acc.adv and acc.k is None:
-                acc.k, acc.k_sum, acc.k_sum_2 = float(vals[0]), 0.0, 0.0
-            if acc.k is not None:
-                d = vals - acc.k
-                acc.k_sum += float(d.sum())
-                acc.k_sum_2 += float((d * d).sum())
-            acc.min = float(row.mn) if acc.min is None else min(acc.min, float(row.mn))
-            acc.max = float(row.mx) if acc.max is None else max(acc.max, float(row.mx))
-            acc.count += int(row.n)
-            acc.sum += float(row.s)
-            if acc.last_ts < int(row.lts):
-                acc.last, acc.last_ts = float(last_rows.at[w]), int(row.lts)
-    # -- closed windows ------------------------------------------------------------------
-    closing = [(int(p), int(w)) for w, p in zip(keys, p_arr) if p != never]
-    for p, w in sorted(closing):
-        acc = wins.pop(w, None)
-        if acc is not None and acc.count:
-            out.append(acc.emit(obj, w, "closed", 1))
-    # -- late records emitted alone --------------------------------------------------------
-    if len(late_idx):
-        li = late_idx[emitted_late]
-        ph = late_phase[emitted_late]
-        for i, phase in zip(li.tolist(), ph.tolist()):
-            one = _Acc(bool(adv[i]))
-            one.fold(float(v[i]), int(ts[i]))
-            out.append(one.emit(obj, int(ws[i]), "late", int(phase), (int(maj[i]), int(mnr[i]))))
-    return out, int(ta_after[-1]), new_lc
+def _frame(rows: list[tuple]) -> pd.DataFrame:
+    return pd.DataFrame(rows, columns=list(EMITTED))

@@ -75,39 +75,3 @@ def test_last_tie_first_arrival_wins(spark):
                                      "arr_major long, arr_minor long")
     r = rollup(df, 60).first()
     assert r["last"] == 6.0 and r["k"] == 6.0
-
-
-def _row(count, obj=1, minutes=15, date="2020-01", v=1.0, ts=T0 + 1000, k=1.0):
-    import datetime as dt
-    return (minutes, obj, date, dt.datetime(2020, 1, 1, 10), count, v * count, v, v, v, v, ts,
-            k, 0.0, 0.0, 0.0 if k is not None else None)
-
-
-def _add(spark, a, b):
-    import pytest  # noqa: F401
-    from pyspark.sql import functions as F
-    from clockroll.operators.merge import add_one
-    sch = TARGET_SCHEMA
-    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in sch.fields)
-    df = spark.createDataFrame([(a, b)], f"s struct<{fields}>, l struct<{fields}>")
-    return df.select(add_one(F.col("s"), F.col("l")).alias("r")).first()["r"]
-
-
-def test_add_one_and_errors(spark):
-    import pytest
-    r = _add(spark, _row(2, v=1.0), _row(1, v=4.0, ts=T0 + 5000))
-    assert r["count"] == 3 and r["sum"] == 6.0 and r["last"] == 4.0 and r["max"] == 4.0
-    assert r["k_sum"] == 3.0 and r["k_sum_2"] == 9.0
-    for stored, late in [(_row(0), _row(1)), (_row(2), _row(0)), (_row(2, obj=1), _row(1, obj=2)),
-                         (_row(2, date="2020-01"), _row(1, date="2020-02")),
-                         (_row(2, minutes=15), _row(1, minutes=60))]:
-        with pytest.raises(Exception):
-            _add(spark, stored, late)
-
-
-def test_epoch_or_earlier_never_sets_last(spark):
-    recs = [(1, "V", 0, 5.0, 0, 0), (1, "V", -60_000, 6.0, 1, 0)]
-    df = spark.createDataFrame(recs, "object_id int, unit string, ts_ms long, value double, "
-                                     "arr_major long, arr_minor long")
-    r = rollup(df, 60).collect()
-    assert sorted((x["last"], x["last_ts"], x["count"]) for x in r) == [(0.0, 0, 1), (0.0, 0, 1)]

@@ -108,7 +108,24 @@ def test_replay_and_combine(spark):
     assert total == em.agg(F.sum("count")).collect()[0][0]
 
 
-def test_batch_form_refuses_a_cleanup_cadence(spark):
-    recs = random_records(11, n=20)
-    with pytest.raises(ValueError):
-        emissions(to_df(spark, recs), RollupConfig(granularity=60, allowed_lateness=30))
+@pytest.mark.parametrize("flush_end", [False, True])
+@pytest.mark.parametrize("seed,g,lat,fe", [(11, 60, 30, 2), (12, 15, 5, 7), (13, 1440, 60, 30)])
+def test_cadence_matches_fold(spark, seed, g, lat, fe, flush_end):
+    """One pass over sorted records, in Arrow batches far smaller than an object's history."""
+    recs = random_records(seed, n=700, objects=3)
+    key, old = "spark.sql.execution.arrow.maxRecordsPerBatch", spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set(key, "37")
+    try:
+        got = emissions(to_df(spark, recs), RollupConfig(granularity=g, allowed_lateness=lat, flush_every=fe), flush_at_end=flush_end)
+        got = got.withColumn("ws_ms", F.unix_millis(F.col("timestamp").cast("timestamp"))).select(
+            "object_id", "ws_ms", "kind", "phase", "count", "sum", "min", "max", "mean", "last", "last_ts", "k", "k_sum", "k_sum_2", "std", "arr_major", "arr_minor").collect()
+    finally:
+        spark.conf.set(key, old)
+    order = lambda e: (e[0], e[1], e[3], e[15] or 0, e[16] or 0)
+    want = sorted(fold_emissions(recs, g, lat, fe, flush_end=flush_end), key=order)
+    got = sorted(map(tuple, got), key=order)
+    assert len(got) == len(want)
+    for a, b in zip(got, want):
+        assert _key(a) == _key(b), (a, b)
+        for i in range(5, 15):
+            assert close(a[i], b[i]), (i, a, b)

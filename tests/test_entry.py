@@ -10,4 +10,5 @@ def test_entry_smoke(spark):
 def test_oracle_keys_subset():
     q, o = E.queries(), E.oracle_sql()
     assert set(o) <= set(q)
-    assert set(q) - set(o) == {"stream_emissions_cadence"}
+    # every query of the library has SQL; queries of the optional package may be tested otherwise
+    assert not {x for x in set(q) - set(o) if not x.startswith("op") and x != "pipeline"}

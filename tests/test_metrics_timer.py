@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 from clockroll.metrics import observe_parse
 from clockroll.session import scratch_dir
 from clockroll.sources.measures import parse_measures
-from clockroll.streaming.processor import EMIT_SCHEMA, WindowProcessor
+from clockroll.operators.arrivals import Rules
+from clockroll.operators.cadence import EMITTED_DDL
+from clockroll.streaming.processor import WindowProcessor
 
 
 def test_parse_counters(spark):
@@ -29,9 +31,9 @@ def test_idle_timeout_flushes_windows(spark):
     schema = "object_id int, unit string, ts_ms long, value double, arr_major long, arr_minor long"
     spark.createDataFrame(rows, schema).write.mode("append").parquet(inbox)
     stream = spark.readStream.schema(schema).parquet(inbox)
-    proc = WindowProcessor(15, 5, 0, timeout_ms=2000)
+    proc = WindowProcessor(Rules(15, 5 * 60_000, 0), timeout_ms=2000)
     out = stream.groupBy("object_id").transformWithStateInPandas(
-        statefulProcessor=proc, outputStructType=EMIT_SCHEMA, outputMode="Append",
+        statefulProcessor=proc, outputStructType=EMITTED_DDL, outputMode="Append",
         timeMode="ProcessingTime")
     name = "timer_test_out"
     q = (out.writeStream.format("memory").queryName(name)

@@ -1,56 +1,71 @@
-"""The vectorized per-object state machine equals the record-by-record loop."""
+"""A book of one object, over runs of any length, equals the definition."""
 
-import math
 import random
+import time
 
+import numpy as np
 import pytest
 
-from clockroll.streaming.processor import _Acc, run_object, run_object_vectorized
+from clockroll.operators.arrivals import Book, Rules
+from tests.reference_fold import MIN, fates, stats
 
 T0 = 1704067200000
 
 
-def _batch(rnd, n, t_from):
+def records(rnd, n, t_from):
     recs = []
     for i in range(n):
-        ts = t_from + rnd.randrange(0, 3 * 3600_000)
+        ts = t_from + rnd.randrange(0, 6 * 3600_000)
         if rnd.random() < 0.3:
             ts -= ts % 60_000  # equal timestamps
         delay = rnd.choice([0, 0, rnd.randrange(0, 2 * 3600_000)])
-        recs.append((ts, round(rnd.uniform(-5, 50), 2), rnd.random() < 0.7, ts + delay, i))
-    recs.sort(key=lambda r: (r[3], r[4]))
-    return recs
+        recs.append((ts + delay, i, rnd.choice(["V", "lx"]), ts, round(rnd.uniform(-5, 50), 2)))
+    return [(u, ts, v) for _, _, u, ts, v in sorted(recs)]
 
 
-def _run(fn, recs, wins, ta, lc, g, lat, fe):
-    return fn(1, [r[0] for r in recs], [r[1] for r in recs], [r[2] for r in recs],
-              [r[3] for r in recs], [r[4] for r in recs], wins, ta, lc, g, lat * 60_000,
-              fe * 60_000)
+def take(book, rules, recs, first=0):
+    at = np.arange(first, first + len(recs))
+    return book.take(rules, 1, np.array([r[1] for r in recs]), np.array([r[2] for r in recs]),
+                     np.array([r[0] == "V" for r in recs]), at, np.zeros(len(recs), dtype=np.int64))
 
 
-def _canon(out):
-    rows = []
-    for e in out:
-        rows.append(tuple(round(x, 6) if isinstance(x, float) else x for x in e))
-    return sorted(rows, key=lambda r: tuple((x is None, x if x is not None else 0) for x in r))
+def ordered(rows):
+    return sorted(rows, key=lambda r: (r[-2], r[1]))
 
 
-def _state(wins):
-    return {w: tuple(round(x, 6) if isinstance(x, float) else x for x in a.as_tuple())
-            for w, a in wins.items()}
+def same(got, want):
+    assert len(got) == len(want)
+    for a, b in zip(ordered(got), ordered(want), strict=True):
+        assert a[:3] == b[:3] and a[-2:] == b[-2:]
+        assert [x is None for x in a] == [x is None for x in b]
+        assert [x for x in a[3:] if x is not None] == pytest.approx([x for x in b[3:] if x is not None], abs=1e-6)
 
 
-@pytest.mark.parametrize("seed,g,lat,fe", [(s, g, lat, fe) for s in range(6)
-                                            for g, lat, fe in [(15, 5, 0), (60, 30, 0), (60, 30, 2),
-                                                               (25, 0, 7), (1440, 10, 0), (5, 1, 1)]])
-def test_vectorized_equals_loop(seed, g, lat, fe):
+@pytest.mark.parametrize("seed,g,lat,fe", [(s, *c) for s in range(5) for c in [(15, 5, 0), (60, 30, 0), (60, 30, 2), (25, 0, 7), (1440, 10, 0), (5, 1, 1)]])
+def test_equals_the_definition(seed, g, lat, fe):
     rnd = random.Random(seed * 100 + g + fe)
-    wl, wv = {}, {}
-    ta_l = lc_l = ta_v = lc_v = None
-    for b in range(3):  # three micro-batches carrying state
-        recs = _batch(rnd, rnd.randint(1, 120), T0 + b * 3600_000)
-        out_l, ta_l, lc_l = _run(run_object, recs, wl, ta_l, lc_l, g, lat, fe)
-        out_v, ta_v, lc_v = _run(run_object_vectorized, recs, wv, ta_v, lc_v, g, lat, fe)
-        assert (ta_l, lc_l) == (ta_v, lc_v)
-        assert _canon(out_l) == _canon(out_v)
-        assert _state(wl) == _state(wv)
+    recs, rules = records(rnd, 300, T0), Rules(g, lat * MIN, fe * MIN)
+    closed, late, open_ = fates(recs, g, lat, fe)
+    want = ([(1, w, "closed", *stats([recs[i] for i in inside]), at, 0) for w, at, inside in closed]
+                   + [(1, w, "late", *stats([recs[i]]), i, 0) for i, w, _ in late])
+    for cut in ([], [1], [100, 101, 180], list(range(1, 300))):
+        book, out, lo = Book(), [], 0
+        for hi in [*cut, len(recs)]:
+            out += take(book, rules, recs[lo:hi], lo)
+            lo = hi
+        same([(*e[:3], *e[4:]) for e in out], want)
+        if not cut:
+            assert sorted(e[3] for e in out if e[2] == "late") == sorted(p for _, _, p in late)
+        left = [(w, x.n, round(x.total, 6)) for w, x in sorted(book.windows.items())]
+        assert left == [(w, len(inside), round(sum(recs[i][2] for i in inside), 6)) for w, _, inside in open_]
+
+
+def test_cost_of_a_small_run():
+    rules, recs = Rules(60, 30 * MIN, 2 * MIN), records(random.Random(1), 12, T0)
+    times = []
+    for _ in range(300):
+        book = Book()
+        begin = time.perf_counter()
+        take(book, rules, recs)
+        times.append(time.perf_counter() - begin)
+    assert sorted(times)[len(times) // 2] < 0.001

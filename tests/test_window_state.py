@@ -1,21 +1,23 @@
-"""Window state scenarios (per-object clock, lateness boundary, flush) on the pure fold."""
+"""Window state scenarios (per-object clock, lateness boundary, flush) on one object's book."""
 
-from clockroll.streaming.processor import flush_all, run_object
+import numpy as np
+
+from clockroll.operators.arrivals import Book, Rules
 
 S = 1577876400000
 MIN = 60_000
 
 
-def run(records, g, lat, flush_every=0, wins=None, ta=None, lc=None):
-    wins = {} if wins is None else wins
-    out, ta, lc = run_object(1, [r[0] for r in records], [r[1] for r in records],
-                             [True] * len(records), list(range(len(records))),
-                             [0] * len(records), wins, ta, lc, g, lat * MIN, flush_every * MIN)
-    return out, wins, ta, lc
+def run(records, g, lat, flush_every=0, book=None, first=0):
+    book = Book() if book is None else book
+    n = len(records)
+    out = book.take(Rules(g, lat * MIN, flush_every * MIN), 1, np.array([r[0] for r in records]), np.array([r[1] for r in records]),
+                    np.ones(n, dtype=bool), np.arange(first, first + n), np.zeros(n, dtype=np.int64))
+    return out, book
 
 
 def test_no_lateness():
-    out, _, _, _ = run([(S + i * 15_000, 1.2) for i in range(17)], 1, 0)
+    out, _ = run([(S + i * 15_000, 1.2) for i in range(17)], 1, 0)
     assert len(out) == 4
     for e in out:
         assert e[2] == "closed" and e[4] == 4
@@ -24,36 +26,36 @@ def test_no_lateness():
 
 def test_lateness_boundary():
     recs = [(S, 1.2), (S + MIN, 1.2), (S + 3 * MIN - 100, 1.2), (S + 2 * MIN - 100, 1.2)]
-    out, wins, ta, lc = run(recs, 2, 1)
+    out, book = run(recs, 2, 1)
     assert out == []  # the last one is exactly on the lateness limit: on time
-    out, wins, ta, lc = run([(S + 4 * MIN - 100, 1.2)], 2, 1, wins=wins, ta=ta, lc=lc)
+    out, book = run([(S + 4 * MIN - 100, 1.2)], 2, 1, book=book)
     assert len(out) == 1 and out[0][2] == "closed" and out[0][4] == 3 and out[0][14] is not None
-    out, wins, ta, lc = run([(S + MIN - 100, 1.2)], 2, 1, wins=wins, ta=ta, lc=lc)
+    out, book = run([(S + MIN - 100, 1.2)], 2, 1, book=book)
     assert len(out) == 1 and out[0][2] == "late" and out[0][4] == 1
 
 
 def test_flush():
-    out, wins, _, _ = run([(S + i * MIN, 1.2) for i in range(4)], 1, 4)
+    out, book = run([(S + i * MIN, 1.2) for i in range(4)], 1, 4)
     assert out == []
-    assert len(flush_all(1, wins)) == 4 and wins == {}
+    assert len(book.flush(1)) == 4 and book.windows == {}
 
 
 def test_cleanup_cadence_delays_closing():
     # flush_every 2 minutes: a window closes only at a cleanup, so a late record can
     # still find it open
     recs = [(S, 1.0), (S + 61_000, 2.0), (S + 62_000, 3.0), (S + 10_000, 4.0)]
-    out0, _, _, _ = run(recs, 1, 0, flush_every=0)
-    out2, wins, _, _ = run(recs, 1, 0, flush_every=2)
+    out0, _ = run(recs, 1, 0, flush_every=0)
+    out2, book = run(recs, 1, 0, flush_every=2)
     assert [e[2] for e in out0] == ["closed", "late"]
-    assert out2 == [] and wins[S].count == 2
+    assert out2 == [] and book.windows[S].n == 2
 
 
 def test_late_before_open_then_window():
     # window [0,15) lateness 5, clock at 15: ts=5 late (never opened) -> emitted; ts=12 opens it
     recs = [(S + 15 * MIN, 1.0), (S + 5 * MIN, 2.0), (S + 12 * MIN, 3.0)]
-    out, wins, _, _ = run(recs, 15, 5)
+    out, book = run(recs, 15, 5)
     assert [(e[2], e[3]) for e in out] == [("late", 0)]
-    assert wins[S].count == 1
+    assert book.windows[S].n == 1
 
 
 def test_recreated_window_after_flush_goes_through_sink_rules(spark):
@@ -74,14 +76,10 @@ def test_recreated_window_after_flush_goes_through_sink_rules(spark):
         return with_keys(df)
 
     for n_second, want_count in ((1, 3), (5, 5)):
-        wins = {}
-        run_object(1, [S + i * MIN for i in range(3)], [1.0] * 3, [True] * 3, [0, 1, 2],
-                   [0] * 3, wins, None, None, 15, 5 * MIN, 0)
-        first = flush_all(1, wins)                       # idle timeout: window closed with 3
+        _, book = run([(S + i * MIN, 1.0) for i in range(3)], 15, 5)
+        first = book.flush(1)                            # idle timeout: window closed with 3
         ts = [S + (4 + i) * MIN for i in range(n_second)] + [S + 40 * MIN]
-        second, _, _ = run_object(1, ts, [2.0] * len(ts), [True] * len(ts),
-                                  list(range(10, 10 + len(ts))), [0] * len(ts), {}, None, None,
-                                  15, 5 * MIN, 0)
+        second, _ = run([(t, 2.0) for t in ts], 15, 5, book=book, first=10)
         second = [e for e in second if e[1] == S]        # the re-created window
         assert first[0][4] == 3 and second[0][4] == n_second
         stored, _ = upsert(spark.createDataFrame([], TARGET_SCHEMA), as_df(first))
