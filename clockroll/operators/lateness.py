@@ -10,81 +10,91 @@ accepted record, i.e. flush_every = 0):
   and not yet closed (``start > ta - (S + L)``) -- otherwise it is emitted on its own;
 * a window is closed (emitted) once the clock reaches ``start + S + L``.
 
-Distributed form.  The clock is a prefix max in arrival order.  Instead of one window
-partition per object (one task per object, fatal for a hot source) the arrival axis is cut
-into chunks: per (object, chunk) maxima -> exclusive prefix over the (few) chunks of an
-object -> combined with the running max inside each chunk.  "Opened" is the first on-time
-arrival of each (object, window), computed with a partial aggregate and joined back, so a
-hot window is split by AQE's skew join instead of landing in one window partition.
+Distributed form.  The clock is a prefix max in arrival order.  The measures are dealt once by
+ranges of (object, arrival), so a hot object lies in as many tasks as its share of the rows asks
+for, whatever its bursts look like; each task sorts its range and runs over it once
+(constant memory), and the maxima of the earlier ranges of the one object that a range may
+begin with are added from a table of at most one row per range boundary.  The result is
+written once, with the columns that follow-up steps need.  Everything after that is either
+aggregated before it is shuffled (window statistics, first on-time arrivals) or concerns late
+records only.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from clockroll.config import RollupConfig
 from clockroll.functions.timefn import window_start_ms
 from clockroll.functions.units import ADVANCED_UNITS, with_stdev
-from clockroll.session import materialize
+from clockroll.session import scratch_dir, ship_package
+from clockroll.sources.measures import MEASURE_COLUMNS
 from clockroll.operators.aggregate import (OUTPUT_COLUMNS, arrival, finalize_stats, stats_aggs,
                                            with_keys)
 
-# Default width of an arrival chunk, in units of ``arr_major`` (one hour of microseconds
-# for replayed event streams).  Sources with another arrival domain pass their own.
-DEFAULT_ARRIVAL_CHUNK = 3_600_000_000
-
 EMISSION_COLUMNS = OUTPUT_COLUMNS + ["kind", "phase", "arr_major", "arr_minor"]
 
 
-# Largest number of records one arrival chunk of one object may hold before it is split
-# into equal arrival sub-ranges (one window task each).
-DEFAULT_CHUNK_ROWS = 4 << 20
-
-
-def _chunked(measures: DataFrame, chunk: int, chunk_rows: int) -> DataFrame:
-    """Add the scan segment (``_coarse``, ``_sub``) of every record.
-
-    ``_coarse`` cuts the arrival axis into fixed widths.  A (object, coarse chunk) holding
-    more than ``chunk_rows`` records -- a hot source or a burst -- is split into
-    ceil(n / chunk_rows) equal arrival sub-ranges.  The hot-chunk table has at most
-    rows / chunk_rows entries (a proven bound): it is fetched once and broadcast, and
-    when it is empty (no hot chunk) the scan needs no join at all."""
-    m = measures.withColumn("_coarse", F.floor(F.col("arr_major") / F.lit(int(chunk))))
-    hot = (m.groupBy("object_id", "_coarse")
-           .agg(F.count(F.lit(1)).alias("_n"), F.min("arr_major").alias("_lo"),
-                F.max("arr_major").alias("_hi"))
-           .filter(F.col("_n") > F.lit(int(chunk_rows)))
-           .select("object_id", "_coarse", "_lo",
-                   F.ceil(F.col("_n") / F.lit(int(chunk_rows))).cast("long").alias("_parts"),
-                   (F.col("_hi") - F.col("_lo") + 1).alias("_span")))
-    # at most rows / chunk_rows entries: fetched once (usually empty), then broadcast
-    hot_rows = hot.collect()
-    if not hot_rows:
-        return m.withColumn("_sub", F.lit(0).cast("long"))
-    hot_df = measures.sparkSession.createDataFrame(hot_rows, hot.schema)
-    m = m.join(F.broadcast(hot_df), ["object_id", "_coarse"], "left")
-    sub = F.floor((F.col("arr_major") - F.col("_lo")).cast("double") * F.col("_parts")
-                  / F.col("_span")).cast("long")
-    return m.withColumn("_sub", F.coalesce(sub, F.lit(0).cast("long"))).drop("_lo", "_parts", "_span")
-
-
-def with_clock(measures: DataFrame, chunk: int = DEFAULT_ARRIVAL_CHUNK,
-               chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
+SCANNED = "object_id int, unit string, ts_ms long, value double, arr_major long, arr_minor long, part int, seen long"
+
+
+def _running_max(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``seen``: the greatest timestamp of the object's earlier rows in this task (rows come by
+    object and arrival), and ``part``, the task's place."""
+    part, obj, top = TaskContext.get().partitionId(), None, None
+    for b in batches:
+        if not b.num_rows:
+            continue
+        ids, ts = np.asarray(b.column(0)), np.asarray(b.column(2))
+        starts = np.concatenate(([True], ids[1:] != ids[:-1]))
+        run = np.cumsum(starts) - 1
+        # One running max over all objects: each is lifted above the one before.
+        base = int(min(ts.min(), top if top is not None else ts.min()))
+        lift = int(max(ts.max(), top if top is not None else ts.max())) - base + 1
+        if lift * (int(run[-1]) + 1) < 1 << 62:
+            lifted = ts - base + run * lift
+            if int(ids[0]) == obj:
+                lifted[0] = max(lifted[0], top - base)
+            upto = np.maximum.accumulate(lifted) - run * lift + base
+        else:  # timestamps too far apart to be lifted
+            upto = np.concatenate([np.maximum.accumulate(x) for x in np.split(ts, np.flatnonzero(starts)[1:])])
+            if int(ids[0]) == obj:
+                upto[run == 0] = np.maximum(upto[run == 0], top)
+        seen = np.concatenate(([0], upto[:-1]))
+        unknown = starts.copy()
+        if int(ids[0]) == obj:
+            seen[0], unknown[0] = top, False
+        obj, top = int(ids[-1]), int(upto[-1])
+        yield pa.RecordBatch.from_arrays(
+            [*(b.column(i) for i in range(6)), pa.array(np.full(b.num_rows, part, np.int32)), pa.array(seen, pa.int64(), mask=unknown)],
+            names=[*MEASURE_COLUMNS, "part", "seen"])
+
+
+def with_clock(measures: DataFrame, parts: int | None = None) -> DataFrame:
     """Add ``ta_ms``: the object's clock just before each record (NULL for its first)."""
-    m = _chunked(measures, chunk, chunk_rows)
-    seg = ["object_id", "_coarse", "_sub"]
-    per_chunk = m.groupBy(*seg).agg(F.max("ts_ms").alias("_cmax"))
-    before = Window.partitionBy("object_id").orderBy("_coarse", "_sub").rowsBetween(
-        Window.unboundedPreceding, -1)
-    prior = per_chunk.select(*seg, F.max("_cmax").over(before).alias("_prior"))
-    inside = Window.partitionBy(*seg).orderBy("arr_major", "arr_minor").rowsBetween(
-        Window.unboundedPreceding, -1)
-    m = m.withColumn("_local", F.max("ts_ms").over(inside))
-    m = m.join(prior, seg, "left")
-    return m.withColumn("ta_ms", F.greatest("_prior", "_local")).drop("_prior", "_local", "_coarse", "_sub")
+    spark = measures.sparkSession
+    ship_package(spark)
+    parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    order = ["object_id", "arr_major", "arr_minor"]
+    # A range border is drawn from a sample of the rows, so it must be drawn once: the scanned rows
+    # are written, and the carried maxima are read from what was written.
+    path = scratch_dir(spark, "clock") + "/scan"
+    (measures.select(*MEASURE_COLUMNS).repartitionByRange(parts, *order).sortWithinPartitions(*order)
+     .mapInArrow(_running_max, SCANNED).write.parquet(path))
+    scan = spark.read.schema(SCANNED).parquet(path)
+    tops = scan.groupBy("object_id", "part").agg(F.max("ts_ms").alias("top"))
+    before = Window.partitionBy("object_id").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    # Only the first object of a range can have rows in earlier ranges: at most `parts` rows.
+    carried = tops.withColumn("prior", F.max("top").over(before)).where("prior IS NOT NULL").select("object_id", "part", "prior")
+    out = scan.join(F.broadcast(carried), ["object_id", "part"], "left")
+    return out.select(*MEASURE_COLUMNS, F.greatest("prior", "seen").alias("ta_ms"))
 
 
 def object_clock(measures: DataFrame) -> DataFrame:
@@ -93,44 +103,60 @@ def object_clock(measures: DataFrame) -> DataFrame:
                                               F.count(F.lit(1)).alias("records"))
 
 
-def classify_many(measures: DataFrame, cfgs: list[RollupConfig],
-                  chunk: int = DEFAULT_ARRIVAL_CHUNK,
-                  chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
-    """Classify every measure for several (granularity, lateness) configurations at once.
-
-    The object clock does not depend on the granularity, so it is computed once; each
-    measure is then expanded to one (minutes, window) pair per configuration and all of
-    them are classified by the same aggregate + join (one shuffle for all granularities).
-    Output: measure columns + minutes, ws_ms, ta_ms, on_time, opened, status, _sl_ms."""
-    gs = [c.granularity for c in cfgs]
-    if len(set(gs)) != len(gs):
-        raise ValueError("one configuration per granularity")
-    m = with_clock(measures, chunk, chunk_rows)
-    per_cfg = F.array(*[F.struct(
-        F.lit(c.granularity).alias("minutes"),
-        window_start_ms(F.col("ts_ms"), c.granularity, c.align).alias("ws_ms"),
-        F.lit(c.lateness_ms).cast("long").alias("_lat_ms"),
-        F.lit(c.size_ms + c.lateness_ms).cast("long").alias("_sl_ms")) for c in cfgs])
-    m = (m.select("*", F.explode(per_cfg).alias("_c"))
-         .select(*[F.col(c) for c in m.columns], "_c.minutes", "_c.ws_ms", "_c._lat_ms", "_c._sl_ms"))
-    on_time = F.col("ta_ms").isNull() | (F.col("ts_ms") >= F.col("ta_ms") - F.col("_lat_ms"))
-    m = m.withColumn("on_time", on_time)
-    first_on = (m.filter("on_time").groupBy("minutes", "object_id", "ws_ms")
-                .agg(F.min(arrival()).alias("_first_on")))
-    m = m.join(first_on, ["minutes", "object_id", "ws_ms"], "left")
-    opened = F.coalesce(F.col("_first_on") < arrival(), F.lit(False))
-    still_open = opened & (F.col("ws_ms") > F.col("ta_ms") - F.col("_sl_ms"))
-    status = (F.when(F.col("on_time"), "on_time").when(still_open, "late_open").otherwise("late"))
-    return (m.withColumn("opened", opened).withColumn("status", status)
-            .drop("_first_on", "_lat_ms"))
-
-
-def classify_arrivals(measures: DataFrame, cfg: RollupConfig,
-                      chunk: int = DEFAULT_ARRIVAL_CHUNK) -> DataFrame:
+class _Classified:
+    """The measures once per configuration, with their fate.  ``on_time`` and ``late`` are frames of
+    the measure columns plus minutes, ws_ms, ta_ms, _sl_ms; ``late`` has ``opened`` and ``status`` too."""
+
+    def __init__(self, measures: DataFrame, cfgs: list[RollupConfig]):
+        gs = [c.granularity for c in cfgs]
+        if len(set(gs)) != len(gs):
+            raise ValueError("one configuration per granularity")
+        clocked = with_clock(measures)
+        self.clocks = clocked.groupBy("object_id").agg(F.max("ts_ms").alias("_final_ta"))
+        per_cfg = F.array(*[F.struct(
+            F.lit(c.granularity).alias("minutes"),
+            window_start_ms(F.col("ts_ms"), c.granularity, c.align).alias("ws_ms"),
+            F.lit(c.lateness_ms).cast("long").alias("_lat_ms"),
+            F.lit(c.size_ms + c.lateness_ms).cast("long").alias("_sl_ms")) for c in cfgs])
+        rows = clocked.select("*", F.explode(per_cfg).alias("_c")).select(*clocked.columns, "_c.*")
+        on_time = F.col("ta_ms").isNull() | (F.col("ts_ms") >= F.col("ta_ms") - F.col("_lat_ms"))
+        self.on_time = rows.where(on_time).drop("_lat_ms")
+        late = rows.where(~on_time).drop("_lat_ms")
+        key = ["minutes", "object_id", "ws_ms"]
+        # Late records only, against the first on-time arrival of their windows.
+        wanted = late.select(*key).distinct()
+        first_on = self.on_time.groupBy(*key).agg(F.min(arrival()).alias("_first_on")).join(wanted, key, "left_semi")
+        late = late.join(first_on, key, "left")
+        opened = F.coalesce(F.col("_first_on") < arrival(), F.lit(False))
+        still_open = opened & (F.col("ws_ms") > F.col("ta_ms") - F.col("_sl_ms"))
+        late = late.withColumn("opened", opened).withColumn("status", F.when(still_open, "late_open").otherwise("late"))
+        self.late = _staged(late.drop("_first_on"))
+
+    def accepted(self) -> DataFrame:
+        folded = self.late.where("status = 'late_open'")
+        return self.on_time.unionByName(folded.drop("opened", "status"))
+
+    def all(self) -> DataFrame:
+        return self.on_time.withColumn("status", F.lit("on_time")).unionByName(self.late.drop("opened"))
+
+
+def _staged(df: DataFrame) -> DataFrame:
+    path = scratch_dir(df.sparkSession, "late") + "/t"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def classify_many(measures: DataFrame, cfgs: list[RollupConfig]) -> DataFrame:
+    """Every measure for several (granularity, lateness) configurations: measure columns plus
+    minutes, ws_ms, ta_ms, status.  The object clock does not depend on the granularity and is
+    computed once."""
+    return _Classified(measures, cfgs).all().drop("_sl_ms")
+
+
+def classify_arrivals(measures: DataFrame, cfg: RollupConfig) -> DataFrame:
     """Every measure with its window start, the clock before it and its fate:
-    ``on_time``, ``late_open`` (folded into a window still open) or ``late`` (emitted alone).
-    ``opened`` tells whether its window had been opened before it arrived."""
-    return classify_many(measures, [cfg], chunk).drop("minutes", "_sl_ms")
+    ``on_time``, ``late_open`` (folded into a window still open) or ``late`` (emitted alone)."""
+    return classify_many(measures, [cfg]).drop("minutes")
 
 
 def _late_rows(late: DataFrame, advanced) -> DataFrame:
@@ -151,30 +177,24 @@ def _late_rows(late: DataFrame, advanced) -> DataFrame:
     return with_keys(out).select(*EMISSION_COLUMNS)
 
 
-def _window_rows(classified: DataFrame, advanced) -> DataFrame:
+def _window_rows(classified: _Classified, advanced) -> DataFrame:
     """Accepted records grouped per window, with a ``closed`` flag from the final clock."""
-    acc = classified.filter(F.col("status") != "late")
-    agg = acc.groupBy("minutes", "object_id", "ws_ms").agg(F.max("_sl_ms").alias("_sl_ms"),
-                                                            *stats_aggs(advanced))
-    clock = classified.groupBy("object_id").agg(F.max("ts_ms").alias("_final_ta"))
-    agg = agg.join(clock, "object_id")
+    agg = classified.accepted().groupBy("minutes", "object_id", "ws_ms").agg(F.max("_sl_ms").alias("_sl_ms"), *stats_aggs(advanced))
+    agg = agg.join(classified.clocks, "object_id")
     closed = F.col("ws_ms") <= F.col("_final_ta") - F.col("_sl_ms")
-    out = finalize_stats(agg).withColumn("closed", closed).drop("_final_ta", "_sl_ms")
-    return with_keys(out)
+    return with_keys(finalize_stats(agg).withColumn("closed", closed).drop("_final_ta", "_sl_ms"))
 
 
 def emissions(measures: DataFrame, cfg: RollupConfig, flush_at_end: bool = False,
-              chunk: int = DEFAULT_ARRIVAL_CHUNK, advanced=ADVANCED_UNITS,
-              chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
+              advanced=ADVANCED_UNITS) -> DataFrame:
     """What the stream would emit: closed windows (``kind='closed'``,
     phase 1) and single late records (``kind='late'``; phase 0 = before the window was
     opened, 2 = after it was closed).  ``flush_at_end`` also emits windows still open."""
-    return emissions_many(measures, [cfg], flush_at_end, chunk, advanced, chunk_rows)
+    return emissions_many(measures, [cfg], flush_at_end, advanced)
 
 
 def emissions_many(measures: DataFrame, cfgs: list[RollupConfig], flush_at_end: bool = False,
-                   chunk: int = DEFAULT_ARRIVAL_CHUNK, advanced=ADVANCED_UNITS,
-                   chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
+                   advanced=ADVANCED_UNITS) -> DataFrame:
     """Emissions for several granularities (each with its own lateness).  Those with cleanup after
     every record share one pass; a cleanup cadence (``flush_every > 0``) is a recurrence over the
     clock and takes the sorted pass of ``cadence``."""
@@ -184,20 +204,17 @@ def emissions_many(measures: DataFrame, cfgs: list[RollupConfig], flush_at_end:
     cfgs = [c for c in cfgs if not c.flush_every]
     if not cfgs:
         return reduce(DataFrame.unionByName, slow)
-    # read by three branches (windows, clocks, late rows): computed once
-    classified = materialize(classify_many(measures, cfgs, chunk, chunk_rows))
+    classified = _Classified(measures, cfgs)
     windows = _window_rows(classified, advanced)
     if not flush_at_end:
         windows = windows.filter("closed")
     closed = windows.select(*OUTPUT_COLUMNS, F.lit("closed").alias("kind"), F.lit(1).alias("phase"),
                             F.lit(None).cast("long").alias("arr_major"),
                             F.lit(None).cast("long").alias("arr_minor"))
-    late = _late_rows(classified.filter(F.col("status") == "late"), advanced)
+    late = _late_rows(classified.late.where("status = 'late'"), advanced)
     return reduce(DataFrame.unionByName, slow, closed.unionByName(late))
 
 
-def open_windows_at_end(measures: DataFrame, cfg: RollupConfig,
-                        chunk: int = DEFAULT_ARRIVAL_CHUNK, advanced=ADVANCED_UNITS) -> DataFrame:
+def open_windows_at_end(measures: DataFrame, cfg: RollupConfig, advanced=ADVANCED_UNITS) -> DataFrame:
     """Windows still held in state after the last record (what the idle timeout flushes)."""
-    classified = materialize(classify_many(measures, [cfg], chunk))
-    return _window_rows(classified, advanced).filter(~F.col("closed")).select(*OUTPUT_COLUMNS)
+    return _window_rows(_Classified(measures, [cfg]), advanced).filter(~F.col("closed")).select(*OUTPUT_COLUMNS)

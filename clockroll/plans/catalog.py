@@ -14,8 +14,7 @@ from clockroll.config import RollupConfig
 from clockroll.functions.timefn import date_key, format_ts, ntz_from_ms, window_start_ms
 from clockroll.functions.units import is_target_unit, with_stdev
 from clockroll.operators.aggregate import rollup, rollup_many
-from clockroll.operators.lateness import (DEFAULT_ARRIVAL_CHUNK, EMISSION_COLUMNS,
-                                          classify_arrivals, emissions, emissions_many,
+from clockroll.operators.lateness import (EMISSION_COLUMNS, classify_arrivals, emissions, emissions_many,
                                           object_clock, open_windows_at_end)
 from clockroll.operators.merge import ACTION_COLUMNS, action_totals, upsert, upsert_combine
 from clockroll.plans import oracle as O
@@ -23,9 +22,6 @@ from clockroll.session import ensure_utc
 from clockroll.sources.measures import (events_as_json, malformed_json, measures_from_events,
                                         measures_from_lineitem, parse_measures, valid_measures)
 
-# arr_major of lineitem is l_orderkey: chunk the arrival axis by blocks of order keys
-LINEITEM_ARRIVAL_CHUNK = 1 << 16
-
 DOUBLE_COLS = {"sum", "min", "max", "mean", "last", "k", "k_sum", "k_sum_2", "std", "value"}
 
 
@@ -165,12 +161,12 @@ def q_time_advance(spark, sf_dir):
 
 
 def q_classify_arrivals(spark, sf_dir):
-    c = classify_arrivals(dense(spark, sf_dir), DENSE_LATE, DEFAULT_ARRIVAL_CHUNK)
+    c = classify_arrivals(dense(spark, sf_dir), DENSE_LATE)
     return c.select("object_id", "arr_major", "arr_minor", "ts_ms", "ws_ms", "ta_ms", "status")
 
 
 def q_classify_sparse(spark, sf_dir):
-    c = classify_arrivals(sparse(spark, sf_dir), SPARSE_LATE, DEFAULT_ARRIVAL_CHUNK)
+    c = classify_arrivals(sparse(spark, sf_dir), SPARSE_LATE)
     return c.groupBy("status").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -243,7 +239,7 @@ def q_upsert_final_combine(spark, sf_dir):
 
 
 def q_lineitem_daily_by_supplier(spark, sf_dir):
-    em = emissions(lineitem(spark, sf_dir), LINEITEM_LATE, chunk=LINEITEM_ARRIVAL_CHUNK)
+    em = emissions(lineitem(spark, sf_dir), LINEITEM_LATE)
     rows, _ = upsert(_empty_target(spark), em)
     return _r6(rows)
 

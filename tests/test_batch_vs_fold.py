@@ -47,17 +47,22 @@ def _key(e):
     return (e[0], e[1], e[2], e[3], e[4])
 
 
-@pytest.mark.parametrize("seed,g,lat,chunk,chunk_rows", [
-    (1, 15, 5, 3_600_000_000, 1 << 22), (2, 60, 30, 3_600_000_000, 1 << 22),
-    (3, 25, 0, 3_600_000_000, 1 << 22), (4, 1440, 10, 3_600_000_000, 1 << 22),
-    # small chunks and tiny hot-chunk threshold: every chunk is split into sub-ranges
-    (7, 60, 30, 600_000_000, 7), (8, 15, 5, 50_000_000_000, 3)])
-def test_emissions_match_fold(spark, seed, g, lat, chunk, chunk_rows):
+@pytest.mark.parametrize("seed,g,lat,parts,batch", [
+    (1, 15, 5, 4, 10_000), (2, 60, 30, 4, 10_000), (3, 25, 0, 1, 10_000), (4, 1440, 10, 4, 10_000),
+    # many ranges and tiny batches: objects go on across tasks and across batches
+    (7, 60, 30, 40, 7), (8, 15, 5, 25, 3)])
+def test_emissions_match_fold(spark, seed, g, lat, parts, batch):
     recs = random_records(seed, ties=seed % 2 == 0)
     cfg = RollupConfig(granularity=g, allowed_lateness=lat, flush_every=0)
     want = fold_emissions(recs, g, lat, 0)
-    got = (emissions(to_df(spark, recs), cfg, chunk=chunk, chunk_rows=chunk_rows)
-           .withColumn("ws_ms", F.unix_millis(F.col("timestamp").cast("timestamp")))
+    keys = {"spark.sql.shuffle.partitions": parts, "spark.sql.execution.arrow.maxRecordsPerBatch": batch}
+    old = {k: spark.conf.get(k) for k in keys}
+    for k, v in keys.items():
+        spark.conf.set(k, str(v))
+    em = emissions(to_df(spark, recs), cfg)
+    for k, v in old.items():
+        spark.conf.set(k, v)
+    got = (em.withColumn("ws_ms", F.unix_millis(F.col("timestamp").cast("timestamp")))
            .select("object_id", "ws_ms", "kind", "phase", "count", "sum", "min", "max", "mean",
                    "last", "last_ts", "k", "k_sum", "k_sum_2", "std", "arr_major", "arr_minor")
            .collect())
