@@ -1,8 +1,10 @@
-"""The rollup target: a parquet table partitioned by (minutes, date, day), upserted per batch.
+"""The rollup target: a parquet table partitioned by (minutes, date, day, bucket), upserted per batch.
 
-``day`` (days since the epoch of the window start) is a physical sub-partition derived from
-the key, invisible to readers: a micro-batch touches the last day or two (closed windows)
-plus a few older days (late records), so it rewrites those days only, not the month.
+``day`` (days since the epoch of the window start) and ``bucket`` (a hash of the object) are
+physical sub-partitions derived from the key, invisible to readers: a micro-batch touches
+the last day or two (closed windows) plus a few older days (late records), and of an older
+day only the buckets of the late objects, so it rewrites those only.  Rows lie by object,
+newest window first.  A granularity has one writer; a second one is refused.
 
 One batch = emissions of one micro-batch or one batch run, identified by ``batch_id``.
 Apply steps (each repeatable after a lost executor or a driver restart):
@@ -13,7 +15,7 @@ Apply steps (each repeatable after a lost executor or a driver restart):
    ``_staging/<writer>/batch=<id>`` (lineage cut; reading and overwriting one path in one plan
    is never done);
 3. dynamic-overwrite the touched partitions from the staged copy;
-4. write the batch marker (with the action counters).
+4. write the batch marker (with the action counters), then delete the staged files.
 
 A retry after step 2 reuses the complete staged copy instead of folding again, so a late
 record is never merged twice.
@@ -48,12 +50,19 @@ TARGET_SCHEMA = T.StructType([
     T.StructField("std", T.DoubleType()),
 ])
 assert [f.name for f in TARGET_SCHEMA.fields] == OUTPUT_COLUMNS
-PARTITIONS = ["minutes", "date", "day"]
-STORED_SCHEMA = T.StructType(TARGET_SCHEMA.fields + [T.StructField("day", T.IntegerType())])
+PARTITIONS = ["minutes", "date", "day", "bucket"]
+#: Fixed part of the layout of every table.
+BUCKETS = 8
+STORED_SCHEMA = T.StructType(TARGET_SCHEMA.fields + [T.StructField("day", T.IntegerType()), T.StructField("bucket", T.IntegerType())])
 
 
 def _with_day(df: DataFrame) -> DataFrame:
-    return df.withColumn("day", F.unix_date(F.col("timestamp").cast("date")))
+    return df.withColumns({"day": F.unix_date(F.col("timestamp").cast("date")), "bucket": F.pmod(F.hash("object_id"), F.lit(BUCKETS))})
+
+
+def _laid_out(df: DataFrame) -> DataFrame:
+    """Rows of a partition together, large ones over several tasks, newest windows first."""
+    return _with_day(df).hint("rebalance", *PARTITIONS).sortWithinPartitions(*PARTITIONS, "object_id", F.desc("timestamp"))
 
 
 def _hadoop_fs(spark: SparkSession, path: str):
@@ -96,15 +105,25 @@ class RollupTable:
 
     # -- reading ------------------------------------------------------------
     def read(self) -> DataFrame:
-        """All rows (newest window first inside a partition, like the clustering order)."""
+        """All rows, in no particular order."""
         if not _exists(self.spark, self.path + "/_SUCCESS") and not self._has_data():
             return self.spark.createDataFrame([], TARGET_SCHEMA)
         df = self.spark.read.schema(STORED_SCHEMA).parquet(self.path)
         return df.select(*OUTPUT_COLUMNS)
 
-    def lookup(self, keys: DataFrame) -> DataFrame:
-        """Keyed read-back: stored rows for the given (minutes, object_id, date, timestamp)."""
-        return self.read().join(keys.select(*KEY).distinct(), KEY, "left_semi")
+    def newest_first(self, minutes: int, object_id: int, date: str) -> DataFrame:
+        """The rows of one (granularity, object, date key), newest window first."""
+        own = (F.col("minutes") == minutes) & (F.col("date") == date) & (F.col("object_id") == object_id)
+        return self.read().where(own).orderBy(F.desc("timestamp"))
+
+    def total_actions(self) -> dict:
+        """The action counters of all batches that this writer has applied."""
+        path = f"{self.path}/_batches/{self.writer}"
+        if not _exists(self.spark, path):
+            return {c: 0 for c in ACTION_COLUMNS}
+        kinds = ", ".join(f"{c} long" for c in ACTION_COLUMNS)
+        acts = self.spark.read.text(path).select(F.from_json("value", kinds).alias("a")).select("a.*")
+        return {c: int(v or 0) for c, v in action_totals(acts).first().asDict().items()}
 
     def _has_data(self) -> bool:
         fs, p, jvm = _hadoop_fs(self.spark, self.path)
@@ -126,7 +145,7 @@ class RollupTable:
         return json.loads(_read_text(self.spark, self._marker(batch_id)))
 
     def _read_partitions(self, parts: list) -> DataFrame:
-        """Stored rows of the given (minutes, date, day) partitions.  Only those folders are
+        """Stored rows of the given partitions.  Only those folders are
         listed (``basePath`` keeps the partition columns), not the whole table, so the
         cost of a micro-batch does not grow with the table's history."""
         import re
@@ -134,13 +153,14 @@ class RollupTable:
         plain = re.compile(r"^[0-9A-Za-z_-]+$")
         if not all(plain.match(str(v)) for part in parts for v in part):
             cond = None  # unusual partition values: let Spark's own escaping handle them
-            for mins, date, day in parts:
-                c = ((F.col("minutes") == F.lit(mins)) & (F.col("date") == F.lit(date))
-                     & (F.col("day") == F.lit(day)))
+            for values in parts:
+                c = F.lit(True)
+                for name, v in zip(PARTITIONS, values, strict=True):
+                    c = c & (F.col(name) == F.lit(v))
                 cond = c if cond is None else (cond | c)
             return (self.spark.read.schema(STORED_SCHEMA).parquet(self.path)
                     .filter(cond).select(*OUTPUT_COLUMNS))
-        paths = [f"{self.path}/minutes={m}/date={d}/day={day}" for m, d, day in parts]
+        paths = ["/".join([self.path, *(f"{n}={v}" for n, v in zip(PARTITIONS, values, strict=True))]) for values in parts]
         paths = [p for p in paths if _exists(self.spark, p)]
         if not paths:
             return self.spark.createDataFrame([], TARGET_SCHEMA)
@@ -166,22 +186,23 @@ class RollupTable:
             if not _exists(self.spark, em_path + "/_SUCCESS"):
                 obs = Observation(f"touched-{b}")
                 (_with_day(emitted).observe(obs, F.collect_set(F.struct(*PARTITIONS)).alias("t"))
-                 .drop("day").write.mode("overwrite").parquet(em_path))
-                touched = [(r["minutes"], r["date"], r["day"]) for r in obs.get["t"]]
+                 .drop("day", "bucket").write.mode("overwrite").parquet(em_path))
+                touched = [tuple(r[c] for c in PARTITIONS) for r in obs.get["t"]]
             em = _with_day(self.spark.read.parquet(em_path))
             if touched is None:  # retry: read the staged emissions
-                touched = [(r["minutes"], r["date"], r["day"])
-                           for r in em.select(*PARTITIONS).distinct().collect()]
+                touched = [tuple(r) for r in em.select(*PARTITIONS).distinct().collect()]
             if not touched:
                 totals = {c: 0 for c in ACTION_COLUMNS}
                 _write_text(self.spark, self._marker(b), json.dumps(totals))
+                self._unstage(b)
                 return totals
+            self._own({t[0] for t in touched})
             existing = self._read_partitions(touched) if had_data else \
                 self.spark.createDataFrame([], TARGET_SCHEMA)
             # 3. fold once; rows and per-key actions stay together; totals observed
             if not _exists(self.spark, fold_path + "/_SUCCESS"):
                 fold = upsert if self.merge == "parity" else upsert_combine
-                rows, actions = fold(existing, em.drop("day"))
+                rows, actions = fold(existing, em.drop("day", "bucket"))
                 obs = Observation(f"actions-{b}")
                 (rows.join(actions, KEY)
                  .observe(obs, *[F.sum(c).cast("long").alias(c) for c in ACTION_COLUMNS])
@@ -192,7 +213,7 @@ class RollupTable:
                 # 4. new content of the touched partitions (kept rows + folded rows)
                 rows = self.spark.read.parquet(fold_path).select(*OUTPUT_COLUMNS)
                 kept = existing.join(rows.select(*KEY), KEY, "left_anti")
-                content = _with_day(kept.unionByName(rows)).repartition(*PARTITIONS)
+                content = _laid_out(kept.unionByName(rows))
                 content.write.mode("overwrite").partitionBy(*PARTITIONS).parquet(stage)
             else:
                 stage = fold_path  # nothing stored yet: the folded rows are the content
@@ -205,10 +226,26 @@ class RollupTable:
                 totals_row = action_totals(folded).collect()[0].asDict()
                 totals = {c: int(totals_row[c] or 0) for c in ACTION_COLUMNS}
         if stage == fold_path:
-            staged = _with_day(folded.select(*OUTPUT_COLUMNS)).repartition(*PARTITIONS)
+            staged = _laid_out(folded.select(*OUTPUT_COLUMNS))
         else:
             staged = self.spark.read.schema(STORED_SCHEMA).parquet(stage)
         (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(*PARTITIONS).parquet(self.path))
         _write_text(self.spark, self._marker(b), json.dumps(totals))
+        self._unstage(b)
         return totals
+
+    def _unstage(self, b: int) -> None:
+        """Delete the staged files of an applied batch."""
+        for name in (f"emissions-{b}", f"fold-{b}", f"batch={b}", f"actions-{b}"):
+            fs, p, _ = _hadoop_fs(self.spark, f"{self._staging()}/{name}")
+            fs.delete(p, True)
+
+    def _own(self, granularities: set) -> None:
+        """Refuse a second writer of a granularity: its read-compare-write could interleave."""
+        for g in granularities:
+            path = f"{self.path}/_owners/minutes={g}"
+            if not _exists(self.spark, path):
+                _write_text(self.spark, path, self.writer)
+            elif (owner := _read_text(self.spark, path)) != self.writer:
+                raise RuntimeError(f"granularity {g} of {self.path} is written by {owner!r}, not by {self.writer!r}")
