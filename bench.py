@@ -1,7 +1,7 @@
 """Bench: headline queries at $BENCH_SF_DIR (default /root/testdata/sf0.1) on
 local[$BENCH_CPUS]; prints ONE JSON line.
 
-Each query is executed in full (twice; the warm run is reported) with the ``noop`` sink (every row produced, nothing
+Each query is executed in full (twice; the smaller time is reported) with the ``noop`` sink (every row produced, nothing
 collected to the driver).  ``value`` = total seconds of the headline set.
 """
 
