@@ -290,10 +290,17 @@ def _codec(shared) -> Codec:
     return _built[1]
 
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Few rows at a time, so that a worker holds the ids of those only."""
+    for b in batches:
+        for lo in range(0, b.num_rows, 512):
+            yield b.slice(lo, 512)
+
+
 def _encode_batches(shared, passes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(shared)
-        for b in batches:
+        for b in _slices(batches):
             coded = [codec.encode(t) for t in b.column(passes).to_pylist()]
             ends = np.cumsum([0, *(len(x) // 4 for x in coded)], dtype=np.int64)
             # One list array must stay below 2^31 values: batches of whole rows.
@@ -315,7 +322,7 @@ def _encode_batches(shared, passes: int):
 def _decode_batches(shared, passes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(shared)
-        for b in batches:
+        for b in _slices(batches):
             lists = b.column(passes)
             flat, ends = np.asarray(lists.flatten()), np.asarray(lists.offsets)
             ends = ends - ends[0]
