@@ -1,10 +1,10 @@
 """Operator 10: nearest neighbours by balanced posting lists.
 
-Index.  Centroids are fitted on a bounded sample (``fit_rows`` vectors, by hash of the id) by
+Index.  Centroids are fitted on a bounded sample (``FIT_ROWS`` vectors, by hash of the id) by
 balanced k-means: a centroid's cost rises with its list's length, and groups that still exceed
-twice the mean are split.  The number of centroids follows the number of rows up to
-``MAX_LISTS``; longer lists are cut into blocks of ``BLOCK_ROWS`` rows, so a list may hold any share
-of the table.  Every row goes to its nearest list, and a row near a border is replicated to
+twice the mean are split.  The number of centroids grows with the fourth root of the rows, up to
+``MAX_LISTS`` (a query probes a share of them, so its partial results grow as slowly); long lists
+are cut into blocks of ``BLOCK_ROWS`` rows, so a list may hold any share of the table.  Every row goes to its nearest list, and a row near a border is replicated to
 further lists, up to ``REPLICAS``, whose centroids lie within ``BORDER`` times its nearest distance
 and are not closer to a centroid already taken than to the row.
 
@@ -37,12 +37,12 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from clockroll.llm.common import on_workers, staged
 
 FIT_ROWS = 20_000
-LIST_ROWS = 128
+LISTS_FACTOR = 16
 MAX_LISTS = 4096
 BLOCK_ROWS = 4096
 REPLICAS = 4
 BORDER = 1.15
-PROBES_SHARE, PROBES_LEAST = 0.4, 32
+PROBES_SHARE, PROBES_LEAST = 0.6, 32
 RATIO = 1.25
 LEAST_LISTS = 8
 GRAPH_DEGREE = 24
@@ -61,19 +61,18 @@ def usable(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding") ->
 def fit_centroids(sample: np.ndarray, n_lists: int, rounds: int = 12) -> np.ndarray:
     """Balanced k-means of a bounded sample."""
     rng = np.random.default_rng(11)
-    n_lists = min(n_lists, len(sample))
+    n_lists = min(n_lists, -(-len(sample) // 4))
     cent = sample[rng.choice(len(sample), n_lists, replace=False)]
     mean, load = len(sample) / n_lists, np.full(n_lists, len(sample) / n_lists)
     spread = float(np.median(((sample[:512, None] - cent[None, :64]) ** 2).sum(-1)))
     for _ in range(rounds):
         # A list longer than the mean costs its members more.
-        cost = _squares(sample, cent) + 0.2 * spread * (load / mean - 1)[None, :]
-        own = cost.argmin(axis=1)
+        own = _nearest(sample, cent, 0.2 * spread * (load / mean - 1))
         load = 0.5 * load + 0.5 * np.bincount(own, minlength=n_lists)
         for k in range(n_lists):
             got = sample[own == k]
             cent[k] = got.mean(axis=0) if len(got) else sample[rng.integers(len(sample))]
-    own = _squares(sample, cent).argmin(axis=1)
+    own = _nearest(sample, cent, np.zeros(n_lists))
     extra = []
     for k in np.flatnonzero(np.bincount(own, minlength=n_lists) > 2 * mean):
         got = sample[own == k]
@@ -85,6 +84,10 @@ def fit_centroids(sample: np.ndarray, n_lists: int, rounds: int = 12) -> np.ndar
     return np.concatenate([cent, np.array(extra)]) if extra else cent
 
 
+def _nearest(x: np.ndarray, c: np.ndarray, extra: np.ndarray) -> np.ndarray:
+    return np.concatenate([(_squares(x[lo:lo + 1024], c) + extra).argmin(axis=1) for lo in range(0, len(x), 1024)])
+
+
 def _squares(x: np.ndarray, c: np.ndarray) -> np.ndarray:
     return np.maximum((x * x).sum(1)[:, None] - 2 * x @ c.T + (c * c).sum(1)[None, :], 0)
 
@@ -227,7 +230,7 @@ def search(df: DataFrame, queries: Column, k: int = 20, id_col: str = "vec_id",
     if not facts["n"]:
         return empty
     sample = np.array([r["vec"] for r in rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(FIT_ROWS).collect()])  # bounded
-    cent = fit_centroids(_lifted(sample, facts["norm"]), int(min(MAX_LISTS, max(1, facts["n"] // LIST_ROWS))))
+    cent = fit_centroids(_lifted(sample, facts["norm"]), min(MAX_LISTS, int(LISTS_FACTOR * facts["n"] ** 0.25)))
     shared = spark.sparkContext.broadcast((cent, float(facts["norm"])))
     probes = max(PROBES_LEAST, int(PROBES_SHARE * len(cent)))
     posted = staged(rows.mapInArrow(_posted(shared), "vec_id long, vec array<double>, list int"), "ann-lists")
