@@ -44,6 +44,15 @@ def staged(df: DataFrame, purpose: str, partition_by: Sequence[str] = ()) -> Dat
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Rows of narrow keys that a join may broadcast; above it the same join is shuffled.
+BROADCAST_ROWS = 500_000
+
+
+def sized(keys: DataFrame) -> DataFrame:
+    """A staged table of narrow keys, marked for broadcast only if it is counted to be small."""
+    return F.broadcast(keys) if keys.count() <= BROADCAST_ROWS else keys
+
+
 def on_workers(df: DataFrame) -> DataFrame:
     """Make this package importable by the Python workers that will run over ``df``."""
     ship_package(df.sparkSession)

@@ -17,14 +17,14 @@ cost linear in its size.  In the others two members can only link if their dista
 pivot differ by EPS at most (triangle inequality); pairs of different components inside that
 window are compared.
 
-Recursion: a region with too many such pairs is not expanded.  Its members are dealt anew into
-regions by the exact frequencies among just these members, rarest shingle first, and joined by
-the same steps; after ``LEVELS`` levels the windows are expanded whatever their size.
+Recursion: a region with too many such pairs is not expanded.  The shingles of such regions go to
+the end of the order, their members are dealt anew into regions in that order and joined by the
+same steps; after ``LEVELS`` levels the windows are expanded whatever their size.
 
 Documents with equal sets form one class and are compared once.  Comparisons first bound the
 symmetric difference from below by the Hamming distance of parity sketches, then intersect the
-sets.  Sets and sketches exist only for classes that share a region.  Shingles and classes are
-identified by 64-bit hashes.
+sets; only the sets of pairs that the bound leaves open are made again from their texts.
+Shingles and classes are identified by 64-bit hashes.
 
 Defined cases: null texts and texts without words have 0 shingles and link with nothing, equal
 ones included; fewer than five words are one shingle; rows with a null id are joined like
@@ -41,14 +41,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from clockroll.llm.common import on_workers, staged
+from clockroll.llm.common import on_workers, sized, staged
 
 WORDS = 5
 EPS = 0.25
-SAMPLE_DOCS = 8192
-FREQUENT = 1 << 16
-FREQUENT_FROM = 4
-WIDE = 64
+SAMPLE_DOCS = 16_384
+FREQUENT = 1 << 17
+FREQUENT_FROM = 3
+WIDE = 8
 LEVELS = 3
 SKETCH_BITS = 2048
 
@@ -122,15 +122,15 @@ def _sketch(s: np.ndarray) -> bytes:
 
 def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        for lo in range(0, b.num_rows, 512):
-            yield b.slice(lo, 512)
+        for lo in range(0, b.num_rows, 128):  # a slice's texts are hashed in one go
+            yield b.slice(lo, 128)
 
 
 def _classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in _slices(batches):
         sets = shingle_sets(b.column(2).to_pylist())
         cls = [_class_id(s) if len(s) else None for s in sets]
-        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([len(s) for s in sets], pa.int64()), pa.array(cls, pa.int64())], names=["doc_id", "tk", "n", "cls"])
+        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([len(s) for s in sets], pa.int64()), pa.array(cls, pa.int64()), pa.array([_sketch(s) for s in sets], pa.binary())], names=["doc_id", "tk", "n", "cls", "sketch"])
 
 
 def _all_shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -165,9 +165,23 @@ def _region_rows(shared):
 def _class_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in _slices(batches):
         sets = shingle_sets(b.column(1).to_pylist())
-        yield pa.RecordBatch.from_arrays(
-            [b.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([_sketch(s) for s in sets], pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())],
-            names=["cls", "n", "sketch", "shingles"])
+        yield pa.RecordBatch.from_arrays([b.column(0), pa.array([s.tobytes() for s in sets], pa.binary())], names=["cls", "shingles"])
+
+
+class _Classes:
+    """``info`` (cls, n, sketch, tk: one text of the class) of all classes, and sets on demand."""
+
+    def __init__(self, docs: DataFrame, info: DataFrame):
+        self.docs, self.info, self.sizes = docs, info, staged(info.select("cls", "n"), "jaccard-sizes")
+
+    def texts(self, wanted: DataFrame) -> DataFrame:
+        """``cls`` and one ``text`` of each of the classes ``wanted`` (cls; distinct)."""
+        keys = staged(wanted.join(self.info.select("cls", "tk"), "cls"), "jaccard-wanted")
+        return self.docs.join(sized(keys), "tk").select("cls", "text").dropDuplicates(["cls"])
+
+    def sets(self, wanted: DataFrame) -> DataFrame:
+        """``cls`` and ``shingles`` of the classes ``wanted`` (cls; distinct)."""
+        return staged(self.texts(wanted).mapInArrow(_class_sets, "cls long, shingles binary"), "jaccard-sets")
 
 
 def _bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -186,7 +200,7 @@ def _measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for whole in batches:
         for lo in range(0, whole.num_rows, 256):
             b = whole.slice(lo, 256)
-            dist, link, parsed = [], [], {}
+            dist, link = [], []
             left, right = b.column(2), b.column(3)
             for i in range(b.num_rows):
                 x, y = (np.frombuffer(c[i].as_buffer(), np.uint64) for c in (left, right))
@@ -199,13 +213,17 @@ def _measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(dist, pa.float64()), pa.array(link, pa.bool_())], names=["a", "b", "dist", "link"])
 
 
-def _compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def _compared(pairs: DataFrame, classes: _Classes) -> DataFrame:
     """``pairs`` (a, b; distinct) with ``low`` and ``high`` bounds of their distance and ``link``."""
-    side = lambda x, *cols: sets.select(F.col("cls").alias(x), *[F.col(c).alias(c + "_" + x) for c in cols])
-    met = pairs.join(side("a", "n", "sketch"), "a").join(side("b", "n", "sketch"), "b").select("a", "b", "n_a", "sketch_a", "n_b", "sketch_b")
+    members = staged(pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct(), "jaccard-paired")
+    info = classes.info.join(sized(members), "cls", "left_semi")
+    side = lambda x: info.select(F.col("cls").alias(x), F.col("n").alias("n_" + x), F.col("sketch").alias("sketch_" + x))
+    met = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "n_a", "sketch_a", "n_b", "sketch_b")
     bounds = staged(met.mapInArrow(_bounded, "a long, b long, low double, maybe boolean"), "jaccard-bounds")
-    near = bounds.where("maybe").select("a", "b").join(side("a", "shingles"), "a").join(side("b", "shingles"), "b").select("a", "b", "shingles_a", "shingles_b")
-    done = near.mapInArrow(_measured, "a long, b long, dist double, link boolean")
+    near = bounds.where("maybe").select("a", "b")
+    sets = classes.sets(near.select(F.explode(F.array("a", "b")).alias("cls")).distinct())
+    of = lambda x: sets.select(F.col("cls").alias(x), F.col("shingles").alias("shingles_" + x))
+    done = near.join(of("a"), "a").join(of("b"), "b").select("a", "b", "shingles_a", "shingles_b").mapInArrow(_measured, "a long, b long, dist double, link boolean")
     far = bounds.where(~F.col("maybe")).select("a", "b", "low", F.lit(1.0).alias("high"), F.lit(False).alias("link"))
     return staged(done.select("a", "b", F.col("dist").alias("low"), F.col("dist").alias("high"), "link").unionByName(far), "jaccard-pairs")
 
@@ -238,76 +256,61 @@ def _regions(rows: DataFrame) -> DataFrame:
     return cold.unionByName(often.join(heads, "s").select("s", "cls", "pivot"))
 
 
-def _rarest_first(sets: DataFrame, active: DataFrame) -> DataFrame:
-    """Region rows of the ``active`` classes, by exact frequency among them."""
-    own = sets.join(active, "cls")
+def _dealt(docs: DataFrame, late: np.ndarray) -> DataFrame:
+    """Regions of ``docs`` (text) with the shingles ``late`` (sorted hashes) last in the order."""
+    shared = docs.sparkSession.sparkContext.broadcast(late)
+    rows = docs.select("text").mapInArrow(_region_rows(shared), "s long, cls long, often boolean")
+    return staged(_regions(rows), "jaccard-regions")
 
-    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for lo in range(0, b.num_rows, 256):
-                part = b.slice(lo, 256)
-                x = [np.frombuffer(v.as_buffer(), np.int64) for v in part.column(1)]
-                cls = np.repeat(np.asarray(part.column(0)), [len(v) for v in x])
-                yield pa.RecordBatch.from_arrays([pa.array(cls), pa.array(np.concatenate(x))], names=["cls", "s"])
 
-    each = staged(own.select("cls", "shingles").mapInArrow(spread, "cls long, s long"), "jaccard-spread")
-    counts = each.groupBy("s").agg(F.count("*").alias("df")).where("df > 1")
-    # Shingles of one class come before all others and make no region: only their number counts.
-    ranked = each.join(counts, "s").groupBy("cls").agg(F.array_sort(F.collect_list(F.struct("df", "s"))).alias("common"))
-    sized = ranked.join(own.select("cls", "n"), "cls")
-    keep = F.col("n") - F.ceil(F.col("n") * 3 / 4) + 1 - (F.col("n") - F.size("common"))
-    return sized.where(keep > 0).select("cls", F.explode(F.slice("common", F.lit(1), keep.cast("int"))).alias("c")).select("c.s", "cls", F.lit(False).alias("often"))
+def _hashes(rows: DataFrame) -> np.ndarray:
+    """At most ``FREQUENT`` shingles ``s``, those with the largest ``c`` first."""
+    got = rows.orderBy(F.desc("c"), "s").limit(FREQUENT).select("s").collect()
+    return np.array([r["s"] for r in got], dtype=np.int64).view(np.uint64)
 
 
-def links(docs: DataFrame, classes: DataFrame) -> DataFrame:
+def links(docs: DataFrame, info: DataFrame) -> DataFrame:
     """Linked pairs of classes that connect every component of the join (and only linked pairs).
-    ``docs``: text, tk; ``classes``: cls, tk."""
-    spark = on_workers(docs).sparkSession
-    picked = docs.select(F.xxhash64("tk").alias("h"), "tk").distinct().orderBy("h", "tk").limit(SAMPLE_DOCS)
-    sample = docs.join(F.broadcast(picked.select("tk")), "tk", "left_semi").dropDuplicates(["tk"]).select("text")
-    often = sample.mapInArrow(_all_shingles, "s long").groupBy("s").agg(F.count("*").alias("c")).where(F.col("c") >= FREQUENT_FROM).orderBy(F.desc("c"), "s").limit(FREQUENT).select("s").collect()
-    frequent = np.sort(np.array([r["s"] for r in often], dtype=np.int64).view(np.uint64))
-    shared = spark.sparkContext.broadcast(frequent)  # at most FREQUENT hashes
-    rows = docs.select("text").mapInArrow(_region_rows(shared), "s long, cls long, often boolean")
-    regions = staged(_regions(rows), "jaccard-regions")
-    members = regions.select("cls").distinct().join(classes.groupBy("cls").agg(F.min("tk").alias("tk")), "cls")
-    members = staged(members, "jaccard-members")
-    texts = docs.join(members, "tk").select("cls", "text").dropDuplicates(["cls"])
-    sets = staged(texts.mapInArrow(_class_sets, "cls long, n long, sketch binary, shingles binary"), "jaccard-sets")
-    edges = None
+    ``docs``: text, tk; ``info``: cls, n, sketch, tk."""
+    on_workers(docs)
+    picked = info.select("tk").orderBy(F.xxhash64("tk"), "tk").limit(SAMPLE_DOCS)
+    sample = docs.join(F.broadcast(picked), "tk").dropDuplicates(["tk"]).select("text")
+    late = np.sort(_hashes(sample.mapInArrow(_all_shingles, "s long").groupBy("s").agg(F.count("*").alias("c")).where(F.col("c") >= FREQUENT_FROM)))
+    classes, edges, regions = _Classes(docs, info), None, _dealt(docs, late)
     for level in range(LEVELS):
-        found, left = _join_regions(regions, sets, edges, last=level + 1 == LEVELS)
-        edges = found
-        if left is None:
-            break
-        regions = staged(_regions(_rarest_first(sets, left)), "jaccard-regions")
+        edges, wide = _join_regions(regions, classes, edges, last=level + 1 == LEVELS)
+        if wide is None:
+            return edges
+        later = np.union1d(late, _hashes(wide.groupBy("s").agg(F.count("*").alias("c"))))
+        if len(later) == len(late):  # the order cannot be improved
+            return _join_regions(regions, classes, edges, last=True)[0]
+        late, regions = later, _dealt(classes.texts(wide.select("cls").distinct()), later)
     return edges
 
 
 def _labelled(regions: DataFrame, edges: DataFrame) -> DataFrame:
     """Rows of the regions that hold more than one component."""
     comp = components(edges)
-    rows = regions.join(comp.withColumnRenamed("node", "cls"), "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
-    open_ = rows.groupBy("s").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("s")
-    return staged(rows.join(open_, "s"), "jaccard-open")
+    rows = regions.join(sized(comp.withColumnRenamed("node", "cls")), "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
+    each = rows.groupBy("s", "comp").agg(F.count("*").alias("k")).groupBy("s").agg(F.sum("k").alias("k"), F.sum(F.col("k") * F.col("k")).alias("kk"), F.count("*").alias("m"))
+    open_ = staged(each.where("m > 1").select("s", "k", "kk"), "jaccard-open")
+    return staged(rows.join(sized(open_), "s"), "jaccard-labelled")
 
 
-def _join_regions(regions: DataFrame, sets: DataFrame, edges: DataFrame | None, last: bool) -> tuple[DataFrame, DataFrame | None]:
-    """All links found so far, and the classes that have to be dealt anew (None: none)."""
+def _join_regions(regions: DataFrame, classes: _Classes, edges: DataFrame | None, last: bool) -> tuple[DataFrame, DataFrame | None]:
+    """All links found so far, and the rows (s, cls) that have to be dealt anew (None: none)."""
     star = regions.where("cls <> pivot").select(F.col("pivot").alias("a"), F.col("cls").alias("b")).distinct()
-    star = _compared(star, sets)
+    star = _compared(star, classes)
     found = star.where("link").select("a", "b")
     edges = found if edges is None else edges.unionByName(found)
     rows = _labelled(regions, edges)
     if rows.isEmpty():
         return edges, None
-    # Per region: members, and pairs of members of different components.
-    sizes = rows.groupBy("s", "comp").agg(F.count("*").alias("k")).groupBy("s").agg(F.sum("k").alias("k"), F.sum(F.col("k") * F.col("k")).alias("kk"))
+    # k members and k * k - kk pairs (both ways round) of members of different components
     wide = F.col("k") * F.col("k") - F.col("kk") > 2 * WIDE * F.col("k")
-    rows = rows.join(sizes.select("s", (wide & F.lit(not last)).alias("wide")), "s")
-    placed = rows.join(star.select(F.col("a").alias("pivot"), F.col("b").alias("cls"), "low", "high"), ["pivot", "cls"], "left")
-    placed = placed.select("s", "cls", "comp", "wide", F.coalesce("low", F.lit(0.0)).alias("low"), F.coalesce("high", F.lit(0.0)).alias("high"))
-    placed = staged(placed.join(sets.select("cls", "n"), "cls"), "jaccard-placed")
+    far = star.select(F.col("a").alias("pivot"), F.col("b").alias("cls"), "low", "high")
+    placed = rows.join(sized(far), ["pivot", "cls"], "left").join(sized(classes.sizes), "cls")
+    placed = staged(placed.select("s", "cls", "comp", "n", (wide & F.lit(not last)).alias("wide"), F.coalesce("low", F.lit(0.0)).alias("low"), F.coalesce("high", F.lit(0.0)).alias("high")), "jaccard-placed")
     one, two = (placed.where("NOT wide").select("s", *[F.col(c).alias(c + x) for c in ("cls", "comp", "low", "high", "n")]) for x in ("1", "2"))
     slack = EPS + 1e-9
     window = one.join(two, "s").where(
@@ -317,9 +320,9 @@ def _join_regions(regions: DataFrame, sets: DataFrame, edges: DataFrame | None,
     pairs = window.select(F.col("cls1").alias("a"), F.col("cls2").alias("b")).distinct()
     known = star.select("a", "b")
     pairs = staged(pairs.join(known, ["a", "b"], "left_anti"), "jaccard-window")
-    edges = edges.unionByName(_compared(pairs, sets).where("link").select("a", "b"))
-    left = placed.where("wide").select("cls").distinct()
-    return edges, None if left.isEmpty() else staged(left, "jaccard-active")
+    edges = edges.unionByName(_compared(pairs, classes).where("link").select("a", "b"))
+    left = placed.where("wide").select("s", "cls")
+    return edges, None if left.isEmpty() else left
 
 
 def _joined(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -327,14 +330,16 @@ def _joined(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     component's smallest id."""
     src = df.select(df[f"`{id_col}`"].alias("doc_id"), F.xxhash64(df[f"`{text_col}`"]).alias("tk"), df[f"`{text_col}`"].alias("text"))
     kind = src.schema["doc_id"].dataType.simpleString()
-    rows = staged(on_workers(src).mapInArrow(_classes, f"doc_id {kind}, tk long, n long, cls long"), "jaccard-classes")
+    rows = staged(on_workers(src).mapInArrow(_classes, f"doc_id {kind}, tk long, n long, cls long, sketch binary"), "jaccard-classes")
     worded = rows.where("cls IS NOT NULL")
-    edges = links(src.where("text IS NOT NULL").select("tk", "text"), worded.select("cls", "tk"))
-    heads = worded.groupBy("cls").agg(F.min("doc_id").alias("low")).join(components(edges).withColumnRenamed("node", "cls"), "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
+    info = worded.groupBy("cls").agg(F.min("tk").alias("tk"), F.min("n").alias("n"), F.min("sketch").alias("sketch"), F.min("doc_id").alias("low"))
+    info = staged(info, "jaccard-info")
+    edges = links(src.where("text IS NOT NULL").select("tk", "text"), info.drop("low"))
+    heads = info.select("cls", "low").join(components(edges).withColumnRenamed("node", "cls"), "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
     lows = heads.groupBy("comp").agg(F.min("low").alias("low"))
     named = staged(heads.select("cls", "comp").join(lows, "comp"), "jaccard-named")
     alone = rows.where("cls IS NULL").select("doc_id", "tk", "n", "cls", F.lit(None).cast("long").alias("comp"), F.col("doc_id").alias("low"))
-    return worded.join(named, "cls").select("doc_id", "tk", "n", "cls", "comp", "low").unionByName(alone)
+    return worded.select("doc_id", "tk", "n", "cls").join(named, "cls").select("doc_id", "tk", "n", "cls", "comp", "low").unionByName(alone)
 
 
 def join_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -350,11 +355,14 @@ def one_of_each(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     rows = staged(_joined(df, id_col, text_col).select("doc_id", "tk", "comp"), "jaccard-rows")
     grouped = rows.where("comp IS NOT NULL").groupBy("comp", "doc_id", "tk").agg(F.count("*").alias("k"))
     first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "tk", "k"))
-    heads = grouped.groupBy("comp").agg(first.alias("h")).select("h.doc_id", "h.tk", "h.k")
-    stay = rows.where("comp IS NULL").select("doc_id", "tk").distinct().withColumn("k", F.lit(1).cast("long")).unionByName(heads)
+    heads = grouped.groupBy("comp").agg(first.alias("h"), F.count("*").alias("m")).where("m > 1 OR h.k > 1")
+    heads = staged(heads.select("comp", F.col("h.doc_id").alias("h_id"), F.col("h.tk").alias("h_tk"), F.col("h.k").alias("k")), "jaccard-heads")
+    same = grouped["doc_id"].eqNullSafe(heads["h_id"]) & (grouped["tk"] == heads["h_tk"])
+    go = staged(grouped.join(heads, "comp").where(~same).select("doc_id", "tk"), "jaccard-go")
+    again = staged(heads.where("k > 1").select(F.col("h_id").alias("doc_id"), F.col("h_tk").alias("tk")), "jaccard-again")
     # All columns travel in one struct, so no name can clash.
     src = df.select(F.struct(*[df[f"`{c}`"] for c in df.columns]).alias("_row"), df[f"`{id_col}`"].alias("_id"), F.xxhash64(df[f"`{text_col}`"]).alias("_tk"))
-    kept = src.join(staged(stay, "jaccard-stay"), F.col("_id").eqNullSafe(F.col("doc_id")) & (F.col("_tk") == F.col("tk")))
-    once = kept.where("k = 1").select("_row.*")
-    again = kept.where("k > 1").dropDuplicates(["_id", "_tk"]).select("_row.*")
-    return once.unionByName(again)
+    matches = F.col("_id").eqNullSafe(F.col("doc_id")) & (F.col("_tk") == F.col("tk"))
+    kept = src.join(sized(go), matches, "left_anti")
+    once = kept.join(sized(again), matches, "left_anti").select("_row.*")
+    return once.unionByName(kept.join(sized(again), matches, "left_semi").dropDuplicates(["_id", "_tk"]).select("_row.*"))
