@@ -7,6 +7,11 @@ format: digits stay digits, letters stay letters of their case and script, punct
 codes, key prefixes and top-level domains stay, octets stay octets; given names get given names
 of the same gender and script, family names get made-up ones of the same script.
 
+Names are found after a title or a listed given name: a run of up to ``RUN_WORDS`` capitalised words on
+one line (inner capitals, apostrophes, hyphens, initials and particles included).  Each word of a
+run counts as found for the whole text: its bare mentions before and after are replaced too, also
+in capitals.  Initials before a found word turn into other letters.
+
 Coreference: mentions that differ only in format (case of a mail address, spacing of a number)
 share one canonical form and so one surrogate, shown in each mention's own format, in all
 documents.  Distinctness: rounds of collision checks over the table of distinct entities.  A
@@ -44,12 +49,29 @@ NEW_FEMALE_CYRILLIC = ["Алла", "Вера", "Дарья", "Зоя", "Инна
 SYLLABLES = ["ba", "den", "fol", "gri", "hau", "jor", "kel", "lin", "mar", "nov", "pel", "ros", "sta", "tor", "vin", "wes"]
 SYLLABLES_CYRILLIC = ["ба", "ве", "го", "ду", "жи", "зор", "кел", "лин", "мар", "нов", "пе", "рос", "ста", "тор", "фе", "шу"]
 
+#: Lower-case words inside a family name (they stay), and words that end a run of names.
+PARTICLES = ["van", "von", "der", "den", "de", "la", "del", "della", "di", "da", "du", "dos", "das", "el", "al", "bin", "ibn", "ter", "ten", "zu", "zum", "zur", "y"]
+NO_NAMES = ["The", "This", "That", "These", "Those", "They", "There", "Then", "When", "And", "But"]
+RUN_WORDS = 16
+
 _TITLE = "|".join(MALE_TITLES + FEMALE_TITLES + OTHER_TITLES)
 _GIVEN = "|".join(MALE + FEMALE + MALE_CYRILLIC + FEMALE_CYRILLIC)
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 _LABEL = r"""(?i:password|passwd|pwd|secret|token|api_key|apikey|access_key)["']?\s{0,2}(?:=\s{0,2}["']?|:\s{0,2}["']?(?=[A-Za-z+/_\-]{0,200}\d))"""
+_BLANK = r"[ \t\x{A0}]"
+_LETTER = r"[\p{L}\p{M}]"
+#: One word of a name, up to a hyphen before a capital; not the 's of a genitive.
+_NAME = (rf"(?!(?:{_TITLE}|{'|'.join(NO_NAMES)})(?![\p{{L}}\p{{M}}'’\-]))\p{{Lu}}(?=['’]?{_LETTER}){_LETTER}*+"
+         rf"(?:['’](?!(?:s|ll|ve|re|d|m)(?!{_LETTER})){_LETTER}++)?+(?:[\-‐‑]\p{{Ll}}{_LETTER}*+)?+")
+_NAMES = rf"(?:(?:{'|'.join(PARTICLES)}){_BLANK}++|[dl]['’]|\p{{Lu}}\.{_BLANK}*+|\p{{Lu}}{_BLANK}++){{0,8}}+{_NAME}(?:[\-‐‑]{_NAME}){{0,3}}+"
+_RUN = rf"{_NAMES}(?:{_BLANK}++{_NAMES}){{0,{RUN_WORDS - 1}}}+"
+#: Titles and the run after them (the run may begin on the next line), or a listed given name and its run.
+SPAN = (rf"(?<!{_LETTER})(?=[\p{{Lu}}г])(?:(?:(?:{_TITLE})(?!{_LETTER})(?:\.|(?=\s)){_BLANK}*+(?:\R{_BLANK}*+)?){{1,4}}+{_RUN}"
+        rf"|(?:{_GIVEN})(?:[\-‐‑]{_NAME})?+{_BLANK}++{_RUN})")
+#: Initials before a name: with points, or one without right after a title or a listed given name.
+_INITIALS = rf"(?:(?:\p{{Lu}}\.{_BLANK}*+){{1,8}}+|(?<=(?:{_TITLE}|{_GIVEN})\.?\s{{1,4}})\p{{Lu}}{_BLANK}++)"
 #: Kind -> pattern.  The first group is tried where no ASCII letter or digit precedes, the second
-#: at the start of a run of digits, the third at the start of a capitalised word.
+#: at the start of a run of digits.
 PATTERNS = {
     "mail": r"[A-Za-z0-9][A-Za-z0-9._%+\-]{0,63}@(?:[A-Za-z0-9\-]{1,63}\.){1,8}[A-Za-z]{2,24}",
     "key": r"(?:AKIA|ASIA)[0-9A-Z]{16}(?![A-Za-z0-9])|(?:ghp_|gho_|sk-|xoxb-)[A-Za-z0-9\-]{16,80}",
@@ -60,7 +82,6 @@ PATTERNS = {
     "local": r"\d{3}[.\-]\d{3}[.\-]\d{4}(?![\d\-])",
     "card": r"\d{13,19}(?![\d\-])|\d{4}[ \-]\d{4}[ \-]\d{4}[ \-]\d{1,7}(?![\d\-])",
     "ssn": r"\d{3}-\d{2}-\d{4}(?![\d\-])",
-    "name": rf"(?:{_GIVEN})(?=[ ]\p{{Lu}}\p{{Ll}})|\p{{Lu}}(?<=(?:{_TITLE}|{_GIVEN})\.?[ ].)\p{{Ll}}+(?!\p{{L}})",
 }
 
 
@@ -69,32 +90,54 @@ def _any(*kinds: str) -> str:
 
 
 PATTERN = (rf"(?<![A-Za-z0-9])(?=[A-Za-z0-9+(]){_any('mail', 'key', 'secret', 'iban', 'phone')}"
-           rf"|(?<![\d.\-])(?=\d){_any('ip', 'local', 'card', 'ssn')}|(?<!\p{{L}})(?=\p{{Lu}}){_any('name')}")
+           rf"|(?<![\d.\-])(?=\d){_any('ip', 'local', 'card', 'ssn')}")
 #: Texts without any of these have no entity.
-HINTS = (r"[0-9@=:]", rf"(?<!\p{{L}})(?=\p{{Lu}}|г)(?:{_TITLE}|{_GIVEN})[. ]")
+HINTS = (r"[0-9@=:]", rf"(?<!\p{{L}})(?=\p{{Lu}}|г)(?:{_TITLE}|{_GIVEN})(?!{_LETTER})")
 #: Kinds whose mentions may differ in punctuation only.
 NUMBERS = ("phone", "card", "ssn")
+#: Kinds whose mentions may differ in case and initials.
+PERSONS = ("male", "female", "family")
 KEY = "surrogates-1"
 
 
+def names_of(text: Column) -> Column:
+    """The words of all names in a text, longest first, each also in capitals."""
+    words = F.flatten(F.transform(F.regexp_extract_all(text, F.lit(SPAN), F.lit(0)), lambda s: F.regexp_extract_all(s, F.lit(rf"(?<!{_LETTER}){_NAME}"), F.lit(0))))
+    heads = F.transform(words, lambda w: F.regexp_replace(w, rf"[\-‐‑].*$", ""))
+    some = F.filter(F.concat(words, heads), lambda w: F.length(w) > 1)
+    return F.reverse(F.transform(F.array_sort(F.array_distinct(F.transform(F.concat(some, F.transform(some, F.upper)), lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))))), lambda x: x["w"]))
+
+
+def pattern_of(names: Column) -> Column:
+    """The pattern of all entities of a text in which ``names`` were found."""
+    bare = F.concat(F.lit(rf"{PATTERN}|(?<!{_LETTER})(?=\p{{Lu}})(?:{_INITIALS})?+(?:"), F.array_join(names, "|"), F.lit(rf")(?!{_LETTER})"))
+    return F.when(F.size(names) > 0, bare).otherwise(PATTERN)
+
+
+def is_name(mention: Column) -> Column:
+    return mention.rlike(rf"^(?:\p{{Lu}}(?:\.{_BLANK}*+|{_BLANK}++))*+\p{{Lu}}[\p{{L}}\p{{M}}'’‐‑\-]+$")
+
+
 def value_of(mention: Column) -> Column:
-    """A mention without the label of a secret."""
-    return F.regexp_replace(mention, rf"^{_LABEL}", "")
+    """A mention without the label of a secret or the initials of a name."""
+    return F.when(is_name(mention), F.regexp_extract(mention, r"[\p{L}\p{M}'’‐‑\-]+$", 0)).otherwise(F.regexp_replace(mention, rf"^{_LABEL}", ""))
+
 
+def kind_of(mention: Column) -> Column:
+    """The kind of a mention: the one whose pattern describes all of its value."""
+    value, name = value_of(mention), is_name(mention)
 
-def kind_of(value: Column) -> Column:
-    """The kind of a found value: the one whose pattern describes all of it."""
     def is_(kind: str) -> Column:
         return value.rlike(rf"^{_any(kind)}$")
     return (F.when(is_("mail"), "mail").when(is_("key"), "key").when(value.rlike(r"^[0-9a-f]{32,128}$"), "secret").when(is_("iban"), "iban")
             .when(is_("ip"), "ip").when(is_("phone") | is_("local"), "phone").when(is_("card"), "card").when(is_("ssn"), "ssn")
-            .when(value.isin(MALE + MALE_CYRILLIC), "male").when(value.isin(FEMALE + FEMALE_CYRILLIC), "female")
-            .when(value.rlike(r"^\p{Lu}\p{Ll}+$"), "family").otherwise("secret"))
+            .when(name & F.initcap(value).isin(MALE + MALE_CYRILLIC), "male").when(name & F.initcap(value).isin(FEMALE + FEMALE_CYRILLIC), "female")
+            .when(name, "family").otherwise("secret"))
 
 
 def canonical(kind: Column, value: Column) -> Column:
     """What mentions of one entity have in common."""
-    return F.when(kind == "mail", F.lower(value)).when(kind.isin(*NUMBERS), F.regexp_replace(value, r"\D", "")).otherwise(value)
+    return F.when(kind == "mail", F.lower(value)).when(kind.isin(*NUMBERS), F.regexp_replace(value, r"\D", "")).when(kind.isin(*PERSONS), F.initcap(value)).otherwise(value)
 
 
 def _draw(*parts: Column) -> Column:
@@ -164,8 +207,19 @@ def surrogates(entities: DataFrame, key: str = KEY) -> DataFrame:
         attempt += 1
 
 
-def shown(kind: Column, mention: Column, surrogate: Column) -> Column:
+def shown(kind: Column, mention: Column, surrogate: Column, key: str = KEY) -> Column:
     """The surrogate in the mention's format."""
+    # Initials move through the alphabet by a keyed step of the name, so two never become one.
+    def initial(c: Column) -> Column:
+        def moved(alphabet: str) -> Column:
+            step = 1 + F.pmod(_draw(F.lit(key), F.lit("initial"), surrogate), F.lit(len(alphabet) - 1))
+            return F.substr(F.lit(alphabet), F.pmod(F.instr(F.lit(alphabet), c) - 1 + step, F.lit(len(alphabet))).cast("int") + 1, F.lit(1))
+        return F.when(c.rlike(r"\p{IsCyrillic}") & c.rlike(r"\p{Lu}"), moved("АБВГДЕЖЗИКЛМНОПРСТУФХЦЧШЩЭЮЯ")).when(c.rlike(r"\p{Lu}"), moved("ABCDEFGHIJKLMNOPQRSTUVWXYZ")).otherwise(c)
+
+    stem = value_of(mention)
+    before = F.array_join(F.transform(F.split(F.substr(mention, F.lit(1), F.length(mention) - F.length(stem)), ""), initial), "")
+    person = F.concat(before, F.when(F.upper(stem) == stem, F.upper(surrogate)).otherwise(surrogate))
+
     def char(c: Column, i: Column) -> Column:
         nth = F.length(F.regexp_replace(F.substr(mention, F.lit(1), i + 1), r"\D", ""))
         return F.when(c.rlike(r"\d"), F.substr(surrogate, nth, F.lit(1))).otherwise(c)
@@ -174,7 +228,7 @@ def shown(kind: Column, mention: Column, surrogate: Column) -> Column:
     country = F.length(F.regexp_extract(mention, r"^\+\d{1,3}(?=[ .\-(])", 0))
     mail = F.array_join(F.transform(F.split(mention, ""), lambda c, i: F.when(c.rlike("[A-Z]"), F.upper(F.substr(surrogate, i + 1, F.lit(1)))).otherwise(F.substr(surrogate, i + 1, F.lit(1)))), "")
     return (F.when(kind == "phone", F.concat(F.substr(mention, F.lit(1), country), F.substr(digits, country + 1, F.length(mention))))
-            .when(kind.isin(*NUMBERS), digits).when((kind == "mail") & (F.length(mention) == F.length(surrogate)), mail)
+            .when(kind.isin(*PERSONS), person).when(kind.isin(*NUMBERS), digits).when((kind == "mail") & (F.length(mention) == F.length(surrogate)), mail)
             .otherwise(F.concat(F.regexp_extract(mention, rf"^{_LABEL}", 0), surrogate)))
 
 
@@ -182,23 +236,28 @@ def replaced(df: DataFrame, text_col: str = "text", key: str = KEY, count_col: s
     """``df`` with every entity of ``text_col`` replaced, and the number of them in ``count_col``
     (with leading underscores if ``df`` has such a column)."""
     cols = df.columns
-    found, digest, count = free_name(cols, "_found"), free_name(cols, "_digest"), free_name(cols, count_col)
+    found, digest, count, pattern = free_name(cols, "_found"), free_name(cols, "_digest"), free_name(cols, count_col), free_name(cols, "_pattern")
     text = F.col(f"`{text_col}`")
     whole = [F.col(f"`{c}`") for c in cols]
-    hinted = F.coalesce(text.rlike(HINTS[0]) | text.rlike(HINTS[1]), F.lit(False))
-    src = df.withColumn(found, F.when(hinted, F.regexp_extract_all(text, F.lit(PATTERN), 0)).otherwise(F.array().cast("array<string>")))
+    # A text without names has the one pattern of all; only then the compiled form is used again.
+    named = F.when(text.rlike(HINTS[1]), names_of(text))
+    src = df.withColumn(pattern, F.when(F.size(named) > 0, pattern_of(named)))
+    mine = F.col(pattern)
+    none = F.array().cast("array<string>")
+    found_all = F.when(mine.isNotNull(), F.regexp_extract_all(text, mine, F.lit(0))).when(text.rlike(HINTS[0]), F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0)))
+    src = src.withColumn(found, F.coalesce(found_all, none))
     has = F.size(F.col(found)) > 0
     marked = src.where(has).withColumn(digest, F.sha2(text, 256))
     # Once per distinct text: its mentions in order.
     mentions = marked.select(F.col(digest).alias("digest"), F.col(found).alias("found")).dropDuplicates(["digest"]).select("digest", F.posexplode("found").alias("at", "mention"))
-    mentions = mentions.withColumn("kind", kind_of(value_of(F.col("mention"))))
+    mentions = mentions.withColumn("kind", kind_of(F.col("mention")))
     mentions = staged(mentions.withColumn("entity", canonical(F.col("kind"), value_of(F.col("mention")))), "pii-mentions")
     table = surrogates(mentions.select("kind", "entity").distinct(), key)
     new = (mentions.join(table, ["kind", "entity"])
-           .select("digest", "at", shown(F.col("kind"), F.col("mention"), F.col("surrogate")).alias("new"))
+           .select("digest", "at", shown(F.col("kind"), F.col("mention"), F.col("surrogate"), key).alias("new"))
            .groupBy("digest").agg(F.transform(F.array_sort(F.collect_list(F.struct("at", "new"))), lambda s: s["new"]).alias("new")))
     new = staged(new, "pii-texts")
-    pieces = F.split(text, PATTERN, -1)
+    pieces = F.when(mine.isNotNull(), F.split(text, mine, -1)).otherwise(F.split(text, F.lit(PATTERN), -1))
     rebuilt = F.array_join(F.zip_with(pieces, F.concat(F.col("new"), F.array(F.lit(""))), lambda a, b: F.concat(a, b)), "")
     done = marked.join(new, marked[digest] == new["digest"]).select(*[rebuilt.alias(c) if c == text_col else F.col(f"`{c}`") for c in cols], F.size(F.col(found)).alias(count))
     return src.where(~has).select(*whole, F.lit(0).alias(count)).unionByName(done)

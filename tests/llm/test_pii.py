@@ -47,6 +47,27 @@ def test_collisions_are_drawn_again(spark):
     assert len(new_texts(spark, ["password=------", "secret=aaaaaa-"])) == 2
 
 
+def test_whole_names_and_their_bare_mentions(spark):
+    texts = [
+        "Dr. Emma Brown came. Emma said BROWN's dog", "Mr McDonald, Mr. O'Brien's car and O'Brien", "Mr. J. Smith, J. Smith, K. Smith, Mr J Smith and Smith", "Mr.  Smith-Jones and Jones, Smith-like",
+        "Smith saw Mr. John Smith. Then Smith left", "Herr von Trapp, Prof. Dr. Müller; Mr.\nWesson\nThe end. The cat", "John F. Kennedy and Mr. d'Artagnan", "Smithers, smith and Smith alone", "Mr. Smith J.Smith@x.com"]
+    out = new_texts(spark, texts)
+    left = "Emma|Brown|BROWN|McDonald|Brien|Jones|Trapp|Müller|Wesson|Kennedy|Artagnan|John"
+    assert not [t for t in out if re.search(left, t)] and not [t for t in (*out[:7], out[8]) if "Smith" in t]
+    m = re.fullmatch(r"Dr\. (\w+) (\w+) came\. (\w+) said (\w+)'s dog", out[0])
+    assert m[1] == m[3] != m[2] and m[2].upper() == m[4]
+    m = re.fullmatch(r"Mr (\w+), Mr\. (\w+)'s car and (\w+)", out[1])
+    assert m[1] != m[2] == m[3]
+    m = re.fullmatch(r"Mr\. (\w)\. (\w+), (\w)\. (\w+), (\w)\. (\w+), Mr (\w) (\w+) and (\w+)", out[2])
+    smith = m[2]
+    assert {m[2], m[4], m[6], m[8], m[9]} == {smith} and m[1] == m[3] == m[7] != "J" and m[5] not in ("K", m[1])
+    m = re.fullmatch(rf"Mr\.  {smith}-(\w+) and (\w+), {smith}-like", out[3])
+    assert m[1] == m[2]
+    assert re.fullmatch(rf"{smith} saw Mr\. \w+ {smith}\. Then {smith} left", out[4])
+    assert re.fullmatch(r"Herr von \w+, Prof\. Dr\. \w+; Mr\.\n\w+\nThe end\. The cat", out[5])
+    assert out[7] == texts[7]
+
+
 def test_rows_and_columns_stay(spark, edge_docs, no_docs):
     out = P.replaced(edge_docs)
     assert out.columns == [*edge_docs.columns, "n_entities"]
