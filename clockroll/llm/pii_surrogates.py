@@ -57,7 +57,11 @@ RUN_WORDS = 16
 _TITLE = "|".join(MALE_TITLES + FEMALE_TITLES + OTHER_TITLES)
 _GIVEN = "|".join(MALE + FEMALE + MALE_CYRILLIC + FEMALE_CYRILLIC)
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
-_LABEL = r"""(?i:password|passwd|pwd|secret|token|api_key|apikey|access_key)["']?\s{0,2}(?:=\s{0,2}["']?|:\s{0,2}["']?(?=[A-Za-z+/_\-]{0,200}\d))"""
+_LABEL = r"""(?i:password|passwd|pwd|secret|token|api_key|apikey|access_key)["']?\s{0,2}(?:=\s{0,2}["']?|:\s{0,2}["']?(?=[^\s"'\d]*+\d|(?<=")[^"\d\r\n]*+\d|(?<=')[^'\d\r\n]*+\d))"""
+#: A labelled value of six characters or more: to the closing quote on its line, or else to white space or a
+#: quote, without the marks that end a sentence or bracket.  One class per quantifier: no length overflows the stack.
+_VALUE = (r"""(?:(?<=")(?=(?:[^"\\\r\n]|\\.){6})[^\r\n]{6,}?(?<!\\)(?=")|(?<=')(?=(?:[^'\\\r\n]|\\.){6})[^\r\n]{6,}?(?<!\\)(?=')"""
+          r"""|[^\s"']{5,}[^\s"'.,;:)\]}>])""")
 _BLANK = r"[ \t\x{A0}]"
 _LETTER = r"[\p{L}\p{M}]"
 #: One word of a name, up to a hyphen before a capital; not the 's of a genitive.
@@ -74,8 +78,8 @@ _INITIALS = rf"(?:(?:\p{{Lu}}\.{_BLANK}*+){{1,8}}+|(?<=(?:{_TITLE}|{_GIVEN})\.?\
 #: at the start of a run of digits.
 PATTERNS = {
     "mail": r"[A-Za-z0-9][A-Za-z0-9._%+\-]{0,63}@(?:[A-Za-z0-9\-]{1,63}\.){1,8}[A-Za-z]{2,24}",
-    "key": r"(?:AKIA|ASIA)[0-9A-Z]{16}(?![A-Za-z0-9])|(?:ghp_|gho_|sk-|xoxb-)[A-Za-z0-9\-]{16,80}",
-    "secret": rf"{_LABEL}[A-Za-z0-9+/_\-]{{6,200}}={{0,2}}|[0-9a-f]{{32,128}}(?![A-Za-z0-9])",
+    "key": r"(?:AKIA|ASIA)[0-9A-Z]{16}(?![A-Za-z0-9])|(?:ghp_|gho_|sk-|xoxb-)[A-Za-z0-9_\-]{16,}+",
+    "secret": rf"{_LABEL}{_VALUE}|[0-9a-f]{{32,}}+(?![A-Za-z0-9])",
     "iban": r"[A-Z]{2}\d{2}[A-Z0-9]{11,30}(?![A-Za-z0-9])",
     "phone": r"\+\d{1,3}[ .\-]?\(?\d{1,4}\)?(?:[ .\-]?\d{2,4}){1,4}(?!\d)|\(\d{3}\) ?\d{3}[ .\-]\d{4}(?!\d)",
     "ip": rf"(?:{_OCTET}\.){{3}}{_OCTET}(?!\d|\.\d)",
@@ -92,7 +96,7 @@ def _any(*kinds: str) -> str:
 PATTERN = (rf"(?<![A-Za-z0-9])(?=[A-Za-z0-9+(]){_any('mail', 'key', 'secret', 'iban', 'phone')}"
            rf"|(?<![\d.\-])(?=\d){_any('ip', 'local', 'card', 'ssn')}")
 #: Texts without any of these have no entity.
-HINTS = (r"[0-9@=:]", rf"(?<!\p{{L}})(?=\p{{Lu}}|г)(?:{_TITLE}|{_GIVEN})(?!{_LETTER})")
+HINTS = (r"[0-9@=:]|AKIA|ASIA|gh[po]_|sk-|xoxb-|[a-f]{32}", rf"(?<!\p{{L}})(?=\p{{Lu}}|г)(?:{_TITLE}|{_GIVEN})(?!{_LETTER})")
 #: Kinds whose mentions may differ in punctuation only.
 NUMBERS = ("phone", "card", "ssn")
 #: Kinds whose mentions may differ in case and initials.
@@ -129,7 +133,7 @@ def kind_of(mention: Column) -> Column:
 
     def is_(kind: str) -> Column:
         return value.rlike(rf"^{_any(kind)}$")
-    return (F.when(is_("mail"), "mail").when(is_("key"), "key").when(value.rlike(r"^[0-9a-f]{32,128}$"), "secret").when(is_("iban"), "iban")
+    return (F.when(is_("mail"), "mail").when(is_("key"), "key").when(value.rlike(r"^[0-9a-f]{32,}+$"), "secret").when(is_("iban"), "iban")
             .when(is_("ip"), "ip").when(is_("phone") | is_("local"), "phone").when(is_("card"), "card").when(is_("ssn"), "ssn")
             .when(name & F.initcap(value).isin(MALE + MALE_CYRILLIC), "male").when(name & F.initcap(value).isin(FEMALE + FEMALE_CYRILLIC), "female")
             .when(name, "family").otherwise("secret"))
@@ -172,6 +176,7 @@ def candidate(kind: Column, entity: Column, attempt: Column, key: str) -> Column
         return (F.when((i < head) | (i >= n - tail), c).when(c.rlike("[0-9]"), letter("0123456789", i))
                 .when(low & hexed, letter("abcdef", i)).when(low, letter("abcdefghijklmnopqrstuvwxyz", i)).when(up, letter("ABCDEFGHIJKLMNOPQRSTUVWXYZ", i))
                 .when(c.rlike(r"\p{IsCyrillic}") & c.rlike(r"\p{Lu}"), F.upper(letter(cyrillic, i))).when(c.rlike(r"\p{IsCyrillic}"), letter(cyrillic, i))
+                .when(c.rlike(r"\p{N}"), letter("0123456789", i)).when(c.rlike(r"\p{Lu}"), letter("ABCDEFGHIJKLMNOPQRSTUVWXYZ", i)).when(c.rlike(r"\p{L}"), letter("abcdefghijklmnopqrstuvwxyz", i))
                 .when(wide & (kind == "secret"), letter("abcdefghijklmnopqrstuvwxyz", i)).otherwise(c))
 
     chars = F.array_join(F.transform(F.split(entity, ""), swapped), "")

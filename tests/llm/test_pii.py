@@ -68,6 +68,26 @@ def test_whole_names_and_their_bare_mentions(spark):
     assert out[7] == texts[7]
 
 
+def test_secrets_of_any_length_are_replaced_whole(spark):
+    values = [("aB1" * 1700)[:n] for n in (201, 500, 5000)]
+    hexed, jwt = "0a" * 2500, "eyJhbGci.eyJzdWIiOiIx.SflKx-_w5c"
+    texts = [*(f"password={v} end" for v in values), *(f'token: "{v}" end' for v in values), f"x {hexed} y", f"sk-{values[1]}_{values[0]} y", f"token={jwt} y", "password=Tr0ub4dor!xyz", "password=p@ssw0rd. And",
+             'secret="correct horse 1 battery" y', "password=пароль1é", "gho_abcdefghijklmnopqrst", 'pwd="abc", x="defghijk"', "token: the word"]
+    out = new_texts(spark, texts)
+    assert out[-2:] == texts[-2:]
+    for old, new in zip(texts[:-2], out[:-2], strict=True):
+        assert len(old) == len(new)
+        start = re.match(r"(?:password=|secret=\"|token: \"|token=|x |sk-|gho_)", old).end()
+        stop = re.search(r"(?:\"? end| y|\" y|\. And|)$", old).start()
+        assert old[:start] == new[:start] and old[stop:] == new[stop:]
+        long = {old[i:i + 12] for i in range(start, stop - 11)}
+        assert not [x for x in long if x in new[start:stop]] and old[stop - 3:stop] != new[stop - 3:stop]
+        assert all(c.isalnum() == d.isalnum() for c, d in zip(old, new, strict=True))
+    mentions = [f"password={v} {v}" for v in ("0a" * 100,)]
+    a, b = new_texts(spark, mentions)[0].removeprefix("password=").split()
+    assert a == b != "0a" * 100
+
+
 def test_rows_and_columns_stay(spark, edge_docs, no_docs):
     out = P.replaced(edge_docs)
     assert out.columns == [*edge_docs.columns, "n_entities"]
