@@ -21,8 +21,8 @@ it in its part, document ids and lengths, and the segment bytes), so Spark's com
 covers lost executors and the path may be in any store that Spark reaches.
 
 Defined cases: a null or empty text is only the end id; null document ids come first; rows
-with equal ids are ordered by text; an empty table gives an empty table of segments.  Special
-strings inside a text are ordinary text.
+with equal ids are ordered by text; an empty table gives an empty table of segments.  Added
+tokens inside a text get their ids, as the library does by default.
 """
 
 from __future__ import annotations
@@ -145,7 +145,7 @@ class _Words(dict):
 
 class _Encoder:
     """Ids of texts.  Words are encoded once and looked up again where the tokenizer's steps allow
-    it; a tokenizer of another kind gets whole texts."""
+    it; texts with an added token, and all texts if the tokenizer is of another kind, go to it whole."""
 
     def __init__(self, tokenizer_json: str, end_id: int):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -154,7 +154,6 @@ class _Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
-        self.tokenizer.encode_special_tokens = True
         self.end = np.uint32(end_id).tobytes()
         spec = json.loads(tokenizer_json)
         pre = (spec.get("pre_tokenizer") or {}).get("pretokenizers", [{}])
@@ -165,15 +164,28 @@ class _Encoder:
         kept = {*range(33, 127), *range(161, 173), *range(174, 256)}
         moved = (b for b in range(256) if b not in kept)
         byte_level = {b: 256 + i for i, b in enumerate(moved)} if self.lowers and [x.get("type") for x in pre] == ["Split", "ByteLevel"] else None
-        self.by_word = pre[0].get("type") == "Split" and pre[0].get("behavior") == "Removed" and pre[0].get("invert") and r"[^\s" in pre[0].get("pattern", {}).get("Regex", "")
+        # Tokens that the library looks for in the text as it stands, before any other step.
+        added = spec.get("added_tokens") or []
+        self.added = [t["content"] for t in added]
+        as_is = all(t["special"] and not t["normalized"] for t in added)
+        self.by_word = as_is and pre[0].get("type") == "Split" and pre[0].get("behavior") == "Removed" and pre[0].get("invert") and r"[^\s" in pre[0].get("pattern", {}).get("Regex", "")
+        # A word in lower case may read like an added token that the text does not hold.
+        self.tokenizer.encode_special_tokens = self.by_word
         self.words = _Words(self.tokenizer, byte_level)
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         if not self.by_word:
             return [np.array(e.ids, dtype="<u4").tobytes() + self.end for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
-        get = self.words.__getitem__
-        split = (self._plain(t).replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts)
-        return [b"".join(map(get, words)) + self.end for words in split]
+        return [self._ids(t) + self.end for t in texts]
+
+    def _ids(self, text: str) -> bytes:
+        if any(x in text for x in self.added):
+            self.tokenizer.encode_special_tokens = False
+            ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+            self.tokenizer.encode_special_tokens = True
+            return np.array(ids, dtype="<u4").tobytes()
+        words = self._plain(text).replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
+        return b"".join(map(self.words.__getitem__, words))
 
     def _plain(self, text: str) -> str:
         """The text in lower case, where the tokenizer's own steps (NFC, then lower case for each

@@ -42,6 +42,21 @@ def test_words_once_equals_the_library(texts):
 _encoder: dict = {}
 
 
+def test_added_tokens_as_the_library_gives_them(spark):
+    lib = Tokenizer.from_file(PATH)
+    texts = ["see <|endoftext|> here", "a<|endoftext|>b", "x <|startoftext|><|endoftext|> , don't", "É\n<|endoftext|>\tÉ", "<|ENDOFTEXT|> <|endoftext|", "<|endof text|>", "plain text", "<|endoftext|>"]
+    want = [lib.encode(t, add_special_tokens=False).ids + [2] for t in texts]
+    assert want[0] == [862, 49407, 763, 2] and 49407 not in want[4]
+    with open(PATH, encoding="utf-8") as f:
+        enc = D._Encoder(f.read(), 2)
+    assert [np.frombuffer(x, "<u4").tolist() for x in enc(texts)] == want
+    path = tempfile.mkdtemp(prefix="run-", dir="/tmp") + "/t"
+    D.write(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), path, PATH, 2, parts=2)
+    got = D.digests(D.read_documents(spark, path)).orderBy("doc_id").collect()
+    assert [(r.n_tokens, r.ids_crc32) for r in got] == [(len(x), zlib.crc32(np.array(x, dtype="<u4").tobytes())) for x in want]
+    assert [r.start for r in got] == np.cumsum([0, *map(len, want)])[:-1].tolist()
+
+
 def test_files(spark, edge_docs, no_docs):
     root = tempfile.mkdtemp(prefix="run-", dir="/tmp")
     D.write(edge_docs, f"{root}/a", PATH, 2, parts=3)
