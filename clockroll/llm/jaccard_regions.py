@@ -15,7 +15,8 @@ of every member to it is bounded or computed.  Members within EPS link.  A regio
 then belong to one component is finished; this is the normal end of a group of copies, at a
 cost linear in its size.  In the others two members can only link if their distances to the
 pivot differ by EPS at most (triangle inequality); pairs of different components inside that
-window are compared.
+window are compared.  (``join_links`` needs every link: there no region is finished early, and all
+pairs inside the window are compared.)
 
 Recursion: a region with too many such pairs is not expanded.  The shingles of such regions go to
 the end of the order, their members are dealt anew into regions in that order and joined by the
@@ -269,41 +270,49 @@ def _hashes(rows: DataFrame) -> np.ndarray:
     return np.array([r["s"] for r in got], dtype=np.int64).view(np.uint64)
 
 
-def links(docs: DataFrame, info: DataFrame) -> DataFrame:
-    """Linked pairs of classes that connect every component of the join (and only linked pairs).
-    ``docs``: text, tk; ``info``: cls, n, sketch, tk."""
+def links(docs: DataFrame, info: DataFrame, complete: bool = False) -> DataFrame:
+    """Linked pairs of classes that connect every component of the join (and only linked pairs), or
+    with ``complete`` all linked pairs, once each.  ``docs``: text, tk; ``info``: cls, n, sketch, tk."""
+    edges = _links(docs, info, complete)
+    return edges.distinct() if complete else edges
+
+
+def _links(docs: DataFrame, info: DataFrame, complete: bool) -> DataFrame:
     on_workers(docs)
     picked = info.select("tk").orderBy(F.xxhash64("tk"), "tk").limit(SAMPLE_DOCS)
     sample = docs.join(F.broadcast(picked), "tk").dropDuplicates(["tk"]).select("text")
     late = np.sort(_hashes(sample.mapInArrow(_all_shingles, "s long").groupBy("s").agg(F.count("*").alias("c")).where(F.col("c") >= FREQUENT_FROM)))
     classes, edges, regions = _Classes(docs, info), None, _dealt(docs, late)
     for level in range(LEVELS):
-        edges, wide = _join_regions(regions, classes, edges, last=level + 1 == LEVELS)
+        edges, wide = _join_regions(regions, classes, edges, level + 1 == LEVELS, complete)
         if wide is None:
             return edges
         later = np.union1d(late, _hashes(wide.groupBy("s").agg(F.count("*").alias("c"))))
         if len(later) == len(late):  # the order cannot be improved
-            return _join_regions(regions, classes, edges, last=True)[0]
+            return _join_regions(regions, classes, edges, True, complete)[0]
         late, regions = later, _dealt(classes.texts(wide.select("cls").distinct()), later)
     return edges
 
 
-def _labelled(regions: DataFrame, edges: DataFrame) -> DataFrame:
-    """Rows of the regions that hold more than one component."""
-    comp = components(edges)
-    rows = regions.join(sized(comp.withColumnRenamed("node", "cls")), "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
+def _labelled(regions: DataFrame, edges: DataFrame | None) -> DataFrame:
+    """Rows of the regions that hold more than one component (without edges each class is one)."""
+    if edges is None:
+        rows = regions.withColumn("comp", F.col("cls"))
+    else:
+        comp = components(edges)
+        rows = regions.join(sized(comp.withColumnRenamed("node", "cls")), "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
     each = rows.groupBy("s", "comp").agg(F.count("*").alias("k")).groupBy("s").agg(F.sum("k").alias("k"), F.sum(F.col("k") * F.col("k")).alias("kk"), F.count("*").alias("m"))
     open_ = staged(each.where("m > 1").select("s", "k", "kk"), "jaccard-open")
     return staged(rows.join(sized(open_), "s"), "jaccard-labelled")
 
 
-def _join_regions(regions: DataFrame, classes: _Classes, edges: DataFrame | None, last: bool) -> tuple[DataFrame, DataFrame | None]:
+def _join_regions(regions: DataFrame, classes: _Classes, edges: DataFrame | None, last: bool, complete: bool = False) -> tuple[DataFrame, DataFrame | None]:
     """All links found so far, and the rows (s, cls) that have to be dealt anew (None: none)."""
     star = regions.where("cls <> pivot").select(F.col("pivot").alias("a"), F.col("cls").alias("b")).distinct()
     star = _compared(star, classes)
     found = star.where("link").select("a", "b")
     edges = found if edges is None else edges.unionByName(found)
-    rows = _labelled(regions, edges)
+    rows = _labelled(regions, None if complete else edges)
     if rows.isEmpty():
         return edges, None
     # k members and k * k - kk pairs (both ways round) of members of different components
@@ -325,15 +334,21 @@ def _join_regions(regions: DataFrame, classes: _Classes, edges: DataFrame | None
     return edges, None if left.isEmpty() else left
 
 
-def _joined(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Per row: ``doc_id``, ``tk`` (hash of the text), ``n``, ``cls`` (null: no words), ``comp`` and ``low``, the
-    component's smallest id."""
+def _classed(df: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``df`` as doc_id, tk (hash of the text), text; its rows with their class; and the classes."""
     src = df.select(df[f"`{id_col}`"].alias("doc_id"), F.xxhash64(df[f"`{text_col}`"]).alias("tk"), df[f"`{text_col}`"].alias("text"))
     kind = src.schema["doc_id"].dataType.simpleString()
     rows = staged(on_workers(src).mapInArrow(_classes, f"doc_id {kind}, tk long, n long, cls long, sketch binary"), "jaccard-classes")
     worded = rows.where("cls IS NOT NULL")
     info = worded.groupBy("cls").agg(F.min("tk").alias("tk"), F.min("n").alias("n"), F.min("sketch").alias("sketch"), F.min("doc_id").alias("low"))
-    info = staged(info, "jaccard-info")
+    return src, rows, staged(info, "jaccard-info")
+
+
+def _joined(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Per row: ``doc_id``, ``tk`` (hash of the text), ``n``, ``cls`` (null: no words), ``comp`` and ``low``, the
+    component's smallest id."""
+    src, rows, info = _classed(df, id_col, text_col)
+    worded = rows.where("cls IS NOT NULL")
     edges = links(src.where("text IS NOT NULL").select("tk", "text"), info.drop("low"))
     heads = info.select("cls", "low").join(components(edges).withColumnRenamed("node", "cls"), "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
     lows = heads.groupBy("comp").agg(F.min("low").alias("low"))
@@ -348,6 +363,19 @@ def join_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     return _joined(df, id_col, text_col).select("doc_id", F.col("n").alias("n_shingles"), F.col("cls").alias("class_id"), F.col("low").alias("component_id"))
 
 
+def join_links(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Per row: ``doc_id``, ``n_shingles``, ``class_id`` and ``n_links``, the number of other rows within ``EPS`` of it
+    (rows of its own class included).  All linked pairs of classes are made, so the work grows with
+    their number."""
+    src, rows, info = _classed(df, id_col, text_col)
+    edges = staged(links(src.where("text IS NOT NULL").select("tk", "text"), info.drop("low"), complete=True), "jaccard-links")
+    members = staged(rows.where("cls IS NOT NULL").groupBy("cls").agg(F.count("*").alias("rows")), "jaccard-members")
+    both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    others = both.join(members.withColumnRenamed("cls", "b"), "b").groupBy(F.col("a").alias("cls")).agg(F.sum("rows").alias("others"))
+    counts = members.join(others, "cls", "left").select("cls", (F.col("rows") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"))
+    return rows.join(counts, "cls", "left").select("doc_id", F.col("n").alias("n_shingles"), F.col("cls").alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
+
+
 def one_of_each(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``df``, all columns as they are, without those that are linked, directly or not, to
     a row that stays: of each component the row with the smallest id (null last), then the smallest

@@ -85,6 +85,22 @@ def test_groups_around_the_limit(spark, monkeypatch, wide):
     assert joined(frame(spark, docs)) == brute(docs)
 
 
+@pytest.mark.parametrize("wide", [8, 1])
+def test_all_links_are_counted(spark, monkeypatch, wide):
+    monkeypatch.setattr(J, "WIDE", wide)
+    monkeypatch.setattr(J, "FREQUENT_FROM", 20)
+    r = random.Random(7)
+    docs = [None, "", "one two", "one two", "one two three"]
+    for g in range(4):
+        base = [f"g{g}w{i}" for i in range(60)]
+        docs += [edited(r, base, r.choice([0, 0, 1, 2])) for _ in range(25)]
+    docs = list(enumerate(docs))
+    sets = [frozenset(x.tolist()) for x in J.shingle_sets([t for _, t in docs])]
+    want = [(i, sum(1 for j, y in enumerate(sets) if i != j and x and y and 100 * len(x & y) >= 75 * len(x | y))) for i, x in enumerate(sets)]
+    assert max(n for _, n in want) > 5 and 0 < sum(n for _, n in want)
+    assert sorted((x.doc_id, x.n_links) for x in J.join_links(frame(spark, docs)).collect()) == want
+
+
 def test_edges(spark, edge_docs, no_docs):
     docs = [(r.doc_id, r.text) for r in edge_docs.collect()]
     want = [(d, n, d if n == 0 else c) for d, n, c in brute(docs)]
