@@ -15,6 +15,10 @@ from a histogram: the order's range is cut into cells of about ``CELL_DOCS`` doc
 cell are added up, and only the cell in which the rest runs out is put in order.  What remains
 is one cut per leaf, which each row is held against; texts are never shuffled.
 
+The prefix ends at the first document that would exceed the rest, and what is then left goes to no
+other leaf.  Bound: a leaf gets less than its budget by less than the tokens of that one document,
+and never more than its budget; where one document holds most of a leaf this may be all of it.
+
 Defined cases: null and blank texts have 0 tokens; null languages and sources are the nodes
 ``und`` and ``unknown``; sources without a domain rule are in ``other``; nodes without a weight get
 the default weight; rows equal in id and text stand or fall together; an empty table gives an
