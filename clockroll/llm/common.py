@@ -53,6 +53,15 @@ def sized(keys: DataFrame) -> DataFrame:
     return F.broadcast(keys) if keys.count() <= BROADCAST_ROWS else keys
 
 
+def shared_files(path: str):
+    """The file system of a shared folder (as executors see it) and the folder's path in it."""
+    from pyarrow import fs
+
+    if path.startswith("file:"):
+        path = "/" + path.removeprefix("file:").lstrip("/")
+    return fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
+
+
 def on_workers(df: DataFrame) -> DataFrame:
     """Make this package importable by the Python workers that will run over ``df``."""
     ship_package(df.sparkSession)

@@ -1,4 +1,4 @@
-"""The registered queries of the ten operators, with production parameters, and their SQL."""
+"""The registered queries of the numbered operators, with production parameters, and their SQL."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from clockroll.llm import budget_mixing, crf_toxicity, dac_tokens, jaccard_regions, ngram_quality, pii_surrogates, posting_lists, sentencepiece_codec, two_pass_shuffle, word_backoff_langid as langid
+from clockroll.llm import budget_mixing, crf_toxicity, dac_tokens, jaccard_regions, ngram_quality, pii_surrogates, posting_lists, rtree_negatives, sentencepiece_codec, spelling_fst, two_pass_shuffle, warc_index, word_backoff_langid as langid
 from clockroll.session import scratch_dir
 
 
@@ -76,6 +76,22 @@ def op10_posting_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     return posting_lists.search(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
 
 
+def op11_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_dir(spark, "warc") + "/pages"
+    index = warc_index.write(_table(spark, sf_dir, "pages"), path)
+    return warc_index.digests(warc_index.read(index, path, payload=False))
+
+
+def op12_rtree_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = rtree_negatives.usable(_table(spark, sf_dir, "embeddings"))
+    rows = rows.withColumn("label", F.when(F.col("id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")))
+    return rtree_negatives.mine(rows, F.col("id") % 100 == 0)
+
+
+def op13_spelling_fst(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_fst.variants(spelling_fst.vocabulary(_table(spark, sf_dir, "documents")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_quality": op1_ngram_quality,
     "op2_pii_surrogates": op2_pii_surrogates,
@@ -87,9 +103,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_two_pass_shuffle": op8_two_pass_shuffle,
     "op9_jaccard_regions": op9_jaccard_regions,
     "op10_posting_lists": op10_posting_lists,
+    "op11_warc_index": op11_warc_index,
+    "op12_rtree_negatives": op12_rtree_negatives,
+    "op13_spelling_fst": op13_spelling_fst,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op1_ngram_quality": ngram_quality.SQL,
     "op5_budget_mixing": budget_mixing.sql(),
+    "op11_warc_index": warc_index.SQL,
+    "op12_rtree_negatives": rtree_negatives.SQL,
 }
