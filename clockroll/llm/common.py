@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from clockroll.session import scratch_dir, ship_package
@@ -41,7 +44,39 @@ def staged(df: DataFrame, purpose: str, partition_by: Sequence[str] = ()) -> Dat
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._staged_at = path
+    return out
+
+
+def freed(*frames: DataFrame) -> None:
+    """Delete staged tables that nothing will read again."""
+    for df in frames:
+        fs, p, _ = _hadoop_fs(df.sparkSession, df._staged_at)
+        fs.delete(p, True)
+
+
+def _hadoop_fs(spark, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p, jvm
+
+
+#: Bytes of text that a Python worker handles at a time.
+SLICE_BYTES = 1 << 20
+
+
+def byte_slices(batches: Iterator[pa.RecordBatch], column: int, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batches cut so that the texts of ``column`` have about ``limit`` bytes in each part; a longer
+    text is a part of its own.  What a worker holds then does not depend on how many long texts a
+    batch has."""
+    for b in batches:
+        size = np.asarray(pc.fill_null(pc.binary_length(b.column(column)), 0)).astype(np.int64) + 64
+        upto, lo = np.cumsum(size), 0
+        while lo < b.num_rows:
+            hi = max(lo + 1, int(np.searchsorted(upto, (upto[lo - 1] if lo else 0) + limit, side="right")))
+            yield b.slice(lo, hi - lo)
+            lo = hi
 
 
 #: Rows of narrow keys that a join may broadcast; above it the same join is shuffled.

@@ -23,7 +23,8 @@ the end of the order, their members are dealt anew into regions in that order an
 same steps; after ``LEVELS`` levels the windows are expanded whatever their size.
 
 Documents with equal sets form one class and are compared once.  Comparisons first bound the
-symmetric difference from below by the Hamming distance of parity sketches, then intersect the
+symmetric difference from below by the Hamming distance of parity sketches, narrow ones where the
+pairs are made and wide ones for the pairs left, then intersect the
 sets; only the sets of pairs that the bound leaves open are made again from their texts.
 Shingles and classes are identified by 64-bit hashes.
 
@@ -36,13 +37,14 @@ repeated rows link with each other; an empty table gives an empty result.
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from clockroll.llm.common import on_workers, sized, staged
+from clockroll.llm.common import byte_slices, freed, on_workers, sized, staged
 
 WORDS = 5
 EPS = 0.25
@@ -52,11 +54,14 @@ FREQUENT_FROM = 3
 WIDE = 8
 LEVELS = 3
 SKETCH_BITS = 2048
+COARSE = ("q0", "q1", "q2", "q3")  # the sketch folded to 64 bits each
+PIECE = 4 << 20
 
 _rng = np.random.Generator(np.random.PCG64(5_2024))
 _BYTES = _rng.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BASE, _STEP = 0x9E3779B97F4A7C15, np.uint64(0xD6E8FEB86659FD93)
 _BASE_INVERSE = pow(_BASE, -1, 1 << 64)
+_GAP = re.compile(rb"[\x20\x09-\x0D]")
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -78,18 +83,37 @@ def _power_table(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers["up"], _powers["down"]
 
 
-def shingle_sets(texts: list[str | None]) -> list[np.ndarray]:
-    """The sorted distinct shingle hashes of each text.  Words are hashed all at once from running
-    sums over the bytes of the texts laid end to end."""
-    raw = [(t or "").encode().translate(_LOWER) for t in texts]
-    data = np.frombuffer(b" ".join(raw) + b" ", dtype=np.uint8)
+def _word_hashes(text: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """The hash of each word and where it begins, from running sums over the bytes."""
+    data = np.frombuffer(text + b" ", dtype=np.uint8)
     up, down = _power_table(len(data) + 1)
     sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(_BYTES[data] * up[:len(data)])))
     gap = _SPACE[data]
     edge = np.flatnonzero(np.diff(np.concatenate(([True], gap)).view(np.int8)))
     begin, end = edge[::2], edge[1::2]
-    words = _mixed((sums[end] - sums[begin]) * down[begin] + (end - begin).astype(np.uint64))
-    bounds = np.searchsorted(begin, np.cumsum([0, *(len(r) + 1 for r in raw)]))
+    return _mixed((sums[end] - sums[begin]) * down[begin] + (end - begin).astype(np.uint64)), begin
+
+
+def _pieces(text: bytes) -> Iterator[bytes]:
+    """``text`` cut after ``PIECE`` bytes or at the first white space beyond."""
+    lo = 0
+    while lo < len(text):
+        gap = _GAP.search(text, lo + PIECE)
+        hi = gap.start() if gap else len(text)
+        yield text[lo:hi]
+        lo = hi
+
+
+def shingle_sets(texts: list[str | None]) -> list[np.ndarray]:
+    """The sorted distinct shingle hashes of each text.  The words of short texts are hashed all at
+    once, those of a long one piece by piece."""
+    raw = [(t or "").encode().translate(_LOWER) for t in texts]
+    if len(raw) == 1 and len(raw[0]) > PIECE:
+        words = np.concatenate([_word_hashes(p)[0] for p in _pieces(raw[0])])
+        bounds = np.array([0, len(words)])
+    else:
+        words, begin = _word_hashes(b" ".join(raw))
+        bounds = np.searchsorted(begin, np.cumsum([0, *(len(r) + 1 for r in raw)]))
     n = max(0, len(words) - WORDS + 1)
     run = np.zeros(n, np.uint64)
     for k in range(WORDS):
@@ -121,21 +145,24 @@ def _sketch(s: np.ndarray) -> bytes:
     return np.packbits(odd.astype(bool)).tobytes()
 
 
-def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        for lo in range(0, b.num_rows, 128):  # a slice's texts are hashed in one go
-            yield b.slice(lo, 128)
+def _folded(sketches: list[bytes]) -> list[np.ndarray]:
+    """``COARSE`` of each sketch: bits that are equal modulo their number go into one parity."""
+    x = np.frombuffer(b"".join(sketches), np.int64).reshape(len(sketches), -1, len(COARSE))
+    return list(np.bitwise_xor.reduce(x, axis=1).T)
 
 
 def _classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in _slices(batches):
+    for b in byte_slices(batches, 2):
         sets = shingle_sets(b.column(2).to_pylist())
         cls = [_class_id(s) if len(s) else None for s in sets]
-        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([len(s) for s in sets], pa.int64()), pa.array(cls, pa.int64()), pa.array([_sketch(s) for s in sets], pa.binary())], names=["doc_id", "tk", "n", "cls", "sketch"])
+        sketches = [_sketch(s) for s in sets]
+        yield pa.RecordBatch.from_arrays(
+            [b.column(0), b.column(1), pa.array([len(s) for s in sets], pa.int64()), pa.array(cls, pa.int64()), pa.array(sketches, pa.binary()), *map(pa.array, _folded(sketches))],
+            names=["doc_id", "tk", "n", "cls", "sketch", *COARSE])
 
 
 def _all_shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in _slices(batches):
+    for b in byte_slices(batches, 0):
         yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(shingle_sets(b.column(0).to_pylist())).view(np.int64))], names=["s"])
 
 
@@ -143,7 +170,7 @@ def _region_rows(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frequent = shared.value  # sorted hashes
         seen: set[int] = set()  # classes this task has dealt already: copies add nothing
-        for b in _slices(batches):
+        for b in byte_slices(batches, 0):
             ss, cc, ff = [], [], []
             for x in shingle_sets(b.column(0).to_pylist()):
                 if not len(x) or (c := _class_id(x)) in seen:
@@ -164,20 +191,20 @@ def _region_rows(shared):
 
 
 def _class_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in _slices(batches):
+    for b in byte_slices(batches, 1):
         sets = shingle_sets(b.column(1).to_pylist())
         yield pa.RecordBatch.from_arrays([b.column(0), pa.array([s.tobytes() for s in sets], pa.binary())], names=["cls", "shingles"])
 
 
 class _Classes:
-    """``info`` (cls, n, sketch, tk: one text of the class) of all classes, and sets on demand."""
+    """``info`` (cls, n, sketch, ``COARSE``, tk: one text of the class) of all classes, and sets on demand."""
 
     def __init__(self, docs: DataFrame, info: DataFrame):
-        self.docs, self.info, self.sizes = docs, info, staged(info.select("cls", "n"), "jaccard-sizes")
+        self.docs, self.info, self.sizes = docs, info, staged(info.select("cls", "n", *COARSE), "jaccard-sizes")
 
     def texts(self, wanted: DataFrame) -> DataFrame:
         """``cls`` and one ``text`` of each of the classes ``wanted`` (cls; distinct)."""
-        keys = staged(wanted.join(self.info.select("cls", "tk"), "cls"), "jaccard-wanted")
+        keys = staged(wanted.join(self.info.select("cls", "tk"), "cls"), "jaccard-wanted")  # narrow; read lazily, so it stays
         return self.docs.join(sized(keys), "tk").select("cls", "text").dropDuplicates(["cls"])
 
     def sets(self, wanted: DataFrame) -> DataFrame:
@@ -214,6 +241,28 @@ def _measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(dist, pa.float64()), pa.array(link, pa.bool_())], names=["a", "b", "dist", "link"])
 
 
+def _apart(a: str, b: str) -> Column:
+    """At least so many shingles are in one of two sets only, by sizes and coarse sketches."""
+    odd = [F.bit_count(F.col(q + a).bitwiseXOR(F.col(q + b))) for q in COARSE]
+    return F.greatest(F.abs(F.col("n" + a) - F.col("n" + b)), sum(odd[1:], odd[0]).cast("long"))
+
+
+def _can_link(a: str, b: str) -> Column:
+    both = F.col("n" + a) + F.col("n" + b)
+    return 100 * (both - _apart(a, b)) >= 75 * (both + _apart(a, b))
+
+
+def _roughly_compared(pairs: DataFrame, classes: _Classes) -> DataFrame:
+    """As ``_compared``; only the pairs that narrow sketches leave open get wide ones."""
+    side = lambda x: sized(classes.sizes).select(F.col("cls").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in ("n", *COARSE)])
+    met = pairs.join(side("a"), "a").join(side("b"), "b")
+    low = 2 * _apart("_a", "_b") / (F.col("n_a") + F.col("n_b") + _apart("_a", "_b"))
+    rough = staged(met.select("a", "b", low.alias("low"), _can_link("_a", "_b").alias("maybe")), "jaccard-rough")
+    near = _compared(rough.where("maybe").select("a", "b"), classes)
+    far = rough.where(~F.col("maybe")).select("a", "b", "low", F.lit(1.0).alias("high"), F.lit(False).alias("link"))
+    return near.unionByName(far)
+
+
 def _compared(pairs: DataFrame, classes: _Classes) -> DataFrame:
     """``pairs`` (a, b; distinct) with ``low`` and ``high`` bounds of their distance and ``link``."""
     members = staged(pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct(), "jaccard-paired")
@@ -226,21 +275,25 @@ def _compared(pairs: DataFrame, classes: _Classes) -> DataFrame:
     of = lambda x: sets.select(F.col("cls").alias(x), F.col("shingles").alias("shingles_" + x))
     done = near.join(of("a"), "a").join(of("b"), "b").select("a", "b", "shingles_a", "shingles_b").mapInArrow(_measured, "a long, b long, dist double, link boolean")
     far = bounds.where(~F.col("maybe")).select("a", "b", "low", F.lit(1.0).alias("high"), F.lit(False).alias("link"))
-    return staged(done.select("a", "b", F.col("dist").alias("low"), F.col("dist").alias("high"), "link").unionByName(far), "jaccard-pairs")
+    out = staged(done.select("a", "b", F.col("dist").alias("low"), F.col("dist").alias("high"), "link").unionByName(far), "jaccard-pairs")
+    freed(members, bounds, sets)
+    return out
 
 
 def components(edges: DataFrame) -> DataFrame:
     """``node`` and ``comp`` (the smallest node reachable) of all nodes of ``edges`` (a, b): smallest
     neighbouring label, then the label's own label, until nothing changes."""
     both = staged(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "cc-edges")
-    labels = staged(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("comp")), "cc-labels")
+    before = labels = staged(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("comp")), "cc-labels")
     while True:
         told = both.join(labels.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(F.min("comp").alias("told"))
         step = labels.join(told, "node").select("node", F.least("comp", "told").alias("near"), F.col("comp").alias("old"))
         jump = labels.select(F.col("node").alias("near"), F.col("comp").alias("far"))
         new = staged(step.join(jump, "near", "left").select("node", F.least("near", F.coalesce("far", "near")).alias("comp"), "old"), "cc-labels")
-        labels = new.select("node", "comp")
+        freed(before)
+        before, labels = new, new.select("node", "comp")
         if new.where("comp <> old").isEmpty():
+            freed(both)
             return labels
 
 
@@ -290,7 +343,9 @@ def _links(docs: DataFrame, info: DataFrame, complete: bool) -> DataFrame:
         later = np.union1d(late, _hashes(wide.groupBy("s").agg(F.count("*").alias("c"))))
         if len(later) == len(late):  # the order cannot be improved
             return _join_regions(regions, classes, edges, True, complete)[0]
-        late, regions = later, _dealt(classes.texts(wide.select("cls").distinct()), later)
+        dealt = _dealt(classes.texts(wide.select("cls").distinct()), later)
+        freed(regions)
+        late, regions = later, dealt
     return edges
 
 
@@ -303,13 +358,15 @@ def _labelled(regions: DataFrame, edges: DataFrame | None) -> DataFrame:
         rows = regions.join(sized(comp.withColumnRenamed("node", "cls")), "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
     each = rows.groupBy("s", "comp").agg(F.count("*").alias("k")).groupBy("s").agg(F.sum("k").alias("k"), F.sum(F.col("k") * F.col("k")).alias("kk"), F.count("*").alias("m"))
     open_ = staged(each.where("m > 1").select("s", "k", "kk"), "jaccard-open")
-    return staged(rows.join(sized(open_), "s"), "jaccard-labelled")
+    out = staged(rows.join(sized(open_), "s"), "jaccard-labelled")
+    freed(open_)
+    return out
 
 
 def _join_regions(regions: DataFrame, classes: _Classes, edges: DataFrame | None, last: bool, complete: bool = False) -> tuple[DataFrame, DataFrame | None]:
     """All links found so far, and the rows (s, cls) that have to be dealt anew (None: none)."""
     star = regions.where("cls <> pivot").select(F.col("pivot").alias("a"), F.col("cls").alias("b")).distinct()
-    star = _compared(star, classes)
+    star = _roughly_compared(star, classes)
     found = star.where("link").select("a", "b")
     edges = found if edges is None else edges.unionByName(found)
     rows = _labelled(regions, None if complete else edges)
@@ -319,13 +376,14 @@ def _join_regions(regions: DataFrame, classes: _Classes, edges: DataFrame | None
     wide = F.col("k") * F.col("k") - F.col("kk") > 2 * WIDE * F.col("k")
     far = star.select(F.col("a").alias("pivot"), F.col("b").alias("cls"), "low", "high")
     placed = rows.join(sized(far), ["pivot", "cls"], "left").join(sized(classes.sizes), "cls")
-    placed = staged(placed.select("s", "cls", "comp", "n", (wide & F.lit(not last)).alias("wide"), F.coalesce("low", F.lit(0.0)).alias("low"), F.coalesce("high", F.lit(0.0)).alias("high")), "jaccard-placed")
-    one, two = (placed.where("NOT wide").select("s", *[F.col(c).alias(c + x) for c in ("cls", "comp", "low", "high", "n")]) for x in ("1", "2"))
+    placed = staged(placed.select("s", "cls", "comp", "n", *COARSE, (wide & F.lit(not last)).alias("wide"), F.coalesce("low", F.lit(0.0)).alias("low"), F.coalesce("high", F.lit(0.0)).alias("high")), "jaccard-placed")
+    freed(rows)
+    one, two = (placed.where("NOT wide").select("s", *[F.col(c).alias(c + x) for c in ("cls", "comp", "low", "high", "n", *COARSE)]) for x in ("1", "2"))
     slack = EPS + 1e-9
     window = one.join(two, "s").where(
         (F.col("cls1") < F.col("cls2")) & (F.col("comp1") != F.col("comp2"))
         & (F.col("low1") - F.col("high2") <= slack) & (F.col("low2") - F.col("high1") <= slack)
-        & (100 * F.least("n1", "n2") >= 75 * F.greatest("n1", "n2")))
+        & (100 * F.least("n1", "n2") >= 75 * F.greatest("n1", "n2")) & _can_link("1", "2"))
     pairs = window.select(F.col("cls1").alias("a"), F.col("cls2").alias("b")).distinct()
     known = star.select("a", "b")
     pairs = staged(pairs.join(known, ["a", "b"], "left_anti"), "jaccard-window")
@@ -338,9 +396,9 @@ def _classed(df: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, Data
     """``df`` as doc_id, tk (hash of the text), text; its rows with their class; and the classes."""
     src = df.select(df[f"`{id_col}`"].alias("doc_id"), F.xxhash64(df[f"`{text_col}`"]).alias("tk"), df[f"`{text_col}`"].alias("text"))
     kind = src.schema["doc_id"].dataType.simpleString()
-    rows = staged(on_workers(src).mapInArrow(_classes, f"doc_id {kind}, tk long, n long, cls long, sketch binary"), "jaccard-classes")
+    rows = staged(on_workers(src).mapInArrow(_classes, f"doc_id {kind}, tk long, n long, cls long, sketch binary, " + ", ".join(f"{q} long" for q in COARSE)), "jaccard-classes")
     worded = rows.where("cls IS NOT NULL")
-    info = worded.groupBy("cls").agg(F.min("tk").alias("tk"), F.min("n").alias("n"), F.min("sketch").alias("sketch"), F.min("doc_id").alias("low"))
+    info = worded.groupBy("cls").agg(F.min("tk").alias("tk"), F.min("n").alias("n"), F.min("sketch").alias("sketch"), *[F.min(q).alias(q) for q in COARSE], F.min("doc_id").alias("low"))
     return src, rows, staged(info, "jaccard-info")
 
 

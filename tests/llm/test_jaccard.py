@@ -123,3 +123,22 @@ def test_components(spark):
     got = {r.node: r.comp for r in J.components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert {got[x] for x in range(1, 41)} == {1} and {got[x] for x in (50, 60, 61, 70)} == {50} and got[129] == 100
     assert J.components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_long_texts_are_hashed_in_pieces(monkeypatch):
+    import numpy as np
+
+    from clockroll.llm import jaccard_regions as J
+    text = " ".join(f"w{i % 977}x{i % 13}" + ("\n" if i % 7 == 0 else "") for i in range(20_000)) + " " + "giant" * 3000 + " end of it all now"
+    whole = J.shingle_sets([text])[0]
+    monkeypatch.setattr(J, "PIECE", 1000)
+    assert np.array_equal(J.shingle_sets([text])[0], whole) and np.array_equal(J.shingle_sets([text, "a b"])[0], whole)
+
+
+def test_slices_follow_bytes():
+    import pyarrow as pa
+
+    from clockroll.llm.common import byte_slices
+    b = pa.RecordBatch.from_arrays([pa.array(["x" * 1000, None, "y" * 50_000, "", "z" * 900, "z" * 900])], names=["t"])
+    got = [s.num_rows for s in byte_slices(iter([b, b.slice(0, 0)]), 0, 2500)]
+    assert got == [2, 1, 3] and sum(got) == b.num_rows
