@@ -33,7 +33,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
 
-from clockroll.llm.common import free_name, on_workers, staged
+from clockroll.llm.common import byte_slices, free_name, on_workers, sized, staged
 
 CUTOFF = 0.3
 SLACK = 1.5
@@ -257,29 +257,27 @@ def _tag_batches(shared, passes: int):
         if not _built or _built[0] is not shared:
             _built[:] = [shared, _Emissions(shared.value)]
         model, emissions = shared.value, _built[1]
-        for whole in batches:
-            for lo in range(0, whole.num_rows, 512):
-                b = whole.slice(lo, 512)
-                texts = [t or "" for t in b.column(passes).to_pylist()]
-                lows = [t.lower() for t in texts]
-                words = [_LETTERS.findall(t) for t in lows]
-                counts = np.array([len(w) for w in words])
-                e = np.fromiter((emissions[w] for ws in words for w in ws), float, int(counts.sum()))
-                ends = np.cumsum(counts)
-                first = np.zeros(len(e), dtype=bool)
-                first[(ends - counts)[counts > 0]] = True
-                p = marginals(e, first, model["trans"])
-                out: dict[str, list] = {"top": [], "expected": [], "n_words": [], "spans": []}
-                for i, (end, n) in enumerate(zip(ends.tolist(), counts.tolist(), strict=True)):
-                    q = p[end - n:end]
-                    out["top"].append(float(q.max()) if n else 0.0)
-                    out["expected"].append(float(q[q > 0.01].sum()) if n else 0.0)
-                    out["n_words"].append(n)
-                    out["spans"].append(_spans(texts[i], lows[i], q) if n and q.max() >= 0.5 else [])
-                kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("score", pa.float64())]))
-                yield pa.RecordBatch.from_arrays(
-                    [*(b.column(i) for i in range(passes)), pa.array(out["n_words"], pa.int64()), pa.array(out["top"], pa.float64()), pa.array(out["expected"], pa.float64()), pa.array(out["spans"], kind)],
-                    names=[*b.schema.names[:passes], "n_words", "top", "expected", "spans"])
+        for b in byte_slices(batches, passes):
+            texts = [t or "" for t in b.column(passes).to_pylist()]
+            lows = [t.lower() for t in texts]
+            words = [_LETTERS.findall(t) for t in lows]
+            counts = np.array([len(w) for w in words])
+            e = np.fromiter((emissions[w] for ws in words for w in ws), float, int(counts.sum()))
+            ends = np.cumsum(counts)
+            first = np.zeros(len(e), dtype=bool)
+            first[(ends - counts)[counts > 0]] = True
+            p = marginals(e, first, model["trans"])
+            out: dict[str, list] = {"top": [], "expected": [], "n_words": [], "spans": []}
+            for i, (end, n) in enumerate(zip(ends.tolist(), counts.tolist(), strict=True)):
+                q = p[end - n:end]
+                out["top"].append(float(q.max()) if n else 0.0)
+                out["expected"].append(float(q[q > 0.01].sum()) if n else 0.0)
+                out["n_words"].append(n)
+                out["spans"].append(_spans(texts[i], lows[i], q) if n and q.max() >= 0.5 else [])
+            kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("score", pa.float64())]))
+            yield pa.RecordBatch.from_arrays(
+                [*(b.column(i) for i in range(passes)), pa.array(out["n_words"], pa.int64()), pa.array(out["top"], pa.float64()), pa.array(out["expected"], pa.float64()), pa.array(out["spans"], kind)],
+                names=[*b.schema.names[:passes], "n_words", "top", "expected", "spans"])
     return run
 
 
@@ -308,9 +306,15 @@ def _tagged(df: DataFrame, model: dict, keep: tuple[str, ...], text_col: str = "
 
 
 def unoffending(df: DataFrame, model: dict, text_col: str = "text") -> DataFrame:
-    """The rows of ``df``, all columns as they are, whose text scores below ``CUTOFF``."""
-    rows = df.select(F.struct(*[df[f"`{c}`"] for c in df.columns]).alias("_row"), df[f"`{text_col}`"].alias("_text"))
-    return score(rows, model, keep=("_row",), text_col="_text").where("predicted = 0").select("_row.*")
+    """The rows of ``df``, all columns as they are, whose text scores below ``CUTOFF``.  A verdict is a function of the
+    text, so only the texts pass through Python; what comes back are the digests of the toxic ones,
+    and rows go by a join on them."""
+    digest = lambda text: F.struct(F.xxhash64(F.lit(1), text).alias("h1"), F.xxhash64(F.lit(2), text).alias("h2"))
+    texts = df.select(digest(df[f"`{text_col}`"]).alias("digest"), df[f"`{text_col}`"].alias("text"))
+    toxic = score(texts, model, keep=("digest",)).where("predicted = 1").select("digest.h1", "digest.h2").distinct()
+    rows = df.select(F.struct(*[df[f"`{c}`"] for c in df.columns]).alias("_row"), digest(df[f"`{text_col}`"]).alias("_digest"))
+    gone = sized(staged(toxic, "crf-toxic"))
+    return rows.join(gone, (F.col("_digest.h1") == gone["h1"]) & (F.col("_digest.h2") == gone["h2"]), "left_anti").select("_row.*")
 
 
 def score(df: DataFrame, model: dict, keep: tuple[str, ...] = ("doc_id",), text_col: str = "text") -> DataFrame:
