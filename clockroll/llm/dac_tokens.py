@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from clockroll.llm.common import on_workers
+from clockroll.llm.common import byte_slices, on_workers
 
 BLOCK = 512
 SEGMENT_TOKENS = 1 << 20
@@ -128,7 +128,9 @@ class _Words(dict):
         self.tokenizer, self.merge, self.shown = tokenizer, tokenizer.model.tokenize, byte_level
 
     def __missing__(self, w: str) -> bytes:
-        if len(w) > 1 and w[-1] in ",." and w[-2].isalpha():  # a mark after a letter is a token of its own
+        # A mark after a letter is a token of its own (where the letter's lower case ends in a sign
+        # that is no letter, the mark belongs to that sign's token).
+        if len(w) > 1 and w[-1] in ",." and w[-2].isalpha() and len(w[-2].lower()) == 1:
             got = self[w[:-1]] + self[w[-1]]
         elif self.shown and w.isalpha() and w == w.lower() and (w.isascii() or is_normalized("NFC", w)):
             # A word of letters in its final form goes straight to the merge model.
@@ -218,15 +220,13 @@ def _write_batches(shared, end_id: int):
                 ("part", pa.int32()), ("first", pa.int64()), ("n_tokens", pa.int64()),
                 ("doc_ids", pa.list_(pa.int64())), ("lengths", pa.list_(pa.int64())), ("codes", pa.binary())]))
 
-        for b in batches:
-            for lo in range(0, b.num_rows, 256):
-                s = b.slice(lo, 256)
-                for doc, ids in zip(s.column(0).to_pylist(), encoder(s.column(1).to_pylist()), strict=True):
-                    docs.append(doc)
-                    lengths.append(len(ids) // 4)
-                    held.append(ids)
-                if sum(lengths) >= SEGMENT_TOKENS:
-                    yield flush()
+        for s in byte_slices(batches, 1):
+            for doc, ids in zip(s.column(0).to_pylist(), encoder(s.column(1).to_pylist()), strict=True):
+                docs.append(doc)
+                lengths.append(len(ids) // 4)
+                held.append(ids)
+            if sum(lengths) >= SEGMENT_TOKENS:
+                yield flush()
         if docs:
             yield flush()
     return run

@@ -71,3 +71,15 @@ def test_files(spark, edge_docs, no_docs):
     assert {r.position: r.token for r in D.tokens_at(asked, spark, f"{root}/a").collect()} == {i: int(whole[i]) for i in range(0, len(whole), 997)}
     D.write(no_docs, f"{root}/b", PATH, 2, parts=3)
     assert D.read_documents(spark, f"{root}/b").count() == 0
+
+
+def test_letters_with_special_casing_equal_the_unmodified_library():
+    """Letters whose lower case depends on place or has several signs, before marks and blanks."""
+    import random
+    rnd, lib = random.Random(9), Tokenizer.from_file(PATH)
+    with open(PATH, encoding="utf-8") as f:
+        enc = D._Encoder(f.read(), 2)
+    texts = ["Σ İ,", "ABCİ. Σ", "İ", "İ.", "Σ,", "ßİ,ς."] + ["".join(rnd.choice("İıΣσςßẞŐ̇ǅa B,.'\n\té") for _ in range(rnd.randrange(1, 12))) for _ in range(15_000)]
+    got = enc(texts)
+    for t, x in zip(texts, got, strict=True):
+        assert np.frombuffer(x, "<u4").tolist() == lib.encode(t, add_special_tokens=False).ids + [2], t
