@@ -29,7 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from clockroll.llm.common import on_workers
+from clockroll.llm.common import byte_slices, on_workers
 
 BLANK = "▁"
 #: Distinct words kept by one worker before it starts anew (memory bound, not a result bound).
@@ -290,17 +290,20 @@ def _codec(shared) -> Codec:
     return _built[1]
 
 
-def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Few rows at a time, so that a worker holds the ids of those only."""
+def _few_ids(batches: Iterator[pa.RecordBatch], column: int, limit: int = 1 << 18) -> Iterator[pa.RecordBatch]:
+    """Rows with about ``limit`` ids at a time, so that a worker holds the texts of those only."""
     for b in batches:
-        for lo in range(0, b.num_rows, 512):
-            yield b.slice(lo, 512)
+        upto, lo = np.cumsum(np.diff(np.asarray(b.column(column).offsets)).astype(np.int64) + 16), 0
+        while lo < b.num_rows:
+            hi = max(lo + 1, int(np.searchsorted(upto, (upto[lo - 1] if lo else 0) + limit, side="right")))
+            yield b.slice(lo, hi - lo)
+            lo = hi
 
 
 def _encode_batches(shared, passes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(shared)
-        for b in _slices(batches):
+        for b in byte_slices(batches, passes):
             coded = [codec.encode(t) for t in b.column(passes).to_pylist()]
             ends = np.cumsum([0, *(len(x) // 4 for x in coded)], dtype=np.int64)
             # One list array must stay below 2^31 values: batches of whole rows.
@@ -322,7 +325,7 @@ def _encode_batches(shared, passes: int):
 def _decode_batches(shared, passes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(shared)
-        for b in _slices(batches):
+        for b in _few_ids(batches, passes):
             lists = b.column(passes)
             flat, ends = np.asarray(lists.flatten()), np.asarray(lists.offsets)
             ends = ends - ends[0]
