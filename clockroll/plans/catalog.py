@@ -20,7 +20,7 @@ from clockroll.operators.merge import ACTION_COLUMNS, action_totals, upsert, ups
 from clockroll.plans import oracle as O
 from clockroll.session import ensure_utc
 from clockroll.sources.measures import (events_as_json, malformed_json, measures_from_events,
-                                        measures_from_lineitem, parse_measures, valid_measures)
+                                        measures_from_lineitem, parse_measures, read_json_measures, valid_measures)
 
 DOUBLE_COLS = {"sum", "min", "max", "mean", "last", "k", "k_sum", "k_sum_2", "std", "value"}
 
@@ -252,6 +252,16 @@ def q_parse_bad_input(spark, sf_dir):
                              F.when(good, F.col("ts_ms")).alias("ts_ms"), F.when(good, F.col("value")).alias("value")))
 
 
+def q_history_arrival_index(spark, sf_dir):
+    """The measures as a JSON history of many files, read back: every record with its exact place."""
+    from clockroll.session import scratch_dir
+    path = scratch_dir(spark, "history") + "/json"
+    lines = events_as_json(table(spark, sf_dir, "events"))
+    lines.repartitionByRange(16, "arr_major", "arr_minor").sortWithinPartitions("arr_major", "arr_minor").select("value").write.text(path)
+    parsed = read_json_measures(spark, path)
+    return _r6(parsed.select("object_id", "unit", "ts_ms", "value", (F.col("arr_major") + F.col("arr_minor")).alias("place"), "reason"))
+
+
 CADENCE = RollupConfig(granularity=60, allowed_lateness=30)  # flush_every default 2
 
 
@@ -329,6 +339,7 @@ QUERIES = {
     "upsert_final_combine": q_upsert_final_combine,
     "lineitem_daily_by_supplier": q_lineitem_daily_by_supplier,
     "parse_bad_input": q_parse_bad_input,
+    "history_arrival_index": q_history_arrival_index,
     "emissions_cadence": q_emissions_cadence,
     "upsert_onto_stored": q_upsert_onto_stored,
     "upsert_onto_stored_actions": q_upsert_onto_stored_actions,
@@ -523,6 +534,9 @@ SELECT {O.final_cols(60)} FROM st""",
     "lineitem_daily_by_supplier": _sql_lineitem_daily(),
     "stream_rollup": O.upsert_parity_sql(O.events_dense(), 60, 30),
     "parse_bad_input": _sql_bad_input(),
+    "history_arrival_index": f"""SELECT object_id, unit, ts_ms, {O.r6('value')} AS value,
+  row_number() OVER (ORDER BY arr_major, arr_minor) - 1 AS place, CASE WHEN unit NOT IN {O.TARGET} THEN 'unit' END AS reason
+FROM ({O.events_sparse(float32=True)}) q""",
     "emissions_cadence": _sql_cadence(),
     "stream_emissions_cadence": _sql_cadence(),
     "upsert_onto_stored": _sql_stored(actions=False),

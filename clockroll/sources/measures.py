@@ -8,11 +8,12 @@ Canonical columns (``MEASURE_COLUMNS``):
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from clockroll.functions.timefn import epoch_ms
 from clockroll.functions.units import ADVANCED_UNITS, BASIC_UNITS, is_target_unit
+from clockroll.session import scratch_dir
 
 MEASURE_COLUMNS = ["object_id", "unit", "ts_ms", "value", "arr_major", "arr_minor"]
 
@@ -104,18 +105,40 @@ def countable(measures: DataFrame, basic=BASIC_UNITS, advanced=ADVANCED_UNITS) -
                           & F.col("object_id").isNotNull() & F.col("ts_ms").isNotNull())
 
 
+#: Splits (one row each) that the index of a history may broadcast; above it the join is shuffled.
+BROADCAST_SPLITS = 500_000
+
+
+def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """The lines of the text files below ``path`` as ``value`` with their exact place: ``arr_major`` lines stand in
+    the files with smaller names, ``arr_minor`` before the line in its own file; their sum is the
+    line's number in the whole history.
+
+    Names decide, not the times of files, which a copy resets and which may be equal.  A scan numbers
+    its rows in each task; a first pass counts the lines of each split and finds the number its
+    first line got, running sums over the splits (one row per split, not per line) give the lines
+    before it, and the second pass adds them.  Both passes read one list of files, so they cut it into the
+    same splits, however many there are to a file or to a task."""
+    raw = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+                                       F.monotonically_increasing_id().alias("number"))
+    splits = raw.groupBy("file", "block").agg(F.count(F.lit(1)).alias("n"), F.min("number").alias("first"))
+    in_file = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    files = splits.groupBy("file").agg(F.sum("n").alias("lines"))
+    before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
+    files = files.select("file", F.coalesce(F.sum("lines").over(before), F.lit(0)).alias("arr_major"))
+    index = splits.withColumn("above", F.coalesce(F.sum("n").over(in_file), F.lit(0))).join(files, "file").select("file", "block", "first", "above", "arr_major")
+    out = scratch_dir(spark, "history-index") + "/t"
+    index.write.parquet(out)
+    index = spark.read.schema(index.schema).parquet(out)
+    if index.count() <= BROADCAST_SPLITS:
+        index = F.broadcast(index)
+    return raw.join(index, ["file", "block"]).select("value", "arr_major", (F.col("above") + F.col("number") - F.col("first")).alias("arr_minor"))
+
+
 def read_json_measures(spark: SparkSession, path: str) -> DataFrame:
-    """Batch scan of a JSON-lines history (one measure per line).
-
-    Arrival = (microseconds since the epoch at which the file was written, then its name and the
-    place in it): histories are written as successive files.  All of it is the scan's own
-    metadata, so no file list passes the driver.  ``arr_minor`` packs a 24-bit hash of the name
-    above the place (bytes before the split, then the line's number in the split)."""
-    raw = spark.read.text(path).select(
-        "value", F.unix_micros("_metadata.file_modification_time").alias("arr_major"),
-        (F.pmod(F.xxhash64("_metadata.file_path"), F.lit(1 << 23)) * F.lit(1 << 40) + F.col("_metadata.file_block_start")
-         + F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))).alias("arr_minor"))
-    return parse_measures(raw)
+    """Batch scan of a JSON-lines history (one measure per line).  Arrival is the line's place: files in
+    the order of their names, lines in the order of the file (see ``numbered_lines``)."""
+    return parse_measures(numbered_lines(spark, path))
 
 
 #: Records a Kafka micro-batch takes at most, so that the first one is not the whole topic.

@@ -66,6 +66,28 @@ def test_json_history_files_in_name_order(spark, tmp_path):
     assert all(r["reason"] is None for r in rows)
 
 
+def test_history_order_is_that_of_names_in_any_folder_with_equal_times(spark, tmp_path):
+    import os
+    files = [(n, [f"{n}:{i}" for i in range(k)]) for n, k in (("b.json", 3), ("a.json", 400), ("c.json", 1), ("d.json", 0), ("aa.json", 90))]
+    want = [x for _, lines in sorted(files) for x in lines]
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        # one split to a file, many splits to a file, many files to a task
+        for k, size in enumerate(("128m", "300b", "64b")):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            d = tmp_path / f"folder{k}"
+            d.mkdir(parents=True)
+            for name, lines in files:
+                (d / name).write_text("".join(x + "\n" for x in lines))
+                os.utime(d / name, (1_600_000_000, 1_600_000_000))
+            from clockroll.sources.measures import numbered_lines
+            rows = numbered_lines(spark, str(d)).collect()
+            assert [r["value"] for r in sorted(rows, key=lambda r: (r["arr_major"], r["arr_minor"]))] == want
+            assert sorted(r["arr_major"] + r["arr_minor"] for r in rows) == list(range(len(want)))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
 def test_english_default_date_layout(spark):
     rows = _parse(spark, [_json("1.5", "Dec 19, 2016 12:00:00 AM"),
                           _json("1.5", "Jan 2, 2020 1:30:15 PM")])
