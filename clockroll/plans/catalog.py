@@ -269,6 +269,25 @@ def q_emissions_cadence(spark, sf_dir):
     return _r6(emissions(dense(spark, sf_dir), CADENCE).select(*EMISSION_COLUMNS))
 
 
+IDLE = RollupConfig(granularity=15, allowed_lateness=5, timeout=20, flush_every=0)
+
+
+def q_emissions_idle_timeout(spark, sf_dir):
+    """Objects that pause for 20 minutes have their windows closed; records that follow open them again."""
+    return _r6(emissions(dense(spark, sf_dir), IDLE, idle_timeout=True).select(*EMISSION_COLUMNS))
+
+
+def q_upsert_recreated_windows(spark, sf_dir):
+    rows, _ = upsert(_empty_target(spark), emissions(dense(spark, sf_dir), IDLE, idle_timeout=True))
+    return _r6(rows)
+
+
+def q_upsert_recreated_windows_actions(spark, sf_dir):
+    """The same emissions by action: windows opened again are overridden or skipped."""
+    _, actions = upsert(_empty_target(spark), emissions(dense(spark, sf_dir), IDLE, idle_timeout=True))
+    return action_totals(actions)
+
+
 def _halves(spark, sf_dir):
     """The dense measures in two halves by event id, each with its own emissions: the second one
     meets stored rows of the first."""
@@ -341,6 +360,9 @@ QUERIES = {
     "parse_bad_input": q_parse_bad_input,
     "history_arrival_index": q_history_arrival_index,
     "emissions_cadence": q_emissions_cadence,
+    "emissions_idle_timeout": q_emissions_idle_timeout,
+    "upsert_recreated_windows": q_upsert_recreated_windows,
+    "upsert_recreated_windows_actions": q_upsert_recreated_windows_actions,
     "upsert_onto_stored": q_upsert_onto_stored,
     "upsert_onto_stored_actions": q_upsert_onto_stored_actions,
     "stream_rollup": q_stream_rollup,
@@ -447,6 +469,15 @@ def _sql_cadence() -> str:
     return _sql_emission_rows(O.cadence_cte(O.events_dense(), c.granularity, c.allowed_lateness, c.flush_every), c.granularity)
 
 
+def _idle_cte() -> str:
+    return O.idle_cte(O.events_dense(), IDLE.granularity, IDLE.allowed_lateness, IDLE.timeout)
+
+
+def _sql_recreated(actions: bool) -> str:
+    sql = O.applied_sql(f"SELECT 0 AS batch, * FROM (WITH {_idle_cte()} SELECT * FROM em)", IDLE.granularity, actions)
+    return f"SELECT * EXCLUDE (batch) FROM ({sql})" if actions else sql
+
+
 def _sql_bad_input() -> str:
     """The faults by ``event_id`` modulo 16 and the first reason that applies."""
     return f"""WITH e AS (SELECT *, arr_minor % 16 AS q, unit NOT IN {O.TARGET} AS foreign_unit FROM ({O.events_sparse(float32=True)}) z),
@@ -538,6 +569,9 @@ SELECT {O.final_cols(60)} FROM st""",
   row_number() OVER (ORDER BY arr_major, arr_minor) - 1 AS place, CASE WHEN unit NOT IN {O.TARGET} THEN 'unit' END AS reason
 FROM ({O.events_sparse(float32=True)}) q""",
     "emissions_cadence": _sql_cadence(),
+    "emissions_idle_timeout": _sql_emission_rows(_idle_cte(), IDLE.granularity),
+    "upsert_recreated_windows": _sql_recreated(actions=False),
+    "upsert_recreated_windows_actions": _sql_recreated(actions=True),
     "stream_emissions_cadence": _sql_cadence(),
     "upsert_onto_stored": _sql_stored(actions=False),
     "upsert_onto_stored_actions": _sql_stored(actions=True),

@@ -70,7 +70,7 @@ def window_stats_sql(src: str, g: int, keys_extra: str = "") -> str:
     first(value ORDER BY {ARR}) AS k0,
     first(unit ORDER BY {ARR}) IN {ADV} AS adv,
     sum(value - kf) AS ks, sum((value - kf) * (value - kf)) AS ks2
-  FROM (SELECT *, first_value(value) OVER (PARTITION BY object_id, ws_ms ORDER BY {ARR}) AS kf
+  FROM (SELECT *, first_value(value) OVER (PARTITION BY object_id, ws_ms{keys_extra} ORDER BY {ARR}) AS kf
         FROM {src}) z
   GROUP BY object_id, ws_ms{keys_extra}"""
 
@@ -220,14 +220,43 @@ em AS (
          CASE WHEN born < rn THEN 2 ELSE 0 END, arr_major, arr_minor FROM f WHERE NOT inside)"""
 
 
+def idle_cte(measures: str, g: int, lateness: int, timeout: int) -> str:
+    """CTE chain ending in ``em`` with an idle timeout (cleanup after every record): a pause between two
+    arrivals ends a generation, and a window is opened and closed once per generation."""
+    L, SL = lateness * 60000, (g + lateness) * 60000
+    return f"""m AS (SELECT *, {ws(g)} AS ws_ms, coalesce(arr_major - lag(arr_major) OVER (PARTITION BY object_id ORDER BY {ARR}) >= {timeout * 60_000_000}, false) AS paused
+      FROM ({measures}) q WHERE unit IN {TARGET}),
+c AS (SELECT *, sum(paused::INT) OVER (PARTITION BY object_id ORDER BY {ARR}) AS gen,
+      max(ts_ms) OVER (PARTITION BY object_id ORDER BY {ARR} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS ta_ms FROM m),
+o AS (SELECT *, (ta_ms IS NULL OR ts_ms >= ta_ms - {L}) AS on_time FROM c),
+p AS (SELECT *, coalesce(bool_or(on_time) OVER (PARTITION BY object_id, ws_ms, gen ORDER BY {ARR} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), false) AS opened FROM o),
+cl AS (SELECT *, on_time OR (opened AND ws_ms > ta_ms - {SL}) AS inside FROM p),
+fin AS (SELECT object_id, max(ts_ms) AS fta, max(gen) AS last_gen FROM cl GROUP BY object_id),
+acc AS (SELECT * FROM cl WHERE inside),
+st AS ({window_stats_sql('acc', g, ', gen')}),
+nth AS (SELECT st.*, row_number() OVER (PARTITION BY object_id, ws_ms ORDER BY gen) AS nth, (gen < last_gen OR ws_ms <= fta - {SL}) AS closed FROM st JOIN fin USING (object_id)),
+late AS (SELECT cl.*, (SELECT count(*) FROM nth w WHERE w.object_id = cl.object_id AND w.ws_ms = cl.ws_ms AND w.gen < cl.gen) AS earlier FROM cl WHERE NOT inside),
+em AS (
+  SELECT minutes, object_id, ws_ms, n, s, mn, mx, lts, lst, k0, adv, ks, ks2, 'closed' AS kind, CAST(2 * nth - 1 AS INTEGER) AS phase,
+         CAST(NULL AS BIGINT) AS arr_major, CAST(NULL AS BIGINT) AS arr_minor FROM nth WHERE closed
+  UNION ALL
+  SELECT {g}, object_id, ws_ms, 1, value, value, value, ts_ms, value, value, unit IN {ADV}, 0.0, 0.0, 'late',
+         CAST(2 * (earlier + opened::INT) AS INTEGER), arr_major, arr_minor FROM late)"""
+
+
 def two_batches_sql(measures: str, g: int, lateness: int, actions: bool) -> str:
     """Two batches (even and odd ``arr_minor``) applied in turn, emission by emission, as a recursion
     over each key's emissions: a stored row takes a late record in, and is replaced by a closed
     window that counts more records."""
     half = [f"SELECT * FROM ({measures}) z WHERE arr_minor % 2 = {i}" for i in (0, 1)]
     parts = [f"SELECT {i} AS batch, * FROM (WITH {emissions_cte(half[i], g, lateness)} SELECT * FROM em)" for i in (0, 1)]
+    return applied_sql(f"{parts[0]} UNION ALL {parts[1]}", g, actions)
+
+
+def applied_sql(emitted: str, g: int, actions: bool) -> str:
+    """The target after ``emitted`` (batch and the columns of ``em``) was applied in order, or its counters by batch."""
     row = "n, s, mn, mx, lts, lst, CASE WHEN adv THEN k0 END AS k, ks, ks2"
-    head = f"""WITH RECURSIVE allem AS ({parts[0]} UNION ALL {parts[1]}),
+    head = f"""WITH RECURSIVE allem AS ({emitted}),
 e AS (SELECT batch, object_id, ws_ms, kind, {row}, row_number() OVER (PARTITION BY object_id, ws_ms ORDER BY batch, phase, arr_major, arr_minor) AS i FROM allem),
 r AS (
   SELECT e.* EXCLUDE (kind), CASE WHEN kind = 'late' THEN 'late_first' ELSE 'normal' END AS act FROM e WHERE i = 1
