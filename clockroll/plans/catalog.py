@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from clockroll.config import RollupConfig
 from clockroll.functions.timefn import date_key, format_ts, ntz_from_ms, window_start_ms
 from clockroll.functions.units import is_target_unit, with_stdev
-from clockroll.operators.aggregate import rollup, rollup_many
+from clockroll.operators.aggregate import rollup, rollup_many, with_keys
+from clockroll.operators.coarser import coarser
 from clockroll.operators.lateness import (EMISSION_COLUMNS, classify_arrivals, emissions, emissions_many,
                                           object_clock, open_windows_at_end)
 from clockroll.operators.merge import ACTION_COLUMNS, action_totals, upsert, upsert_combine
@@ -312,6 +313,28 @@ def q_upsert_onto_stored_actions(spark, sf_dir):
     return spark.createDataFrame(rows, "batch int, " + ", ".join(f"{c} long" for c in ACTION_COLUMNS))
 
 
+def q_rollup_daily_from_15m(spark, sf_dir):
+    """Daily windows from the rows of 15-minute windows."""
+    # sums in another order differ in their last bits; means are taken from sums rounded alike
+    rows = coarser(rollup(dense(spark, sf_dir), 15), 1440)
+    return _r6(rows.withColumn("mean", F.round("sum", 6) / F.col("count")))
+
+
+def q_target_read_by_keys(spark, sf_dir):
+    """A stored table read by the keys of the hour after each measure: some have a row, others not."""
+    t, _ = _stored(spark, sf_dir)
+    g = DENSE_LATE.granularity
+    after = window_start_ms(F.col("ts_ms"), g) + g * 60_000
+    keys = with_keys(dense(spark, sf_dir).select(F.lit(g).alias("minutes"), "object_id", after.alias("ws_ms")).distinct())
+    return _r6(t.read_keys(keys))
+
+
+def q_stream_multi_granularity(spark, sf_dir):
+    """Three granularities in one stream over 3 slices: one source, one state, one checkpoint."""
+    from clockroll.streaming.job import replay_emissions
+    return _r6(replay_emissions(spark, dense(spark, sf_dir), MULTI_LATE, slices=3))
+
+
 def q_stream_rollup(spark, sf_dir):
     from clockroll.streaming.job import replay_to_table
     # three arrival slices, one micro-batch each: the state crosses batch boundaries
@@ -365,6 +388,9 @@ QUERIES = {
     "upsert_recreated_windows_actions": q_upsert_recreated_windows_actions,
     "upsert_onto_stored": q_upsert_onto_stored,
     "upsert_onto_stored_actions": q_upsert_onto_stored_actions,
+    "rollup_daily_from_15m": q_rollup_daily_from_15m,
+    "target_read_by_keys": q_target_read_by_keys,
+    "stream_multi_granularity": q_stream_multi_granularity,
     "stream_rollup": q_stream_rollup,
     "stream_emissions_cadence": q_stream_emissions_cadence,
 }
@@ -492,6 +518,27 @@ def _sql_stored(actions: bool) -> str:
     return O.two_batches_sql(O.events_dense(), DENSE_LATE.granularity, DENSE_LATE.allowed_lateness, actions)
 
 
+def _sql_coarser(fine: int, g: int) -> str:
+    """As a rollup of the records, but ``k`` is the first value of the earliest fine window."""
+    first = f"{O.ws(fine)}, {O.ARR}"
+    return f"""WITH m AS (SELECT *, {O.ws(g, 'epoch')} AS ws_ms FROM ({O.events_dense()}) q WHERE unit IN {O.TARGET}),
+f AS (SELECT *, first_value(value) OVER (PARTITION BY object_id, ws_ms ORDER BY {first}) AS kf FROM m),
+st AS (SELECT {g} AS minutes, object_id, ws_ms, count(*) AS n, round(sum(value), 6) AS s, min(value) AS mn, max(value) AS mx, max(ts_ms) AS lts,
+    first(value ORDER BY ts_ms DESC, {O.ARR}) AS lst, min(kf) AS k0, bool_and(unit IN {O.ADV}) AS adv,
+    sum(value - kf) AS ks, sum((value - kf) * (value - kf)) AS ks2 FROM f GROUP BY object_id, ws_ms)
+SELECT {O.final_cols(g)} FROM st"""
+
+
+def _sql_read_by_keys() -> str:
+    g = DENSE_LATE.granularity
+    stats = ", ".join(f't."{c}"' for c in ("count", "sum", "min", "max", "mean", "last", "last_ts", "k", "k_sum", "k_sum_2", "std"))
+    return f"""WITH keys AS (SELECT DISTINCT {g} AS minutes, object_id, {O.ws(g)} + {g * 60000} AS ws_ms FROM ({O.events_dense()}) q WHERE unit IN {O.TARGET}),
+named AS (SELECT minutes, object_id, {O.date_key(g)} AS date, {O.ts_of()} AS "timestamp" FROM keys)
+SELECT k.minutes, k.object_id, k.date, k."timestamp", {stats} FROM named k LEFT JOIN ({_sql_stored(actions=False)}) t
+  ON t.minutes = k.minutes AND t.object_id = k.object_id AND t.date = k.date AND k."timestamp" = t."timestamp"
+"""
+
+
 def _sql_lineitem_daily() -> str:
     c = LINEITEM_LATE
     return O.upsert_parity_sql(O.lineitem_measures(), c.granularity, c.allowed_lateness,
@@ -564,6 +611,10 @@ SELECT {O.final_cols(60)} FROM st""",
     "upsert_final_combine": _sql_upsert_combine(),
     "lineitem_daily_by_supplier": _sql_lineitem_daily(),
     "stream_rollup": O.upsert_parity_sql(O.events_dense(), 60, 30),
+    "rollup_daily_from_15m": _sql_coarser(15, 1440),
+    "target_read_by_keys": _sql_read_by_keys(),
+    "stream_multi_granularity": " UNION ALL ".join(
+        f"({_sql_emissions(False, c.granularity, c.allowed_lateness)})" for c in MULTI_LATE),
     "parse_bad_input": _sql_bad_input(),
     "history_arrival_index": f"""SELECT object_id, unit, ts_ms, {O.r6('value')} AS value,
   row_number() OVER (ORDER BY arr_major, arr_minor) - 1 AS place, CASE WHEN unit NOT IN {O.TARGET} THEN 'unit' END AS reason

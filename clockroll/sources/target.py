@@ -50,6 +50,8 @@ TARGET_SCHEMA = T.StructType([
     T.StructField("std", T.DoubleType()),
 ])
 assert [f.name for f in TARGET_SCHEMA.fields] == OUTPUT_COLUMNS
+#: Keys that a read may broadcast.
+BROADCAST_KEYS = 500_000
 PARTITIONS = ["minutes", "date", "day", "bucket"]
 #: Fixed part of the layout of every table.
 BUCKETS = 8
@@ -116,6 +118,19 @@ class RollupTable:
         own = (F.col("minutes") == minutes) & (F.col("date") == date) & (F.col("object_id") == object_id)
         return self.read().where(own).orderBy(F.desc("timestamp"))
 
+    def read_keys(self, keys: DataFrame) -> DataFrame:
+        """The stored row of each of ``keys`` (the four columns of ``KEY``); keys without one have NULL statistics.
+
+        The partition folders follow from the key, so they are join columns too.  With keys small
+        enough to be broadcast only the folders they name are read (dynamic partition pruning);
+        with more the join is shuffled."""
+        asked = _with_day(keys.select(*KEY).distinct()).where("minutes > 0")
+        stored = self.spark.read.schema(STORED_SCHEMA).parquet(self.path) if self._has_data() else self.spark.createDataFrame([], STORED_SCHEMA)
+        if asked.count() <= BROADCAST_KEYS:
+            asked = F.broadcast(asked)
+        found = stored.join(asked, [*KEY, "day", "bucket"]).select(*OUTPUT_COLUMNS)
+        return keys.select(*KEY).distinct().join(found, KEY, "left").select(*OUTPUT_COLUMNS)
+
     def total_actions(self) -> dict:
         """The action counters of all batches that this writer has applied."""
         path = f"{self.path}/_batches/{self.writer}"

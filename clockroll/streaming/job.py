@@ -2,8 +2,8 @@
 
 ``emissions_stream`` is the stateful operator; ``start_rollup_query`` writes its output
 to a :class:`~clockroll.sources.target.RollupTable` with batch-id idempotence (a batch
-replayed after a failure is skipped); one query per granularity, each with its own
-checkpoint (state is bound to the granularity).
+replayed after a failure is skipped).  One query may serve several granularities: the source is read
+once and they share one state and one checkpoint.
 """
 
 from __future__ import annotations
@@ -16,20 +16,20 @@ from pyspark.sql import functions as F
 from clockroll.config import RollupConfig
 from clockroll.operators.aggregate import with_keys
 from clockroll.operators.arrivals import Rules
-from clockroll.operators.cadence import EMITTED_DDL, with_phases
+from clockroll.operators.cadence import with_phases
 from clockroll.operators.lateness import EMISSION_COLUMNS
 from clockroll.session import scratch_dir, ship_package
 from clockroll.sources.measures import MEASURE_COLUMNS, countable
 from clockroll.sources.target import RollupTable, _exists
-from clockroll.streaming.processor import WindowProcessor
+from clockroll.streaming.processor import STREAMED_DDL, WindowProcessor
 
 
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def emissions_stream(measures: DataFrame, cfg: RollupConfig, idle_timeout: bool = False) -> DataFrame:
-    """Streaming measures -> emission rows (target columns + kind, phase); records that cannot
-    be aggregated (foreign unit, no value, NaN, no object, no time) are left out here too.
+def emissions_stream(measures: DataFrame, cfgs: RollupConfig | list[RollupConfig], idle_timeout: bool = False) -> DataFrame:
+    """Streaming measures -> emission rows (target columns + kind, phase) of one or several configurations, one per
+    granularity; records that cannot be aggregated (foreign unit, no value, NaN, no object, no time) are left out here too.
     With ``idle_timeout`` the query needs a processing-time trigger (timers)."""
     spark = measures.sparkSession
     ship_package(spark)
@@ -37,24 +37,32 @@ def emissions_stream(measures: DataFrame, cfg: RollupConfig, idle_timeout: bool
     if "RocksDB" not in (spark.conf.get("spark.sql.streaming.stateStore.providerClass", "") or ""):
         spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
     m = countable(measures).select(*MEASURE_COLUMNS)
-    proc = WindowProcessor(Rules.of(cfg), timeout_ms=cfg.timeout_ms if idle_timeout else None)
+    cfgs = [cfgs] if isinstance(cfgs, RollupConfig) else list(cfgs)
+    if len({c.granularity for c in cfgs}) != len(cfgs) or not cfgs:
+        raise ValueError("one configuration per granularity")
+    proc = WindowProcessor([Rules.of(c) for c in cfgs], {c.granularity: c.timeout_ms for c in cfgs} if idle_timeout else None)
     out = m.groupBy("object_id").transformWithStateInPandas(
-        statefulProcessor=proc, outputStructType=EMITTED_DDL, outputMode="Append",
+        statefulProcessor=proc, outputStructType=STREAMED_DDL, outputMode="Append",
         timeMode="ProcessingTime" if idle_timeout else "None")
-    return with_keys(out.withColumn("minutes", F.lit(cfg.granularity))).select(*EMISSION_COLUMNS)
+    return with_keys(out).select(*EMISSION_COLUMNS)
 
 
-def start_rollup_query(spark: SparkSession, measures_stream: DataFrame, cfg: RollupConfig,
+def start_rollup_query(spark: SparkSession, measures_stream: DataFrame, cfg: RollupConfig | list[RollupConfig],
                        table_path: str, checkpoint: str, trigger: dict | None = None,
                        idle_timeout: bool = False):
-    table = RollupTable(spark, table_path, cfg.merge, writer=f"minutes={cfg.granularity}")
-    em = emissions_stream(measures_stream, cfg, idle_timeout)
+    """Start one query for one or several granularities (``merge`` and trigger interval must agree)."""
+    cfgs = [cfg] if isinstance(cfg, RollupConfig) else list(cfg)
+    if len({(c.merge, c.checkpoint_interval_ms) for c in cfgs}) != 1:
+        raise ValueError("the granularities of a query share merge mode and checkpoint interval")
+    cfg, names = cfgs[0], "+".join(str(c.granularity) for c in cfgs)
+    table = RollupTable(spark, table_path, cfg.merge, writer=f"minutes={names}")
+    em = emissions_stream(measures_stream, cfgs, idle_timeout)
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         table.apply(batch, batch_id)
 
     w = (em.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
-         .queryName(f"clockroll_{cfg.granularity}m_{crc32(table_path.encode())}"))
+         .queryName(f"clockroll_{names.replace('+', '_')}m_{crc32(table_path.encode())}"))
     w = w.trigger(**(trigger or {"processingTime": f"{cfg.checkpoint_interval_ms} milliseconds"}))
     return w.start()
 
@@ -74,9 +82,9 @@ def start_rejects_query(parsed_stream: DataFrame, path: str, checkpoint: str,
 def start_rollup_queries(spark: SparkSession, measures_stream: DataFrame,
                          cfgs: list[RollupConfig], table_path: str, checkpoint_root: str,
                          trigger: dict | None = None, idle_timeout: bool = False) -> list:
-    """One streaming query per granularity (state and checkpoint are bound to a granularity,
-    like one deployment per granularity), all writing to the same table: the target key
-    contains ``minutes``, so the queries touch disjoint partitions."""
+    """One streaming query per granularity, where they are to be stopped and changed apart (each reads the source
+    again; ``start_rollup_query`` takes several in one).  All write to the same table: the target
+    key contains ``minutes``, so the queries touch disjoint partitions."""
     if len({c.granularity for c in cfgs}) != len(cfgs):
         raise ValueError("one configuration per granularity")
     return [start_rollup_query(spark, measures_stream, c, table_path,
@@ -97,7 +105,7 @@ def _slices(spark: SparkSession, measures: DataFrame, slices: int) -> list[str]:
     return [f"{root}/h/slice={i}" for i in range(len(bounds) + 1)]
 
 
-def _replay(spark: SparkSession, measures: DataFrame, cfg: RollupConfig, sink, slices: int) -> None:
+def _replay(spark: SparkSession, measures: DataFrame, cfg: RollupConfig | list[RollupConfig], sink, slices: int) -> None:
     """Drive the streaming operator over a recorded history.  Each slice is delivered as a whole
     and is one micro-batch: the query is started once per slice, on one checkpoint, with no
     limit on files, so an object's records are never taken out of arrival order however many
@@ -138,7 +146,7 @@ def replay_to_table(spark: SparkSession, measures: DataFrame, cfg: RollupConfig,
     return table
 
 
-def replay_emissions(spark: SparkSession, measures: DataFrame, cfg: RollupConfig, slices: int = 3) -> DataFrame:
+def replay_emissions(spark: SparkSession, measures: DataFrame, cfg: RollupConfig | list[RollupConfig], slices: int = 3) -> DataFrame:
     """Replay a recorded history through the stream; return all emissions, with phases over the
     whole history."""
     out = scratch_dir(spark, "replay-emissions")

@@ -7,8 +7,7 @@ from clockroll.metrics import observe_parse
 from clockroll.session import scratch_dir
 from clockroll.sources.measures import parse_measures
 from clockroll.operators.arrivals import Rules
-from clockroll.operators.cadence import EMITTED_DDL
-from clockroll.streaming.processor import WindowProcessor
+from clockroll.streaming.processor import STREAMED_DDL, WindowProcessor
 
 
 def test_parse_counters(spark):
@@ -31,9 +30,9 @@ def test_idle_timeout_flushes_windows(spark):
     schema = "object_id int, unit string, ts_ms long, value double, arr_major long, arr_minor long"
     spark.createDataFrame(rows, schema).write.mode("append").parquet(inbox)
     stream = spark.readStream.schema(schema).parquet(inbox)
-    proc = WindowProcessor(Rules(15, 5 * 60_000, 0), timeout_ms=2000)
+    proc = WindowProcessor([Rules(15, 5 * 60_000, 0), Rules(60, 0, 0)], {15: 2000, 60: 3_600_000})
     out = stream.groupBy("object_id").transformWithStateInPandas(
-        statefulProcessor=proc, outputStructType=EMITTED_DDL, outputMode="Append",
+        statefulProcessor=proc, outputStructType=STREAMED_DDL, outputMode="Append",
         timeMode="ProcessingTime")
     name = "timer_test_out"
     q = (out.writeStream.format("memory").queryName(name)
@@ -49,8 +48,9 @@ def test_idle_timeout_flushes_windows(spark):
             time.sleep(1)
     finally:
         q.stop()
-    assert sorted((r["object_id"], r["kind"], r["count"]) for r in got) == [
-        (1, "closed", 5), (2, "closed", 1)]
+    # the granularity with the longer timeout keeps its windows
+    assert sorted((r["minutes"], r["object_id"], r["kind"], r["count"]) for r in got) == [
+        (15, 1, "closed", 5), (15, 2, "closed", 1)]
 
 
 def test_rejects_stream_to_table(spark):
