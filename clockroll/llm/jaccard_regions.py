@@ -8,7 +8,11 @@ so the Voronoi region of {s} can only hold sets with s; of several pivots at the
 the first in the order is home.  Boundary sets are replicated by the triangle inequality: a
 set y within EPS of x lacks at most EPS * |x| of x's shingles, so the first pivot the two
 share is among x's first ``|x| - ceil(0.75 |x|) + 1``; x goes to these regions and to no other.
-Frequent shingles (from a bounded sample; any order gives exact results) come last.
+Any order of the shingles gives exact results.  Shingles with hashes in ``COUNTED``, a fixed part of the
+hash space that holds more shingles of a set than it has regions, come first, by the exact number of rows
+they occur in; then the others by hash; shingles that are frequent in a bounded sample come last.  A shingle
+of one class only is a region without pairs, so a set with enough of them is in no region at all:
+documents that merely share passages leave here, however rare the passages are.
 
 Level 1, pivots that are documents: each region elects its smallest set id, and the distance
 of every member to it is bounded or computed.  Members within EPS link.  A region whose members
@@ -54,6 +58,8 @@ FREQUENT_FROM = 3
 WIDE = 8
 LEVELS = 3
 SKETCH_BITS = 2048
+#: Shingles with hashes below this (3/8 of all) are counted exactly before the regions are made.
+COUNTED = np.uint64(3 << 61)
 COARSE = ("q0", "q1", "q2", "q3")  # the sketch folded to 64 bits each
 PIECE = 4 << 20
 
@@ -171,7 +177,7 @@ def _region_rows(shared):
         frequent = shared.value  # sorted hashes
         seen: set[int] = set()  # classes this task has dealt already: copies add nothing
         for b in byte_slices(batches, 0):
-            ss, cc, ff = [], [], []
+            ss, cc, pp, ff = [], [], [], []
             for x in shingle_sets(b.column(0).to_pylist()):
                 if not len(x) or (c := _class_id(x)) in seen:
                     continue
@@ -181,12 +187,15 @@ def _region_rows(shared):
                 keep = len(x) - -(-3 * len(x) // 4) + 1
                 at = np.minimum(np.searchsorted(frequent, x), max(len(frequent) - 1, 0))
                 often = frequent[at] == x if len(frequent) else np.zeros(len(x), bool)
-                s = np.concatenate((x[~often], x[often]))[:keep]
-                ss.append(s)
-                ff.append(np.arange(len(s)) >= int((~often).sum()))
-                cc.append(np.full(len(s), c, np.int64))
+                tallied = ~often & (x < COUNTED)
+                early, late, last = x[tallied], x[~often & ~tallied], x[often]
+                rest = np.concatenate((late, last))[:max(0, keep - len(early))]
+                ss += [early, rest]
+                ff.append(np.arange(len(early) + len(rest)) >= len(early) + min(len(late), len(rest)))
+                pp.append(np.repeat(np.array([max(0, len(early) - keep), -1], np.int32), (len(early), len(rest))))
+                cc.append(np.full(len(early) + len(rest), c, np.int64))
             if ss:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(ss).view(np.int64)), pa.array(np.concatenate(cc)), pa.array(np.concatenate(ff))], names=["s", "cls", "often"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(ss).view(np.int64)), pa.array(np.concatenate(cc)), pa.array(np.concatenate(pp)), pa.array(np.concatenate(ff))], names=["s", "cls", "spare", "often"])
     return run
 
 
@@ -298,13 +307,21 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def _regions(rows: DataFrame) -> DataFrame:
-    """Rows (s, cls, often) of regions with two classes or more, with the ``pivot`` class.  Regions of
-    shingles known to be frequent are counted before they are shuffled; the others meet in one
-    shuffle."""
+    """Rows (s, cls, spare, often) of regions with two classes or more, with the ``pivot`` class.  Rows that are
+    not ``often`` meet by shingle; those of a single class go, and of the others each class gives up its ``spare``
+    most frequent ones (its unique shingles took their places; -1: the row stays).  Regions of shingles
+    known to be frequent are counted before they are shuffled."""
     from pyspark.sql import Window as W
 
-    own = W.partitionBy("s")
-    cold = rows.where("NOT often").withColumn("pivot", F.min("cls").over(own)).withColumn("last", F.max("cls").over(own)).where("pivot <> last").select("s", "cls", "pivot").distinct()
+    def shared(df: DataFrame) -> DataFrame:
+        own = W.partitionBy("s")
+        return df.withColumn("pivot", F.min("cls").over(own)).withColumn("last", F.max("cls").over(own)).where("pivot <> last")
+
+    met = shared(rows.where("NOT often").withColumn("met", F.count("*").over(W.partitionBy("s"))))
+    met = met.select("s", "cls", "spare", "met").distinct()
+    rank = F.row_number().over(W.partitionBy("cls", "fixed").orderBy(F.desc("met"), F.desc("s")))
+    met = met.withColumn("fixed", F.col("spare") < 0).withColumn("rank", rank).where("rank > spare")
+    cold = shared(met.select("s", "cls")).select("s", "cls", "pivot")
     often = rows.where("often").select("s", "cls").distinct()
     heads = often.groupBy("s").agg(F.min("cls").alias("pivot"), F.max("cls").alias("last")).where("pivot <> last").select("s", "pivot")
     return cold.unionByName(often.join(heads, "s").select("s", "cls", "pivot"))
@@ -313,7 +330,7 @@ def _regions(rows: DataFrame) -> DataFrame:
 def _dealt(docs: DataFrame, late: np.ndarray) -> DataFrame:
     """Regions of ``docs`` (text) with the shingles ``late`` (sorted hashes) last in the order."""
     shared = docs.sparkSession.sparkContext.broadcast(late)
-    rows = docs.select("text").mapInArrow(_region_rows(shared), "s long, cls long, often boolean")
+    rows = docs.select("text").mapInArrow(_region_rows(shared), "s long, cls long, spare int, often boolean")
     return staged(_regions(rows), "jaccard-regions")
 
 
