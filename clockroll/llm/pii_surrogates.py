@@ -5,9 +5,9 @@ access keys, secrets, person names) are found by one pattern.  Each distinct ent
 corpus gets a keyed surrogate (SHA-256 of key, kind, entity and attempt) of its own kind and
 format: digits stay digits, letters stay letters of their case and script, punctuation, country
 codes, key prefixes and top-level domains stay, octets stay octets; given names get given names
-of the same gender and script, family names get made-up ones of the same script.
+of the same gender and script (double names double ones), family names get made-up ones of the same script.
 
-Names are found after a title or a listed given name: a run of up to ``RUN_WORDS`` capitalised words on
+Names are found after a title or a listed given name: a run of capitalised words, however many, on
 one line (inner capitals, apostrophes, hyphens, initials and particles included).  Each word of a
 run counts as found for the whole text: its bare mentions before and after are replaced too, also
 in capitals.  Initials before a found word turn into other letters.
@@ -36,8 +36,8 @@ from clockroll.llm.common import free_name, staged
 MALE_TITLES = ["Mr", "Herr", "Herrn", "Señor", "Sr", "Monsieur", "господин"]
 FEMALE_TITLES = ["Mrs", "Ms", "Miss", "Frau", "Señora", "Sra", "Madame", "Mme", "госпожа"]
 OTHER_TITLES = ["Dr", "Prof"]
-MALE = ["James", "John", "Robert", "Michael", "William", "David", "Thomas", "Hans", "Klaus", "Pierre", "Jean", "Carlos", "José"]
-FEMALE = ["Mary", "Patricia", "Jennifer", "Linda", "Elizabeth", "Susan", "Sarah", "Ursula", "Greta", "Marie", "Claire", "Carmen", "Lucía"]
+MALE = ["James", "John", "Robert", "Michael", "William", "David", "Thomas", "Hans", "Klaus", "Pierre", "Jean", "Carlos", "José", "Peter", "Paul", "Daniel", "George", "Juan", "Luis"]
+FEMALE = ["Mary", "Patricia", "Jennifer", "Linda", "Elizabeth", "Susan", "Sarah", "Ursula", "Greta", "Marie", "Claire", "Carmen", "Lucía", "Anna", "Emma", "Maria", "Laura", "Julia", "Sophie"]
 MALE_CYRILLIC = ["Иван", "Пётр", "Сергей", "Дмитрий", "Алексей"]
 FEMALE_CYRILLIC = ["Анна", "Мария", "Елена", "Ольга", "Наталья"]
 #: Given names that surrogates are taken from (none of them marks a person above).
@@ -52,40 +52,44 @@ SYLLABLES_CYRILLIC = ["ба", "ве", "го", "ду", "жи", "зор", "кел"
 #: Lower-case words inside a family name (they stay), and words that end a run of names.
 PARTICLES = ["van", "von", "der", "den", "de", "la", "del", "della", "di", "da", "du", "dos", "das", "el", "al", "bin", "ibn", "ter", "ten", "zu", "zum", "zur", "y"]
 NO_NAMES = ["The", "This", "That", "These", "Those", "They", "There", "Then", "When", "And", "But"]
-RUN_WORDS = 16
 
 _TITLE = "|".join(MALE_TITLES + FEMALE_TITLES + OTHER_TITLES)
 _GIVEN = "|".join(MALE + FEMALE + MALE_CYRILLIC + FEMALE_CYRILLIC)
-_OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
-_LABEL = r"""(?i:password|passwd|pwd|secret|token|api_key|apikey|access_key)["']?\s{0,2}(?:=\s{0,2}["']?|:\s{0,2}["']?(?=[^\s"'\d]*+\d|(?<=")[^"\d\r\n]*+\d|(?<=')[^'\d\r\n]*+\d))"""
-#: A labelled value of six characters or more: to the closing quote on its line, or else to white space or a
+_OCTET = r"(?:25[0-5]|2[0-4]\d|[01]\d\d|\d{1,2})"
+_END = r"""[^\s"'.,;:)\]}>]"""
+#: After a colon, which prose has too, a value has at least six characters.
+_LABEL = rf"""(?i:password|passwd|pwd|secret|token|api_key|apikey|access_key)["']?\s{{0,2}}(?:=\s{{0,2}}["']?|:\s{{0,2}}["']?(?=[^\s"']{{5,}}{_END}|(?<=["'])[^"'\r\n]{{6}}))"""
+#: A labelled value of four characters or more: to the closing quote on its line, or else to white space or a
 #: quote, without the marks that end a sentence or bracket.  One class per quantifier: no length overflows the stack.
-_VALUE = (r"""(?:(?<=")(?=(?:[^"\\\r\n]|\\.){6})[^\r\n]{6,}?(?<!\\)(?=")|(?<=')(?=(?:[^'\\\r\n]|\\.){6})[^\r\n]{6,}?(?<!\\)(?=')"""
-          r"""|[^\s"']{5,}[^\s"'.,;:)\]}>])""")
+_VALUE = (r"""(?:(?<=")(?=(?:[^"\\\r\n]|\\.){4})[^\r\n]{4,}?(?<!\\)(?=")|(?<=')(?=(?:[^'\\\r\n]|\\.){4})[^\r\n]{4,}?(?<!\\)(?=')"""
+          rf"""|[^\s"']{{3,}}{_END})""")
 _BLANK = r"[ \t\x{A0}]"
 _LETTER = r"[\p{L}\p{M}]"
 #: One word of a name, up to a hyphen before a capital; not the 's of a genitive.
 _NAME = (rf"(?!(?:{_TITLE}|{'|'.join(NO_NAMES)})(?![\p{{L}}\p{{M}}'’\-]))\p{{Lu}}(?=['’]?{_LETTER}){_LETTER}*+"
          rf"(?:['’](?!(?:s|ll|ve|re|d|m)(?!{_LETTER})){_LETTER}++)?+(?:[\-‐‑]\p{{Ll}}{_LETTER}*+)?+")
-_NAMES = rf"(?:(?:{'|'.join(PARTICLES)}){_BLANK}++|[dl]['’]|\p{{Lu}}\.{_BLANK}*+|\p{{Lu}}{_BLANK}++){{0,8}}+{_NAME}(?:[\-‐‑]{_NAME}){{0,3}}+"
-_RUN = rf"{_NAMES}(?:{_BLANK}++{_NAMES}){{0,{RUN_WORDS - 1}}}+"
+_NAMES = rf"(?:(?:{'|'.join(PARTICLES)}){_BLANK}++|[dl]['’]|\p{{Lu}}\.{_BLANK}*+|\p{{Lu}}{_BLANK}++)*+{_NAME}(?:[\-‐‑]{_NAME})*+"
+_RUN = rf"{_NAMES}(?:{_BLANK}++{_NAMES})*+"
 #: Titles and the run after them (the run may begin on the next line), or a listed given name and its run.
-SPAN = (rf"(?<!{_LETTER})(?=[\p{{Lu}}г])(?:(?:(?:{_TITLE})(?!{_LETTER})(?:\.|(?=\s)){_BLANK}*+(?:\R{_BLANK}*+)?){{1,4}}+{_RUN}"
+SPAN = (rf"(?<!{_LETTER})(?=[\p{{Lu}}г])(?:(?:(?:{_TITLE})(?!{_LETTER})(?:\.|(?=\s)){_BLANK}*+(?:\R{_BLANK}*+)?)++{_RUN}"
         rf"|(?:{_GIVEN})(?:[\-‐‑]{_NAME})?+{_BLANK}++{_RUN})")
 #: Initials before a name: with points, or one without right after a title or a listed given name.
-_INITIALS = rf"(?:(?:\p{{Lu}}\.{_BLANK}*+){{1,8}}+|(?<=(?:{_TITLE}|{_GIVEN})\.?\s{{1,4}})\p{{Lu}}{_BLANK}++)"
+_INITIALS = rf"(?:(?:\p{{Lu}}\.{_BLANK}*+)++|(?<=(?:{_TITLE}|{_GIVEN})\.?\s{{1,4}})\p{{Lu}}{_BLANK}++)"
+_HEX, _HEXTET = r"(?:[0-9a-f]{32,}+|[0-9A-F]{32,}+)", r"[0-9A-Fa-f]{1,4}"
 #: Kind -> pattern.  The first group is tried where no ASCII letter or digit precedes, the second
 #: at the start of a run of digits.
 PATTERNS = {
-    "mail": r"[A-Za-z0-9][A-Za-z0-9._%+\-]{0,63}@(?:[A-Za-z0-9\-]{1,63}\.){1,8}[A-Za-z]{2,24}",
-    "key": r"(?:AKIA|ASIA)[0-9A-Z]{16}(?![A-Za-z0-9])|(?:ghp_|gho_|sk-|xoxb-)[A-Za-z0-9_\-]{16,}+",
-    "secret": rf"{_LABEL}{_VALUE}|[0-9a-f]{{32,}}+(?![A-Za-z0-9])",
-    "iban": r"[A-Z]{2}\d{2}[A-Z0-9]{11,30}(?![A-Za-z0-9])",
+    # at most 64 characters before the sign and 127 labels, as in any address
+    "mail": r"[\p{L}\p{N}][\p{L}\p{M}\p{N}._%+\-]{0,63}@(?:[\p{L}\p{M}\p{N}\-]{1,63}\.){1,127}\p{L}{2,24}",
+    "key": r"(?:AKIA|ASIA)[0-9A-Z]{16}(?![A-Za-z0-9])|(?:ghp_|gho_|sk-|xoxb-)[A-Za-z0-9_\-]{16,}+|eyJ[A-Za-z0-9_\-]{5,}+\.[A-Za-z0-9_\-]++(?:\.[A-Za-z0-9_\-]++)?+",
+    "secret": rf"{_LABEL}{_VALUE}|{_HEX}(?![A-Za-z0-9])",
+    "iban": r"[A-Z]{2}\d{2}(?:[A-Z0-9]{11,30}| [A-Z0-9]{4}(?: (?=[A-Z]{0,3}\d)[A-Z0-9]{4}){1,6}(?: (?=[A-Z]{0,2}\d)[A-Z0-9]{1,3})?)(?![A-Za-z0-9])",
     "phone": r"\+\d{1,3}[ .\-]?\(?\d{1,4}\)?(?:[ .\-]?\d{2,4}){1,4}(?!\d)|\(\d{3}\) ?\d{3}[ .\-]\d{4}(?!\d)",
+    "ip6": rf"(?=[0-9A-Fa-f:]{{0,39}}?\d)(?:(?:{_HEXTET}:){{7}}{_HEXTET}|(?:{_HEXTET}:){{1,6}}(?::{_HEXTET}){{1,6}}|(?:{_HEXTET}:){{1,7}}:)(?![A-Za-z0-9:])",
     "ip": rf"(?:{_OCTET}\.){{3}}{_OCTET}(?!\d|\.\d)",
-    "local": r"\d{3}[.\-]\d{3}[.\-]\d{4}(?![\d\-])",
-    "card": r"\d{13,19}(?![\d\-])|\d{4}[ \-]\d{4}[ \-]\d{4}[ \-]\d{1,7}(?![\d\-])",
-    "ssn": r"\d{3}-\d{2}-\d{4}(?![\d\-])",
+    "local": r"\d{3}[.\-]\d{3}[.\-]\d{4}(?![\d\-])|0\d{2,4}[ /\-]\d{5,8}(?![\d\-])",
+    "card": r"\d{13,19}(?![\d\-])|\d{4}[ \-]\d{4}[ \-]\d{4}[ \-]\d{1,7}(?![\d\-])|\d{4}[ \-]\d{6}[ \-]\d{5}(?![\d\-])",
+    "ssn": r"\d{3}-\d{2}-\d{4}(?![\d\-])|\d{3} \d{2} \d{4}(?![\d\-])",
 }
 
 
@@ -93,10 +97,10 @@ def _any(*kinds: str) -> str:
     return "(?:" + "|".join(PATTERNS[k] for k in kinds) + ")"
 
 
-PATTERN = (rf"(?<![A-Za-z0-9])(?=[A-Za-z0-9+(]){_any('mail', 'key', 'secret', 'iban', 'phone')}"
+PATTERN = (rf"(?<![A-Za-z0-9])(?=[\p{{L}}\p{{N}}+(]){_any('mail', 'key', 'secret', 'iban', 'phone', 'ip6')}"
            rf"|(?<![\d.\-])(?=\d){_any('ip', 'local', 'card', 'ssn')}")
 #: Texts without any of these have no entity.
-HINTS = (r"[0-9@=:]|AKIA|ASIA|gh[po]_|sk-|xoxb-|[a-f]{32}", rf"(?<!\p{{L}})(?=\p{{Lu}}|г)(?:{_TITLE}|{_GIVEN})(?!{_LETTER})")
+HINTS = (r"[0-9@=:]|AKIA|ASIA|gh[po]_|sk-|xoxb-|eyJ|[a-f]{32}|[A-F]{32}", rf"(?<!\p{{L}})(?=\p{{Lu}}|г)(?:{_TITLE}|{_GIVEN})(?!{_LETTER})")
 #: Kinds whose mentions may differ in punctuation only.
 NUMBERS = ("phone", "card", "ssn")
 #: Kinds whose mentions may differ in case and initials.
@@ -106,7 +110,12 @@ KEY = "surrogates-1"
 
 def names_of(text: Column) -> Column:
     """The words of all names in a text, longest first, each also in capitals."""
-    words = F.flatten(F.transform(F.regexp_extract_all(text, F.lit(SPAN), F.lit(0)), lambda s: F.regexp_extract_all(s, F.lit(rf"(?<!{_LETTER}){_NAME}"), F.lit(0))))
+    spans = F.regexp_extract_all(text, F.lit(SPAN), F.lit(0))
+    double = rf"(?<!{_LETTER})(?:{_GIVEN})(?:[\-‐‑]{_NAME})++"  # a given name as a whole, so that its gender stays
+
+    def each(pattern: str) -> Column:
+        return F.flatten(F.transform(spans, lambda s: F.regexp_extract_all(s, F.lit(pattern), F.lit(0))))
+    words = F.concat(each(rf"(?<!{_LETTER}){_NAME}"), each(double))
     heads = F.transform(words, lambda w: F.regexp_replace(w, rf"[\-‐‑].*$", ""))
     some = F.filter(F.concat(words, heads), lambda w: F.length(w) > 1)
     return F.reverse(F.transform(F.array_sort(F.array_distinct(F.transform(F.concat(some, F.transform(some, F.upper)), lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))))), lambda x: x["w"]))
@@ -130,18 +139,19 @@ def value_of(mention: Column) -> Column:
 def kind_of(mention: Column) -> Column:
     """The kind of a mention: the one whose pattern describes all of its value."""
     value, name = value_of(mention), is_name(mention)
+    given = F.initcap(F.regexp_extract(value, r"^[^\-‐‑]+", 0))  # the first of a double name
 
     def is_(kind: str) -> Column:
         return value.rlike(rf"^{_any(kind)}$")
-    return (F.when(is_("mail"), "mail").when(is_("key"), "key").when(value.rlike(r"^[0-9a-f]{32,}+$"), "secret").when(is_("iban"), "iban")
-            .when(is_("ip"), "ip").when(is_("phone") | is_("local"), "phone").when(is_("card"), "card").when(is_("ssn"), "ssn")
-            .when(name & F.initcap(value).isin(MALE + MALE_CYRILLIC), "male").when(name & F.initcap(value).isin(FEMALE + FEMALE_CYRILLIC), "female")
+    return (F.when(is_("mail"), "mail").when(is_("key"), "key").when(value.rlike(rf"^{_HEX}$"), "secret").when(is_("iban"), "iban")
+            .when(is_("ip6"), "ip6").when(is_("ip"), "ip").when(is_("phone") | is_("local"), "phone").when(is_("card"), "card").when(is_("ssn"), "ssn")
+            .when(name & given.isin(MALE + MALE_CYRILLIC), "male").when(name & given.isin(FEMALE + FEMALE_CYRILLIC), "female")
             .when(name, "family").otherwise("secret"))
 
 
 def canonical(kind: Column, value: Column) -> Column:
     """What mentions of one entity have in common."""
-    return F.when(kind == "mail", F.lower(value)).when(kind.isin(*NUMBERS), F.regexp_replace(value, r"\D", "")).when(kind.isin(*PERSONS), F.initcap(value)).otherwise(value)
+    return F.when(kind.isin("mail", "ip6"), F.lower(value)).when(kind == "iban", F.replace(value, F.lit(" "))).when(kind.isin(*NUMBERS), F.regexp_replace(value, r"\D", "")).when(kind.isin(*PERSONS), F.initcap(value)).otherwise(value)
 
 
 def _draw(*parts: Column) -> Column:
@@ -153,8 +163,8 @@ def _pick(choices: list[str], n: Column) -> Column:
     return F.get(F.array(*[F.lit(x) for x in choices]), F.pmod(n, F.lit(len(choices))).cast("int"))
 
 
-def candidate(kind: Column, entity: Column, attempt: Column, key: str) -> Column:
-    """The surrogate of a canonical entity at one attempt."""
+def candidate(kind: Column, entity: Column, attempt: Column, key: str, syllables: int = 2) -> Column:
+    """The surrogate of a canonical entity at one attempt; made-up names have ``syllables`` at first."""
     def draw(i: Column) -> Column:
         return _draw(F.lit(key), kind, entity, attempt, i)
 
@@ -165,16 +175,16 @@ def candidate(kind: Column, entity: Column, attempt: Column, key: str) -> Column
     # octets of any length, longer mail names, letters for the punctuation of secrets.
     wide = attempt >= 4
     cyrillic = "абвгдежзиклмнопрстуфхцчшщэюя"
-    hexed = entity.rlike(r"^[0-9a-f]+$")
+    hexed, upper_hexed = entity.rlike(r"^[0-9a-f:]+$"), entity.rlike(r"^[0-9A-F]+$") & (kind == "secret")
     n = F.length(entity)
     # Places that stay: country codes, prefixes of keys, the top-level domain.
-    head = F.when(kind == "key", F.length(F.regexp_extract(entity, r"^(?:AKIA|ASIA|ghp_|gho_|sk-|xoxb-)", 0))).when(kind == "iban", 2).otherwise(0)
-    tail = F.when(kind == "mail", F.length(F.regexp_extract(entity, r"\.[A-Za-z]+$", 0))).otherwise(0)
+    head = F.when(kind == "key", F.length(F.regexp_extract(entity, r"^(?:AKIA|ASIA|ghp_|gho_|sk-|xoxb-|eyJ)", 0))).when(kind == "iban", 2).otherwise(0)
+    tail = F.when(kind == "mail", F.length(F.regexp_extract(entity, r"\.\p{L}+$", 0))).otherwise(0)
 
     def swapped(c: Column, i: Column) -> Column:
         low, up = c.rlike("[a-z]"), c.rlike("[A-Z]")
         return (F.when((i < head) | (i >= n - tail), c).when(c.rlike("[0-9]"), letter("0123456789", i))
-                .when(low & hexed, letter("abcdef", i)).when(low, letter("abcdefghijklmnopqrstuvwxyz", i)).when(up, letter("ABCDEFGHIJKLMNOPQRSTUVWXYZ", i))
+                .when(low & hexed, letter("abcdef", i)).when(up & upper_hexed, letter("ABCDEF", i)).when(low, letter("abcdefghijklmnopqrstuvwxyz", i)).when(up, letter("ABCDEFGHIJKLMNOPQRSTUVWXYZ", i))
                 .when(c.rlike(r"\p{IsCyrillic}") & c.rlike(r"\p{Lu}"), F.upper(letter(cyrillic, i))).when(c.rlike(r"\p{IsCyrillic}"), letter(cyrillic, i))
                 .when(c.rlike(r"\p{N}"), letter("0123456789", i)).when(c.rlike(r"\p{Lu}"), letter("ABCDEFGHIJKLMNOPQRSTUVWXYZ", i)).when(c.rlike(r"\p{L}"), letter("abcdefghijklmnopqrstuvwxyz", i))
                 .when(wide & (kind == "secret"), letter("abcdefghijklmnopqrstuvwxyz", i)).otherwise(c))
@@ -185,8 +195,13 @@ def candidate(kind: Column, entity: Column, attempt: Column, key: str) -> Column
     octets = F.array_join(F.transform(F.split(entity, r"\."), lambda o, i: F.when(wide, (1 + F.pmod(draw(i), F.lit(254))).cast("string")).when(F.length(o) == 1, 1 + F.pmod(draw(i), F.lit(9))).when(F.length(o) == 2, 10 + F.pmod(draw(i), F.lit(90))).otherwise(100 + F.pmod(draw(i), F.lit(155))).cast("string")), ".")
     script = entity.rlike(r"\p{IsCyrillic}")
     # Given names: a keyed start, then one place further with each attempt; family names grow.
-    given = lambda latin, other: F.when(script, _pick(other, _draw(F.lit(key), kind, entity) + attempt)).otherwise(_pick(latin, _draw(F.lit(key), kind, entity) + attempt))
-    parts = F.sequence(F.lit(1), 2 + F.floor(attempt / 3).cast("int"))
+    def given(latin: list[str], other: list[str]) -> Column:
+        def one(*more: Column) -> Column:
+            n = _draw(F.lit(key), kind, entity, *more) + attempt
+            return F.when(script, _pick(other, n)).otherwise(_pick(latin, n))
+        return F.when(entity.rlike(r"[\-‐‑]"), F.concat(one(), F.lit("-"), one(attempt))).otherwise(one())
+
+    parts = F.sequence(F.lit(1), syllables + F.floor(attempt / 3).cast("int"))
     family = F.initcap(F.array_join(F.transform(parts, lambda i: F.when(script, _pick(SYLLABLES_CYRILLIC, draw(i))).otherwise(_pick(SYLLABLES, draw(i)))), ""))
     return (F.when(kind == "ip", octets).when(kind == "male", given(NEW_MALE, NEW_MALE_CYRILLIC)).when(kind == "female", given(NEW_FEMALE, NEW_FEMALE_CYRILLIC))
             .when(kind == "family", family).otherwise(chars))
@@ -197,8 +212,11 @@ def surrogates(entities: DataFrame, key: str = KEY) -> DataFrame:
     to an entity of the kind."""
     entities = staged(entities.select("kind", "entity"), "pii-entities")
     pending, settled, attempt = entities, None, 0
+    # So many syllables that there are sixteen made-up names for each real one, whatever the corpus.
+    n_names = entities.where("kind = 'family'").count()
+    syllables = max(2, 1 + (n_names.bit_length() + 3) // 4)
     while True:
-        drawn = pending.withColumn("surrogate", candidate(F.col("kind"), F.col("entity"), F.lit(attempt), key))
+        drawn = pending.withColumn("surrogate", candidate(F.col("kind"), F.col("entity"), F.lit(attempt), key, syllables))
         real = entities.select("kind", F.col("entity").alias("surrogate"))
         first = F.row_number().over(W.partitionBy("kind", "surrogate").orderBy("entity"))
         clear = drawn.join(real, ["kind", "surrogate"], "left_anti")
@@ -230,10 +248,14 @@ def shown(kind: Column, mention: Column, surrogate: Column, key: str = KEY) -> C
         return F.when(c.rlike(r"\d"), F.substr(surrogate, nth, F.lit(1))).otherwise(c)
 
     digits = F.array_join(F.transform(F.split(mention, ""), char), "")
+    def laid(c: Column, i: Column) -> Column:
+        return F.when(c == " ", c).otherwise(F.substr(surrogate, F.length(F.replace(F.substr(mention, F.lit(1), i + 1), F.lit(" "))), F.lit(1)))
+
+    spaced = F.array_join(F.transform(F.split(mention, ""), laid), "")
     country = F.length(F.regexp_extract(mention, r"^\+\d{1,3}(?=[ .\-(])", 0))
     mail = F.array_join(F.transform(F.split(mention, ""), lambda c, i: F.when(c.rlike("[A-Z]"), F.upper(F.substr(surrogate, i + 1, F.lit(1)))).otherwise(F.substr(surrogate, i + 1, F.lit(1)))), "")
     return (F.when(kind == "phone", F.concat(F.substr(mention, F.lit(1), country), F.substr(digits, country + 1, F.length(mention))))
-            .when(kind.isin(*PERSONS), person).when(kind.isin(*NUMBERS), digits).when((kind == "mail") & (F.length(mention) == F.length(surrogate)), mail)
+            .when(kind.isin(*PERSONS), person).when(kind.isin(*NUMBERS), digits).when(kind == "iban", spaced).when(kind.isin("mail", "ip6") & (F.length(mention) == F.length(surrogate)), mail)
             .otherwise(F.concat(F.regexp_extract(mention, rf"^{_LABEL}", 0), surrogate)))
 
 

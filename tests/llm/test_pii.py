@@ -88,6 +88,26 @@ def test_secrets_of_any_length_are_replaced_whole(spark):
     assert a == b != "0a" * 100
 
 
+def test_forms_are_replaced_whole(spark):
+    run = " ".join(f"Nam{c}" for c in "abcdefghijklmnopqrst")
+    forms = {
+        "DE89 3704 0044 0532 0130 00": r"DE\d\d \d{4} \d{4} \d{4} \d{4} \d\d", "GB82WEST12345698765432": r"GB\d\d[A-Z]{4}\d{14}", "3782 822463 10005": r"\d{4} \d{6} \d{5}",
+        "a.b@" + "x1." * 20 + "example.com": r"[a-z]\.[a-z]@(?:[a-z]\d\.){20}[a-z]{7}\.com", "jörg@müller.de": r"[a-z]{4}@[a-z]{6}\.de", "eyJhbGci.eyJzdWIi.SflKx-_w5c": r"eyJ[A-Za-z0-9_.\-]{25}",
+        "0AF3" * 8: "[0-9A-F]{32}", "2001:db8:0:1:1:1:1:1a": "[0-9a-f:]{21}", "FE80::1ff:fe23": "[0-9A-F]{4}::[0-9a-f]{3}:[0-9a-f]{4}", "010.001.020.005": r"(?:\d{3}\.){3}\d{3}",
+        "030 1234567": r"\d{3} \d{7}", "07911 123456": r"\d{5} \d{6}", "123 45 6789": r"\d{3} \d\d \d{4}", "Emma Brown": r"[A-Z]\w+ [A-Z]\w+", f"Mr. {run}": r"Mr\.(?: [A-Z][a-z]+){20}"}
+    labelled = {"token: abcdefgh": "token: [a-z]{8}", "password=abc12": r"password=[a-z]{3}\d\d"}
+    out = new_texts(spark, [f"see {f} now" for f in [*forms, *labelled]])
+    for (old, form), new in zip({**forms, **labelled}.items(), out, strict=True):
+        assert re.fullmatch(f"see {form} now", new), (old, new)
+        parts = re.findall(r"[A-Za-z]*\d[A-Za-z\d]{3,}|Nam.", old)
+        assert old not in new and not [p for p in parts if p in new], (old, new)
+    same = new_texts(spark, ["DE89 3704 0044 0532 0130 00 is DE89370400440532013000", "at 12:34:56 std::move a::b 2024-01-02 10:30 token: word, B12 0044"])
+    a, b = same[0].split(" is ")
+    assert a.replace(" ", "") == b and same[1].startswith("at 12:34:56 std::move a::b 2024-01-02 10:30")
+    m = re.match(r"Dr\. (\w+)-(\w+) (\w+)-(\w+) ", new_texts(spark, ["Dr. Anna-Lena Meier-Schmidt came"])[0])
+    assert m and {m[1], m[2]} <= set(P.NEW_FEMALE) and m[3] not in ("Meier", "Schmidt")
+
+
 def test_rows_and_columns_stay(spark, edge_docs, no_docs):
     out = P.replaced(edge_docs)
     assert out.columns == [*edge_docs.columns, "n_entities"]
