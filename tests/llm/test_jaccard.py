@@ -3,6 +3,7 @@ import re
 from collections import Counter, defaultdict
 
 import duckdb
+import numpy as np
 import pytest
 
 from clockroll.llm import jaccard_regions as J
@@ -142,3 +143,13 @@ def test_slices_follow_bytes():
     b = pa.RecordBatch.from_arrays([pa.array(["x" * 1000, None, "y" * 50_000, "", "z" * 900, "z" * 900])], names=["t"])
     got = [s.num_rows for s in byte_slices(iter([b, b.slice(0, 0)]), 0, 2500)]
     assert got == [2, 1, 3] and sum(got) == b.num_rows
+
+
+def test_documents_that_only_share_a_passage_are_in_no_region(spark):
+    passage = " ".join(f"p{i}" for i in range(50))
+    texts = [" ".join(f"d{d}w{i}" for i in range(300)) + " " + passage for d in range(30)]
+    copies = [texts[0] + " end", "one two three", "one two three four"]
+    src = spark.createDataFrame([(t,) for t in [*texts, *copies]], "text string")
+    rows = J._dealt(J.on_workers(src), np.zeros(0, np.uint64)).collect()
+    near = {J._class_id(s) for s in J.shingle_sets([texts[0], copies[0]])}
+    assert {r.cls for r in rows} == near and {r.pivot for r in rows} == {min(near)}
