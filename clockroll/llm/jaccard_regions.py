@@ -12,14 +12,17 @@ Any order of the shingles gives exact results.  Shingles with hashes in ``COUNTE
 hash space that holds more shingles of a set than it has regions, come first, by the exact number of rows
 they occur in; then the others by hash; shingles that are frequent in a bounded sample come last.  A shingle
 of one class only is a region without pairs, so a set with enough of them is in no region at all:
-documents that merely share passages leave here, however rare the passages are.
+documents that merely share passages leave here, however rare the passages are.  Regions with the same members hold the same pairs and are joined
+once.
 
 Level 1, pivots that are documents: each region elects its smallest set id, and the distance
 of every member to it is bounded or computed.  Members within EPS link.  A region whose members
 then belong to one component is finished; this is the normal end of a group of copies, at a
-cost linear in its size.  In the others two members can only link if their distances to the
+cost linear in its size.  A wide region of several components elects further pivots from its largest
+component and compares the members outside with them, as long as that component grows: each turn is
+linear in the region's size.  In what is left two members can only link if their distances to the
 pivot differ by EPS at most (triangle inequality); pairs of different components inside that
-window are compared.  (``join_links`` needs every link: there no region is finished early, and all
+window are compared, each in the first region that both members list as their own.  (``join_links`` needs every link: there no region is finished early, and all
 pairs inside the window are compared.)
 
 Recursion: a region with too many such pairs is not expanded.  The shingles of such regions go to
@@ -46,7 +49,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from clockroll.llm.common import byte_slices, freed, on_workers, sized, staged
 
@@ -56,11 +59,15 @@ SAMPLE_DOCS = 16_384
 FREQUENT = 1 << 17
 FREQUENT_FROM = 3
 WIDE = 8
+#: A class lists so many of its regions; pairs that meet in more regions than listed are made distinct later.
+LISTED = 64
+#: Further pivots that a wide region elects in a turn, and turns at most (what is left is dealt anew or expanded).
+PIVOTS, TURNS = 4, 3
 LEVELS = 3
 SKETCH_BITS = 2048
 #: Shingles with hashes below this (3/8 of all) are counted exactly before the regions are made.
 COUNTED = np.uint64(3 << 61)
-COARSE = ("q0", "q1", "q2", "q3")  # the sketch folded to 64 bits each
+COARSE = tuple(f"q{i}" for i in range(16))  # the sketch folded to 64 bits each
 PIECE = 4 << 20
 
 _rng = np.random.Generator(np.random.PCG64(5_2024))
@@ -257,8 +264,8 @@ def _apart(a: str, b: str) -> Column:
 
 
 def _can_link(a: str, b: str) -> Column:
-    both = F.col("n" + a) + F.col("n" + b)
-    return 100 * (both - _apart(a, b)) >= 75 * (both + _apart(a, b))
+    # 100 (both - apart) >= 75 (both + apart)
+    return 7 * _apart(a, b) <= F.col("n" + a) + F.col("n" + b)
 
 
 def _roughly_compared(pairs: DataFrame, classes: _Classes) -> DataFrame:
@@ -311,8 +318,6 @@ def _regions(rows: DataFrame) -> DataFrame:
     not ``often`` meet by shingle; those of a single class go, and of the others each class gives up its ``spare``
     most frequent ones (its unique shingles took their places; -1: the row stays).  Regions of shingles
     known to be frequent are counted before they are shuffled."""
-    from pyspark.sql import Window as W
-
     def shared(df: DataFrame) -> DataFrame:
         own = W.partitionBy("s")
         return df.withColumn("pivot", F.min("cls").over(own)).withColumn("last", F.max("cls").over(own)).where("pivot <> last")
@@ -327,11 +332,19 @@ def _regions(rows: DataFrame) -> DataFrame:
     return cold.unionByName(often.join(heads, "s").select("s", "cls", "pivot"))
 
 
-def _dealt(docs: DataFrame, late: np.ndarray) -> DataFrame:
-    """Regions of ``docs`` (text) with the shingles ``late`` (sorted hashes) last in the order."""
+def _dealt(docs: DataFrame, late: np.ndarray) -> tuple[DataFrame, DataFrame]:
+    """Regions of ``docs`` (text) with the shingles ``late`` (sorted hashes) last in the order: one for each set of
+    members; and all shingles ``s`` with ``head``, the region that stands for theirs, and ``c`` members."""
     shared = docs.sparkSession.sparkContext.broadcast(late)
     rows = docs.select("text").mapInArrow(_region_rows(shared), "s long, cls long, spare int, often boolean")
-    return staged(_regions(rows), "jaccard-regions")
+    every = staged(_regions(rows), "jaccard-dealt")
+    marks = [F.bit_xor(F.xxhash64("cls", F.lit(seed))).alias(f"mark{seed}") for seed in range(2)]
+    members = staged(every.groupBy("s").agg(F.count("*").alias("c"), *marks), "jaccard-members")
+    heads = staged(members.groupBy("c", "mark0", "mark1").agg(F.min("s").alias("head")), "jaccard-heads")
+    same = staged(members.join(heads, ["c", "mark0", "mark1"]).select("s", "head", "c"), "jaccard-same")
+    regions = staged(every.join(heads.select(F.col("head").alias("s")), "s", "left_semi"), "jaccard-regions")
+    freed(every, members, heads)
+    return regions, same
 
 
 def _hashes(rows: DataFrame) -> np.ndarray:
@@ -352,58 +365,103 @@ def _links(docs: DataFrame, info: DataFrame, complete: bool) -> DataFrame:
     picked = info.select("tk").orderBy(F.xxhash64("tk"), "tk").limit(SAMPLE_DOCS)
     sample = docs.join(F.broadcast(picked), "tk").dropDuplicates(["tk"]).select("text")
     late = np.sort(_hashes(sample.mapInArrow(_all_shingles, "s long").groupBy("s").agg(F.count("*").alias("c")).where(F.col("c") >= FREQUENT_FROM)))
-    classes, edges, regions = _Classes(docs, info), None, _dealt(docs, late)
+    classes, edges, (regions, same) = _Classes(docs, info), None, _dealt(docs, late)
     for level in range(LEVELS):
-        edges, wide = _join_regions(regions, classes, edges, level + 1 == LEVELS, complete)
+        star, edges = _star(regions, classes, edges, complete)
+        edges, wide = _join_regions(regions, star, classes, edges, level + 1 == LEVELS, complete)
         if wide is None:
             return edges
-        later = np.union1d(late, _hashes(wide.groupBy("s").agg(F.count("*").alias("c"))))
+        heads = wide.select(F.col("s").alias("head")).distinct()
+        later = np.union1d(late, _hashes(same.join(heads, "head", "left_semi")))
         if len(later) == len(late):  # the order cannot be improved
-            return _join_regions(regions, classes, edges, True, complete)[0]
+            return _join_regions(regions, star, classes, edges, True, complete)[0]
         dealt = _dealt(classes.texts(wide.select("cls").distinct()), later)
-        freed(regions)
-        late, regions = later, dealt
+        freed(regions, same)
+        late, (regions, same) = later, dealt
     return edges
 
 
 def _labelled(regions: DataFrame, edges: DataFrame | None) -> DataFrame:
-    """Rows of the regions that hold more than one component (without edges each class is one)."""
+    """Rows of the regions that hold more than one component (without edges each class is one); ``main`` is a
+    region's largest component."""
     if edges is None:
         rows = regions.withColumn("comp", F.col("cls"))
     else:
         comp = components(edges)
         rows = regions.join(sized(comp.withColumnRenamed("node", "cls")), "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
-    each = rows.groupBy("s", "comp").agg(F.count("*").alias("k")).groupBy("s").agg(F.sum("k").alias("k"), F.sum(F.col("k") * F.col("k")).alias("kk"), F.count("*").alias("m"))
-    open_ = staged(each.where("m > 1").select("s", "k", "kk"), "jaccard-open")
+    each = rows.groupBy("s", "comp").agg(F.count("*").alias("k")).groupBy("s").agg(F.sum("k").alias("k"), F.sum(F.col("k") * F.col("k")).alias("kk"), F.count("*").alias("m"), F.max(F.struct("k", "comp")).alias("top"))
+    open_ = staged(each.where("m > 1").select("s", "k", "kk", F.col("top.comp").alias("main")), "jaccard-open")
     out = staged(rows.join(sized(open_), "s"), "jaccard-labelled")
     freed(open_)
     return out
 
 
-def _join_regions(regions: DataFrame, classes: _Classes, edges: DataFrame | None, last: bool, complete: bool = False) -> tuple[DataFrame, DataFrame | None]:
-    """All links found so far, and the rows (s, cls) that have to be dealt anew (None: none)."""
+def _wide() -> Column:
+    """A region has k members and k * k - kk pairs (both ways round) of members of different components."""
+    return F.col("k") * F.col("k") - F.col("kk") > 2 * WIDE * F.col("k")
+
+
+def _star(regions: DataFrame, classes: _Classes, edges: DataFrame | None, complete: bool) -> tuple[DataFrame, DataFrame]:
+    """All members compared with their region's pivot, and all links found so far."""
     star = regions.where("cls <> pivot").select(F.col("pivot").alias("a"), F.col("cls").alias("b")).distinct()
     star = _roughly_compared(star, classes)
     found = star.where("link").select("a", "b")
     edges = found if edges is None else edges.unionByName(found)
+    return star, edges if complete else _further_pivots(regions, classes, edges)
+
+
+def _further_pivots(regions: DataFrame, classes: _Classes, edges: DataFrame) -> DataFrame:
+    """``edges`` and the links of members of wide regions to further pivots.  Pivots are elected by hash, so regions
+    that share members mostly elect the same ones."""
+    before = None
+    for turn in range(TURNS):
+        rows = _labelled(regions, edges)
+        names = [f"p{i}" for i in range(PIVOTS)]
+        elected = [F.min_by("cls", F.xxhash64("cls", F.lit(turn * PIVOTS + i))).alias(p) for i, p in enumerate(names)]
+        top = rows.where(_wide() & (F.col("comp") == F.col("main"))).groupBy("s").agg(F.count("*").alias("m"), *elected)
+        top = top.select("s", "m", F.array_distinct(F.array(*names)).alias("pivots"))
+        if before is not None:
+            top = top.join(before.select("s", F.col("m").alias("was")), "s").where("m > was").drop("was")
+        top = staged(top, "jaccard-elected")
+        outside = rows.where("comp <> main").join(sized(top), "s").select(F.explode("pivots").alias("a"), F.col("cls").alias("b"))
+        pairs = staged(outside.distinct(), "jaccard-turn")
+        freed(rows, *([] if before is None else [before]))
+        before = top
+        if pairs.isEmpty():
+            break
+        edges = edges.unionByName(_roughly_compared(pairs, classes).where("link").select("a", "b"))
+        freed(pairs)
+    freed(before)
+    return edges
+
+
+def _join_regions(regions: DataFrame, star: DataFrame, classes: _Classes, edges: DataFrame, last: bool, complete: bool = False) -> tuple[DataFrame, DataFrame | None]:
+    """All links found so far, and the rows (s, cls) that have to be dealt anew (None: none)."""
     rows = _labelled(regions, None if complete else edges)
     if rows.isEmpty():
         return edges, None
-    # k members and k * k - kk pairs (both ways round) of members of different components
-    wide = F.col("k") * F.col("k") - F.col("kk") > 2 * WIDE * F.col("k")
+    wide = _wide()
     far = star.select(F.col("a").alias("pivot"), F.col("b").alias("cls"), "low", "high")
     placed = rows.join(sized(far), ["pivot", "cls"], "left").join(sized(classes.sizes), "cls")
-    placed = staged(placed.select("s", "cls", "comp", "n", *COARSE, (wide & F.lit(not last)).alias("wide"), F.coalesce("low", F.lit(0.0)).alias("low"), F.coalesce("high", F.lit(0.0)).alias("high")), "jaccard-placed")
+    placed = staged(placed.select("s", "cls", "comp", "main", "n", *COARSE, (wide & F.lit(not last)).alias("wide"), F.coalesce("low", F.lit(0.0)).alias("low"), F.coalesce("high", F.lit(0.0)).alias("high")), "jaccard-placed")
     freed(rows)
-    one, two = (placed.where("NOT wide").select("s", *[F.col(c).alias(c + x) for c in ("cls", "comp", "low", "high", "n", *COARSE)]) for x in ("1", "2"))
+    narrow = placed.where("NOT wide")
+    rank = F.row_number().over(W.partitionBy("cls").orderBy("s"))
+    first = narrow.select("cls", "s").withColumn("rank", rank).where(F.col("rank") <= LISTED)
+    listed = first.groupBy("cls").agg(F.array_sort(F.collect_list("s")).alias("own"))
+    narrow = staged(narrow.join(listed, "cls"), "jaccard-narrow")
+    one, two = (narrow.select("s", "main", *[F.col(c).alias(c + x) for c in ("cls", "comp", "low", "high", "n", "own", *COARSE)]) for x in ("1", "2"))
     slack = EPS + 1e-9
-    window = one.join(two, "s").where(
-        (F.col("cls1") < F.col("cls2")) & (F.col("comp1") != F.col("comp2"))
+    # Members of the largest component are met by the others only.
+    window = one.where("comp1 <> main").join(two.drop("main"), "s").where(
+        (F.col("comp1") != F.col("comp2")) & ((F.col("comp2") == F.col("main")) | (F.col("cls1") < F.col("cls2")))
         & (F.col("low1") - F.col("high2") <= slack) & (F.col("low2") - F.col("high1") <= slack)
-        & (100 * F.least("n1", "n2") >= 75 * F.greatest("n1", "n2")) & _can_link("1", "2"))
-    pairs = window.select(F.col("cls1").alias("a"), F.col("cls2").alias("b")).distinct()
+        & (100 * F.least("n1", "n2") >= 75 * F.greatest("n1", "n2")) & _can_link("1", "2")
+        & (F.coalesce(F.try_element_at(F.array_intersect("own1", "own2"), F.lit(1)), F.col("s")) >= F.col("s")))
+    pairs = window.select(F.least("cls1", "cls2").alias("a"), F.greatest("cls1", "cls2").alias("b")).distinct()
     known = star.select("a", "b")
     pairs = staged(pairs.join(known, ["a", "b"], "left_anti"), "jaccard-window")
+    freed(narrow)
     edges = edges.unionByName(_compared(pairs, classes).where("link").select("a", "b"))
     left = placed.where("wide").select("s", "cls")
     return edges, None if left.isEmpty() else left
