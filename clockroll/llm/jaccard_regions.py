@@ -332,12 +332,16 @@ def _regions(rows: DataFrame) -> DataFrame:
     return cold.unionByName(often.join(heads, "s").select("s", "cls", "pivot"))
 
 
-def _dealt(docs: DataFrame, late: np.ndarray) -> tuple[DataFrame, DataFrame]:
-    """Regions of ``docs`` (text) with the shingles ``late`` (sorted hashes) last in the order: one for each set of
-    members; and all shingles ``s`` with ``head``, the region that stands for theirs, and ``c`` members."""
+def _dealt(docs: DataFrame, late: np.ndarray) -> DataFrame:
+    """Regions of ``docs`` (text) with the shingles ``late`` (sorted hashes) last in the order."""
     shared = docs.sparkSession.sparkContext.broadcast(late)
     rows = docs.select("text").mapInArrow(_region_rows(shared), "s long, cls long, spare int, often boolean")
-    every = staged(_regions(rows), "jaccard-dealt")
+    return staged(_regions(rows), "jaccard-dealt")
+
+
+def _distinct(every: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """One region of ``every`` for each set of members; and all shingles ``s`` with ``head``, the region that
+    stands for theirs, and ``c`` members."""
     marks = [F.bit_xor(F.xxhash64("cls", F.lit(seed))).alias(f"mark{seed}") for seed in range(2)]
     members = staged(every.groupBy("s").agg(F.count("*").alias("c"), *marks), "jaccard-members")
     heads = staged(members.groupBy("c", "mark0", "mark1").agg(F.min("s").alias("head")), "jaccard-heads")
@@ -365,7 +369,7 @@ def _links(docs: DataFrame, info: DataFrame, complete: bool) -> DataFrame:
     picked = info.select("tk").orderBy(F.xxhash64("tk"), "tk").limit(SAMPLE_DOCS)
     sample = docs.join(F.broadcast(picked), "tk").dropDuplicates(["tk"]).select("text")
     late = np.sort(_hashes(sample.mapInArrow(_all_shingles, "s long").groupBy("s").agg(F.count("*").alias("c")).where(F.col("c") >= FREQUENT_FROM)))
-    classes, edges, (regions, same) = _Classes(docs, info), None, _dealt(docs, late)
+    classes, edges, (regions, same) = _Classes(docs, info), None, _distinct(_dealt(docs, late))
     for level in range(LEVELS):
         star, edges = _star(regions, classes, edges, complete)
         edges, wide = _join_regions(regions, star, classes, edges, level + 1 == LEVELS, complete)
@@ -375,7 +379,7 @@ def _links(docs: DataFrame, info: DataFrame, complete: bool) -> DataFrame:
         later = np.union1d(late, _hashes(same.join(heads, "head", "left_semi")))
         if len(later) == len(late):  # the order cannot be improved
             return _join_regions(regions, star, classes, edges, True, complete)[0]
-        dealt = _dealt(classes.texts(wide.select("cls").distinct()), later)
+        dealt = _distinct(_dealt(classes.texts(wide.select("cls").distinct()), later))
         freed(regions, same)
         late, (regions, same) = later, dealt
     return edges
