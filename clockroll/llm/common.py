@@ -79,13 +79,15 @@ def byte_slices(batches: Iterator[pa.RecordBatch], column: int, limit: int = SLI
             lo = hi
 
 
-#: Rows of narrow keys that a join may broadcast; above it the same join is shuffled.
-BROADCAST_ROWS = 500_000
+#: Rows of keys that a join may broadcast, and bytes of such rows (the driver builds the table and holds several
+#: times as much); above either the same join is shuffled.
+BROADCAST_ROWS, BROADCAST_BYTES = 500_000, 8 << 20
 
 
 def sized(keys: DataFrame) -> DataFrame:
-    """A staged table of narrow keys, marked for broadcast only if it is counted to be small."""
-    return F.broadcast(keys) if keys.count() <= BROADCAST_ROWS else keys
+    """A staged table of keys, marked for broadcast only if its rows are counted to be few for their width."""
+    width = 8 * (1 + len(keys.columns))
+    return F.broadcast(keys) if keys.count() <= min(BROADCAST_ROWS, BROADCAST_BYTES // width) else keys
 
 
 def shared_files(path: str):

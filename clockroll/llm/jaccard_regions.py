@@ -27,7 +27,8 @@ pairs inside the window are compared.)
 
 Recursion: a region with too many such pairs is not expanded.  The shingles of such regions go to
 the end of the order, their members are dealt anew into regions in that order and joined by the
-same steps; after ``LEVELS`` levels the windows are expanded whatever their size.
+same steps.  If that leaves more than half of the pairs, dealing does not part these members; then, and after
+``LEVELS`` levels, the windows are expanded whatever their size.
 
 Documents with equal sets form one class and are compared once.  Comparisons first bound the
 symmetric difference from below by the Hamming distance of parity sketches, narrow ones where the
@@ -216,7 +217,7 @@ class _Classes:
     """``info`` (cls, n, sketch, ``COARSE``, tk: one text of the class) of all classes, and sets on demand."""
 
     def __init__(self, docs: DataFrame, info: DataFrame):
-        self.docs, self.info, self.sizes = docs, info, staged(info.select("cls", "n", *COARSE), "jaccard-sizes")
+        self.docs, self.info, self.sizes = docs, info, sized(staged(info.select("cls", "n", *COARSE), "jaccard-sizes"))
 
     def texts(self, wanted: DataFrame) -> DataFrame:
         """``cls`` and one ``text`` of each of the classes ``wanted`` (cls; distinct)."""
@@ -270,7 +271,7 @@ def _can_link(a: str, b: str) -> Column:
 
 def _roughly_compared(pairs: DataFrame, classes: _Classes) -> DataFrame:
     """As ``_compared``; only the pairs that narrow sketches leave open get wide ones."""
-    side = lambda x: sized(classes.sizes).select(F.col("cls").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in ("n", *COARSE)])
+    side = lambda x: classes.sizes.select(F.col("cls").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in ("n", *COARSE)])
     met = pairs.join(side("a"), "a").join(side("b"), "b")
     low = 2 * _apart("_a", "_b") / (F.col("n_a") + F.col("n_b") + _apart("_a", "_b"))
     rough = staged(met.select("a", "b", low.alias("low"), _can_link("_a", "_b").alias("maybe")), "jaccard-rough")
@@ -352,9 +353,10 @@ def _distinct(every: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def _hashes(rows: DataFrame) -> np.ndarray:
-    """At most ``FREQUENT`` shingles ``s``, those with the largest ``c`` first."""
-    got = rows.orderBy(F.desc("c"), "s").limit(FREQUENT).select("s").collect()
-    return np.array([r["s"] for r in got], dtype=np.int64).view(np.uint64)
+    """At most ``FREQUENT`` shingles ``s``, those with the largest ``c`` first.  As Arrow, the best rows of the
+    partitions meet in a task; ``collect`` would merge them in the driver."""
+    got = rows.orderBy(F.desc("c"), "s").limit(FREQUENT).select("s").toArrow()
+    return got.column("s").to_numpy().astype(np.int64).view(np.uint64)
 
 
 def links(docs: DataFrame, info: DataFrame, complete: bool = False) -> DataFrame:
@@ -370,9 +372,10 @@ def _links(docs: DataFrame, info: DataFrame, complete: bool) -> DataFrame:
     sample = docs.join(F.broadcast(picked), "tk").dropDuplicates(["tk"]).select("text")
     late = np.sort(_hashes(sample.mapInArrow(_all_shingles, "s long").groupBy("s").agg(F.count("*").alias("c")).where(F.col("c") >= FREQUENT_FROM)))
     classes, edges, (regions, same) = _Classes(docs, info), None, _distinct(_dealt(docs, late))
+    met = float("inf")
     for level in range(LEVELS):
         star, edges = _star(regions, classes, edges, complete)
-        edges, wide = _join_regions(regions, star, classes, edges, level + 1 == LEVELS, complete)
+        edges, wide, met = _join_regions(regions, star, classes, edges, level + 1 == LEVELS, complete, met)
         if wide is None:
             return edges
         heads = wide.select(F.col("s").alias("head")).distinct()
@@ -439,14 +442,17 @@ def _further_pivots(regions: DataFrame, classes: _Classes, edges: DataFrame) ->
     return edges
 
 
-def _join_regions(regions: DataFrame, star: DataFrame, classes: _Classes, edges: DataFrame, last: bool, complete: bool = False) -> tuple[DataFrame, DataFrame | None]:
-    """All links found so far, and the rows (s, cls) that have to be dealt anew (None: none)."""
+def _join_regions(regions: DataFrame, star: DataFrame, classes: _Classes, edges: DataFrame, last: bool, complete: bool = False, before: float = float("inf")) -> tuple[DataFrame, DataFrame | None, float]:
+    """All links found so far, the rows (s, cls) that have to be dealt anew (None: none), and the number of pairs of
+    different components in their regions; with more than half of the pairs ``before`` none is dealt anew."""
     rows = _labelled(regions, None if complete else edges)
     if rows.isEmpty():
-        return edges, None
+        return edges, None, 0.0
     wide = _wide()
+    met = rows.where(wide).agg(F.sum((F.col("k") - F.col("kk") / F.col("k")) / 2)).first()[0] or 0.0
+    last = last or met > before / 2
     far = star.select(F.col("a").alias("pivot"), F.col("b").alias("cls"), "low", "high")
-    placed = rows.join(sized(far), ["pivot", "cls"], "left").join(sized(classes.sizes), "cls")
+    placed = rows.join(sized(far), ["pivot", "cls"], "left").join(classes.sizes, "cls")
     placed = staged(placed.select("s", "cls", "comp", "main", "n", *COARSE, (wide & F.lit(not last)).alias("wide"), F.coalesce("low", F.lit(0.0)).alias("low"), F.coalesce("high", F.lit(0.0)).alias("high")), "jaccard-placed")
     freed(rows)
     narrow = placed.where("NOT wide")
@@ -468,7 +474,7 @@ def _join_regions(regions: DataFrame, star: DataFrame, classes: _Classes, edges:
     freed(narrow)
     edges = edges.unionByName(_compared(pairs, classes).where("link").select("a", "b"))
     left = placed.where("wide").select("s", "cls")
-    return edges, None if left.isEmpty() else left
+    return edges, None if left.isEmpty() else left, met
 
 
 def _classed(df: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame, DataFrame]:

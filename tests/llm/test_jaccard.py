@@ -153,3 +153,29 @@ def test_documents_that_only_share_a_passage_are_in_no_region(spark):
     rows = J._dealt(J.on_workers(src), np.zeros(0, np.uint64)).collect()
     near = {J._class_id(s) for s in J.shingle_sets([texts[0], copies[0]])}
     assert {r.cls for r in rows} == near and {r.pivot for r in rows} == {min(near)}
+
+
+def test_wide_tables_are_not_broadcast(spark):
+    from clockroll.llm.common import sized
+    few, many = spark.range(1000), spark.range(60_000)
+    hinted = lambda df: "Hint" in df._jdf.queryExecution().logical().toString()
+    wide = lambda df: df.select("id", *[(df["id"] + i).alias(q) for i, q in enumerate(J.COARSE)], df["id"].alias("n"))
+    assert hinted(sized(few)) and hinted(sized(many)) and hinted(sized(wide(few))) and not hinted(sized(wide(many)))
+
+
+def test_dealing_that_parts_nothing_is_not_repeated(spark, monkeypatch):
+    # Texts of half of 20 passages each: none link, and no order of the shingles parts them.
+    monkeypatch.setattr(J, "WIDE", 0)
+    times, dealt = [], J._dealt
+    monkeypatch.setattr(J, "_dealt", lambda *a: (times.append(1), dealt(*a))[1])
+    r = random.Random(5)
+    passages = [" ".join(f"b{b}w{i}" for i in range(30)) for b in range(20)]
+    docs = [(i, " ".join(passages[b] for b in sorted(r.sample(range(20), 10)))) for i in range(30)]
+    assert joined(frame(spark, docs)) == brute(docs) and len(times) == 2
+
+
+def test_frequent_shingles_are_ranked(spark):
+    rows = spark.createDataFrame([(i, i % 7) for i in range(-50, 50)], "s long, c long").repartition(5)
+    want = sorted(((-(i % 7), i) for i in range(-50, 50)))
+    assert J._hashes(rows).view(np.int64).tolist() == [s for _, s in want]
+    assert J._hashes(rows.where("c > 10")).tolist() == []
