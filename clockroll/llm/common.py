@@ -90,6 +90,24 @@ def sized(keys: DataFrame) -> DataFrame:
     return F.broadcast(keys) if keys.count() <= min(BROADCAST_ROWS, BROADCAST_BYTES // width) else keys
 
 
+_held: list = []
+
+
+def held(shared, make):
+    """``make(value)`` of a broadcast, kept between the tasks of a worker.  A worker holds one such thing: what an
+    earlier operator built goes, as workers outlive the stages of a pipeline."""
+    if not _held or _held[0] is not shared:
+        _held.clear()
+        _held[:] = [shared, make(shared.value)]
+    return _held[1]
+
+
+def unheld() -> None:
+    """Nothing is held any more."""
+    _held.clear()
+    pa.default_memory_pool().release_unused()
+
+
 def shared_files(path: str):
     """The file system of a shared folder (as executors see it) and the folder's path in it."""
     from pyarrow import fs

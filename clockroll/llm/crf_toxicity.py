@@ -33,7 +33,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
 
-from clockroll.llm.common import byte_slices, free_name, on_workers, sized, staged
+from clockroll.llm.common import byte_slices, free_name, held, on_workers, sized, staged, unheld
 
 CUTOFF = 0.3
 SLACK = 1.5
@@ -149,6 +149,7 @@ def _coded(sample: DataFrame, names: list[str], cues: list[str]) -> DataFrame:
     shared = on_workers(sample).sparkSession.sparkContext.broadcast((number, cue))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unheld()
         number, cue = shared.value
         for b in batches:
             feats, golds = [], []
@@ -173,6 +174,7 @@ def _gradient(coded: DataFrame, weights: np.ndarray, bias: float, trans: np.ndar
     width, k = 1 + len(PREFIXES), len(weights)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unheld()
         total, padded = np.zeros(k + 6), np.append(weights, 0.0)
         for b in batches:
             feats, gold, first = _arrays(b, width)
@@ -237,9 +239,6 @@ def _logit(p: np.ndarray) -> np.ndarray:
 
 # --- scoring -----------------------------------------------------------------------------
 
-_built: list = []
-
-
 class _Emissions(dict):
     def __init__(self, model: dict):
         super().__init__()
@@ -254,9 +253,7 @@ class _Emissions(dict):
 
 def _tag_batches(shared, passes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if not _built or _built[0] is not shared:
-            _built[:] = [shared, _Emissions(shared.value)]
-        model, emissions = shared.value, _built[1]
+        model, emissions = shared.value, held(shared, _Emissions)
         for b in byte_slices(batches, passes):
             texts = [t or "" for t in b.column(passes).to_pylist()]
             lows = [t.lower() for t in texts]
@@ -278,6 +275,7 @@ def _tag_batches(shared, passes: int):
             yield pa.RecordBatch.from_arrays(
                 [*(b.column(i) for i in range(passes)), pa.array(out["n_words"], pa.int64()), pa.array(out["top"], pa.float64()), pa.array(out["expected"], pa.float64()), pa.array(out["spans"], kind)],
                 names=[*b.schema.names[:passes], "n_words", "top", "expected", "spans"])
+        emissions.clear()  # most words of a task are its own
     return run
 
 

@@ -52,7 +52,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from clockroll.llm.common import byte_slices, freed, on_workers, sized, staged
+from clockroll.llm.common import byte_slices, freed, on_workers, sized, staged, unheld
 
 WORDS = 5
 EPS = 0.25
@@ -70,6 +70,8 @@ SKETCH_BITS = 2048
 COUNTED = np.uint64(3 << 61)
 COARSE = tuple(f"q{i}" for i in range(16))  # the sketch folded to 64 bits each
 PIECE = 4 << 20
+#: Bytes of text hashed at a time; the arrays of a slice have several 64-bit numbers for each byte.
+SLICE = 1 << 18
 
 _rng = np.random.Generator(np.random.PCG64(5_2024))
 _BYTES = _rng.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -166,7 +168,8 @@ def _folded(sketches: list[bytes]) -> list[np.ndarray]:
 
 
 def _classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in byte_slices(batches, 2):
+    unheld()
+    for b in byte_slices(batches, 2, SLICE):
         sets = shingle_sets(b.column(2).to_pylist())
         cls = [_class_id(s) if len(s) else None for s in sets]
         sketches = [_sketch(s) for s in sets]
@@ -176,7 +179,7 @@ def _classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _all_shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in byte_slices(batches, 0):
+    for b in byte_slices(batches, 0, SLICE):
         yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(shingle_sets(b.column(0).to_pylist())).view(np.int64))], names=["s"])
 
 
@@ -184,7 +187,7 @@ def _region_rows(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frequent = shared.value  # sorted hashes
         seen: set[int] = set()  # classes this task has dealt already: copies add nothing
-        for b in byte_slices(batches, 0):
+        for b in byte_slices(batches, 0, SLICE):
             ss, cc, pp, ff = [], [], [], []
             for x in shingle_sets(b.column(0).to_pylist()):
                 if not len(x) or (c := _class_id(x)) in seen:
@@ -208,7 +211,7 @@ def _region_rows(shared):
 
 
 def _class_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in byte_slices(batches, 1):
+    for b in byte_slices(batches, 1, SLICE):
         sets = shingle_sets(b.column(1).to_pylist())
         yield pa.RecordBatch.from_arrays([b.column(0), pa.array([s.tobytes() for s in sets], pa.binary())], names=["cls", "shingles"])
 

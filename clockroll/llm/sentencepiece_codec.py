@@ -29,7 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from clockroll.llm.common import byte_slices, on_workers
+from clockroll.llm.common import byte_slices, held, on_workers
 
 BLANK = "▁"
 #: Distinct words kept by one worker before it starts anew (memory bound, not a result bound).
@@ -236,6 +236,11 @@ class Codec:
         self.byte_of = {i: b for b, i in enumerate(model["bytes"])}
         self.first_byte, self.last_byte = min(model["bytes"], default=0), max(model["bytes"], default=-1)
 
+    def forget(self) -> None:
+        """Drops the words and pairs met so far; the tables stay."""
+        for met in (self.words, self.words.parts, self.table.fits):
+            met.clear()
+
     def _run(self, n: int) -> bytes:
         if n not in self.runs:
             if len(self.runs) > 1000:
@@ -281,15 +286,6 @@ class Codec:
         return s.removeprefix(" ") if not as_bytes[0] else s
 
 
-_built: list = []  # the last broadcast model and its codec, kept between a worker's tasks
-
-
-def _codec(shared) -> Codec:
-    if not _built or _built[0] is not shared:
-        _built[:] = [shared, Codec(shared.value)]
-    return _built[1]
-
-
 def _few_ids(batches: Iterator[pa.RecordBatch], column: int, limit: int = 1 << 18) -> Iterator[pa.RecordBatch]:
     """Rows with about ``limit`` ids at a time, so that a worker holds the texts of those only."""
     for b in batches:
@@ -302,7 +298,7 @@ def _few_ids(batches: Iterator[pa.RecordBatch], column: int, limit: int = 1 << 1
 
 def _encode_batches(shared, passes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = _codec(shared)
+        codec = held(shared, Codec)
         for b in byte_slices(batches, passes):
             coded = [codec.encode(t) for t in b.column(passes).to_pylist()]
             ends = np.cumsum([0, *(len(x) // 4 for x in coded)], dtype=np.int64)
@@ -319,12 +315,13 @@ def _encode_batches(shared, passes: int):
                 lists = pa.ListArray.from_arrays(pa.array((ends[lo:hi + 1] - ends[lo]).astype(np.int32)), values)
                 part = b.slice(lo, hi - lo)
                 yield pa.RecordBatch.from_arrays([*(part.column(i) for i in range(passes)), lists], names=[*b.schema.names[:passes], "ids"])
+        codec.forget()  # most words of a task are its own
     return run
 
 
 def _decode_batches(shared, passes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = _codec(shared)
+        codec = held(shared, Codec)
         for b in _few_ids(batches, passes):
             lists = b.column(passes)
             flat, ends = np.asarray(lists.flatten()), np.asarray(lists.offsets)
@@ -358,9 +355,13 @@ def decode(df: DataFrame, model_path: str, keep: tuple[str, ...] = ("doc_id",),
 
 
 def roundtrip(df: DataFrame, model_path: str, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """``keep`` columns, ``ids`` and the ``decoded`` text of every row."""
+    """``keep`` columns, ``ids`` and the ``decoded`` text of every row.  One worker does both with one codec; a
+    worker for each would hold its own and pass all ids through the executor."""
     shared = _shared_model(df, model_path)
-    return decode(encode(df, model_path, text_col, keep, shared), model_path, keep, shared)
+    encoding, decoding = _encode_batches(shared, len(keep)), _decode_batches(shared, len(keep))
+    src = df.select(*[df[f"`{c}`"] for c in keep], F.coalesce(df[f"`{text_col}`"], F.lit("")).alias("text"))
+    kinds = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in keep)
+    return src.mapInArrow(lambda batches: decoding(encoding(batches)), f"{kinds}{', ' if kinds else ''}ids array<int>, decoded string")
 
 
 def digests(coded: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:

@@ -58,3 +58,38 @@ def test_operator(spark, edge_docs, no_docs):
 
     assert sorted(map(tuple, out.collect()), key=str) == sorted((want(r) for r in edge_docs.collect()), key=str)
     assert S.digests(S.roundtrip(no_docs, PATH)).count() == 0
+
+
+def test_one_worker_encodes_and_decodes(spark, edge_docs):
+    both = S.roundtrip(edge_docs, PATH)
+    assert both._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    apart = S.decode(S.encode(edge_docs, PATH), PATH)
+    assert both.columns == apart.columns and sorted(map(str, both.collect())) == sorted(map(str, apart.collect()))
+
+
+def test_a_worker_holds_what_one_operator_built():
+    from types import SimpleNamespace
+
+    from clockroll.llm import common
+    a, b = SimpleNamespace(value=1), SimpleNamespace(value=2)
+    first = common.held(a, lambda v: [v])
+    assert common.held(a, lambda v: [v]) is first and common.held(b, lambda v: [v]) == [2] and common._held[0] is b
+    assert common.held(a, lambda v: [v]) is not first
+    common.unheld()
+    assert not common._held
+
+
+def test_words_of_a_task_are_dropped_at_its_end():
+    from types import SimpleNamespace
+
+    import pyarrow as pa
+
+    from clockroll.llm import common, crf_toxicity
+    texts = pa.RecordBatch.from_arrays([pa.array([1, 2]), pa.array(["some words", "other words"])], names=["doc_id", "text"])
+    coded = SimpleNamespace(value=S.read_model(PATH))
+    assert sum(b.num_rows for b in S._encode_batches(coded, 1)(iter([texts]))) == 2
+    codec = common.held(coded, S.Codec)
+    assert not codec.words and not codec.words.parts and not codec.table.fits
+    model = SimpleNamespace(value={"weights": {"words": 1.0}, "bias": -5.0, "trans": np.zeros((2, 2)), "map": (0.0, 0.0, 0.0)})
+    assert sum(b.num_rows for b in crf_toxicity._tag_batches(model, 1)(iter([texts]))) == 2
+    assert len(common.held(model, crf_toxicity._Emissions)) == 0
