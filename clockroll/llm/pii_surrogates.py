@@ -28,6 +28,8 @@ row each; an empty table gives an empty result; all columns of the input are kep
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from clockroll.llm.common import free_name, staged
@@ -108,17 +110,25 @@ PERSONS = ("male", "female", "family")
 KEY = "surrogates-1"
 
 
+def once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)``, with ``value`` evaluated once and once in the plan, however often ``use`` names it: plans, which the
+    driver optimizes, compiles and prints, stay as small as the code."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def names_of(text: Column) -> Column:
     """The words of all names in a text, longest first, each also in capitals."""
     spans = F.regexp_extract_all(text, F.lit(SPAN), F.lit(0))
     double = rf"(?<!{_LETTER})(?:{_GIVEN})(?:[\-‐‑]{_NAME})++"  # a given name as a whole, so that its gender stays
 
-    def each(pattern: str) -> Column:
+    def each(spans: Column, pattern: str) -> Column:
         return F.flatten(F.transform(spans, lambda s: F.regexp_extract_all(s, F.lit(pattern), F.lit(0))))
-    words = F.concat(each(rf"(?<!{_LETTER}){_NAME}"), each(double))
-    heads = F.transform(words, lambda w: F.regexp_replace(w, rf"[\-‐‑].*$", ""))
-    some = F.filter(F.concat(words, heads), lambda w: F.length(w) > 1)
-    return F.reverse(F.transform(F.array_sort(F.array_distinct(F.transform(F.concat(some, F.transform(some, F.upper)), lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))))), lambda x: x["w"]))
+
+    def listed(some: Column) -> Column:
+        return F.reverse(F.transform(F.array_sort(F.array_distinct(F.transform(F.concat(some, F.transform(some, F.upper)), lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))))), lambda x: x["w"]))
+    words = once(spans, lambda s: F.concat(each(s, rf"(?<!{_LETTER}){_NAME}"), each(s, double)))
+    both = once(words, lambda ws: F.concat(ws, F.transform(ws, lambda w: F.regexp_replace(w, rf"[\-‐‑].*$", ""))))
+    return once(F.filter(both, lambda w: F.length(w) > 1), listed)
 
 
 def pattern_of(names: Column) -> Column:
@@ -138,15 +148,17 @@ def value_of(mention: Column) -> Column:
 
 def kind_of(mention: Column) -> Column:
     """The kind of a mention: the one whose pattern describes all of its value."""
-    value, name = value_of(mention), is_name(mention)
-    given = F.initcap(F.regexp_extract(value, r"^[^\-‐‑]+", 0))  # the first of a double name
+    def named(value: Column) -> Column:
+        given = F.initcap(F.regexp_extract(value, r"^[^\-‐‑]+", 0))  # the first of a double name
+        return once(given, lambda g: F.when(g.isin(MALE + MALE_CYRILLIC), "male").when(g.isin(FEMALE + FEMALE_CYRILLIC), "female").otherwise("family"))
 
-    def is_(kind: str) -> Column:
-        return value.rlike(rf"^{_any(kind)}$")
-    return (F.when(is_("mail"), "mail").when(is_("key"), "key").when(value.rlike(rf"^{_HEX}$"), "secret").when(is_("iban"), "iban")
-            .when(is_("ip6"), "ip6").when(is_("ip"), "ip").when(is_("phone") | is_("local"), "phone").when(is_("card"), "card").when(is_("ssn"), "ssn")
-            .when(name & given.isin(MALE + MALE_CYRILLIC), "male").when(name & given.isin(FEMALE + FEMALE_CYRILLIC), "female")
-            .when(name, "family").otherwise("secret"))
+    def kind(value: Column) -> Column:
+        def is_(kind: str) -> Column:
+            return value.rlike(rf"^{_any(kind)}$")
+        return (F.when(is_("mail"), "mail").when(is_("key"), "key").when(value.rlike(rf"^{_HEX}$"), "secret").when(is_("iban"), "iban")
+                .when(is_("ip6"), "ip6").when(is_("ip"), "ip").when(is_("phone") | is_("local"), "phone").when(is_("card"), "card").when(is_("ssn"), "ssn")
+                .when(is_name(mention), named(value)).otherwise("secret"))
+    return once(value_of(mention), kind)
 
 
 def canonical(kind: Column, value: Column) -> Column:
@@ -268,10 +280,10 @@ def replaced(df: DataFrame, text_col: str = "text", key: str = KEY, count_col: s
     whole = [F.col(f"`{c}`") for c in cols]
     # A text without names has the one pattern of all; only then the compiled form is used again.
     named = F.when(text.rlike(HINTS[1]), names_of(text))
-    src = df.withColumn(pattern, F.when(F.size(named) > 0, pattern_of(named)))
+    src = df.withColumn(pattern, once(named, lambda names: F.when(F.size(names) > 0, pattern_of(names))))
     mine = F.col(pattern)
     none = F.array().cast("array<string>")
-    found_all = F.when(mine.isNotNull(), F.regexp_extract_all(text, mine, F.lit(0))).when(text.rlike(HINTS[0]), F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0)))
+    found_all = once(mine, lambda own: F.when(own.isNotNull(), F.regexp_extract_all(text, own, F.lit(0))).when(text.rlike(HINTS[0]), F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0))))
     src = src.withColumn(found, F.coalesce(found_all, none))
     has = F.size(F.col(found)) > 0
     marked = src.where(has).withColumn(digest, F.sha2(text, 256))
@@ -284,7 +296,7 @@ def replaced(df: DataFrame, text_col: str = "text", key: str = KEY, count_col: s
            .select("digest", "at", shown(F.col("kind"), F.col("mention"), F.col("surrogate"), key).alias("new"))
            .groupBy("digest").agg(F.transform(F.array_sort(F.collect_list(F.struct("at", "new"))), lambda s: s["new"]).alias("new")))
     new = staged(new, "pii-texts")
-    pieces = F.when(mine.isNotNull(), F.split(text, mine, -1)).otherwise(F.split(text, F.lit(PATTERN), -1))
+    pieces = once(mine, lambda own: F.when(own.isNotNull(), F.split(text, own, -1)).otherwise(F.split(text, F.lit(PATTERN), -1)))
     rebuilt = F.array_join(F.zip_with(pieces, F.concat(F.col("new"), F.array(F.lit(""))), lambda a, b: F.concat(a, b)), "")
     done = marked.join(new, marked[digest] == new["digest"]).select(*[rebuilt.alias(c) if c == text_col else F.col(f"`{c}`") for c in cols], F.size(F.col(found)).alias(count))
     return src.where(~has).select(*whole, F.lit(0).alias(count)).unionByName(done)

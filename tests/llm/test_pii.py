@@ -126,3 +126,15 @@ def test_no_planted_entity_is_left(spark):
         mentions = found.findall(old[r.doc_id] or "")
         assert not [m for m in mentions if m in r.text]
         assert r.text == old[r.doc_id] or r.n_entities >= max(1, len(mentions))
+
+
+def test_plans_name_each_value_once(spark):
+    docs = spark.createDataFrame([(1, "Dr Anna Becker, anna@example.org"), (2, "Becker rang 555-123-4567"), (3, "nothing here"), (4, None)], "doc_id long, text string")
+    out = P.replaced(docs)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    # both branches of the union find the names of a text, to filter and to replace; no more than that
+    assert plan.count(P.SPAN[:200]) <= 6 and len(plan) < 100_000, (plan.count(P.SPAN[:200]), len(plan))
+    got = {r.doc_id: r for r in out.collect()}
+    assert [got[i].n_entities for i in (1, 2, 3, 4)] == [3, 1, 0, 0]
+    assert got[3].text == "nothing here" and got[4].text is None
+    assert not re.search("Anna|Becker|anna@example", got[1].text) and "555-123-4567" not in got[2].text
