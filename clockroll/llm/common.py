@@ -49,6 +49,17 @@ def staged(df: DataFrame, purpose: str, partition_by: Sequence[str] = ()) -> Dat
     return out
 
 
+#: Partitions for each core in which a gathered table is written.
+TASKS_A_CORE = 3
+
+
+def gathered(df: DataFrame) -> DataFrame:
+    """``df`` in no more partitions than ``TASKS_A_CORE`` for each core: a task takes several partitions of a shuffle
+    one after another.  What is small for the number of shuffle partitions is then not written as a file
+    for each of them, and all cores still have work when it is large."""
+    return df.coalesce(TASKS_A_CORE * df.sparkSession.sparkContext.defaultParallelism)
+
+
 def freed(*frames: DataFrame) -> None:
     """Delete staged tables that nothing will read again."""
     for df in frames:
@@ -77,6 +88,7 @@ def byte_slices(batches: Iterator[pa.RecordBatch], column: int, limit: int = SLI
             hi = max(lo + 1, int(np.searchsorted(upto, (upto[lo - 1] if lo else 0) + limit, side="right")))
             yield b.slice(lo, hi - lo)
             lo = hi
+        b = None  # not held while the next is read
 
 
 #: Rows of keys that a join may broadcast, and bytes of such rows (the driver builds the table and holds several

@@ -52,7 +52,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from clockroll.llm.common import byte_slices, freed, on_workers, sized, staged, unheld
+from clockroll.llm.common import byte_slices, freed, gathered, on_workers, sized, staged, unheld
 
 WORDS = 5
 EPS = 0.25
@@ -216,20 +216,25 @@ def _class_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([b.column(0), pa.array([s.tobytes() for s in sets], pa.binary())], names=["cls", "shingles"])
 
 
+def _kept(df: DataFrame, purpose: str) -> DataFrame:
+    """``df`` staged in few files: most of the join's tables are much smaller than the documents."""
+    return staged(gathered(df), purpose)
+
+
 class _Classes:
     """``info`` (cls, n, sketch, ``COARSE``, tk: one text of the class) of all classes, and sets on demand."""
 
     def __init__(self, docs: DataFrame, info: DataFrame):
-        self.docs, self.info, self.sizes = docs, info, sized(staged(info.select("cls", "n", *COARSE), "jaccard-sizes"))
+        self.docs, self.info, self.sizes = docs, info, sized(_kept(info.select("cls", "n", *COARSE), "jaccard-sizes"))
 
     def texts(self, wanted: DataFrame) -> DataFrame:
         """``cls`` and one ``text`` of each of the classes ``wanted`` (cls; distinct)."""
-        keys = staged(wanted.join(self.info.select("cls", "tk"), "cls"), "jaccard-wanted")  # narrow; read lazily, so it stays
+        keys = _kept(wanted.join(self.info.select("cls", "tk"), "cls"), "jaccard-wanted")  # narrow; read lazily, so it stays
         return self.docs.join(sized(keys), "tk").select("cls", "text").dropDuplicates(["cls"])
 
     def sets(self, wanted: DataFrame) -> DataFrame:
         """``cls`` and ``shingles`` of the classes ``wanted`` (cls; distinct)."""
-        return staged(self.texts(wanted).mapInArrow(_class_sets, "cls long, shingles binary"), "jaccard-sets")
+        return _kept(self.texts(wanted).mapInArrow(_class_sets, "cls long, shingles binary"), "jaccard-sets")
 
 
 def _bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -277,7 +282,7 @@ def _roughly_compared(pairs: DataFrame, classes: _Classes) -> DataFrame:
     side = lambda x: classes.sizes.select(F.col("cls").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in ("n", *COARSE)])
     met = pairs.join(side("a"), "a").join(side("b"), "b")
     low = 2 * _apart("_a", "_b") / (F.col("n_a") + F.col("n_b") + _apart("_a", "_b"))
-    rough = staged(met.select("a", "b", low.alias("low"), _can_link("_a", "_b").alias("maybe")), "jaccard-rough")
+    rough = _kept(met.select("a", "b", low.alias("low"), _can_link("_a", "_b").alias("maybe")), "jaccard-rough")
     near = _compared(rough.where("maybe").select("a", "b"), classes)
     far = rough.where(~F.col("maybe")).select("a", "b", "low", F.lit(1.0).alias("high"), F.lit(False).alias("link"))
     return near.unionByName(far)
@@ -285,17 +290,17 @@ def _roughly_compared(pairs: DataFrame, classes: _Classes) -> DataFrame:
 
 def _compared(pairs: DataFrame, classes: _Classes) -> DataFrame:
     """``pairs`` (a, b; distinct) with ``low`` and ``high`` bounds of their distance and ``link``."""
-    members = staged(pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct(), "jaccard-paired")
+    members = _kept(pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct(), "jaccard-paired")
     info = classes.info.join(sized(members), "cls", "left_semi")
     side = lambda x: info.select(F.col("cls").alias(x), F.col("n").alias("n_" + x), F.col("sketch").alias("sketch_" + x))
     met = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "n_a", "sketch_a", "n_b", "sketch_b")
-    bounds = staged(met.mapInArrow(_bounded, "a long, b long, low double, maybe boolean"), "jaccard-bounds")
+    bounds = _kept(met.mapInArrow(_bounded, "a long, b long, low double, maybe boolean"), "jaccard-bounds")
     near = bounds.where("maybe").select("a", "b")
     sets = classes.sets(near.select(F.explode(F.array("a", "b")).alias("cls")).distinct())
     of = lambda x: sets.select(F.col("cls").alias(x), F.col("shingles").alias("shingles_" + x))
     done = near.join(of("a"), "a").join(of("b"), "b").select("a", "b", "shingles_a", "shingles_b").mapInArrow(_measured, "a long, b long, dist double, link boolean")
     far = bounds.where(~F.col("maybe")).select("a", "b", "low", F.lit(1.0).alias("high"), F.lit(False).alias("link"))
-    out = staged(done.select("a", "b", F.col("dist").alias("low"), F.col("dist").alias("high"), "link").unionByName(far), "jaccard-pairs")
+    out = _kept(done.select("a", "b", F.col("dist").alias("low"), F.col("dist").alias("high"), "link").unionByName(far), "jaccard-pairs")
     freed(members, bounds, sets)
     return out
 
@@ -303,13 +308,13 @@ def _compared(pairs: DataFrame, classes: _Classes) -> DataFrame:
 def components(edges: DataFrame) -> DataFrame:
     """``node`` and ``comp`` (the smallest node reachable) of all nodes of ``edges`` (a, b): smallest
     neighbouring label, then the label's own label, until nothing changes."""
-    both = staged(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "cc-edges")
-    before = labels = staged(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("comp")), "cc-labels")
+    both = _kept(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "cc-edges")
+    before = labels = _kept(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("comp")), "cc-labels")
     while True:
         told = both.join(labels.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(F.min("comp").alias("told"))
         step = labels.join(told, "node").select("node", F.least("comp", "told").alias("near"), F.col("comp").alias("old"))
         jump = labels.select(F.col("node").alias("near"), F.col("comp").alias("far"))
-        new = staged(step.join(jump, "near", "left").select("node", F.least("near", F.coalesce("far", "near")).alias("comp"), "old"), "cc-labels")
+        new = _kept(step.join(jump, "near", "left").select("node", F.least("near", F.coalesce("far", "near")).alias("comp"), "old"), "cc-labels")
         freed(before)
         before, labels = new, new.select("node", "comp")
         if new.where("comp <> old").isEmpty():
@@ -340,17 +345,17 @@ def _dealt(docs: DataFrame, late: np.ndarray) -> DataFrame:
     """Regions of ``docs`` (text) with the shingles ``late`` (sorted hashes) last in the order."""
     shared = docs.sparkSession.sparkContext.broadcast(late)
     rows = docs.select("text").mapInArrow(_region_rows(shared), "s long, cls long, spare int, often boolean")
-    return staged(_regions(rows), "jaccard-dealt")
+    return _kept(_regions(rows), "jaccard-dealt")
 
 
 def _distinct(every: DataFrame) -> tuple[DataFrame, DataFrame]:
     """One region of ``every`` for each set of members; and all shingles ``s`` with ``head``, the region that
     stands for theirs, and ``c`` members."""
     marks = [F.bit_xor(F.xxhash64("cls", F.lit(seed))).alias(f"mark{seed}") for seed in range(2)]
-    members = staged(every.groupBy("s").agg(F.count("*").alias("c"), *marks), "jaccard-members")
-    heads = staged(members.groupBy("c", "mark0", "mark1").agg(F.min("s").alias("head")), "jaccard-heads")
-    same = staged(members.join(heads, ["c", "mark0", "mark1"]).select("s", "head", "c"), "jaccard-same")
-    regions = staged(every.join(heads.select(F.col("head").alias("s")), "s", "left_semi"), "jaccard-regions")
+    members = _kept(every.groupBy("s").agg(F.count("*").alias("c"), *marks), "jaccard-members")
+    heads = _kept(members.groupBy("c", "mark0", "mark1").agg(F.min("s").alias("head")), "jaccard-heads")
+    same = _kept(members.join(heads, ["c", "mark0", "mark1"]).select("s", "head", "c"), "jaccard-same")
+    regions = _kept(every.join(heads.select(F.col("head").alias("s")), "s", "left_semi"), "jaccard-regions")
     freed(every, members, heads)
     return regions, same
 
@@ -372,7 +377,7 @@ def links(docs: DataFrame, info: DataFrame, complete: bool = False) -> DataFrame
 def _links(docs: DataFrame, info: DataFrame, complete: bool) -> DataFrame:
     on_workers(docs)
     picked = info.select("tk").orderBy(F.xxhash64("tk"), "tk").limit(SAMPLE_DOCS)
-    sample = docs.join(F.broadcast(picked), "tk").dropDuplicates(["tk"]).select("text")
+    sample = gathered(docs.join(F.broadcast(picked), "tk").dropDuplicates(["tk"]).select("text"))
     late = np.sort(_hashes(sample.mapInArrow(_all_shingles, "s long").groupBy("s").agg(F.count("*").alias("c")).where(F.col("c") >= FREQUENT_FROM)))
     classes, edges, (regions, same) = _Classes(docs, info), None, _distinct(_dealt(docs, late))
     met = float("inf")
@@ -400,8 +405,8 @@ def _labelled(regions: DataFrame, edges: DataFrame | None) -> DataFrame:
         comp = components(edges)
         rows = regions.join(sized(comp.withColumnRenamed("node", "cls")), "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
     each = rows.groupBy("s", "comp").agg(F.count("*").alias("k")).groupBy("s").agg(F.sum("k").alias("k"), F.sum(F.col("k") * F.col("k")).alias("kk"), F.count("*").alias("m"), F.max(F.struct("k", "comp")).alias("top"))
-    open_ = staged(each.where("m > 1").select("s", "k", "kk", F.col("top.comp").alias("main")), "jaccard-open")
-    out = staged(rows.join(sized(open_), "s"), "jaccard-labelled")
+    open_ = _kept(each.where("m > 1").select("s", "k", "kk", F.col("top.comp").alias("main")), "jaccard-open")
+    out = _kept(rows.join(sized(open_), "s"), "jaccard-labelled")
     freed(open_)
     return out
 
@@ -432,9 +437,9 @@ def _further_pivots(regions: DataFrame, classes: _Classes, edges: DataFrame) ->
         top = top.select("s", "m", F.array_distinct(F.array(*names)).alias("pivots"))
         if before is not None:
             top = top.join(before.select("s", F.col("m").alias("was")), "s").where("m > was").drop("was")
-        top = staged(top, "jaccard-elected")
+        top = _kept(top, "jaccard-elected")
         outside = rows.where("comp <> main").join(sized(top), "s").select(F.explode("pivots").alias("a"), F.col("cls").alias("b"))
-        pairs = staged(outside.distinct(), "jaccard-turn")
+        pairs = _kept(outside.distinct(), "jaccard-turn")
         freed(rows, *([] if before is None else [before]))
         before = top
         if pairs.isEmpty():
@@ -456,13 +461,13 @@ def _join_regions(regions: DataFrame, star: DataFrame, classes: _Classes, edges:
     last = last or met > before / 2
     far = star.select(F.col("a").alias("pivot"), F.col("b").alias("cls"), "low", "high")
     placed = rows.join(sized(far), ["pivot", "cls"], "left").join(classes.sizes, "cls")
-    placed = staged(placed.select("s", "cls", "comp", "main", "n", *COARSE, (wide & F.lit(not last)).alias("wide"), F.coalesce("low", F.lit(0.0)).alias("low"), F.coalesce("high", F.lit(0.0)).alias("high")), "jaccard-placed")
+    placed = _kept(placed.select("s", "cls", "comp", "main", "n", *COARSE, (wide & F.lit(not last)).alias("wide"), F.coalesce("low", F.lit(0.0)).alias("low"), F.coalesce("high", F.lit(0.0)).alias("high")), "jaccard-placed")
     freed(rows)
     narrow = placed.where("NOT wide")
     rank = F.row_number().over(W.partitionBy("cls").orderBy("s"))
     first = narrow.select("cls", "s").withColumn("rank", rank).where(F.col("rank") <= LISTED)
     listed = first.groupBy("cls").agg(F.array_sort(F.collect_list("s")).alias("own"))
-    narrow = staged(narrow.join(listed, "cls"), "jaccard-narrow")
+    narrow = _kept(narrow.join(listed, "cls"), "jaccard-narrow")
     one, two = (narrow.select("s", "main", *[F.col(c).alias(c + x) for c in ("cls", "comp", "low", "high", "n", "own", *COARSE)]) for x in ("1", "2"))
     slack = EPS + 1e-9
     # Members of the largest component are met by the others only.
@@ -473,7 +478,7 @@ def _join_regions(regions: DataFrame, star: DataFrame, classes: _Classes, edges:
         & (F.coalesce(F.try_element_at(F.array_intersect("own1", "own2"), F.lit(1)), F.col("s")) >= F.col("s")))
     pairs = window.select(F.least("cls1", "cls2").alias("a"), F.greatest("cls1", "cls2").alias("b")).distinct()
     known = star.select("a", "b")
-    pairs = staged(pairs.join(known, ["a", "b"], "left_anti"), "jaccard-window")
+    pairs = _kept(pairs.join(known, ["a", "b"], "left_anti"), "jaccard-window")
     freed(narrow)
     edges = edges.unionByName(_compared(pairs, classes).where("link").select("a", "b"))
     left = placed.where("wide").select("s", "cls")
@@ -487,7 +492,7 @@ def _classed(df: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, Data
     rows = staged(on_workers(src).mapInArrow(_classes, f"doc_id {kind}, tk long, n long, cls long, sketch binary, " + ", ".join(f"{q} long" for q in COARSE)), "jaccard-classes")
     worded = rows.where("cls IS NOT NULL")
     info = worded.groupBy("cls").agg(F.min("tk").alias("tk"), F.min("n").alias("n"), F.min("sketch").alias("sketch"), *[F.min(q).alias(q) for q in COARSE], F.min("doc_id").alias("low"))
-    return src, rows, staged(info, "jaccard-info")
+    return src, rows, _kept(info, "jaccard-info")
 
 
 def _joined(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -498,7 +503,7 @@ def _joined(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     edges = links(src.where("text IS NOT NULL").select("tk", "text"), info.drop("low"))
     heads = info.select("cls", "low").join(components(edges).withColumnRenamed("node", "cls"), "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
     lows = heads.groupBy("comp").agg(F.min("low").alias("low"))
-    named = staged(heads.select("cls", "comp").join(lows, "comp"), "jaccard-named")
+    named = _kept(heads.select("cls", "comp").join(lows, "comp"), "jaccard-named")
     alone = rows.where("cls IS NULL").select("doc_id", "tk", "n", "cls", F.lit(None).cast("long").alias("comp"), F.col("doc_id").alias("low"))
     return worded.select("doc_id", "tk", "n", "cls").join(named, "cls").select("doc_id", "tk", "n", "cls", "comp", "low").unionByName(alone)
 
@@ -514,8 +519,8 @@ def join_links(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     (rows of its own class included).  All linked pairs of classes are made, so the work grows with
     their number."""
     src, rows, info = _classed(df, id_col, text_col)
-    edges = staged(links(src.where("text IS NOT NULL").select("tk", "text"), info.drop("low"), complete=True), "jaccard-links")
-    members = staged(rows.where("cls IS NOT NULL").groupBy("cls").agg(F.count("*").alias("rows")), "jaccard-members")
+    edges = _kept(links(src.where("text IS NOT NULL").select("tk", "text"), info.drop("low"), complete=True), "jaccard-links")
+    members = _kept(rows.where("cls IS NOT NULL").groupBy("cls").agg(F.count("*").alias("rows")), "jaccard-members")
     both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     others = both.join(members.withColumnRenamed("cls", "b"), "b").groupBy(F.col("a").alias("cls")).agg(F.sum("rows").alias("others"))
     counts = members.join(others, "cls", "left").select("cls", (F.col("rows") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"))
@@ -526,17 +531,17 @@ def one_of_each(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     """The rows of ``df``, all columns as they are, without those that are linked, directly or not, to
     a row that stays: of each component the row with the smallest id (null last), then the smallest
     hash of its text; of rows equal in both one stays.  Rows without words all stay."""
-    rows = staged(_joined(df, id_col, text_col).select("doc_id", "tk", "comp"), "jaccard-rows")
+    rows = _kept(_joined(df, id_col, text_col).select("doc_id", "tk", "comp"), "jaccard-rows")
     grouped = rows.where("comp IS NOT NULL").groupBy("comp", "doc_id", "tk").agg(F.count("*").alias("k"))
     first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "tk", "k"))
     heads = grouped.groupBy("comp").agg(first.alias("h"), F.count("*").alias("m")).where("m > 1 OR h.k > 1")
-    heads = staged(heads.select("comp", F.col("h.doc_id").alias("h_id"), F.col("h.tk").alias("h_tk"), F.col("h.k").alias("k")), "jaccard-heads")
+    heads = _kept(heads.select("comp", F.col("h.doc_id").alias("h_id"), F.col("h.tk").alias("h_tk"), F.col("h.k").alias("k")), "jaccard-heads")
     same = grouped["doc_id"].eqNullSafe(heads["h_id"]) & (grouped["tk"] == heads["h_tk"])
-    go = staged(grouped.join(heads, "comp").where(~same).select("doc_id", "tk"), "jaccard-go")
-    again = staged(heads.where("k > 1").select(F.col("h_id").alias("doc_id"), F.col("h_tk").alias("tk")), "jaccard-again")
+    go = _kept(grouped.join(heads, "comp").where(~same).select("doc_id", "tk"), "jaccard-go")
+    again = _kept(heads.where("k > 1").select(F.col("h_id").alias("doc_id"), F.col("h_tk").alias("tk")), "jaccard-again")
     # All columns travel in one struct, so no name can clash.
     src = df.select(F.struct(*[df[f"`{c}`"] for c in df.columns]).alias("_row"), df[f"`{id_col}`"].alias("_id"), F.xxhash64(df[f"`{text_col}`"]).alias("_tk"))
     matches = F.col("_id").eqNullSafe(F.col("doc_id")) & (F.col("_tk") == F.col("tk"))
     kept = src.join(sized(go), matches, "left_anti")
     once = kept.join(sized(again), matches, "left_anti").select("_row.*")
-    return once.unionByName(kept.join(sized(again), matches, "left_semi").dropDuplicates(["_id", "_tk"]).select("_row.*"))
+    return once.unionByName(gathered(kept.join(sized(again), matches, "left_semi").dropDuplicates(["_id", "_tk"])).select("_row.*"))

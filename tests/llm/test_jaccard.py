@@ -179,3 +179,26 @@ def test_frequent_shingles_are_ranked(spark):
     want = sorted(((-(i % 7), i) for i in range(-50, 50)))
     assert J._hashes(rows).view(np.int64).tolist() == [s for _, s in want]
     assert J._hashes(rows.where("c > 10")).tolist() == []
+
+
+def test_staged_tables_do_not_have_a_file_for_each_shuffle_partition(spark, monkeypatch):
+    import glob
+    files, kept = {}, J.staged
+
+    def counted(df, purpose):
+        out = kept(df, purpose)
+        files[purpose] = max(files.get(purpose, 0), len(glob.glob(out._staged_at.removeprefix("file:") + "/part-*")))
+        return out
+
+    monkeypatch.setattr(J, "staged", counted)
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "40")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        edges = spark.createDataFrame([(i, i + 1) for i in range(200) if i % 10 != 9], "a long, b long")
+        got = {r["node"]: r["comp"] for r in J.components(edges).collect()}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert got == {i: i - i % 10 for i in range(200)}
+    assert {"cc-edges", "cc-labels"} <= set(files) and max(files.values()) <= 3 * spark.sparkContext.defaultParallelism
