@@ -32,9 +32,10 @@ from pyspark.sql import DataFrame, functions as F
 from clockroll.llm.common import byte_slices, held, on_workers
 
 BLANK = "▁"
-#: Distinct words kept by one worker before it starts anew (memory bound, not a result bound).
-WORDS_KEPT = 400_000
-PAIRS_KEPT = 400_000
+#: Words, and pairs of pieces, that a worker meets before it forgets those that it did not meet among as many
+#: before them (memory bound, not a result bound).
+WORDS_KEPT = 200_000
+PAIRS_KEPT = 200_000
 
 
 def read_model(path: str) -> dict:
@@ -71,7 +72,9 @@ class MergeTable:
         self.number = {p: k for k, p in enumerate(self.text)}
         self.left, self.right = list(range(len(order))), list(range(len(order)))
         self.merged: dict[tuple[int, int], int] = {}
-        self.fits: dict[tuple[int, int], bool] = {}
+        self.fits: dict[int, bool] = {}  # by the pair's number, a * pieces + b
+        self.pairs_kept = PAIRS_KEPT
+        self.fitted: dict[int, bool] = {}  # of the pairs met before those in `fits`
         dead = []
         for k in range(len(chars), len(order)):
             halves = self._last_merge(k)
@@ -104,11 +107,14 @@ class MergeTable:
 
     def may_follow(self, a: int, b: int) -> bool:
         """``compatible``, remembered for the pairs met so far."""
-        got = self.fits.get((a, b))
+        pair = a * len(self.text) + b
+        got = self.fits.get(pair)
         if got is None:
-            if len(self.fits) >= PAIRS_KEPT:
-                self.fits.clear()
-            got = self.fits[a, b] = self.compatible(a, b)
+            if (got := self.fitted.get(pair)) is None:
+                got = self.compatible(a, b)
+            if len(self.fits) >= self.pairs_kept:
+                self.fitted, self.fits = self.fits, {}
+            self.fits[pair] = got
         return got
 
     def compatible(self, a: int, b: int) -> bool:
@@ -188,11 +194,29 @@ class WordIds(dict):
     """String -> its ids as int32 bytes; ``lead`` is put before each string.  Strings are cut
     where no piece holds the two characters side by side, and the parts are looked up in turn."""
 
-    def __init__(self, table: MergeTable, lead: str = "", parts: WordIds | None = None):
+    def __init__(self, table: MergeTable, lead: str = "", parts: WordIds | None = None, kept: int | None = None):
         super().__init__()
         self.table, self.lead, self.parts = table, lead, self if parts is None else parts
+        self.kept = WORDS_KEPT if kept is None else kept
+        self.before: dict[str, bytes] = {}  # the words met before those held
+
+    def clear(self) -> None:
+        super().clear()
+        self.before = {}
 
     def __missing__(self, word: str) -> bytes:
+        got = self.before.get(word)
+        if got is None:
+            got = self._coded(word)
+        if len(word) <= 64:
+            if len(self) >= self.kept:
+                before = dict(self)
+                self.clear()
+                self.before = before
+            self[word] = got
+        return got
+
+    def _coded(self, word: str) -> bytes:
         t, s = self.table, self.lead + word
         cut = len(s) - 1
         while cut > 0 and s[cut - 1:cut + 1] in t.joined:
@@ -200,18 +224,12 @@ class WordIds(dict):
         if cut > len(self.lead):  # the head with its lead, the rest without
             if len(word) > 200:
                 return self._long(s)
-            got = self[s[len(self.lead):cut]] + self.parts[s[cut:]]
-        elif cut:
-            got = self.parts[self.lead] + self.parts[word]
-        elif len(s) == 1 and s not in t.number:
-            got = b"".join([t.byte_code[x] for x in s.encode()])
-        else:
-            got = b"".join([t.code[k] for k in t.encode(s)])
-        if len(self) >= WORDS_KEPT:
-            self.clear()
-        if len(word) <= 64:
-            self[word] = got
-        return got
+            return self[s[len(self.lead):cut]] + self.parts[s[cut:]]
+        if cut:
+            return self.parts[self.lead] + self.parts[word]
+        if len(s) == 1 and s not in t.number:
+            return b"".join([t.byte_code[x] for x in s.encode()])
+        return b"".join([t.code[k] for k in t.encode(s)])
 
     def _long(self, s: str) -> bytes:
         joined, out, start = self.table.joined, [], 0
@@ -223,11 +241,14 @@ class WordIds(dict):
 
 
 class Codec:
-    """Encodes and decodes one text at a time; built once in each worker."""
+    """Encodes and decodes one text at a time; built once in each worker.  ``kept`` words and pairs
+    instead of ``WORDS_KEPT`` and ``PAIRS_KEPT`` take less memory and more time."""
 
-    def __init__(self, model: dict):
+    def __init__(self, model: dict, kept: int | None = None):
         self.table = MergeTable(model)
-        self.words = WordIds(self.table, BLANK, WordIds(self.table))
+        self.words = WordIds(self.table, BLANK, WordIds(self.table, kept=kept), kept)
+        if kept is not None:
+            self.table.pairs_kept = kept
         self.runs: dict[int, bytes] = {}
         if any(s >= min(sc for p, sc in zip(model["pieces"], model["scores"], strict=True) if len(p) > 1 and p.strip(BLANK) and sc > -1e8)
                for s, _ in (x for n, x in self.table.runs.items() if n > 1)):
@@ -238,7 +259,7 @@ class Codec:
 
     def forget(self) -> None:
         """Drops the words and pairs met so far; the tables stay."""
-        for met in (self.words, self.words.parts, self.table.fits):
+        for met in (self.words, self.words.parts, self.table.fits, self.table.fitted):
             met.clear()
 
     def _run(self, n: int) -> bytes:
@@ -294,11 +315,12 @@ def _few_ids(batches: Iterator[pa.RecordBatch], column: int, limit: int = 1 << 1
             hi = max(lo + 1, int(np.searchsorted(upto, (upto[lo - 1] if lo else 0) + limit, side="right")))
             yield b.slice(lo, hi - lo)
             lo = hi
+        b = None
 
 
-def _encode_batches(shared, passes: int):
+def _encode_batches(shared, passes: int, kept: int | None = None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = held(shared, Codec)
+        codec = held(shared, lambda model: Codec(model, kept))
         for b in byte_slices(batches, passes):
             coded = [codec.encode(t) for t in b.column(passes).to_pylist()]
             ends = np.cumsum([0, *(len(x) // 4 for x in coded)], dtype=np.int64)
@@ -315,6 +337,7 @@ def _encode_batches(shared, passes: int):
                 lists = pa.ListArray.from_arrays(pa.array((ends[lo:hi + 1] - ends[lo]).astype(np.int32)), values)
                 part = b.slice(lo, hi - lo)
                 yield pa.RecordBatch.from_arrays([*(part.column(i) for i in range(passes)), lists], names=[*b.schema.names[:passes], "ids"])
+            b = part = None  # a slice holds its whole batch, which goes before the next is read
         codec.forget()  # most words of a task are its own
     return run
 
@@ -328,6 +351,7 @@ def _decode_batches(shared, passes: int):
             ends = ends - ends[0]
             texts = [codec.decode(flat[x:y]) for x, y in zip(ends, ends[1:], strict=False)]
             yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(passes)), *(b.column(i) for i in range(passes, b.num_columns)), pa.array(texts, pa.string())], names=[*b.schema.names, "decoded"])
+            b = lists = flat = ends = None
     return run
 
 
@@ -354,11 +378,11 @@ def decode(df: DataFrame, model_path: str, keep: tuple[str, ...] = ("doc_id",),
     return src.mapInArrow(_decode_batches(shared, len(keep)), f"{kinds}{', ' if kinds else ''}ids array<int>, decoded string")
 
 
-def roundtrip(df: DataFrame, model_path: str, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """``keep`` columns, ``ids`` and the ``decoded`` text of every row.  One worker does both with one codec; a
+def roundtrip(df: DataFrame, model_path: str, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",), kept: int | None = None) -> DataFrame:
+    """``keep`` columns, ``ids`` and the ``decoded`` text of every row; ``kept`` as in ``Codec``.  One worker does both with one codec; a
     worker for each would hold its own and pass all ids through the executor."""
     shared = _shared_model(df, model_path)
-    encoding, decoding = _encode_batches(shared, len(keep)), _decode_batches(shared, len(keep))
+    encoding, decoding = _encode_batches(shared, len(keep), kept), _decode_batches(shared, len(keep))
     src = df.select(*[df[f"`{c}`"] for c in keep], F.coalesce(df[f"`{text_col}`"], F.lit("")).alias("text"))
     kinds = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in keep)
     return src.mapInArrow(lambda batches: decoding(encoding(batches)), f"{kinds}{', ' if kinds else ''}ids array<int>, decoded string")

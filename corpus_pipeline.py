@@ -31,8 +31,12 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return budget_mixing.taken(docs)
 
 
+#: Words that a worker of the encoding keeps: fewer than alone, as the stages before leave executors little memory.
+WORDS_KEPT = 50_000
+
+
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    coded = sentencepiece_codec.roundtrip(docs, public_tokenizers.path("piece_bpe_32k.model"))
+    coded = sentencepiece_codec.roundtrip(docs, public_tokenizers.path("piece_bpe_32k.model"), kept=WORDS_KEPT)
     return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 

@@ -93,3 +93,24 @@ def test_words_of_a_task_are_dropped_at_its_end():
     model = SimpleNamespace(value={"weights": {"words": 1.0}, "bias": -5.0, "trans": np.zeros((2, 2)), "map": (0.0, 0.0, 0.0)})
     assert sum(b.num_rows for b in crf_toxicity._tag_batches(model, 1)(iter([texts]))) == 2
     assert len(common.held(model, crf_toxicity._Emissions)) == 0
+
+
+def test_rare_words_are_forgotten_and_frequent_ones_kept(both, monkeypatch):
+    monkeypatch.setattr(S, "WORDS_KEPT", 50)
+    monkeypatch.setattr(S, "PAIRS_KEPT", 5)
+    lib, codec, coded = both[1], S.Codec(S.read_model(PATH)), []
+    find = S.WordIds._coded
+    monkeypatch.setattr(S.WordIds, "_coded", lambda self, word: (coded.append(word), find(self, word))[1])
+    for i in range(400):
+        text = f"frequent rarely{i * 7919} words{i}x"
+        assert np.frombuffer(codec.encode(text), np.int32).tolist() == lib.encode(text)
+        for met in (codec.words, codec.words.before, codec.words.parts, codec.words.parts.before):
+            assert len(met) <= 50
+        assert len(codec.table.fits) <= 5 and len(codec.table.fitted) <= 5
+    few = S.Codec(S.read_model(PATH), kept=7)
+    for i in range(40):
+        assert np.frombuffer(few.encode(f"rarely{i * 7919} words{i}x"), np.int32).tolist() == lib.encode(f"rarely{i * 7919} words{i}x")
+        assert max(len(few.words), len(few.words.before), len(few.words.parts), len(few.table.fits)) <= 7
+    assert coded.count("frequent") < 20 and codec.words.before
+    codec.forget()
+    assert not codec.words.before and not codec.words.parts.before and not codec.table.fitted
