@@ -27,7 +27,9 @@ tokens inside a text get their ids, as the library does by default.
 
 from __future__ import annotations
 
+import codecs
 import os
+import re
 import struct
 from array import array
 from collections.abc import Iterator
@@ -43,6 +45,8 @@ from clockroll.llm.common import byte_slices, on_workers
 BLOCK = 512
 SEGMENT_TOKENS = 1 << 20
 WORDS_KEPT = 800_000
+#: Tokens of neighbouring documents that are read from a segment at a time.
+READ_TOKENS = 1 << 18
 SEGMENT_SCHEMA = "part int, first long, n_tokens long, doc_ids array<long>, lengths array<long>, codes binary"
 
 
@@ -119,31 +123,54 @@ class Segment:
 
 _built: list = []
 
+#: The pieces into which the known tokenizer splits a text; marks of ASCII; and the pieces for words of printable ASCII in lower case.
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+_PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
+
 
 class _Words(dict):
-    """Word -> its ids as bytes, for a tokenizer in which white space never joins two words."""
+    """Word -> its ids as bytes, for a tokenizer in which white space never joins two words.  Words are kept in two
+    halves: when the new one is full it becomes the old one, whose words come back when they are met again."""
 
-    def __init__(self, tokenizer, byte_level: dict[int, int] | None):
+    def __init__(self, tokenizer, byte_level: str | None, known_split: bool):
         super().__init__({"": b""})
-        self.tokenizer, self.merge, self.shown = tokenizer, tokenizer.model.tokenize, byte_level
+        self.before: dict[str, bytes] = {}
+        self.tokenizer, self.merge, self.shown, self.known_split = tokenizer, tokenizer.model.tokenize, byte_level, known_split
 
     def __missing__(self, w: str) -> bytes:
-        # A mark after a letter is a token of its own (where the letter's lower case ends in a sign
-        # that is no letter, the mark belongs to that sign's token).
-        if len(w) > 1 and w[-1] in ",." and w[-2].isalpha() and len(w[-2].lower()) == 1:
-            got = self[w[:-1]] + self[w[-1]]
-        elif self.shown and w.isalpha() and w == w.lower() and (w.isascii() or is_normalized("NFC", w)):
-            # A word of letters in its final form goes straight to the merge model.
-            got = array("I", [t.id for t in self.merge(w if w.isascii() else w.encode().decode("latin-1").translate(self.shown))]).tobytes()
-        else:
-            got = array("I", self.tokenizer.encode(w, add_special_tokens=False).ids).tobytes()
-        if len(self) >= WORDS_KEPT:
-            self.clear()
-            self[""] = b""
+        got = self.before.get(w)
+        if got is None:
+            got = self._ids(w)
         if len(w) <= 64:
+            if len(self) >= WORDS_KEPT // 2:
+                self.before = dict(self)
+                self.clear()
+                self[""] = b""
             self[w] = got
         return got
 
+    def _ids(self, w: str) -> bytes:
+        # Letters in their final form: lower case, composed.
+        if self.shown and w == w.lower() and (w.isascii() or is_normalized("NFC", w)):
+            if w.isalpha():  # straight to the merge model
+                return self._merged(w if w.isascii() else codecs.charmap_decode(w.encode(), "strict", self.shown)[0])
+            if self.known_split:
+                letters = w.rstrip(MARKS)
+                if letters.isalpha() and letters != w:  # marks after letters are one piece
+                    return self[letters] + self[w[len(letters):]]
+                if w.isascii() and w.isprintable():  # shows as itself
+                    pieces = _PIECES.findall(w)
+                    return b"".join([self[p] for p in pieces]) if len(pieces) > 1 else self._merged(w)
+        # A mark after a letter is a token of its own (where the letter's lower case ends in a sign
+        # that is no letter, the mark belongs to that sign's token).
+        if len(w) > 1 and w[-1] in ",." and w[-2].isalpha() and len(w[-2].lower()) == 1:
+            return self[w[:-1]] + self[w[-1]]
+        return array("I", self.tokenizer.encode(w, add_special_tokens=False).ids).tobytes()
+
+    def _merged(self, shown: str) -> bytes:
+        return array("I", [t.id for t in self.merge(shown)]).tobytes()
+
 
 class _Encoder:
     """Ids of texts.  Words are encoded once and looked up again where the tokenizer's steps allow
@@ -165,7 +192,9 @@ class _Encoder:
         # others as the characters from 256 on, in order.
         kept = {*range(33, 127), *range(161, 173), *range(174, 256)}
         moved = (b for b in range(256) if b not in kept)
-        byte_level = {b: 256 + i for i, b in enumerate(moved)} if self.lowers and [x.get("type") for x in pre] == ["Split", "ByteLevel"] else None
+        known = self.lowers and [x.get("type") for x in pre] == ["Split", "ByteLevel"]
+        shown = {b: chr(256 + i) for i, b in enumerate(moved)}
+        byte_level = "".join(shown.get(b, chr(b)) for b in range(256)) if known else None
         # Tokens that the library looks for in the text as it stands, before any other step.
         added = spec.get("added_tokens") or []
         self.added = [t["content"] for t in added]
@@ -173,7 +202,7 @@ class _Encoder:
         self.by_word = as_is and pre[0].get("type") == "Split" and pre[0].get("behavior") == "Removed" and pre[0].get("invert") and r"[^\s" in pre[0].get("pattern", {}).get("Regex", "")
         # A word in lower case may read like an added token that the text does not hold.
         self.tokenizer.encode_special_tokens = self.by_word
-        self.words = _Words(self.tokenizer, byte_level)
+        self.words = _Words(self.tokenizer, byte_level, known and pre[0].get("pattern", {}).get("Regex") == SPLIT)
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         if not self.by_word:
@@ -253,22 +282,30 @@ def segments(spark, path: str) -> DataFrame:
     return t.join(F.broadcast(offs), "part").withColumn("start", F.col("off") + F.col("first")).drop("off")
 
 
+def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The documents of segments (doc_ids, lengths, start, codes).  Neighbours are one slice: about
+    ``READ_TOKENS`` at a time, a longer document alone."""
+    for b in batches:
+        for r in range(b.num_rows):
+            seg, at = Segment(b.column(3)[r].as_buffer().to_pybytes()), 0
+            docs, lens, start = b.column(0)[r].as_py(), b.column(1)[r].as_py(), b.column(2)[r].as_py()
+            begins = np.concatenate(([0], np.cumsum(lens, dtype=np.int64)))
+            while at < len(docs):
+                hi = max(at + 1, int(np.searchsorted(begins, begins[at] + READ_TOKENS, side="right")) - 1)
+                ids = seg.tokens(int(begins[at]), int(begins[hi] - begins[at]))
+                ends = (4 * (begins[at:hi + 1] - begins[at])).astype(np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(docs[at:hi], pa.int64()), pa.array(begins[at:hi] + start), pa.array(lens[at:hi], pa.int64()),
+                     pa.Array.from_buffers(pa.binary(), hi - at, [None, pa.py_buffer(ends), pa.py_buffer(ids)])],
+                    names=["doc_id", "start", "n_tokens", "ids"])
+                at = hi
+
+
 def read_documents(spark, path: str) -> DataFrame:
     """Per document, from the files: ``doc_id``, ``start``, ``n_tokens`` and ``ids`` (the
     little-endian unsigned 32-bit ids as binary)."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for r in range(b.num_rows):
-                seg, at = Segment(b.column(3)[r].as_buffer().to_pybytes()), 0
-                docs, lens, start = b.column(0)[r].as_py(), b.column(1)[r].as_py(), b.column(2)[r].as_py()
-                begins = np.concatenate(([0], np.cumsum(lens)))[:-1]
-                for lo in range(0, len(docs), 1024):
-                    ids = [seg.tokens(int(a), n).tobytes() for a, n in zip(begins[lo:lo + 1024], lens[lo:lo + 1024], strict=True)]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(docs[lo:lo + 1024], pa.int64()), pa.array(begins[lo:lo + 1024] + start, pa.int64()), pa.array(lens[lo:lo + 1024], pa.int64()), pa.array(ids, pa.binary())],
-                        names=["doc_id", "start", "n_tokens", "ids"])
     src = segments(spark, path).select("doc_ids", "lengths", "start", "codes")
-    return on_workers(src).mapInArrow(run, "doc_id long, start long, n_tokens long, ids binary")
+    return on_workers(src).mapInArrow(_documents, "doc_id long, start long, n_tokens long, ids binary")
 
 
 def tokens_at(positions: DataFrame, spark, path: str, position_col: str = "position") -> DataFrame:

@@ -2,6 +2,7 @@ import tempfile
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
@@ -57,6 +58,43 @@ def test_added_tokens_as_the_library_gives_them(spark):
     assert [r.start for r in got] == np.cumsum([0, *map(len, want)])[:-1].tolist()
 
 
+def test_words_of_marks_and_digits_equal_the_library():
+    lib = library()
+    texts = ["rock'n'roll's don't! x12,y été*** é's É's. a-b--'s 'tis '' 's's'd'll \x7f a\x7fb ***a 3.14 i̇.", "ǅ. ŉ!! ß### σς%% Σ,!! ﬁ*** ª&& ²a a² x\u0301.. ()[]{}^`|~\\"]
+    with open(PATH, encoding="utf-8") as f:
+        enc = D._Encoder(f.read(), 2)
+    assert enc.words.known_split
+    assert [np.frombuffer(x, "<u4").tolist() for x in enc(texts)] == [lib.encode(t, add_special_tokens=False).ids + [2] for t in texts]
+
+
+def test_words_met_again_stay_encoded(monkeypatch):
+    monkeypatch.setattr(D, "WORDS_KEPT", 40)
+    with open(PATH, encoding="utf-8") as f:
+        enc = D._Encoder(f.read(), 2)
+    merged, merge = [], enc.words.merge
+    enc.words.merge = lambda w: merged.append(w) or merge(w)
+    rare = [f"often {chr(97 + i % 26)}{chr(97 + i // 26)}q" for i in range(200)]
+    enc(rare)
+    assert merged.count("often") == 1 and len(set(merged)) == 201
+    assert len(enc.words) <= 21 and len(enc.words.before) <= 21
+
+
+def test_neighbours_are_read_in_one_slice(spark, monkeypatch, tmp_path):
+    path = str(tmp_path / "t")
+    D.write(spark.createDataFrame([(i, "some words " * (i % 7)) for i in range(500)], "doc_id long, text string"), path, PATH, 2, parts=1)
+    (seg,) = D.segments(spark, path).collect()
+    asked, tokens = [], D.Segment.tokens
+    monkeypatch.setattr(D.Segment, "tokens", lambda self, lo, n: asked.append((lo, n)) or tokens(self, lo, n))
+    monkeypatch.setattr(D, "READ_TOKENS", 900)
+    batch = pa.RecordBatch.from_pydict({"doc_ids": [seg.doc_ids], "lengths": [seg.lengths], "start": [7], "codes": [bytes(seg.codes)]})
+    got = [r for b in D._documents(iter([batch])) for r in b.to_pylist()]
+    assert len(asked) < 10 and [r["doc_id"] for r in got] == seg.doc_ids
+    ends = np.cumsum([0, *seg.lengths])
+    assert [r["start"] for r in got] == (ends[:-1] + 7).tolist()
+    whole = D.Segment(bytes(seg.codes))
+    assert [r["ids"] for r in got] == [tokens(whole, int(lo), int(hi - lo)).tobytes() for lo, hi in zip(ends[:-1], ends[1:], strict=True)]
+
+
 def test_files(spark, edge_docs, no_docs):
     root = tempfile.mkdtemp(prefix="run-", dir="/tmp")
     D.write(edge_docs, f"{root}/a", PATH, 2, parts=3)
