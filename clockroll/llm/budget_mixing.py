@@ -29,7 +29,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from clockroll.llm.common import free_name, staged, words_of
+from clockroll.llm.common import free_name, gathered, staged, words_of
 
 SEED = "mix-1"
 CELL_DOCS = 4096
@@ -49,6 +49,12 @@ def domain_of(source: Column) -> Column:
     return F.when(n == 0, "web").when(n == 1, "books").when(n == 2, "forum").when(n == 3, "reference").otherwise("other")
 
 
+def _kept(df: DataFrame, purpose: str) -> DataFrame:
+    """``df`` staged in few files: its tables are narrow, and executors open each file anew (on a local file system
+    Hadoop starts a process for the rights of each)."""
+    return staged(gathered(df), purpose)
+
+
 def _weight(col: str, weights: dict[str, int], default: int) -> Column:
     out = F.lit(default)
     for name, w in weights.items():
@@ -105,14 +111,14 @@ def cuts(marked: DataFrame, total: int | None, max_epochs: int = MAX_EPOCHS, see
     leaves = marked.groupBy(*LEAF).agg(F.sum("n").alias("tokens"), F.count("*").alias("n_docs"))
     plan = budgets(leaves, total, max_epochs, **weights)
     plan = plan.withColumn("epochs", F.when(F.col("tokens") > 0, F.expr("a div tokens")).otherwise(F.lit(max_epochs)).cast("int"))
-    plan = staged(plan.withColumn("rest", F.col("a") - F.col("epochs") * F.col("tokens")), "mix-plan")
+    plan = _kept(plan.withColumn("rest", F.col("a") - F.col("epochs") * F.col("tokens")), "mix-plan")
     keyed = marked.join(plan.where("tokens > 0").select(*LEAF, "epochs", "rest", "n_docs"), LEAF)
     keyed = keyed.withColumn("key", _order_key(F.col("epochs"), F.col("mark"), seed)).withColumn("cell", _cell(F.col("key"), F.col("n_docs")))
     cells = keyed.groupBy(*LEAF, "rest", "cell").agg(F.sum("n").alias("n"))
     upto = W.partitionBy(*LEAF).orderBy("cell").rowsBetween(W.unboundedPreceding, 0)
     cells = cells.withColumn("upto", F.sum("n").over(upto))
     edge = cells.where("upto > rest").groupBy(*LEAF).agg(F.min(F.struct("cell", (F.col("upto") - F.col("n")).alias("before"))).alias("e")).select(*LEAF, "e.cell", "e.before")
-    edge = staged(edge, "mix-edge")
+    edge = _kept(edge, "mix-edge")
     inside = keyed.join(edge, [*LEAF, "cell"]).groupBy(*LEAF, "cell", "rest", "before", "key").agg(F.sum("n").alias("n"))
     run = F.sum("n").over(W.partitionBy(*LEAF).orderBy("key").rowsBetween(W.unboundedPreceding, 0)) + F.col("before")
     last = inside.withColumn("upto", run).where("upto <= rest").groupBy(*LEAF).agg(F.max("key").alias("cut"))
@@ -131,9 +137,9 @@ def mixed(df: DataFrame, total: int | None = None, max_epochs: int = MAX_EPOCHS,
     mark = F.md5(F.concat_ws("|", F.coalesce(field(id_col).cast("string"), F.lit("")), F.md5(F.coalesce(field("text"), F.lit("")))))
     marked = src.select(domain(field("source").cast("string")).alias("domain"), F.coalesce(field("lang"), F.lit("und")).alias("lang"), source.alias("source"),
                         mark.alias("mark"), F.size(words_of(field("text"))).cast("long").alias("n"), row)
-    narrow = staged(marked.drop(row), "mix-docs")
+    narrow = _kept(marked.drop(row), "mix-docs")
     # One row per leaf; as a written table its size is known, so Spark broadcasts it only if it is small.
-    plan = staged(cuts(narrow, total, max_epochs, seed, **weights), "mix-cuts").withColumnRenamed("cell", "edge")
+    plan = _kept(cuts(narrow, total, max_epochs, seed, **weights), "mix-cuts").withColumnRenamed("cell", "edge")
     out = marked.join(plan, LEAF).withColumn("key", _order_key(F.col("epochs"), F.col("mark"), seed)).withColumn("cell", _cell(F.col("key"), F.col("n_docs")))
     inside = F.col("epochs") < max_epochs
     chosen = F.col("edge").isNull() | (F.col("cell") < F.col("edge")) | ((F.col("cell") == F.col("edge")) & (F.col("key") <= F.col("cut")))

@@ -51,6 +51,27 @@ def test_equals_sql(spark, monkeypatch, cell):
     assert len({c for _, _, c in got}) > 2
 
 
+def test_tables_of_a_mixture_are_written_in_few_files(spark, monkeypatch):
+    files, kept = {}, M.staged
+
+    def counted(df, purpose):
+        out = kept(df, purpose)
+        files[purpose] = len(out.inputFiles())
+        return out
+    monkeypatch.setattr(M, "staged", counted)
+    most = 3 * spark.sparkContext.defaultParallelism
+    docs = spark.range(2000).selectExpr("id AS doc_id", "repeat('word ', int(id % 9)) AS text", "concat('l', id % 7) AS lang", "concat('src', id % 40) AS source").repartition(2 * most)
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", 2 * most)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        assert M.mixed(docs, 3000).count() == 2000
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert set(files) == {"mix-plan", "mix-edge", "mix-docs", "mix-cuts"} and max(files.values()) <= most
+
+
 def test_edges(spark, edge_docs, no_docs):
     out = M.mixed(edge_docs)
     assert out.columns == [*edge_docs.columns, "domain", "n_tokens", "_copies"] and out.count() == 11
