@@ -89,6 +89,12 @@ def byte_slices(batches: Iterator[pa.RecordBatch], column: int, limit: int = SLI
             yield b.slice(lo, hi - lo)
             lo = hi
         b = None  # not held while the next is read
+        spare()
+
+
+def spare() -> None:
+    """Arrow's pool gives back what is not in use; it would keep it between batches and tasks."""
+    pa.default_memory_pool().release_unused()
 
 
 #: Rows of keys that a join may broadcast, and bytes of such rows (the driver builds the table and holds several
@@ -117,7 +123,7 @@ def held(shared, make):
 def unheld() -> None:
     """Nothing is held any more."""
     _held.clear()
-    pa.default_memory_pool().release_unused()
+    spare()
 
 
 def shared_files(path: str):
@@ -129,7 +135,16 @@ def shared_files(path: str):
     return fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
 
 
+#: Bytes of rows that go to a Python worker at a time, and the session's setting for it.
+BATCH_BYTES, BATCH_SETTING = 4 << 20, "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
 def on_workers(df: DataFrame) -> DataFrame:
-    """Make this package importable by the Python workers that will run over ``df``."""
-    ship_package(df.sparkSession)
+    """Make this package importable by the Python workers that will run over ``df``, and bound the bytes of a batch:
+    10,000 texts at a time are held by the executor's JVM, outside its heap, and by the worker.  A session that
+    sets the bound itself keeps its own."""
+    spark = df.sparkSession
+    ship_package(spark)
+    if spark.conf.get(BATCH_SETTING, None) is None:
+        spark.conf.set(BATCH_SETTING, str(BATCH_BYTES))
     return df

@@ -133,10 +133,10 @@ def _cues(sample: DataFrame, features: int) -> tuple[list[str], list[str]]:
     table = (named.groupBy("f").agg(F.sum("toxic").alias("t"), F.sum(1 - F.col("toxic")).alias("c"))
              .withColumn("weight", F.log((F.col("t") + 0.5) * rate / (F.col("c") + 0.5))).where("t >= 2 AND weight > 2")
              .orderBy(F.desc("weight"), F.length("f").desc(), "f").limit(features))
-    rows = table.select("f", "weight").toPandas()  # at most `features` rows
+    rows = table.select("f", "weight").toArrow()  # at most `features` rows; as Arrow, no Python worker makes a table of them
     if not len(rows):
         return [], []
-    weight = dict(rows.itertuples(index=False))
+    weight = dict(zip(rows["f"].to_pylist(), rows["weight"].to_pylist(), strict=True))
     best = sample.sparkSession.createDataFrame(rows)
     hits = named.where("toxic = 1").join(F.broadcast(best), "f").withColumn("top", F.max("weight").over(W.partitionBy("doc")))
     won = hits.where(F.col("weight") >= F.col("top") - SLACK).groupBy("f").agg(F.count("*").alias("n")).where("n >= 2").select("f").toPandas()

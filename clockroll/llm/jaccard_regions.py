@@ -52,7 +52,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from clockroll.llm.common import byte_slices, freed, gathered, on_workers, sized, staged, unheld
+from clockroll.llm.common import byte_slices, freed, gathered, on_workers, sized, spare, staged, unheld
 
 WORDS = 5
 EPS = 0.25
@@ -247,6 +247,8 @@ def _bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         low = 2 * apart / (na + nb + apart)
         maybe = 100 * (na + nb - apart) >= 75 * (na + nb + apart)
         yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(low), pa.array(maybe)], names=["a", "b", "low", "maybe"])
+        b = x = None
+        spare()
 
 
 def _measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -264,6 +266,8 @@ def _measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 dist.append(1 - common / union)
                 link.append(100 * common >= 75 * union)
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(dist, pa.float64()), pa.array(link, pa.bool_())], names=["a", "b", "dist", "link"])
+        whole = b = left = right = x = y = both = None
+        spare()
 
 
 def _apart(a: str, b: str) -> Column:
